@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from quincena.operators import bronze as bronze_ops
 from quincena.operators import cdc, dims, gold, inactive, snapshot
 from quincena.plans.oracle import with_views
 from quincena.schemas import SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, AUDIT_KEYS
+from quincena.session import materialize
 from quincena.sources import testviews as tv
 
 # Fixed detection time for comparable inactive-employee output.
@@ -24,45 +24,60 @@ SCD2_TIE_BREAK = ["fecha_actualizacion", "row_id"]
 
 
 class Inputs:
-    """Lazily built inputs for one (spark, sf_dir)."""
+    """Inputs of one query for (spark, sf_dir).
+
+    The landing table (payroll), the audit log and the dictionary are
+    derived from the test tables once and written to the shared checkpoint
+    folder, which plays the role of the stored landing/audit tables of a
+    deployment; every operator then reads those files.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, key: str, build: Callable[[], DataFrame], store: bool = True) -> DataFrame:
+        if key not in self._cache:
+            df = build()
+            self._cache[key] = materialize(df, key) if store else df
+        return self._cache[key]
 
     @property
     def payroll(self) -> DataFrame:
-        return tv.payroll(self.spark, self.sf_dir)
+        return self._get("payroll", lambda: tv.payroll(self.spark, self.sf_dir))
 
     @property
     def bronze(self) -> DataFrame:
-        return bronze_ops.enrich(self.payroll)
+        return self._get("bronze", lambda: bronze_ops.enrich(self.payroll), store=False)
 
     @property
     def audit(self) -> DataFrame:
-        return tv.audit(self.spark, self.sf_dir)
+        return self._get("audit", lambda: tv.audit(self.spark, self.sf_dir, self.payroll))
 
     @property
     def translations(self) -> DataFrame:
-        return tv.translations(self.spark, self.sf_dir)
+        return self._get("dict", lambda: tv.translations(self.spark, self.sf_dir, self.payroll))
 
     @property
     def poll_log(self) -> DataFrame:
-        return tv.poll_log(self.spark, self.sf_dir)
+        return self._get("poll_log", lambda: tv.poll_log(self.spark, self.sf_dir), store=False)
 
     def dim_institution(self) -> DataFrame:
-        return dims.dim_institution(self.audit, self.translations)
+        return self._get("dim_institution", lambda: dims.dim_institution(self.audit, self.translations))
 
     def dim_status(self) -> DataFrame:
-        return dims.dim_status(self.audit, self.translations)
+        return self._get("dim_status", lambda: dims.dim_status(self.audit, self.translations))
 
     def dim_position(self) -> DataFrame:
-        return dims.dim_position(self.bronze, self.translations)
+        return self._get("dim_position", lambda: dims.dim_position(self.bronze, self.translations))
 
     def snapshot(self) -> DataFrame:
-        return snapshot.latest_snapshot(self.bronze, self.dim_institution(), self.dim_status(), self.dim_position())
+        return self._get("snapshot", lambda: snapshot.latest_snapshot(
+            self.bronze, self.dim_institution(), self.dim_status(), self.dim_position()), store=False)
 
     def scd2(self) -> DataFrame:
-        return cdc.scd2_history(self.bronze, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, SCD2_TIE_BREAK)
+        return self._get("scd2", lambda: cdc.scd2_history(
+            self.bronze, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, SCD2_TIE_BREAK), store=False)
 
 
 # --------------------------------------------------------------------------- queries

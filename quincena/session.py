@@ -52,3 +52,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables, stream checkpoints and sinks."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/quincena/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: lineage is cut (a lost executor re-reads files instead of
+    recomputing the plan) and later plans see real file sizes and can prune
+    columns. Never a machine-local folder unless the session names one."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
