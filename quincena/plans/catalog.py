@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quincena.operators import bronze as bronze_ops
-from quincena.operators import cdc, dims, gold, inactive, snapshot
+from quincena.operators import audit as audit_ops
+from quincena.operators import cdc, dims, gold, inactive, monitor, pages, reports, snapshot
+from quincena.functions.columns import file_stem, landing_file_name
+from quincena.sources.audit_table import append_audit, create_audit_table
+from quincena.sources.tables import read_table, write_view
 from quincena.plans.oracle import with_views
 from quincena.schemas import SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, AUDIT_KEYS
-from quincena.session import materialize
+from quincena.session import materialize, scratch_path
 from quincena.sources import testviews as tv
 
 # Fixed detection time for comparable inactive-employee output.
@@ -131,6 +135,121 @@ def q_scd1_latest(spark, sf_dir):
     return cdc.scd1_latest(Inputs(spark, sf_dir).poll_log, AUDIT_KEYS, "checked_at", ["run_id"])
 
 
+# Placeholder base address of the report endpoint (deployment setting).
+REPORT_BASE_URL = "https://portal.example/Formas/Reporte"
+# Stem used when a response names no file (deployment setting).
+DEFAULT_STEM = "report"
+# Trend projection length in days.
+TREND_DAYS = 7
+
+
+def _current_version(audit: DataFrame):
+    """The portal's current data version: the newest version in the log."""
+    return audit.agg(F.max("source_update")).scalar()
+
+
+def q_audit_ok_filter(spark, sf_dir):
+    a = Inputs(spark, sf_dir).audit
+    return audit_ops.up_to_date(a, _current_version(a))
+
+
+def _plan(a: DataFrame) -> DataFrame:
+    return audit_ops.request_plan(a.select("institution_name_spanish"), a.select("status_name_spanish"))
+
+
+def q_pending_reports(spark, sf_dir):
+    a = Inputs(spark, sf_dir).audit
+    return audit_ops.pending_reports(_plan(a), a, _current_version(a))
+
+
+def q_request_urls(spark, sf_dir):
+    a = Inputs(spark, sf_dir).audit
+    return audit_ops.request_urls(audit_ops.pending_reports(_plan(a), a, _current_version(a)), REPORT_BASE_URL)
+
+
+def _classified(spark, sf_dir):
+    a = Inputs(spark, sf_dir).audit
+    v = _current_version(a)
+    failures = a.where((F.col("run_status") == "FAIL") & (F.col("source_update") == v))
+    return audit_ops.classify_runs(_plan(a), a, v, failures)
+
+
+def q_audit_classify(spark, sf_dir):
+    return _classified(spark, sf_dir)
+
+
+def q_updates_gate(spark, sf_dir):
+    return audit_ops.updates_gate(_classified(spark, sf_dir))
+
+
+def q_audit_append(spark, sf_dir):
+    """Create the audit table (Parquet, shared folder), append typed rows built
+    from the poll log, read the table back."""
+    log = Inputs(spark, sf_dir).poll_log
+    location = scratch_path(spark, "audit_table")
+    name = "audit_" + location.rsplit("-", 1)[-1]
+    create_audit_table(spark, name, location, ntz=True)
+    append_audit(spark, name, audit_ops.audit_rows(log, F.col("checked_at")))
+    return spark.table(name)
+
+
+def _last_run(spark, sf_dir):
+    return monitor.last_run(Inputs(spark, sf_dir).poll_log, ["run_id"])
+
+
+def q_mon_last_run(spark, sf_dir):
+    return _last_run(spark, sf_dir)
+
+
+def q_mon_counters(spark, sf_dir):
+    return monitor.counters(_last_run(spark, sf_dir))
+
+
+def q_mon_run_table(spark, sf_dir):
+    return monitor.run_table(_last_run(spark, sf_dir))
+
+
+def q_mon_daily_avg(spark, sf_dir):
+    return monitor.daily_avg(monitor.with_report(Inputs(spark, sf_dir).poll_log))
+
+
+def q_mon_trend(spark, sf_dir):
+    return monitor.trend(monitor.daily_avg(Inputs(spark, sf_dir).poll_log), TREND_DAYS)
+
+
+def q_report_clean(spark, sf_dir):
+    p = Inputs(spark, sf_dir).payroll
+    return reports.clean_reports(tv.report_sheets(p), tv.report_meta(p), DEFAULT_STEM)
+
+
+def q_report_names(spark, sf_dir):
+    meta = tv.report_meta(Inputs(spark, sf_dir).payroll)
+    stem = file_stem(F.col("content_disposition"), DEFAULT_STEM)
+    return meta.select("report_id", stem.alias("archivo"),
+                       landing_file_name(stem, F.col("estado"), F.col("data_version")).alias("landing_file"))
+
+
+# Drop-down of the test pages: the navigation list and its links.
+NAV_BLOCK = r"(?s)<nav[^>]*>(.*?)</nav>"
+NAV_ITEM = r"(?s)<a[^>]*>(.*?)</a>"
+
+
+def q_page_options(spark, sf_dir):
+    return pages.page_options(read_table(spark, sf_dir, "pages"), NAV_BLOCK, NAV_ITEM)
+
+
+def q_page_version(spark, sf_dir):
+    return pages.page_version(tv.portal_pages(read_table(spark, sf_dir, "pages")))
+
+
+def q_clustered_write(spark, sf_dir):
+    """Snapshot written as a materialised view clustered by institution and
+    status, read back."""
+    path = scratch_path(spark, "snapshot_view")
+    write_view(Inputs(spark, sf_dir).snapshot(), path, cluster_by=["institution_sp", "status_sp"])
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_enriched": q_bronze_enriched,
     "dim_institution": q_dim_institution,
@@ -144,6 +263,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_current": q_scd2_current,
     "inactive_employees": q_inactive_employees,
     "scd1_latest": q_scd1_latest,
+    "audit_ok_filter": q_audit_ok_filter,
+    "pending_reports": q_pending_reports,
+    "request_urls": q_request_urls,
+    "audit_classify": q_audit_classify,
+    "updates_gate": q_updates_gate,
+    "audit_append": q_audit_append,
+    "mon_last_run": q_mon_last_run,
+    "mon_counters": q_mon_counters,
+    "mon_run_table": q_mon_run_table,
+    "mon_daily_avg": q_mon_daily_avg,
+    "mon_trend": q_mon_trend,
+    "report_clean": q_report_clean,
+    "report_names": q_report_names,
+    "page_options": q_page_options,
+    "page_version": q_page_version,
+    "clustered_write": q_clustered_write,
 }
 
 _GOLD_POSITION_SQL = """
@@ -168,6 +303,27 @@ SELECT id_number,
 FROM snapshot GROUP BY id_number
 """
 
+_PENDING_SQL = """
+SELECT i.institution_name_spanish, s.status_name_spanish
+FROM (SELECT DISTINCT institution_name_spanish FROM audit) i, (SELECT DISTINCT status_name_spanish FROM audit) s
+WHERE NOT EXISTS (
+ SELECT 1 FROM audit a WHERE a.run_status = 'OK' AND a.source_update >= (SELECT max(source_update) FROM audit)
+  AND a.institution_name_spanish = i.institution_name_spanish AND a.status_name_spanish = s.status_name_spanish)"""
+
+_CLASSIFY_SQL = """
+SELECT i.institution_name_spanish, s.status_name_spanish,
+ CASE WHEN EXISTS (SELECT 1 FROM audit a WHERE a.run_status = 'OK'
+                   AND a.source_update >= (SELECT max(source_update) FROM audit)
+                   AND a.institution_name_spanish = i.institution_name_spanish
+                   AND a.status_name_spanish = s.status_name_spanish) THEN 'No Update'
+      WHEN EXISTS (SELECT 1 FROM audit a WHERE a.run_status = 'FAIL'
+                   AND a.source_update = (SELECT max(source_update) FROM audit)
+                   AND a.institution_name_spanish = i.institution_name_spanish
+                   AND a.status_name_spanish = s.status_name_spanish) THEN 'FAIL'
+      ELSE 'OK' END AS run_status,
+ (SELECT max(source_update) FROM audit) AS source_update
+FROM (SELECT DISTINCT institution_name_spanish FROM audit) i, (SELECT DISTINCT status_name_spanish FROM audit) s"""
+
 ORACLE: dict[str, str] = {
     "bronze_enriched": with_views("SELECT * FROM bronze"),
     "dim_institution": with_views("SELECT * FROM dim_inst"),
@@ -188,4 +344,64 @@ FROM scd2 h WHERE __END_AT IS NULL AND NOT EXISTS (
  SELECT 1 FROM snapshot s WHERE s.id_number = h.cedula AND s.first_name = h.nombre
   AND s.last_name = h.apellido AND s.position_sp = h.cargo AND s.status_sp = h.estado)"""),
     "scd1_latest": with_views("SELECT * FROM last_run"),
+    "audit_ok_filter": with_views("""
+SELECT * FROM audit WHERE run_status = 'OK' AND source_update >= (SELECT max(source_update) FROM audit)"""),
+    "pending_reports": with_views(_PENDING_SQL),
+    "request_urls": with_views(f"""
+SELECT institution_name_spanish, status_name_spanish,
+ concat('{REPORT_BASE_URL}', '?&Ne=', replace(institution_name_spanish, ' ', '%20'),
+        '&N=&A=&C=&E=', replace(status_name_spanish, ' ', '%20')) AS url
+FROM ({_PENDING_SQL})"""),
+    "audit_classify": with_views(_CLASSIFY_SQL),
+    "updates_gate": with_views(f"""
+SELECT count(*) FILTER (WHERE run_status = 'OK') AS updates,
+ count(*) FILTER (WHERE run_status = 'OK') > 0 AS refresh FROM ({_CLASSIFY_SQL})"""),
+    "audit_append": with_views("""
+SELECT institution_name_spanish, status_name_spanish, run_status, source_update, checked_at, start_at, end_at,
+ CAST((epoch_us(end_at) - epoch_us(start_at)) / 1e6 AS FLOAT) AS time FROM poll_log"""),
+    "mon_last_run": with_views("SELECT * FROM v_last_run"),
+    "mon_counters": with_views("""
+SELECT max(source_update) AS max_source_update, max(checked_at) AS max_checked_at,
+ count(DISTINCT report) AS reports, CAST(sum("OK") AS BIGINT) AS files_downloaded,
+ CAST(sum("ERROR") AS BIGINT) AS errors,
+ sum("OK") / count(DISTINCT report) AS downloaded_ratio, sum("ERROR") / count(DISTINCT report) AS error_ratio
+FROM v_last_run"""),
+    "mon_run_table": with_views("""
+SELECT date_trunc('second', start_at) AS start_second, report, run_status,
+ date_trunc('day', source_update) AS source_day, avg(time) AS avg_time,
+ CAST(sum("OK") AS BIGINT) AS ok_runs, CAST(sum("ERROR") AS BIGINT) AS error_runs
+FROM v_last_run GROUP BY ALL"""),
+    "mon_daily_avg": with_views("""
+SELECT CAST(date_trunc('day', start_at) AS TIMESTAMP) AS day, avg(time) AS avg_time FROM api_log GROUP BY 1"""),
+    "mon_trend": with_views(f"""
+SELECT day, avg_time, round(f.b + f.m * x, 6) AS trend_time, avg_time IS NULL AS is_forecast
+FROM (
+  SELECT day, avg_time, CAST(datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS DOUBLE) AS x FROM daily
+  UNION ALL
+  SELECT CAST(d AS TIMESTAMP), NULL, CAST(datediff('day', DATE '1970-01-01', CAST(d AS DATE)) AS DOUBLE)
+  FROM (SELECT unnest(generate_series(max(CAST(day AS DATE)) + 1, max(CAST(day AS DATE)) + {TREND_DAYS},
+                                      INTERVAL 1 DAY)) AS d FROM daily)
+) s, (SELECT regr_slope(avg_time, x) AS m, regr_intercept(avg_time, x) AS b FROM (
+        SELECT avg_time, CAST(datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS DOUBLE) AS x FROM daily)) f"""),
+    "report_clean": with_views(f"""
+SELECT nombre, apellido, cedula, cargo, salario, gasto, estado, fecha_de_inicio, fecha_actualizacion,
+ fecha_consulta, CASE WHEN estado = 'P' THEN '{DEFAULT_STEM}' ELSE archivo END AS archivo, institucion
+FROM payroll"""),
+    "report_names": with_views(f"""
+SELECT report_id, stem AS archivo,
+ concat(stem, '_', estado, '_', CAST(CAST(epoch(data_version) AS BIGINT) AS VARCHAR), '_0.parquet') AS landing_file
+FROM (SELECT concat_ws('|', institucion, estado, strftime(fecha_actualizacion, '%Y%m%d%H%M%S')) AS report_id,
+        max(estado) AS estado, max(fecha_consulta) AS data_version,
+        CASE WHEN max(estado) = 'P' THEN '{DEFAULT_STEM}' ELSE max(archivo) END AS stem
+      FROM payroll GROUP BY 1)"""),
+    "page_options": """
+SELECT page_id, option_no, option FROM (
+  SELECT page_id, generate_subscripts(items, 1) - 1 AS option_no, trim(unnest(items)) AS option
+  FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1),
+                                           '(?s)<a[^>]*>(.*?)</a>', 1) AS items FROM pages))
+WHERE length(option) > 0 AND NOT contains(option, 'Seleccione')""",
+    "page_version": """
+SELECT page_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id * 7) + to_seconds(page_id % 60) AS data_version
+FROM pages""",
+    "clustered_write": with_views("SELECT * FROM snapshot"),
 }

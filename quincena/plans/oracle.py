@@ -80,7 +80,8 @@ last_run AS (
 v_last_run AS (
  SELECT *, CAST(run_status = 'OK' AS INTEGER) AS "OK", CAST(run_status = 'FAIL' AS INTEGER) AS "ERROR",
   concat(institution_name_spanish, ' - ', status_name_spanish) AS report FROM last_run),
-api_log AS (SELECT *, concat(institution_name_spanish, ' - ', status_name_spanish) AS report FROM poll_log)
+api_log AS (SELECT *, concat(institution_name_spanish, ' - ', status_name_spanish) AS report FROM poll_log),
+daily AS (SELECT CAST(date_trunc('day', start_at) AS TIMESTAMP) AS day, avg(time) AS avg_time FROM poll_log GROUP BY 1)
 """
 
 

@@ -132,3 +132,73 @@ poll_log AS (
   ts + INTERVAL '90' SECOND AS end_at, CAST(value AS DOUBLE) AS time
  FROM events)
 """
+
+
+# --------------------------------------------------------------------------- report workbooks
+# Each payroll row becomes a data row of a report workbook: one report per
+# (institution, status, update time), rows split over two sheets whose
+# columns come in different orders (the second spells the id header with an
+# accent). Reports of status 'P' carry no file name in their response header.
+
+SHEET1_HEADER = ["Nombre", "Apellido", "Cedula", "Cargo", "Salario", "Gasto", "Estado", "Fecha de Inicio"]
+SHEET2_HEADER = ["Fecha de Inicio", "Estado", "Gasto", "Salario", "Cargo", "Cédula", "Apellido", "Nombre"]
+NO_FILE_NAME_STATUS = "P"
+
+
+def _report_id() -> Column:
+    return F.concat_ws("|", "institucion", "estado", F.date_format("fecha_actualizacion", "yyyyMMddHHmmss"))
+
+
+def report_sheets(payroll_df: DataFrame) -> DataFrame:
+    """Sheet rows ``(report_id, sheet_no, row_no, cells)`` of all reports."""
+    p = payroll_df.withColumns({"report_id": _report_id(),
+                                "sheet_no": (F.col("row_id") % 2 + 1).cast("int")})
+    values = {
+        "Nombre": F.col("nombre"), "Apellido": F.col("apellido"), "Cedula": F.col("cedula"),
+        "Cargo": F.col("cargo"), "Salario": F.col("salario").cast("string"),
+        "Gasto": F.col("gasto").cast("string"), "Estado": F.col("estado"),
+        "Fecha de Inicio": F.date_format("fecha_de_inicio", "dd/MM/yyyy"),
+    }
+    cells1 = F.array(*[values[h] for h in SHEET1_HEADER])
+    cells2 = F.array(*[values["Cedula" if h == "Cédula" else h] for h in SHEET2_HEADER])
+    data = p.select("report_id", "sheet_no", (F.col("row_id") + 6).cast("int").alias("row_no"),
+                    F.when(F.col("sheet_no") == 1, cells1).otherwise(cells2).alias("cells"))
+    # Every workbook has both sheets (a sheet may hold no data rows).
+    sheets = (p.groupBy("report_id").agg(F.max("fecha_actualizacion").alias("fa"), F.max("institucion").alias("inst"))
+              .withColumn("sheet_no", F.explode(F.array(F.lit(1), F.lit(2)))))
+    banner_text = F.concat(F.lit("Fecha de actualización: "), F.date_format("fa", "dd/MM/yyyy hh:mm:ss a"))
+    null = F.lit(None).cast("string")
+    top = F.array(
+        F.struct(F.lit(1).alias("row_no"), F.array(F.lit("Informe de planilla"), null, null, null, null).alias("cells")),
+        F.struct(F.lit(2).alias("row_no"), F.array(F.col("inst"), null, null, null, null).alias("cells")),
+        F.struct(F.lit(3).alias("row_no"), F.array(null, null, null, null, banner_text).alias("cells")),
+        F.struct(F.lit(4).alias("row_no"), F.array(null, null, null, null, null).alias("cells")),
+        F.struct(F.lit(5).alias("row_no"),
+                 F.when(F.col("sheet_no") == 1, F.array(*[F.lit(h) for h in SHEET1_HEADER]))
+                  .otherwise(F.array(*[F.lit(h) for h in SHEET2_HEADER])).alias("cells")),
+    )
+    heads = sheets.select("report_id", "sheet_no", F.inline(top))
+    return data.unionByName(heads)
+
+
+def report_meta(payroll_df: DataFrame) -> DataFrame:
+    """One metadata row per report: institution, status, response header and
+    data version."""
+    g = payroll_df.groupBy(_report_id().alias("report_id")).agg(
+        F.max("institucion").alias("institucion"), F.max("estado").alias("estado"),
+        F.max("archivo").alias("archivo"), F.max("fecha_consulta").alias("data_version"))
+    cd = F.when(F.col("estado") == NO_FILE_NAME_STATUS, F.lit(None).cast("string")) \
+          .otherwise(F.concat(F.lit('attachment; filename="'), F.col("archivo"), F.lit('.xlsx"')))
+    return g.select("report_id", "institucion", "estado", cd.alias("content_disposition"), "data_version")
+
+
+# --------------------------------------------------------------------------- portal pages
+# The portal index page states its data version in one line. Each test page
+# gets such a line, with a time derived from its page_id, before its html.
+
+def portal_pages(pages_df: DataFrame) -> DataFrame:
+    ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), (F.col("page_id") * 7).cast("int"), F.lit(0), (F.col("page_id") % 60).cast("decimal(18,6)"))
+    line = F.concat(F.lit('<div id="lblFecha">Fecha de actualización de los datos:  '),
+                    F.date_format(ts, "d/M/yyyy h:mm:ss a"), F.lit("</div>"))
+    return pages_df.select("page_id", "url", F.concat(line, F.col("html")).alias("html"))
