@@ -15,9 +15,12 @@ from quincena.operators import audit as audit_ops
 from quincena.operators import cdc, dims, gold, inactive, monitor, pages, reports, snapshot
 from quincena.functions.columns import file_stem, landing_file_name
 from quincena.sources.audit_table import append_audit, create_audit_table
-from quincena.sources.tables import read_table, write_view
+from quincena.sources.tables import append_rows, read_table, write_view
+from quincena.streaming import incremental as inc
+from quincena.streaming.store import VersionedTable
+from pyspark.sql import types as T
 from quincena.plans.oracle import with_views
-from quincena.schemas import SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, AUDIT_KEYS
+from quincena.schemas import AUDIT_KEYS, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, payroll_schema
 from quincena.session import materialize, scratch_path
 from quincena.sources import testviews as tv
 
@@ -250,6 +253,90 @@ def q_clustered_write(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# --------------------------------------------------------------------------- triggered streams
+# The streaming queries land their input in three arrivals (time ranges of
+# the data, every row exactly once) and run the stream after each arrival,
+# then once more with nothing new. Arrival orders other than chronological
+# deliver late data.
+
+ARRIVALS = 3
+
+
+def _arrivals(df: DataFrame, time_col: str, order: list[int]) -> list[DataFrame]:
+    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
+    span = (hi - lo) / ARRIVALS
+    cuts = [lo + span * i for i in range(1, ARRIVALS)]
+    parts = []
+    for i in range(ARRIVALS):
+        c = F.lit(True)
+        if i > 0:
+            c = c & (F.col(time_col) >= F.lit(cuts[i - 1]).cast("timestamp_ntz"))
+        if i < ARRIVALS - 1:
+            c = c & (F.col(time_col) < F.lit(cuts[i]).cast("timestamp_ntz"))
+        parts.append(df.where(c))
+    return [parts[i] for i in order]
+
+
+def _land_and_run(spark, df: DataFrame, time_col: str, order: list[int], run) -> None:
+    landing = scratch_path(spark, "landing")
+    for part in _arrivals(df, time_col, order):
+        append_rows(part, landing)
+        run(landing)
+    run(landing)
+
+
+def q_ingest_stream(spark, sf_dir):
+    """Landing files → bronze through the file stream (schema enforced)."""
+    i = Inputs(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "bronze_ckpt")
+    schema = payroll_schema(T.TimestampNTZType())
+    _land_and_run(spark, i.payroll, "fecha_consulta", [0, 1, 2],
+                  lambda landing: inc.ingest_bronze(spark, landing, schema, out, ckpt, max_files_per_trigger=4))
+    return spark.read.parquet(out)
+
+
+def q_scd2_stream(spark, sf_dir):
+    """Bronze arrivals out of time order → incremental type-2 history."""
+    b = Inputs(spark, sf_dir).bronze
+    ev, hist, ckpt = (scratch_path(spark, n) for n in ("scd2_events", "scd2_history", "scd2_ckpt"))
+    _land_and_run(spark, b, "fecha_consulta", [2, 0, 1],
+                  lambda landing: inc.update_history(spark, landing, b.schema, ev, hist, ckpt,
+                                                     SCD2_TIE_BREAK, max_files_per_trigger=4))
+    return VersionedTable(spark, hist).read()
+
+
+def q_scd1_stream(spark, sf_dir):
+    """Poll-log arrivals out of time order → latest poll per report."""
+    log = Inputs(spark, sf_dir).poll_log
+    target, ckpt = scratch_path(spark, "scd1"), scratch_path(spark, "scd1_ckpt")
+    _land_and_run(spark, log, "checked_at", [1, 0, 2],
+                  lambda landing: inc.update_latest_poll(spark, landing, log.schema, target, ckpt, ["run_id"],
+                                                         max_files_per_trigger=4))
+    return VersionedTable(spark, target).read()
+
+
+def q_dim_status_stream(spark, sf_dir):
+    """Audit arrivals → status dimension from a complete-mode aggregate."""
+    i = Inputs(spark, sf_dir)
+    a, d = i.audit, i.translations
+    target, ckpt = scratch_path(spark, "dim_status"), scratch_path(spark, "dim_status_ckpt")
+    _land_and_run(spark, a, "source_update", [0, 2, 1],
+                  lambda landing: inc.update_name_dimension(spark, landing, a.schema, "status_name_spanish",
+                                                            "status_name_english", d, target, ckpt,
+                                                            max_files_per_trigger=4))
+    return VersionedTable(spark, target).read()
+
+
+def q_dim_position_stream(spark, sf_dir):
+    """Bronze arrivals in time order → append-only position dimension."""
+    i = Inputs(spark, sf_dir)
+    b, d = i.bronze, i.translations
+    target, ckpt = scratch_path(spark, "dim_position"), scratch_path(spark, "dim_position_ckpt")
+    _land_and_run(spark, b, "fecha_consulta", [0, 1, 2],
+                  lambda landing: inc.update_positions(spark, landing, b.schema, d, target, ckpt))
+    return VersionedTable(spark, target).read()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_enriched": q_bronze_enriched,
     "dim_institution": q_dim_institution,
@@ -279,6 +366,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_options": q_page_options,
     "page_version": q_page_version,
     "clustered_write": q_clustered_write,
+    "ingest_stream": q_ingest_stream,
+    "scd2_stream": q_scd2_stream,
+    "scd1_stream": q_scd1_stream,
+    "dim_status_stream": q_dim_status_stream,
+    "dim_position_stream": q_dim_position_stream,
 }
 
 _GOLD_POSITION_SQL = """
@@ -404,4 +496,9 @@ WHERE length(option) > 0 AND NOT contains(option, 'Seleccione')""",
 SELECT page_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id * 7) + to_seconds(page_id % 60) AS data_version
 FROM pages""",
     "clustered_write": with_views("SELECT * FROM snapshot"),
+    "ingest_stream": with_views("SELECT * EXCLUDE (row_id) FROM bronze"),
+    "scd2_stream": with_views("SELECT * FROM scd2"),
+    "scd1_stream": with_views("SELECT * FROM last_run"),
+    "dim_status_stream": with_views("SELECT * FROM dim_stat"),
+    "dim_position_stream": with_views("SELECT * FROM dim_pos"),
 }
