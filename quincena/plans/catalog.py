@@ -16,6 +16,7 @@ from quincena.operators import cdc, dims, gold, inactive, monitor, pages, report
 from quincena.functions.columns import file_stem, landing_file_name
 from quincena.sources.audit_table import append_audit, create_audit_table
 from quincena.sources.tables import append_rows, read_table, write_view
+from quincena.plans.refresh import Layout, refresh
 from quincena.streaming import incremental as inc
 from quincena.streaming.store import VersionedTable
 from pyspark.sql import types as T
@@ -337,6 +338,18 @@ def q_dim_position_stream(spark, sf_dir):
     return VersionedTable(spark, target).read()
 
 
+def q_refresh_gold_position(spark, sf_dir):
+    """End to end: land payroll and audit rows in a fresh deployment folder,
+    run one refresh, read the position summary it wrote."""
+    i = Inputs(spark, sf_dir)
+    layout = Layout(scratch_path(spark, "deployment"))
+    append_rows(i.payroll, layout.landing)
+    append_rows(i.audit, layout.audit)
+    out = refresh(spark, layout, i.translations, landing_schema=i.payroll.schema,
+                  audit_table_schema=i.audit.schema, tie_break=SCD2_TIE_BREAK, detected_at=DETECTED_AT)
+    return spark.read.parquet(out["gold_position"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_enriched": q_bronze_enriched,
     "dim_institution": q_dim_institution,
@@ -371,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd1_stream": q_scd1_stream,
     "dim_status_stream": q_dim_status_stream,
     "dim_position_stream": q_dim_position_stream,
+    "refresh_gold_position": q_refresh_gold_position,
 }
 
 _GOLD_POSITION_SQL = """
@@ -501,4 +515,5 @@ FROM pages""",
     "scd1_stream": with_views("SELECT * FROM last_run"),
     "dim_status_stream": with_views("SELECT * FROM dim_stat"),
     "dim_position_stream": with_views("SELECT * FROM dim_pos"),
+    "refresh_gold_position": with_views(_GOLD_POSITION_SQL),
 }
