@@ -25,8 +25,12 @@ START_DATE_FORMAT = "d/M/yyyy"
 ACCENTED_ID_HEADER = "cédula"
 
 
-def _field(m, name: str):
-    return F.try_element_at(m, F.lit(name))
+FIELDS = ["nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado", "fecha_de_inicio"]
+
+
+def _position(names, name: str):
+    """1-based position of a column name in the header, NULL when absent."""
+    return F.nullif(F.array_position(names, F.lit(name)), F.lit(0)).cast("int")
 
 
 def clean_reports(sheet_rows: DataFrame, report_meta: DataFrame, default_stem: str = "report") -> DataFrame:
@@ -35,34 +39,37 @@ def clean_reports(sheet_rows: DataFrame, report_meta: DataFrame, default_stem: s
     honoured) on every row, then the data version, file stem and
     institution from the report metadata.
 
-    The per-sheet header table and the per-report banner table are
-    aggregates with one row per sheet / report; they meet the data rows in
-    equi-joins that AQE may turn into broadcasts from measured sizes or
-    split when one report is very large.
+    Each sheet's header is reduced once to the cell position of every field
+    (``cédula`` stands in for a missing ``cedula``); data rows then pick
+    cells by position, which stays inside generated code. The per-sheet
+    and per-report tables meet the data rows in equi-joins that AQE may turn
+    into broadcasts from measured sizes or split when one report is large.
     """
+    names = F.transform("cells", lambda x: normalize_header(x))
+    pos = {f: _position(F.col("names"), f) for f in FIELDS}
+    pos["cedula"] = F.coalesce(pos["cedula"], _position(F.col("names"), ACCENTED_ID_HEADER))
     headers = (sheet_rows.where(F.col("row_no") == HEADER_ROW)
-               .select("report_id", "sheet_no",
-                       F.transform("cells", lambda x: normalize_header(x)).alias("names")))
+               .select("report_id", "sheet_no", names.alias("names"))
+               .select("report_id", "sheet_no", *[pos[f].alias("_p_" + f) for f in FIELDS]))
     banner = (sheet_rows.where((F.col("row_no") == BANNER_ROW) & (F.col("sheet_no") == FIRST_SHEET))
               .select("report_id", parse_report_datetime(
                   F.regexp_extract(F.try_element_at("cells", F.lit(BANNER_CELL)), BANNER_DATE_PATTERN, 1))
                   .alias("fecha_actualizacion")))
-    data = sheet_rows.where(F.col("row_no") >= FIRST_DATA_ROW)
-    # name -> cell; a cell beyond the row's end reads as NULL, a blank header
-    # gets a positional name so the map never has a NULL key.
-    m = F.map_from_entries(F.transform("names", lambda n, i: F.struct(
-        F.coalesce(n, F.concat(F.lit("_col"), i.cast("string"))), F.try_element_at("cells", i + 1))))
-    rows = data.join(headers, ["report_id", "sheet_no"]).select("report_id", m.alias("m"))
-    typed = rows.select(
+    data = sheet_rows.where(F.col("row_no") >= FIRST_DATA_ROW).join(headers, ["report_id", "sheet_no"])
+
+    def cell(f):
+        return F.try_element_at("cells", F.col("_p_" + f))
+
+    typed = data.select(
         "report_id",
-        _field("m", "nombre").alias("nombre"),
-        _field("m", "apellido").alias("apellido"),
-        F.coalesce(_field("m", "cedula"), _field("m", ACCENTED_ID_HEADER)).alias("cedula"),
-        _field("m", "cargo").alias("cargo"),
-        _field("m", "salario").try_cast("double").alias("salario"),
-        _field("m", "gasto").try_cast("double").alias("gasto"),
-        _field("m", "estado").alias("estado"),
-        F.try_to_date(_field("m", "fecha_de_inicio"), START_DATE_FORMAT).alias("fecha_de_inicio"),
+        cell("nombre").alias("nombre"),
+        cell("apellido").alias("apellido"),
+        cell("cedula").alias("cedula"),
+        cell("cargo").alias("cargo"),
+        cell("salario").try_cast("double").alias("salario"),
+        cell("gasto").try_cast("double").alias("gasto"),
+        cell("estado").alias("estado"),
+        F.try_to_date(cell("fecha_de_inicio"), START_DATE_FORMAT).alias("fecha_de_inicio"),
     )
     meta = report_meta.select(
         "report_id", F.col("data_version").cast("timestamp_ntz").alias("fecha_consulta"),

@@ -301,8 +301,7 @@ def q_scd2_stream(spark, sf_dir):
     b = Inputs(spark, sf_dir).bronze
     ev, hist, ckpt = (scratch_path(spark, n) for n in ("scd2_events", "scd2_history", "scd2_ckpt"))
     _land_and_run(spark, b, "fecha_consulta", [2, 0, 1],
-                  lambda landing: inc.update_history(spark, landing, b.schema, ev, hist, ckpt,
-                                                     SCD2_TIE_BREAK, max_files_per_trigger=4))
+                  lambda landing: inc.update_history(spark, landing, b.schema, ev, hist, ckpt, SCD2_TIE_BREAK))
     return VersionedTable(spark, hist).read()
 
 

@@ -25,27 +25,20 @@ def scd2_sink(events: VersionedTable, history: VersionedTable, keys: list[str],
     """Type-2 history under late data.
 
     A collapsed history cannot absorb a late event (A at t1 and t3 collapse to
-    one open version; a late B at t2 must split it), so the sink keeps the
-    de-duplicated event log too. Per batch: the keys it touches are
-    recomputed from all their events with the batch function; every other
-    key's versions are carried over. Keys compare NULL-safely (a plain anti
-    join would duplicate rows with NULL keys).
+    one open version; a late B at t2 must split it), so the sink also keeps
+    an append-only event log: each batch adds its de-duplicated events as
+    its own folder (nothing is rewritten). The keys a batch touches are then
+    recomputed from all their logged events with the batch function; every
+    other key's versions are carried over. Keys compare NULL-safely (a plain
+    anti join would duplicate rows with NULL keys).
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        events.commit(cdc.dedupe_events(batch, keys, sequence_by, tie_break), batch_id)
         affected = batch.select(*[batch[k].alias("_k_" + k) for k in keys]).distinct()
-        old_ev = events.read(before=batch_id)
-        if old_ev is None:
-            ev_aff = cdc.dedupe_events(batch, keys, sequence_by, tie_break)
-            new_ev = ev_aff
-        else:
-            cond = null_safe_condition(old_ev, affected, keys, "_k_")
-            touched = old_ev.join(affected, cond, "left_semi")
-            ev_aff = cdc.dedupe_events(touched.unionByName(batch.select(*old_ev.columns)),
-                                       keys, sequence_by, tie_break)
-            new_ev = old_ev.join(affected, cond, "left_anti").unionByName(ev_aff)
-        events.commit(new_ev, batch_id)
-        hist_aff = cdc.scd2_history(ev_aff, keys, sequence_by, track, tie_break)
+        logged = events.read_all(upto=batch_id)
+        touched = logged.join(affected, null_safe_condition(logged, affected, keys, "_k_"), "left_semi")
+        hist_aff = cdc.scd2_history(touched, keys, sequence_by, track, tie_break)
         old_h = history.read(before=batch_id)
         if old_h is None:
             new_h = hist_aff

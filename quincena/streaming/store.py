@@ -38,5 +38,15 @@ class VersionedTable:
         newest = df.agg(F.max(VERSION_COL)).scalar()
         return df.where(F.col(VERSION_COL) == newest).drop(VERSION_COL)
 
+    def read_all(self, upto: int | None = None) -> DataFrame | None:
+        """Union of all versions up to ``upto`` (for append-only logs whose
+        versions each hold one batch's rows)."""
+        df = self._all()
+        if df is None:
+            return None
+        if upto is not None:
+            df = df.where(F.col(VERSION_COL) <= upto)
+        return df.drop(VERSION_COL)
+
     def commit(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{VERSION_COL}={version}")
