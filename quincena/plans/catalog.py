@@ -327,6 +327,18 @@ def q_dim_status_stream(spark, sf_dir):
     return VersionedTable(spark, target).read()
 
 
+def q_dim_institution_stream(spark, sf_dir):
+    """Audit arrivals → institution dimension from a complete-mode aggregate."""
+    i = Inputs(spark, sf_dir)
+    a, d = i.audit, i.translations
+    target, ckpt = scratch_path(spark, "dim_institution"), scratch_path(spark, "dim_institution_ckpt")
+    _land_and_run(spark, a, "source_update", [2, 1, 0],
+                  lambda landing: inc.update_name_dimension(spark, landing, a.schema, "institution_name_spanish",
+                                                            "institution_name_english", d, target, ckpt,
+                                                            max_files_per_trigger=4))
+    return VersionedTable(spark, target).read()
+
+
 def q_dim_position_stream(spark, sf_dir):
     """Bronze arrivals in time order → append-only position dimension."""
     i = Inputs(spark, sf_dir)
@@ -382,6 +394,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_stream": q_scd2_stream,
     "scd1_stream": q_scd1_stream,
     "dim_status_stream": q_dim_status_stream,
+    "dim_institution_stream": q_dim_institution_stream,
     "dim_position_stream": q_dim_position_stream,
     "refresh_gold_position": q_refresh_gold_position,
 }
@@ -513,6 +526,7 @@ FROM pages""",
     "scd2_stream": with_views("SELECT * FROM scd2"),
     "scd1_stream": with_views("SELECT * FROM last_run"),
     "dim_status_stream": with_views("SELECT * FROM dim_stat"),
+    "dim_institution_stream": with_views("SELECT * FROM dim_inst"),
     "dim_position_stream": with_views("SELECT * FROM dim_pos"),
     "refresh_gold_position": with_views(_GOLD_POSITION_SQL),
 }

@@ -85,3 +85,12 @@ def test_t5_null_key_always_flagged(spark):
     land = [row("A", "1", "I1", V2, cargo=None)]
     got = _inactive(spark, land, land, [("I1", "E", "OK", V2, V2)])
     assert len(got) == 1 and got[0].last_active_date == V2 and got[0].detected_at == dt.datetime(2024, 1, 1)
+
+
+def test_t15_position_dimension_unique(spark):
+    land = [row("A", "1", "I1", V1, cargo="C1"), row("B", "2", "I1", V2, cargo="C1"), row("C", "3", "I1", V2, cargo=None)]
+    b = bronze.enrich(spark.createDataFrame(land, LAND))
+    d = spark.createDataFrame([("C1", "Pos 1"), ("C1", "Position 1")], DICT)
+    got = dims.dim_position(b, d).collect()
+    assert len(got) == 1 and got[0].position_name_english == "Pos 1"
+    assert got[0].last_seen_at == V1 + dt.timedelta(hours=14)
