@@ -44,15 +44,19 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, DataFrame] = {}
 
-    def _get(self, key: str, build: Callable[[], DataFrame], store: bool = True) -> DataFrame:
+    def _get(self, key: str, build: Callable[[], DataFrame], store: bool = True,
+             by: list[str] | None = None) -> DataFrame:
         if key not in self._cache:
             df = build()
-            self._cache[key] = materialize(df, key) if store else df
+            files = self.spark.sparkContext.defaultParallelism if by else None
+            self._cache[key] = materialize(df, key, files, by) if store else df
         return self._cache[key]
 
     @property
     def payroll(self) -> DataFrame:
-        return self._get("payroll", lambda: tv.payroll(self.spark, self.sf_dir))
+        """The landing table, written as one file per core (the test tables
+        are single files, which would make every later scan one task)."""
+        return self._get("payroll", lambda: tv.payroll(self.spark, self.sf_dir), by=["row_id"])
 
     @property
     def bronze(self) -> DataFrame:

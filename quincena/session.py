@@ -54,12 +54,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quincena/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", files: int | None = None, by: list[str] | None = None):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage is cut (a lost executor re-reads files instead of
     recomputing the plan) and later plans see real file sizes and can prune
-    columns. Never a machine-local folder unless the session names one."""
+    columns. With ``files``, rows are hash-distributed on ``by`` into that
+    many files first, so later scans get that many parallel splits even when
+    the source was a single file. Never a machine-local folder unless the
+    session names one."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if files:
+        df = df.repartition(files, *(by or []))
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
