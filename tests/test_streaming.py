@@ -72,3 +72,24 @@ def test_dimension_stream_complete_mode(spark, tmp_dir):
     batch = dims.dim_status(spark.createDataFrame(first + [("J", "E", "OK", T[0], T[3])], schema), d)
     assert got == sorted(tuple(r) for r in batch.select(*VersionedTable(spark, target).read().columns).collect())
     assert got == [("E", T[1], T[3], "Status E")]
+
+
+def test_s2_schema_enforcement_case_and_missing(spark, tmp_dir):
+    """Declared landing schema: ``Institucion`` matches ``institucion``
+    case-insensitively, a missing column reads as NULL, extra columns drop."""
+    from quincena.schemas import payroll_schema
+    from pyspark.sql import types as TT
+    landing, out, ck = f"{tmp_dir}/land", f"{tmp_dir}/bronze", f"{tmp_dir}/ck"
+    df = spark.createDataFrame(
+        [("A", "B", "8-1-2", "C", 1000.0, "E", dt.date(2020, 1, 1), T[2], T[1], "f", "INST", 7)],
+        "nombre string, apellido string, cedula string, cargo string, salario double, estado string, "
+        "fecha_de_inicio date, fecha_actualizacion timestamp_ntz, fecha_consulta timestamp_ntz, archivo string, "
+        "Institucion string, extra int")
+    append_rows(df, landing)
+    inc.ingest_bronze(spark, landing, payroll_schema(TT.TimestampNTZType()), out, ck)
+    inc.ingest_bronze(spark, landing, payroll_schema(TT.TimestampNTZType()), out, ck)   # no new file
+    got = spark.read.parquet(out).collect()
+    assert len(got) == 1
+    r = got[0]
+    assert r.institucion == "INST" and r.gasto is None and "extra" not in r.asDict()
+    assert r.composite_key == "A-B-INST-C-812" and r.antiguedad == 50 / 12
