@@ -93,3 +93,35 @@ def test_s2_schema_enforcement_case_and_missing(spark, tmp_dir):
     r = got[0]
     assert r.institucion == "INST" and r.gasto is None and "extra" not in r.asDict()
     assert r.composite_key == "A-B-INST-C-812" and r.antiguedad == 50 / 12
+
+
+def test_failed_batch_is_replayed_idempotently(spark, tmp_dir):
+    """A batch that dies after writing part of its state is replayed with the
+    same batch id on the next run and overwrites its own version folders."""
+    import pytest
+    from quincena.streaming import sinks
+    from quincena.streaming.runner import run_available
+    from quincena.streaming.sources import landing_stream
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    keys = ["cedula", "nombre", "apellido", "institucion", "cargo", "estado"]
+    schema = spark.createDataFrame([], SCHEMA).schema
+    rows = [ev("1", 0, 1.0, 1), ev("1", 1, 2.0, 2), ev("2", 0, 3.0, 3)]
+    append_rows(spark.createDataFrame(rows, SCHEMA), landing)
+    real = sinks.scd2_sink(VersionedTable(spark, ev_root), VersionedTable(spark, h_root), keys, "fecha_consulta",
+                           ["salario", "gasto", "fecha_de_inicio"], ["fecha_actualizacion", "row_id"])
+    calls = []
+
+    def failing(batch, batch_id):
+        calls.append(batch_id)
+        real(batch, batch_id)
+        raise RuntimeError("lost after writing")
+
+    with pytest.raises(Exception):
+        run_available(landing_stream(spark, landing, schema), ck, foreach_batch=failing)
+    run_available(landing_stream(spark, landing, schema), ck, foreach_batch=real)
+    got = VersionedTable(spark, h_root).read()
+    want = cdc.scd2_history(spark.createDataFrame(rows, SCHEMA), keys, "fecha_consulta",
+                            ["salario", "gasto", "fecha_de_inicio"], ["fecha_actualizacion", "row_id"])
+    norm = lambda df: sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
+    assert calls == [0] and norm(got) == norm(want)
+    assert VersionedTable(spark, ev_root).read_all().count() == 3
