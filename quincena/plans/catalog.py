@@ -295,9 +295,11 @@ def q_ingest_stream(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     out, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "bronze_ckpt")
     schema = payroll_schema(T.TimestampNTZType())
+    bschema = []
     _land_and_run(spark, i.payroll, "fecha_consulta", [0, 1, 2],
-                  lambda landing: inc.ingest_bronze(spark, landing, schema, out, ckpt, max_files_per_trigger=4))
-    return spark.read.parquet(out)
+                  lambda landing: bschema.append(
+                      inc.ingest_bronze(spark, landing, schema, out, ckpt, max_files_per_trigger=4)))
+    return inc.read_bronze(spark, out, bschema[-1])
 
 
 def q_scd2_stream(spark, sf_dir):

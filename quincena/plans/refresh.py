@@ -59,8 +59,8 @@ def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
     aschema = audit_table_schema or audit_schema()
     tb = tie_break or DEFAULT_TIE_BREAK
 
-    inc.ingest_bronze(spark, layout.landing, lschema, layout.bronze, layout.ckpt("bronze"))
-    bronze = spark.read.parquet(layout.bronze)
+    bschema = inc.ingest_bronze(spark, layout.landing, lschema, layout.bronze, layout.ckpt("bronze"))
+    bronze = inc.read_bronze(spark, layout.bronze, bschema)
     inc.update_history(spark, layout.bronze, bronze.schema, layout.scd2_events, layout.scd2_history,
                        layout.ckpt("scd2"), tb)
     inc.update_positions(spark, layout.bronze, bronze.schema, translations, layout.dim_position,

@@ -13,11 +13,24 @@ from quincena.streaming.sources import bronze_stream, landing_stream
 from quincena.streaming.store import VersionedTable
 
 
+BRONZE_PARTITIONS = ["fecha_consulta"]
+
+
 def ingest_bronze(spark: SparkSession, landing_dir: str, schema: T.StructType, bronze_dir: str,
-                  checkpoint: str, max_files_per_trigger: int | None = None) -> None:
-    """New landing files → bronze folder (exactly-once Parquet file sink)."""
-    run_available(bronze_stream(spark, landing_dir, schema, max_files_per_trigger), checkpoint,
-                  sink_path=bronze_dir)
+                  checkpoint: str, max_files_per_trigger: int | None = None,
+                  partition_by: list[str] | None = BRONZE_PARTITIONS) -> T.StructType:
+    """New landing files → bronze folder (exactly-once Parquet file sink),
+    partitioned by data version so that version filters prune whole folders.
+    Returns the bronze schema; read bronze with it (``read_bronze``) so the
+    partition column keeps its declared type."""
+    stream = bronze_stream(spark, landing_dir, schema, max_files_per_trigger)
+    run_available(stream, checkpoint, sink_path=bronze_dir, partition_by=partition_by)
+    return stream.schema
+
+
+def read_bronze(spark: SparkSession, bronze_dir: str, bronze_schema: T.StructType) -> DataFrame:
+    """Committed bronze files (the sink's log), declared schema."""
+    return spark.read.schema(bronze_schema).parquet(bronze_dir)
 
 
 def update_history(spark: SparkSession, bronze_dir: str, schema: T.StructType, events_root: str,

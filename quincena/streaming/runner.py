@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 
 def run_available(stream: DataFrame, checkpoint: str, foreach_batch: Callable | None = None,
-                  sink_path: str | None = None, output_mode: str = "append") -> None:
+                  sink_path: str | None = None, output_mode: str = "append",
+                  partition_by: list[str] | None = None) -> None:
     """Process everything new since the last run, then stop. The checkpoint
     records which files and batches are done, so a rerun with no new files
     runs no batch, and a batch cut short by a failure is replayed."""
@@ -17,6 +18,8 @@ def run_available(stream: DataFrame, checkpoint: str, foreach_batch: Callable |
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format("parquet").option("path", sink_path)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     err = q.exception()

@@ -37,3 +37,24 @@ def test_refresh_equals_batch_and_invariants(spark, tmp_dir):
     out2 = refresh(spark, layout, i.translations, landing_schema=i.payroll.schema,
                    audit_table_schema=i.audit.schema, tie_break=C.SCD2_TIE_BREAK, detected_at=dt.datetime(2024, 1, 1))
     assert norm(spark.read.parquet(out2["snapshot"])) == norm(batch)
+
+
+def test_snapshot_scan_prunes_bronze_versions(spark, tmp_dir):
+    """Bronze is partitioned by data version; the snapshot's version bound
+    reaches the scan as a partition filter."""
+    i = C.Inputs(spark, SF0001)
+    layout = Layout(tmp_dir)
+    append_rows(i.payroll, layout.landing)
+    from quincena.streaming import incremental as inc
+    from quincena.operators import snapshot
+    bschema = inc.ingest_bronze(spark, layout.landing, i.payroll.schema, layout.bronze, layout.ckpt("b"))
+    b = inc.read_bronze(spark, layout.bronze, bschema)
+    s = snapshot.latest_snapshot(b, i.dim_institution(), i.dim_status(), i.dim_position())
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        s.explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(fecha_consulta" in plan and "Subquery" in plan
+    assert s.count() == 29

@@ -87,12 +87,12 @@ def test_s2_schema_enforcement_case_and_missing(spark, tmp_dir):
         "Institucion string, extra int")
     append_rows(df, landing)
     inc.ingest_bronze(spark, landing, payroll_schema(TT.TimestampNTZType()), out, ck)
-    inc.ingest_bronze(spark, landing, payroll_schema(TT.TimestampNTZType()), out, ck)   # no new file
-    got = spark.read.parquet(out).collect()
+    bschema = inc.ingest_bronze(spark, landing, payroll_schema(TT.TimestampNTZType()), out, ck)   # no new file
+    got = inc.read_bronze(spark, out, bschema).collect()
     assert len(got) == 1
     r = got[0]
     assert r.institucion == "INST" and r.gasto is None and "extra" not in r.asDict()
-    assert r.composite_key == "A-B-INST-C-812" and r.antiguedad == 50 / 12
+    assert r.composite_key == "A-B-INST-C-812" and r.antiguedad == 50 / 12 and r.fecha_consulta == T[1]
 
 
 def test_failed_batch_is_replayed_idempotently(spark, tmp_dir):
