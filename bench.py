@@ -38,7 +38,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, int(cpus) * 2),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     for name in HEADLINE:
         run_once(spark, name, sf_dir)
     times = {}
