@@ -76,4 +76,4 @@ def update_positions(spark: SparkSession, bronze_dir: str, schema: T.StructType,
 
 
 __all__ = ["ingest_bronze", "update_history", "update_latest_poll", "update_name_dimension",
-           "update_positions", "AUDIT_KEYS"]
+           "update_positions", "read_bronze"]

@@ -95,3 +95,24 @@ def test_trend_projects_days(spark):
     got = monitor.trend(daily, 2).orderBy("day").collect()
     assert [r.trend_time for r in got] == [1.0, 2.0, 3.0, 4.0, 5.0]
     assert [r.is_forecast for r in got] == [False, False, False, True, True]
+
+
+def test_s5_s6_audit_table_not_null_and_default(spark, tmp_dir):
+    from quincena.sources.audit_table import append_audit, create_audit_table
+    name = "audit_t_" + tmp_dir.rsplit("-", 1)[-1].replace("_", "")
+    create_audit_table(spark, name, f"{tmp_dir}/audit", ntz=True)
+    create_audit_table(spark, name, f"{tmp_dir}/audit", ntz=True)      # IF NOT EXISTS
+    rows = spark.createDataFrame([("I", "S", "OK", V1, V0, V0, V1)],
+                                 "institution_name_spanish string, status_name_spanish string, run_status string, "
+                                 "source_update timestamp_ntz, checked_at timestamp_ntz, start_at timestamp_ntz, "
+                                 "end_at timestamp_ntz")
+    append_audit(spark, name, audit.audit_rows(rows, F.col("checked_at")))
+    got = spark.table(name).collect()
+    assert len(got) == 1 and got[0].time == float((V1 - V0).total_seconds())
+    bad = rows.withColumn("run_status", F.lit(None).cast("string"))
+    with pytest.raises(ValueError):
+        append_audit(spark, name, audit.audit_rows(bad, F.col("checked_at")))
+    spark.sql(f"INSERT INTO {name} (institution_name_spanish, status_name_spanish, run_status, source_update, "
+              f"start_at, end_at, time) VALUES ('I', 'T', 'FAIL', TIMESTAMP_NTZ '2024-02-01 00:00:00', "
+              f"TIMESTAMP_NTZ '2024-02-01 00:00:00', TIMESTAMP_NTZ '2024-02-01 00:00:00', 0.5)")
+    assert spark.table(name).where("status_name_spanish = 'T'").first().checked_at is not None
