@@ -135,8 +135,9 @@ def q_scd2_current(spark, sf_dir):
 
 
 def q_inactive_employees(spark, sf_dir):
+    """Reads the snapshot as a written view, as the refresh does."""
     i = Inputs(spark, sf_dir)
-    return inactive.inactive_employees(i.scd2(), i.snapshot(), detected_at=DETECTED_AT)
+    return inactive.inactive_employees(i.scd2(), materialize(i.snapshot(), "snapshot"), detected_at=DETECTED_AT)
 
 
 def q_scd1_latest(spark, sf_dir):
