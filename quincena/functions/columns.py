@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quincena.fixed import (DATE_12H, DATE_24H, FILE_NAME_PATTERN, KEY_SEPARATOR, MULTIPLE_NAMES_ABOVE,
+                            REPORT_QUERY_LAYOUT)
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -15,8 +18,8 @@ def composite_key(nombre="nombre", apellido="apellido", institucion="institucion
                   cedula="cedula") -> Column:
     """``nombre-apellido-institucion-cargo-cedula`` with dashes removed from the
     id. ``concat_ws`` skips NULLs, so keys of different people may collide."""
-    return F.concat_ws("-", _c(nombre), _c(apellido), _c(institucion), _c(cargo),
-                       F.regexp_replace(_c(cedula), "-", ""))
+    return F.concat_ws(KEY_SEPARATOR, _c(nombre), _c(apellido), _c(institucion), _c(cargo),
+                       F.regexp_replace(_c(cedula), KEY_SEPARATOR, ""))
 
 
 def years_between(end="fecha_actualizacion", start="fecha_de_inicio") -> Column:
@@ -27,13 +30,7 @@ def years_between(end="fecha_actualizacion", start="fecha_de_inicio") -> Column:
 
 def multiple_names(name_count="name_count", last_name_count="last_name_count") -> Column:
     """1 when distinct first names + distinct last names exceed 2, else 0."""
-    return F.when((_c(name_count) + _c(last_name_count)) > 2, F.lit(1)).otherwise(F.lit(0))
-
-
-# Report date layouts (day/month/year with 12-hour clock and
-# AM/PM marker; a 24-hour reading is the fallback for hours above 12).
-DATE_12H = "d/M/yyyy h:mm:ss a"
-DATE_24H = "d/M/yyyy H:mm:ss a"
+    return F.when((_c(name_count) + _c(last_name_count)) > MULTIPLE_NAMES_ABOVE, F.lit(1)).otherwise(F.lit(0))
 
 
 def parse_report_datetime(text) -> Column:
@@ -59,10 +56,6 @@ def url_quote(col) -> Column:
     return e
 
 
-# Query-string layout of a report request.
-REPORT_QUERY_LAYOUT = ("?&Ne=", "&N=&A=&C=&E=")
-
-
 def report_url(base_url: str, institution, status) -> Column:
     """``{base}?&Ne={institution}&N=&A=&C=&E={status}`` with both names encoded."""
     return F.concat(F.lit(base_url), F.lit(REPORT_QUERY_LAYOUT[0]), url_quote(institution),
@@ -71,7 +64,7 @@ def report_url(base_url: str, institution, status) -> Column:
 
 def file_stem(content_disposition, default: str = "report") -> Column:
     """Stem of ``filename="<stem>.xlsx"`` in a response header, else ``default``."""
-    stem = F.regexp_extract(_c(content_disposition), r'filename="(.*?).xlsx"', 1)
+    stem = F.regexp_extract(_c(content_disposition), FILE_NAME_PATTERN, 1)
     return F.coalesce(F.nullif(stem, F.lit("")), F.lit(default))
 
 

@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quincena.fixed import PLACEHOLDER, VERSION_PATTERN
 from quincena.functions.columns import parse_report_datetime
 
-# The version line of the portal index page and the
-# placeholder entry of its drop-down lists.
-VERSION_PATTERN = (r"Fecha de actualización de los datos:\s+"
-                   r"(\d{1,2}/\d{1,2}/\d+\s+\d{1,2}:\d{1,2}:\d{1,2}\s+\w+)")
-PLACEHOLDER = "Seleccione"
-
 
 def select_block(selector_id: str) -> str:
     """Container pattern of a ``<select id=...>`` drop-down."""

@@ -12,19 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quincena.fixed import (ACCENTED_ID_HEADER, BANNER_CELL, BANNER_DATE_PATTERN, BANNER_ROW,
+                            FIRST_DATA_ROW, FIRST_SHEET, HEADER_ROW, START_DATE_FORMAT)
 from quincena.functions.columns import file_stem, normalize_header, parse_report_datetime
 
-# Sheet layout and patterns of the published workbooks.
-HEADER_ROW = 5
-FIRST_DATA_ROW = 6
-BANNER_ROW = 3
-BANNER_CELL = 5          # 1-based cell holding "...: dd/mm/yyyy hh:mm:ss AM"
-FIRST_SHEET = 1
-BANNER_DATE_PATTERN = r".*?:\s+(\d{2}/\d{2}/\d{4}\s+\d{1,2}:\d{1,2}:\d{1,2}\s+\w{2})"
-START_DATE_FORMAT = "d/M/yyyy"
-ACCENTED_ID_HEADER = "cédula"
-
-
 FIELDS = ["nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado", "fecha_de_inicio"]
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from quincena.fixed import RUN_FAIL, RUN_NO_UPDATE, RUN_OK  # noqa: F401
+
 # Payroll landing record: twelve nullable columns, enforced on read.
 PAYROLL_COLUMNS = [
     "nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado",
@@ -34,11 +36,6 @@ SCD2_TRACKED = ["salario", "gasto", "fecha_de_inicio"]
 # Keys of the latest-poll table (one row per report).
 AUDIT_KEYS = ["institution_name_spanish", "status_name_spanish"]
 
-# Run status labels written to the audit log.
-RUN_OK = "OK"
-RUN_FAIL = "FAIL"
-RUN_NO_UPDATE = "No Update"
-
 
 def audit_schema(timestamp_type: T.DataType | None = None) -> T.StructType:
     ts = timestamp_type or T.TimestampType()

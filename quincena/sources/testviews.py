@@ -169,7 +169,7 @@ def report_sheets(payroll_df: DataFrame) -> DataFrame:
     banner_text = F.concat(F.lit("Fecha de actualización: "), F.date_format("fa", "dd/MM/yyyy hh:mm:ss a"))
     null = F.lit(None).cast("string")
     top = F.array(
-        F.struct(F.lit(1).alias("row_no"), F.array(F.lit("Informe de planilla"), null, null, null, null).alias("cells")),
+        F.struct(F.lit(1).alias("row_no"), F.array(F.lit("Informe de pagos"), null, null, null, null).alias("cells")),
         F.struct(F.lit(2).alias("row_no"), F.array(F.col("inst"), null, null, null, null).alias("cells")),
         F.struct(F.lit(3).alias("row_no"), F.array(null, null, null, null, banner_text).alias("cells")),
         F.struct(F.lit(4).alias("row_no"), F.array(null, null, null, null, null).alias("cells")),
