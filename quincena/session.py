@@ -68,3 +68,30 @@ def materialize(df, name: str = "table", files: int | None = None, by: list[str]
         df = df.repartition(files, *(by or []))
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster, sized from the bytes the biggest job
+    reads (bronze / history) and the cores available.
+
+    Shuffle partitions start at ``input_bytes / target_partition_bytes`` (at
+    least 3 waves of tasks) and AQE coalesces them from measured sizes, so
+    small stages do not pay for the large ones; skewed partitions above
+    ~5x the median are split. Scan splits stay at 128 MB so every core gets
+    work on a many-file bronze.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        # Static broadcasts only below this (dimensions are also size-checked by row count).
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -58,3 +58,11 @@ def test_duration_and_header(spark):
     assert got == [90.5]
     assert one(spark, C.normalize_header("x"), [("  Fecha de Inicio ",)]) == ["fecha_de_inicio"]
     assert one(spark, C.report_label("a", "b"), [("I", None), ("I", "S")], "a string, b string") == [None, "I - S"]
+
+
+def test_cluster_conf_scales_with_input():
+    from quincena.session import cluster_conf
+    small = cluster_conf(10 << 30, 8000)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24000
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
