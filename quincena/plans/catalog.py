@@ -1,6 +1,6 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame
-computed from the test tables; ``ORACLE`` holds the DuckDB SQL that must
-give the same rows."""
+computed from the test tables (``quincena.plans.oracle.ORACLE`` holds the
+DuckDB SQL that must give the same rows)."""
 
 from __future__ import annotations
 
@@ -9,21 +9,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quincena.operators import bronze as bronze_ops
+from quincena.functions.columns import file_stem, landing_file_name
 from quincena.operators import audit as audit_ops
+from quincena.operators import bronze as bronze_ops
 from quincena.operators import cdc, dims, gold, inactive, monitor, pages, reports, snapshot
-from quincena.functions.columns import file_stem, landing_file_name
-from quincena.sources.audit_table import append_audit, create_audit_table
-from quincena.sources.tables import append_rows, read_table, write_view
 from quincena.plans.refresh import Layout, refresh
-from quincena.streaming import incremental as inc
-from quincena.streaming.store import VersionedTable
-from pyspark.sql import types as T
-from quincena.plans.oracle import with_views
 from quincena.schemas import AUDIT_KEYS, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, payroll_schema
 from quincena.session import materialize, scratch_path
 from quincena.sources import testviews as tv
+from quincena.sources.audit_table import append_audit, create_audit_table
+from quincena.sources.tables import append_rows, read_table, write_view
+from quincena.streaming import incremental as inc
+from quincena.streaming.store import VersionedTable
 
 # Fixed detection time for comparable inactive-employee output.
 DETECTED_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -405,135 +404,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_position_stream": q_dim_position_stream,
     "refresh_gold_position": q_refresh_gold_position,
 }
-
-_GOLD_POSITION_SQL = """
-SELECT institution_sp, institution_en, status_sp, status_en, position_sp, position_en,
- sum(salary) AS total_salary, avg(salary) AS avg_salary, sum(allowance) AS total_allowance,
- avg(allowance) AS avg_allowance, sum(salary + allowance) AS total_compensation,
- count(*) AS employee_count, count(DISTINCT id_number) AS unique_employee_count,
- min(start_date) AS first_start_date, max(start_date) AS last_start_date,
- avg(years_of_service) AS avg_years_of_service, min(years_of_service) AS min_years_of_service,
- max(years_of_service) AS max_years_of_service
-FROM snapshot GROUP BY ALL
-"""
-
-_GOLD_EMPLOYEE_SQL = """
-SELECT id_number,
- CASE WHEN count(DISTINCT first_name) + count(DISTINCT last_name) > 2 THEN 1 ELSE 0 END AS multiple_names,
- sum(salary) AS total_salary, sum(allowance) AS total_allowance,
- sum(salary) + sum(allowance) AS total_compensation,
- count(DISTINCT position_sp) AS distinct_position_count,
- min(start_date) AS first_start_date, max(start_date) AS last_start_date,
- max(years_of_service) AS total_years_of_service
-FROM snapshot GROUP BY id_number
-"""
-
-_PENDING_SQL = """
-SELECT i.institution_name_spanish, s.status_name_spanish
-FROM (SELECT DISTINCT institution_name_spanish FROM audit) i, (SELECT DISTINCT status_name_spanish FROM audit) s
-WHERE NOT EXISTS (
- SELECT 1 FROM audit a WHERE a.run_status = 'OK' AND a.source_update >= (SELECT max(source_update) FROM audit)
-  AND a.institution_name_spanish = i.institution_name_spanish AND a.status_name_spanish = s.status_name_spanish)"""
-
-_CLASSIFY_SQL = """
-SELECT i.institution_name_spanish, s.status_name_spanish,
- CASE WHEN EXISTS (SELECT 1 FROM audit a WHERE a.run_status = 'OK'
-                   AND a.source_update >= (SELECT max(source_update) FROM audit)
-                   AND a.institution_name_spanish = i.institution_name_spanish
-                   AND a.status_name_spanish = s.status_name_spanish) THEN 'No Update'
-      WHEN EXISTS (SELECT 1 FROM audit a WHERE a.run_status = 'FAIL'
-                   AND a.source_update = (SELECT max(source_update) FROM audit)
-                   AND a.institution_name_spanish = i.institution_name_spanish
-                   AND a.status_name_spanish = s.status_name_spanish) THEN 'FAIL'
-      ELSE 'OK' END AS run_status,
- (SELECT max(source_update) FROM audit) AS source_update
-FROM (SELECT DISTINCT institution_name_spanish FROM audit) i, (SELECT DISTINCT status_name_spanish FROM audit) s"""
-
-ORACLE: dict[str, str] = {
-    "bronze_enriched": with_views("SELECT * FROM bronze"),
-    "dim_institution": with_views("SELECT * FROM dim_inst"),
-    "dim_status": with_views("SELECT * FROM dim_stat"),
-    "dim_position": with_views("SELECT * FROM dim_pos"),
-    "snapshot_latest": with_views("SELECT * FROM snapshot"),
-    "gold_position": with_views(_GOLD_POSITION_SQL),
-    "gold_employee": with_views(_GOLD_EMPLOYEE_SQL),
-    "gold_employee_positions": with_views("""
-SELECT id_number, first_name, last_name, status_sp AS status, institution_sp AS institution,
- position_sp AS position, salary, allowance, start_date, years_of_service FROM snapshot"""),
-    "scd2_history": with_views("SELECT * FROM scd2"),
-    "scd2_current": with_views("SELECT * FROM scd2 WHERE __END_AT IS NULL"),
-    "inactive_employees": with_views("""
-SELECT cedula, nombre, apellido, cargo, estado, institucion, salario, gasto, fecha_de_inicio,
- __START_AT AS last_active_date, TIMESTAMP '2024-01-01 00:00:00' AS detected_at
-FROM scd2 h WHERE __END_AT IS NULL AND NOT EXISTS (
- SELECT 1 FROM snapshot s WHERE s.id_number = h.cedula AND s.first_name = h.nombre
-  AND s.last_name = h.apellido AND s.position_sp = h.cargo AND s.status_sp = h.estado)"""),
-    "scd1_latest": with_views("SELECT * FROM last_run"),
-    "audit_ok_filter": with_views("""
-SELECT * FROM audit WHERE run_status = 'OK' AND source_update >= (SELECT max(source_update) FROM audit)"""),
-    "pending_reports": with_views(_PENDING_SQL),
-    "request_urls": with_views(f"""
-SELECT institution_name_spanish, status_name_spanish,
- concat('{REPORT_BASE_URL}', '?&Ne=', replace(institution_name_spanish, ' ', '%20'),
-        '&N=&A=&C=&E=', replace(status_name_spanish, ' ', '%20')) AS url
-FROM ({_PENDING_SQL})"""),
-    "audit_classify": with_views(_CLASSIFY_SQL),
-    "updates_gate": with_views(f"""
-SELECT count(*) FILTER (WHERE run_status = 'OK') AS updates,
- count(*) FILTER (WHERE run_status = 'OK') > 0 AS refresh FROM ({_CLASSIFY_SQL})"""),
-    "audit_append": with_views("""
-SELECT institution_name_spanish, status_name_spanish, run_status, source_update, checked_at, start_at, end_at,
- CAST((epoch_us(end_at) - epoch_us(start_at)) / 1e6 AS FLOAT) AS time FROM poll_log"""),
-    "mon_last_run": with_views("SELECT * FROM v_last_run"),
-    "mon_counters": with_views("""
-SELECT max(source_update) AS max_source_update, max(checked_at) AS max_checked_at,
- count(DISTINCT report) AS reports, CAST(sum("OK") AS BIGINT) AS files_downloaded,
- CAST(sum("ERROR") AS BIGINT) AS errors,
- sum("OK") / count(DISTINCT report) AS downloaded_ratio, sum("ERROR") / count(DISTINCT report) AS error_ratio
-FROM v_last_run"""),
-    "mon_run_table": with_views("""
-SELECT date_trunc('second', start_at) AS start_second, report, run_status,
- date_trunc('day', source_update) AS source_day, avg(time) AS avg_time,
- CAST(sum("OK") AS BIGINT) AS ok_runs, CAST(sum("ERROR") AS BIGINT) AS error_runs
-FROM v_last_run GROUP BY ALL"""),
-    "mon_daily_avg": with_views("""
-SELECT CAST(date_trunc('day', start_at) AS TIMESTAMP) AS day, avg(time) AS avg_time FROM api_log GROUP BY 1"""),
-    "mon_trend": with_views(f"""
-SELECT day, avg_time, round(f.b + f.m * x, 6) AS trend_time, avg_time IS NULL AS is_forecast
-FROM (
-  SELECT day, avg_time, CAST(datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS DOUBLE) AS x FROM daily
-  UNION ALL
-  SELECT CAST(d AS TIMESTAMP), NULL, CAST(datediff('day', DATE '1970-01-01', CAST(d AS DATE)) AS DOUBLE)
-  FROM (SELECT unnest(generate_series(max(CAST(day AS DATE)) + 1, max(CAST(day AS DATE)) + {TREND_DAYS},
-                                      INTERVAL 1 DAY)) AS d FROM daily)
-) s, (SELECT regr_slope(avg_time, x) AS m, regr_intercept(avg_time, x) AS b FROM (
-        SELECT avg_time, CAST(datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS DOUBLE) AS x FROM daily)) f"""),
-    "report_clean": with_views(f"""
-SELECT nombre, apellido, cedula, cargo, salario, gasto, estado, fecha_de_inicio, fecha_actualizacion,
- fecha_consulta, CASE WHEN estado = 'P' THEN '{DEFAULT_STEM}' ELSE archivo END AS archivo, institucion
-FROM payroll"""),
-    "report_names": with_views(f"""
-SELECT report_id, stem AS archivo,
- concat(stem, '_', estado, '_', CAST(CAST(epoch(data_version) AS BIGINT) AS VARCHAR), '_0.parquet') AS landing_file
-FROM (SELECT concat_ws('|', institucion, estado, strftime(fecha_actualizacion, '%Y%m%d%H%M%S')) AS report_id,
-        max(estado) AS estado, max(fecha_consulta) AS data_version,
-        CASE WHEN max(estado) = 'P' THEN '{DEFAULT_STEM}' ELSE max(archivo) END AS stem
-      FROM payroll GROUP BY 1)"""),
-    "page_options": """
-SELECT page_id, option_no, option FROM (
-  SELECT page_id, generate_subscripts(items, 1) - 1 AS option_no, trim(unnest(items)) AS option
-  FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1),
-                                           '(?s)<a[^>]*>(.*?)</a>', 1) AS items FROM pages))
-WHERE length(option) > 0 AND NOT contains(option, 'Seleccione')""",
-    "page_version": """
-SELECT page_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id * 7) + to_seconds(page_id % 60) AS data_version
-FROM pages""",
-    "clustered_write": with_views("SELECT * FROM snapshot"),
-    "ingest_stream": with_views("SELECT * EXCLUDE (row_id) FROM bronze"),
-    "scd2_stream": with_views("SELECT * FROM scd2"),
-    "scd1_stream": with_views("SELECT * FROM last_run"),
-    "dim_status_stream": with_views("SELECT * FROM dim_stat"),
-    "dim_institution_stream": with_views("SELECT * FROM dim_inst"),
-    "dim_position_stream": with_views("SELECT * FROM dim_pos"),
-    "refresh_gold_position": with_views(_GOLD_POSITION_SQL),
-}
