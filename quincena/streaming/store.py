@@ -27,15 +27,17 @@ class VersionedTable:
             return None
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        """Newest version (below ``before`` when given), or None if none yet."""
+        """Newest version (below ``before`` when given), or None if none yet.
+        The newest version number is one value read from folder names; the
+        data read is then pruned to that one folder."""
         df = self._all()
         if df is None:
             return None
         if before is not None:
             df = df.where(F.col(VERSION_COL) < before)
-        if df.select(VERSION_COL).isEmpty():
+        newest = df.agg(F.max(VERSION_COL)).first()[0]
+        if newest is None:
             return None
-        newest = df.agg(F.max(VERSION_COL)).scalar()
         return df.where(F.col(VERSION_COL) == newest).drop(VERSION_COL)
 
     def read_all(self, upto: int | None = None) -> DataFrame | None:
