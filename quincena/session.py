@@ -67,7 +67,8 @@ def materialize(df, name: str = "table", files: int | None = None, by: list[str]
     if files:
         df = df.repartition(files, *(by or []))
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no footer-reading job, and NTZ columns stay NTZ.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
