@@ -308,7 +308,7 @@ def q_scd2_stream(spark, sf_dir):
     ev, hist, ckpt = (scratch_path(spark, n) for n in ("scd2_events", "scd2_history", "scd2_ckpt"))
     _land_and_run(spark, b, "fecha_consulta", [2, 0, 1],
                   lambda landing: inc.update_history(spark, landing, b.schema, ev, hist, ckpt, SCD2_TIE_BREAK))
-    return VersionedTable(spark, hist).read()
+    return inc.read_history(spark, hist, b.schema, SCD2_TIE_BREAK)
 
 
 def q_scd1_stream(spark, sf_dir):

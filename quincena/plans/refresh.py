@@ -77,7 +77,7 @@ def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
                                     VersionedTable(spark, layout.dim_position).read())
     write_view(snap, layout.snapshot, cluster_by=["institution_sp", "status_sp"])
     snap = spark.read.parquet(layout.snapshot)
-    history = VersionedTable(spark, layout.scd2_history).read()
+    history = inc.read_history(spark, layout.scd2_history, bronze.schema, tb)
     write_view(inactive.inactive_employees(history, snap, detected_at), layout.inactive_employees)
     write_view(gold.employee_summary(snap), layout.gold_employee, cluster_by=["id_number"])
     write_view(gold.position_summary(snap), layout.gold_position, cluster_by=["institution_sp", "status_sp"])

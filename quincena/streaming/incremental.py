@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quincena.operators import cdc
 from quincena.schemas import AUDIT_KEYS, RUN_OK, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED
 from quincena.streaming import sinks
 from quincena.streaming.runner import run_available
 from quincena.streaming.sources import bronze_stream, landing_stream
-from quincena.streaming.store import VersionedTable
+from quincena.streaming.store import PartitionedVersions, VersionedTable
 
 
 BRONZE_PARTITIONS = ["fecha_consulta"]
@@ -33,13 +34,32 @@ def read_bronze(spark: SparkSession, bronze_dir: str, bronze_schema: T.StructTyp
     return spark.read.schema(bronze_schema).parquet(bronze_dir)
 
 
+# Event log and history are partitioned (and versioned) by institution.
+HISTORY_PARTITION = "institucion"
+
+
+def history_schema(spark: SparkSession, events_schema: T.StructType, tie_break: list[str]) -> T.StructType:
+    """Schema of the type-2 history built from events of ``events_schema``
+    (derived from the batch function's plan over an empty frame)."""
+    empty = spark.createDataFrame([], events_schema)
+    return cdc.scd2_history(empty, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, tie_break).schema
+
+
+def read_history(spark: SparkSession, history_root: str, events_schema: T.StructType,
+                 tie_break: list[str]) -> DataFrame | None:
+    """Current type-2 history: each institution's newest version."""
+    return PartitionedVersions(spark, history_root, HISTORY_PARTITION).read(
+        history_schema(spark, events_schema, tie_break))
+
+
 def update_history(spark: SparkSession, bronze_dir: str, schema: T.StructType, events_root: str,
                    history_root: str, checkpoint: str, tie_break: list[str],
                    max_files_per_trigger: int | None = None) -> None:
     """New bronze files → type-2 history (keys, sequence and tracked columns
     of the payroll)."""
     stream = landing_stream(spark, bronze_dir, schema, max_files_per_trigger)
-    sink = sinks.scd2_sink(VersionedTable(spark, events_root), VersionedTable(spark, history_root),
+    sink = sinks.scd2_sink(PartitionedVersions(spark, events_root, HISTORY_PARTITION),
+                           PartitionedVersions(spark, history_root, HISTORY_PARTITION),
                            SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, tie_break)
     run_available(stream, checkpoint, foreach_batch=sink)
 
@@ -76,4 +96,4 @@ def update_positions(spark: SparkSession, bronze_dir: str, schema: T.StructType,
 
 
 __all__ = ["ingest_bronze", "update_history", "update_latest_poll", "update_name_dimension",
-           "update_positions", "read_bronze"]
+           "update_positions", "read_bronze", "read_history"]

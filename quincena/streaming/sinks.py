@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from quincena.operators import cdc, dims
 from quincena.operators.joins import null_safe_condition
-from quincena.streaming.store import VersionedTable
+from quincena.streaming.store import PartitionedVersions, VersionedTable
 
 
 def scd1_sink(store: VersionedTable, keys: list[str], sequence_by: str, tie_break: list[str] | None = None):
@@ -20,26 +20,31 @@ def scd1_sink(store: VersionedTable, keys: list[str], sequence_by: str, tie_brea
     return apply
 
 
-def scd2_sink(events: VersionedTable, history: VersionedTable, keys: list[str], sequence_by: str,
+def scd2_sink(events: PartitionedVersions, history: PartitionedVersions, keys: list[str], sequence_by: str,
               track: list[str], tie_break: list[str]):
     """Type-2 history under late data.
 
     A collapsed history cannot absorb a late event (A at t1 and t3 collapse to
     one open version; a late B at t2 must split it), so the sink also keeps
-    an append-only event log: each batch adds its de-duplicated events as
-    its own folder (nothing is rewritten). The keys a batch touches are then
-    recomputed from all their logged events with the batch function; every
-    other key's versions are carried over. Keys compare NULL-safely (a plain
-    anti join would duplicate rows with NULL keys).
+    an append-only event log. Both are partitioned by one key column (the
+    institution: a landed report covers one institution) and versioned per
+    partition. Per batch: its de-duplicated events are appended; the keys it
+    touches are recomputed from all their logged events with the batch
+    function, read only from the touched partitions; those partitions'
+    other keys are carried over; untouched partitions are neither read nor
+    written. Keys compare NULL-safely (a plain anti join would duplicate
+    rows with NULL keys).
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        events.commit(cdc.dedupe_events(batch, keys, sequence_by, tie_break), batch_id)
+        ev_batch = cdc.dedupe_events(batch, keys, sequence_by, tie_break)
+        events.commit(ev_batch, batch_id)
+        touched_parts = events.touched(batch)
         affected = batch.select(*[batch[k].alias("_k_" + k) for k in keys]).distinct()
-        logged = events.read_all(upto=batch_id)
+        logged = events.read_all(ev_batch.schema, upto=batch_id, parts=touched_parts)
         touched = logged.join(affected, null_safe_condition(logged, affected, keys, "_k_"), "left_semi")
         hist_aff = cdc.scd2_history(touched, keys, sequence_by, track, tie_break)
-        old_h = history.read(before=batch_id)
+        old_h = history.read(hist_aff.schema, before=batch_id, parts=touched_parts)
         if old_h is None:
             new_h = hist_aff
         else:

@@ -52,3 +52,82 @@ class VersionedTable:
 
     def commit(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{VERSION_COL}={version}")
+
+
+# Partition values a batch touches are shipped to the scan as a literal list
+# (static partition pruning) up to this many; beyond it a semi join selects them.
+MAX_LITERAL_PARTS = 10_000
+
+
+class PartitionedVersions:
+    """A table whose partitions are versioned independently:
+    ``{root}/v=<batch id>/<part_col>=<value>/``. A batch writes new state only
+    for the partitions it touched; readers take each partition's newest
+    version. Per-batch work is then proportional to the touched partitions,
+    not to the whole table. Reads take the table's schema (partition
+    columns keep their declared types)."""
+
+    def __init__(self, spark: SparkSession, root: str, part_col: str):
+        self.spark, self.root, self.part_col = spark, root.rstrip("/"), part_col
+
+    def _all(self, schema, parts) -> DataFrame | None:
+        from pyspark.sql import types as T
+        fields = [f for f in schema.fields if f.name != VERSION_COL]
+        full = T.StructType(fields + [T.StructField(VERSION_COL, T.IntegerType())])
+        try:
+            df = self.spark.read.schema(full).parquet(self.root)
+        except AnalysisException:
+            return None
+        if parts is not None:
+            df = _restrict(df, parts, self.part_col)
+        return df
+
+    def read_all(self, schema, upto: int | None = None, parts=None) -> DataFrame | None:
+        """Every version's rows (for append-only logs), optionally only of
+        the partitions in ``parts`` (a list of values or a DataFrame)."""
+        df = self._all(schema, parts)
+        if df is None:
+            return None
+        if upto is not None:
+            df = df.where(F.col(VERSION_COL) <= upto)
+        return df.drop(VERSION_COL)
+
+    def read(self, schema, before: int | None = None, parts=None) -> DataFrame | None:
+        """Each partition's newest version (below ``before``)."""
+        df = self._all(schema, parts)
+        if df is None:
+            return None
+        if before is not None:
+            df = df.where(F.col(VERSION_COL) < before)
+        p = self.part_col
+        newest = df.groupBy(p).agg(F.max(VERSION_COL).alias("_newest")).withColumnRenamed(p, "_p")
+        cond = df[p].eqNullSafe(newest["_p"]) & (df[VERSION_COL] == newest["_newest"])
+        return df.join(newest, cond, "left_semi").drop(VERSION_COL)
+
+    def commit(self, df: DataFrame, version: int) -> None:
+        """Write the new state of the partitions present in ``df``. The
+        rebalance hint groups rows by partition value before the write (few
+        files per partition) and lets AQE split a very large partition over
+        several tasks and merge small ones."""
+        (df.hint("rebalance", self.part_col).write.mode("overwrite").partitionBy(self.part_col)
+         .parquet(f"{self.root}/{VERSION_COL}={version}"))
+
+    def touched(self, df: DataFrame) -> list | DataFrame:
+        """Partition values present in ``df``: a short literal list when there
+        are at most ``MAX_LITERAL_PARTS`` of them, else a DataFrame of them."""
+        vals = [r[0] for r in df.select(self.part_col).distinct().limit(MAX_LITERAL_PARTS + 1).collect()]
+        return vals if len(vals) <= MAX_LITERAL_PARTS else df.select(self.part_col).distinct()
+
+
+def _restrict(df: DataFrame, parts, part_col: str) -> DataFrame:
+    """Rows of the listed partitions: a literal list prunes folders at
+    planning time; a DataFrame of values is applied as a NULL-safe semi join."""
+    if isinstance(parts, list):
+        vals = parts
+        known = [v for v in vals if v is not None]
+        cond = F.col(part_col).isin(known) if known else F.lit(False)
+        if len(known) < len(vals):
+            cond = cond | F.col(part_col).isNull()
+        return df.where(cond)
+    keys = parts.select(F.col(part_col).alias("_p")).distinct()
+    return df.join(keys, df[part_col].eqNullSafe(keys["_p"]), "left_semi")

@@ -25,7 +25,8 @@ def test_scd2_stream_equals_batch_under_late_data(spark, tmp_dir):
             all_rows += rows
         inc.update_history(spark, landing, spark.createDataFrame([], SCHEMA).schema, ev_root, h_root, ck,
                            ["fecha_actualizacion", "row_id"])
-    got = VersionedTable(spark, h_root).read()
+    got = inc.read_history(spark, h_root, spark.createDataFrame([], SCHEMA).schema,
+                           ["fecha_actualizacion", "row_id"])
     keys = ["cedula", "nombre", "apellido", "institucion", "cargo", "estado"]
     want = cdc.scd2_history(spark.createDataFrame(all_rows, SCHEMA), keys, "fecha_consulta",
                             ["salario", "gasto", "fecha_de_inicio"], ["fecha_actualizacion", "row_id"])
@@ -107,7 +108,9 @@ def test_failed_batch_is_replayed_idempotently(spark, tmp_dir):
     schema = spark.createDataFrame([], SCHEMA).schema
     rows = [ev("1", 0, 1.0, 1), ev("1", 1, 2.0, 2), ev("2", 0, 3.0, 3)]
     append_rows(spark.createDataFrame(rows, SCHEMA), landing)
-    real = sinks.scd2_sink(VersionedTable(spark, ev_root), VersionedTable(spark, h_root), keys, "fecha_consulta",
+    from quincena.streaming.store import PartitionedVersions
+    real = sinks.scd2_sink(PartitionedVersions(spark, ev_root, "institucion"),
+                           PartitionedVersions(spark, h_root, "institucion"), keys, "fecha_consulta",
                            ["salario", "gasto", "fecha_de_inicio"], ["fecha_actualizacion", "row_id"])
     calls = []
 
@@ -119,9 +122,30 @@ def test_failed_batch_is_replayed_idempotently(spark, tmp_dir):
     with pytest.raises(Exception):
         run_available(landing_stream(spark, landing, schema), ck, foreach_batch=failing)
     run_available(landing_stream(spark, landing, schema), ck, foreach_batch=real)
-    got = VersionedTable(spark, h_root).read()
+    got = inc.read_history(spark, h_root, schema, ["fecha_actualizacion", "row_id"])
     want = cdc.scd2_history(spark.createDataFrame(rows, SCHEMA), keys, "fecha_consulta",
                             ["salario", "gasto", "fecha_de_inicio"], ["fecha_actualizacion", "row_id"])
     norm = lambda df: sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
     assert calls == [0] and norm(got) == norm(want)
-    assert VersionedTable(spark, ev_root).read_all().count() == 3
+    ev_schema = cdc.dedupe_events(spark.createDataFrame([], SCHEMA), keys, "fecha_consulta",
+                                  ["fecha_actualizacion", "row_id"]).schema
+    assert PartitionedVersions(spark, ev_root, "institucion").read_all(ev_schema).count() == 3
+
+
+def test_partitioned_versions_touch_only_written_partitions(spark, tmp_dir):
+    from quincena.streaming.store import PartitionedVersions
+    pv = PartitionedVersions(spark, f"{tmp_dir}/pv", "p")
+    schema = spark.createDataFrame([], "a int, p string").schema
+    assert pv.read(schema) is None
+    pv.commit(spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "a int, p string"), 0)
+    pv.commit(spark.createDataFrame([(4, "x")], "a int, p string"), 1)          # only partition x changes
+    got = sorted((r.a, r.p) for r in pv.read(schema).collect() if r.p is not None)
+    assert got == [(2, "y"), (4, "x")]
+    assert [r.a for r in pv.read(schema).where("p IS NULL").collect()] == [3]
+    assert sorted(r.a for r in pv.read(schema, before=1).collect()) == [1, 2, 3]
+    only_x = pv.read(schema, parts=["x"])
+    assert [r.a for r in only_x.collect()] == [4]
+    as_frame = pv.read(schema, parts=spark.createDataFrame([("x",), (None,)], "p string"))
+    assert sorted(r.a for r in as_frame.collect()) == [3, 4]
+    assert sorted(r.a for r in pv.read(schema, parts=[None, "y"]).collect()) == [2, 3]
+    assert sorted(r.a for r in pv.read_all(schema).collect()) == [1, 2, 3, 4]
