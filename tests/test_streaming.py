@@ -149,3 +149,21 @@ def test_partitioned_versions_touch_only_written_partitions(spark, tmp_dir):
     assert sorted(r.a for r in as_frame.collect()) == [3, 4]
     assert sorted(r.a for r in pv.read(schema, parts=[None, "y"]).collect()) == [2, 3]
     assert sorted(r.a for r in pv.read_all(schema).collect()) == [1, 2, 3, 4]
+
+
+def test_scd2_sink_rewrites_only_touched_institutions(spark, tmp_dir):
+    import os
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    tb = ["fecha_actualizacion", "row_id"]
+    first = [ev("1", 0, 1.0, 1), ("2", "N", None, "J", "C", "E", T[0], 5.0, None, dt.date(2020, 1, 1), T[0], 2)]
+    append_rows(spark.createDataFrame(first, SCHEMA), landing)
+    inc.update_history(spark, landing, schema, ev_root, h_root, ck, tb)
+    late = [("2", "N", None, "J", "C", "E", T[1], 6.0, None, dt.date(2020, 1, 1), T[1], 3)]
+    append_rows(spark.createDataFrame(late, SCHEMA), landing)
+    inc.update_history(spark, landing, schema, ev_root, h_root, ck, tb)
+    versions = sorted(d for d in os.listdir(h_root) if d.startswith("v="))
+    assert versions == ["v=0", "v=1"]
+    assert sorted(d for d in os.listdir(f"{h_root}/v=1") if d.startswith("institucion=")) == ["institucion=J"]
+    got = inc.read_history(spark, h_root, schema, tb)
+    assert sorted((r.institucion, r.salario) for r in got.collect()) == [("I", 1.0), ("J", 5.0), ("J", 6.0)]
