@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quincena.fixed import (ACCENTED_ID_HEADER, BANNER_CELL, BANNER_DATE_PATTERN, BANNER_ROW,
                             FIRST_DATA_ROW, FIRST_SHEET, HEADER_ROW, START_DATE_FORMAT)
 from quincena.functions.columns import file_stem, normalize_header, parse_report_datetime
+from quincena.operators.joins import bounded_broadcast
 
 FIELDS = ["nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado", "fecha_de_inicio"]
 
@@ -33,8 +34,10 @@ def clean_reports(sheet_rows: DataFrame, report_meta: DataFrame, default_stem: s
     Each sheet's header is reduced once to the cell position of every field
     (``cédula`` stands in for a missing ``cedula``); data rows then pick
     cells by position, which stays inside generated code. The per-sheet
-    and per-report tables meet the data rows in equi-joins that AQE may turn
-    into broadcasts from measured sizes or split when one report is large.
+    header positions, per-report banner dates and report metadata (one row
+    per sheet or report) are broadcast after a row-count check, so the data
+    rows are never shuffled; above the bound they are shuffle joins (AQE
+    splits a very large report).
     """
     names = F.transform("cells", lambda x: normalize_header(x))
     pos = {f: _position(F.col("names"), f) for f in FIELDS}
@@ -46,7 +49,8 @@ def clean_reports(sheet_rows: DataFrame, report_meta: DataFrame, default_stem: s
               .select("report_id", parse_report_datetime(
                   F.regexp_extract(F.try_element_at("cells", F.lit(BANNER_CELL)), BANNER_DATE_PATTERN, 1))
                   .alias("fecha_actualizacion")))
-    data = sheet_rows.where(F.col("row_no") >= FIRST_DATA_ROW).join(headers, ["report_id", "sheet_no"])
+    data = sheet_rows.where(F.col("row_no") >= FIRST_DATA_ROW).join(
+        bounded_broadcast(headers), ["report_id", "sheet_no"])
 
     def cell(f):
         return F.try_element_at("cells", F.col("_p_" + f))
@@ -65,6 +69,7 @@ def clean_reports(sheet_rows: DataFrame, report_meta: DataFrame, default_stem: s
     meta = report_meta.select(
         "report_id", F.col("data_version").cast("timestamp_ntz").alias("fecha_consulta"),
         file_stem(F.col("content_disposition"), default_stem).alias("archivo"), "institucion")
-    return (typed.join(banner, "report_id", "left").join(meta, "report_id", "left")
+    return (typed.join(bounded_broadcast(banner), "report_id", "left")
+            .join(bounded_broadcast(meta), "report_id", "left")
             .select("nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado",
                     "fecha_de_inicio", "fecha_actualizacion", "fecha_consulta", "archivo", "institucion"))

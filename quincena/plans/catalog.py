@@ -226,8 +226,12 @@ def q_mon_trend(spark, sf_dir):
 
 
 def q_report_clean(spark, sf_dir):
+    """Raw sheet rows and report metadata are stored tables in a deployment;
+    here they are derived from the payroll and written once."""
     p = Inputs(spark, sf_dir).payroll
-    return reports.clean_reports(tv.report_sheets(p), tv.report_meta(p), DEFAULT_STEM)
+    sheets = materialize(tv.report_sheets(p), "sheet_rows")
+    meta = materialize(tv.report_meta(p), "report_meta")
+    return reports.clean_reports(sheets, meta, DEFAULT_STEM)
 
 
 def q_report_names(spark, sf_dir):
