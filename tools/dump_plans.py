@@ -27,8 +27,9 @@ NOTES = {
     "gold_position": "Two-level aggregation (partial before each exchange) for the distinct id count.",
     "gold_employee": "Spark's Expand rewrite of three distinct counts with partial aggregation at both "
                      "levels; the position list is an object-hash aggregate.",
-    "report_clean": "Header positions per sheet and banner dates per report are small aggregates joined "
-                    "to the data rows; cells are picked by position inside generated code.",
+    "report_clean": "Header positions per sheet, banner dates and metadata per report are broadcast after "
+                    "row-count checks: the data rows are scanned once and never shuffled; cells are picked "
+                    "by position inside generated code.",
     "pending_reports": "Request plan without a join (status list as one array value after a count "
                        "check), then one anti join against the up-to-date polls.",
     "page_options": "Single scan reading only page_id and html; regex extraction and explode per page.",
