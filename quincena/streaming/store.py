@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quincena.operators.joins import bounded_broadcast
+
 VERSION_COL = "v"
 
 
@@ -100,7 +102,10 @@ class PartitionedVersions:
         if before is not None:
             df = df.where(F.col(VERSION_COL) < before)
         p = self.part_col
-        newest = df.groupBy(p).agg(F.max(VERSION_COL).alias("_newest")).withColumnRenamed(p, "_p")
+        # One row per partition value: broadcast (after a size check) so the
+        # table itself is filtered where it lies instead of being shuffled.
+        newest = bounded_broadcast(
+            df.groupBy(p).agg(F.max(VERSION_COL).alias("_newest")).withColumnRenamed(p, "_p"))
         cond = df[p].eqNullSafe(newest["_p"]) & (df[VERSION_COL] == newest["_newest"])
         return df.join(newest, cond, "left_semi").drop(VERSION_COL)
 
@@ -129,5 +134,5 @@ def _restrict(df: DataFrame, parts, part_col: str) -> DataFrame:
         if len(known) < len(vals):
             cond = cond | F.col(part_col).isNull()
         return df.where(cond)
-    keys = parts.select(F.col(part_col).alias("_p")).distinct()
+    keys = bounded_broadcast(parts.select(F.col(part_col).alias("_p")).distinct())
     return df.join(keys, df[part_col].eqNullSafe(keys["_p"]), "left_semi")
