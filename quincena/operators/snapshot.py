@@ -24,12 +24,13 @@ def latest_snapshot(bronze: DataFrame, dim_inst: DataFrame, dim_stat: DataFrame,
     name *and* version). Positions join left: unknown positions keep NULL
     English names.
 
-    With ``prune_versions`` the bronze scan also gets
-    ``fecha_consulta >= min(current versions)`` as scalar subqueries over the
-    small dimensions, so old versions are skipped at the Parquet scan
-    (row-group statistics, or whole folders when bronze is partitioned by
-    version). It never changes the result: every surviving row equals some
-    current version.
+    With ``prune_versions`` the bronze scan also gets, as scalar subqueries
+    over the small (size-checked) dimensions, ``fecha_consulta >=`` the
+    oldest current version and ``fecha_consulta IN`` the current versions,
+    so other versions are skipped at the scan (row-group statistics, or
+    whole folders when bronze is partitioned by version). It never changes
+    the result: every surviving row equals a current version of both its
+    institution and its status.
     """
     inst = dim_inst.select(
         F.col("institution_name_spanish").alias("_inst"),
@@ -41,8 +42,14 @@ def latest_snapshot(bronze: DataFrame, dim_inst: DataFrame, dim_stat: DataFrame,
 
     b = bronze
     if prune_versions:
-        b = b.where((F.col("fecha_consulta") >= inst.agg(F.min("_inst_version")).scalar())
-                    & (F.col("fecha_consulta") >= stat.agg(F.min("_stat_version")).scalar()))
+        v = F.col("fecha_consulta")
+        # Lower bounds reach the Parquet reader (row-group statistics); the
+        # exact sets of current versions (at most one per dimension row)
+        # prune version folders of a version-partitioned bronze.
+        b = b.where((v >= inst.agg(F.min("_inst_version")).scalar())
+                    & (v >= stat.agg(F.min("_stat_version")).scalar())
+                    & F.array_contains(inst.agg(F.collect_set("_inst_version")).scalar(), v)
+                    & F.array_contains(stat.agg(F.collect_set("_stat_version")).scalar(), v))
     j = (b.join(bounded_broadcast(inst),
                 (F.col("institucion") == F.col("_inst")) & (F.col("fecha_consulta") == F.col("_inst_version")))
           .join(bounded_broadcast(stat),
