@@ -57,4 +57,9 @@ def test_snapshot_scan_prunes_bronze_versions(spark, tmp_dir):
         s.explain()
     plan = buf.getvalue()
     assert "PartitionFilters: [isnotnull(fecha_consulta" in plan and "Subquery" in plan
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        s.explain("formatted")
+    partition_filters = [line for line in buf.getvalue().splitlines() if line.startswith("PartitionFilters")]
+    assert any("array_contains" in line and "fecha_consulta" in line for line in partition_filters)
     assert s.count() == 29
