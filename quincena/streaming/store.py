@@ -102,10 +102,12 @@ class PartitionedVersions:
         if before is not None:
             df = df.where(F.col(VERSION_COL) < before)
         p = self.part_col
-        # One row per partition value: broadcast (after a size check) so the
-        # table itself is filtered where it lies instead of being shuffled.
-        newest = bounded_broadcast(
-            df.groupBy(p).agg(F.max(VERSION_COL).alias("_newest")).withColumnRenamed(p, "_p"))
+        # One row per partition value: broadcast so the table itself is
+        # filtered where it lies instead of being shuffled. Restricted to a
+        # literal list of partitions, the map has at most that many rows (a
+        # proven bound); otherwise its size is checked first.
+        newest = df.groupBy(p).agg(F.max(VERSION_COL).alias("_newest")).withColumnRenamed(p, "_p")
+        newest = F.broadcast(newest) if isinstance(parts, list) else bounded_broadcast(newest)
         cond = df[p].eqNullSafe(newest["_p"]) & (df[VERSION_COL] == newest["_newest"])
         return df.join(newest, cond, "left_semi").drop(VERSION_COL)
 
