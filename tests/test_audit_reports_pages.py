@@ -116,3 +116,10 @@ def test_s5_s6_audit_table_not_null_and_default(spark, tmp_dir):
               f"start_at, end_at, time) VALUES ('I', 'T', 'FAIL', TIMESTAMP_NTZ '2024-02-01 00:00:00', "
               f"TIMESTAMP_NTZ '2024-02-01 00:00:00', TIMESTAMP_NTZ '2024-02-01 00:00:00', 0.5)")
     assert spark.table(name).where("status_name_spanish = 'T'").first().checked_at is not None
+
+
+def test_t17_duplicate_options_give_one_request_per_pair(spark):
+    inst = spark.createDataFrame([("A",), ("A",), ("B",)], "institution_name_spanish string")
+    stat = spark.createDataFrame([("E",), ("E",)], "status_name_spanish string")
+    got = sorted(tuple(r) for r in audit.request_plan(inst, stat).collect())
+    assert got == [("A", "E"), ("B", "E")]
