@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,6 +49,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package (once for each application):
+    functions that run in them import it by name, and a cluster's executors,
+    or workers started in another folder, do not find the driver's copy."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(package)
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), name), "zip",
+                                  os.path.dirname(package), name)
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder for written
     intermediate tables, stream checkpoints and sinks."""
