@@ -1,0 +1,173 @@
+"""op2, op7, op10 and the pipeline."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+from conftest import SF0001
+from llm_helpers import corpus, frame, words, workers  # noqa: F401
+
+import corpus_pipeline
+from quincena.llm import imatch, queries, toxicity, urls
+from quincena.llm.common import documents
+
+
+def test_op2_rules_and_parts(workers):  # noqa: F811
+    given = {1: "https://A.Example.ORG/en/12?x=1", 2: "http://example.org/es/", 3: "http://b.com/fr/x#y", 4: "http://b.com/de/x",
+             5: "no scheme", 6: None, 7: "http://example.org", 8: "x://org/q", 9: "http://notexample.org/en/1", 10: "http://net?a=/fr/",
+             11: "a://b://c/d", 12: "http://ÀB.net/p"}
+    pages = workers.createDataFrame([(k, v, None, "x") for k, v in given.items()], "page_id long, url string, html string, host string")
+    got = {r.page_id: tuple(r)[1:5] for r in urls.judge(pages, queries.RULES).collect()}
+    assert got == {
+        1: ("a.example.org", "/en/12", "example.org/en/1", "block"), 2: ("example.org", "/es/", "example.org/es/", "block"),
+        3: ("b.com", "/fr/x", "com/fr/", "allow"), 4: ("b.com", "/de/x", "com/de/", "block"), 5: ("", "", None, "allow"),
+        6: ("", "", None, "allow"), 7: ("example.org", "", None, "block"), 8: ("org", "/q", "org/", "allow"),
+        9: ("notexample.org", "/en/1", "org/", "allow"), 10: ("net", "", None, "allow"), 11: ("b:", "//c/d", None, "allow"),
+        12: ("Àb.net", "/p", None, "allow")}
+    assert urls.judge(pages.limit(0), queries.RULES).collect() == []
+
+
+def test_op2_trust_and_distrust_flow(workers):  # noqa: F811
+    pages = workers.createDataFrame([
+        (1, "http://good.org/a", "<a href='http://friend.net/x'>"), (2, "http://friend.net/x", '<A HREF = "//second.net/">'),
+        (3, "http://farm.net/", '<a href="http://bad.com/de/1"> <a href="/self">'), (4, "http://bad.com/de/1", ""),
+        (5, "http://second.net/", None), (6, "http://alone.net/", "<a href=http://feeds.net/q>"),
+        (7, "http://farther.net/", "<a href=https://farm.net>")], "page_id long, url string, html string")
+    got = {r.page_id: r for r in urls.judge(pages, queries.RULES).collect()}
+    assert [got[i].verdict for i in range(1, 8)] == ["allow", "allow", "block", "block", "allow", "allow", "block"]
+    assert got[2].trust > got[5].trust > 0 and got[3].distrust > got[7].distrust > 0
+    edges = {(r.src, r.dst): r.links for r in urls.host_edges(pages).collect()}
+    # Brute force of the same iteration.
+    seed, rank = {"good.org": 1.0}, {"good.org": 1.0}
+    for _ in range(urls.ROUNDS):
+        new = {h: m * (1 - urls.DAMPING) for h, m in seed.items()}
+        for (s, d), n in edges.items():
+            out = sum(k for (a, _), k in edges.items() if a == s)
+            new[d] = new.get(d, 0) + urls.DAMPING * rank.get(s, 0) * n / out
+        rank = new
+    assert abs(got[5].trust - rank["second.net"]) < 1e-12
+
+
+def test_op7_lexicon_is_the_band(workers):  # noqa: F811
+    rng = random.Random(4)
+    rows = [(i, " ".join(words(rng, rng.randrange(60), 300) + ["everywhere"])) for i in range(150)] + [(900, None), (901, "")]
+    from quincena.llm.common import hash_words
+    seen = {}
+    for _, t in rows:
+        for w in set((t or "").lower().split()):
+            seen[w] = seen.get(w, 0) + 1
+    band = [w.encode() for w, n in seen.items() if 0.02 * len(rows) <= n <= 0.15 * len(rows)]
+    got = imatch.lexicon(frame(workers, rows, 7), 0.02, 0.15)
+    assert got.tolist() == np.sort(hash_words(band)).tolist() and len(got) > 50
+    assert len(imatch.lexicon(frame(workers, []))) == 0
+
+
+def test_op7_edits(workers):  # noqa: F811
+    rows = corpus()
+    docs = frame(workers, rows)
+    lex = imatch.lexicon(docs, 0.01, 0.5)
+    got = {r.doc_id: r for r in imatch.edited(docs, lex).collect()}
+    order = sorted((i for i, _ in rows), reverse=True)
+    text = {i: t or "" for i, t in rows}
+    assert set(got) == set(text)
+    for at, i in enumerate(order):
+        ahead = order[(at + 1) % len(order)]
+        t, k = text[i], len(text[i]) // 3
+        changed = t[:len(t) - k] + text[ahead][:k]
+        a, b, c = (imatch.fingerprint(x.encode(), lex.tobytes()) for x in (t, changed, text[ahead]))
+        assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(changed.encode()).hexdigest())
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (a, b)
+        assert abs(got[i].near_edited - imatch.likeness(a, b)) < 1e-12 and abs(got[i].near_next - imatch.likeness(a, c)) < 1e-12
+    assert got[10].fingerprint == got[11].fingerprint and got[10].near_next in (0.0, 1.0)
+    prints = {r.doc_id: r.fingerprint for r in imatch.fingerprints(frame(workers, [(None, "a"), (1, None)]), lex).collect()}
+    assert set(prints) == {None, 1}
+
+
+def test_op7_one_document_and_none(workers):  # noqa: F811
+    lex = np.empty(0, np.uint64)
+    one = imatch.edited(frame(workers, [(3, "abcdef")]), lex).collect()
+    assert one[0].edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
+    assert imatch.edited(frame(workers, []), lex).collect() == []
+
+
+def toxic_corpus(n=600, seed=1):
+    rng = random.Random(seed)
+    docs, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        sentences = [" ".join(words(rng, 8, 3000)) for _ in range(rng.randrange(1, 15))]
+        if bad:
+            sentences.insert(rng.randrange(len(sentences) + 1), f"{words(rng, 1)[0]} vileword{rng.randrange(3)} Vileword9")
+        docs.append((i, ". ".join(sentences) + "."))
+        labels.append((i, int(bad)))
+    return docs, labels
+
+
+def test_op10_held_out_and_places(workers):  # noqa: F811
+    rows, marks = toxic_corpus()
+    docs = frame(workers, rows + [(9000, None), (9001, ""), (None, "no id"), (9002, "word " * 50_000)])
+    labels = workers.createDataFrame(marks + [(None, 1), (7, None)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert len(got) == 604 and got[9000].score == got[9001].score == 0.0
+    unseen = [i for i, _ in marks if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(got[i].predicted == y for i, y in marks if i in set(unseen)) >= 0.97 * len(unseen)
+    hit = next(got[i] for i, y in marks if y and got[i].predicted)
+    text = dict(rows)[hit.doc_id]
+    assert hit.offending and all("vileword" in text[o.start:o.end] for o in hit.offending)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, r in got.items() if not r.predicted)
+
+
+def test_op10_learns_from_no_held_out_row(workers):  # noqa: F811
+    rows, marks = toxic_corpus(300)
+    flipped = [(i, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, y in marks]
+    a, b = (toxicity.train(frame(workers, rows), workers.createDataFrame(m, "doc_id long, toxic int")) for m in (marks, flipped))
+    assert np.array_equal(a.weights, b.weights) and a.bias == b.bias
+
+
+def test_op10_without_labels(workers):  # noqa: F811
+    docs = frame(workers, [(1, "a b"), (2, None)])
+    none = workers.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.train(docs, none)
+    assert all(r.predicted == 0 for r in toxicity.score(docs, model).collect())
+    assert toxicity.score(docs.limit(0), model).collect() == []
+
+
+def test_pipeline_stages(workers):  # noqa: F811
+    """Each stage against brute force on what the one before kept."""
+    import test_llm_duplicates as brute
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "substring dedup", "packing"]
+    docs = documents(workers, SF0001)
+    stage = dict(corpus_pipeline.STAGES)
+    model = toxicity.train(docs, queries.labels(workers, SF0001))
+    bad = {r.doc_id for r in toxicity.score(docs, model).filter("predicted = 1").collect()}
+    one = stage["toxicity"](workers, docs, SF0001)
+    assert one.columns == docs.columns
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    left = {i: t for i, t in texts.items() if i not in bad}
+    assert {r.doc_id for r in one.collect()} == set(left)
+    two = stage["exact dedup"](workers, one, SF0001)
+    best = {}
+    for i, t in left.items():
+        best[t] = max(i, best.get(t, i))
+    assert {r.doc_id for r in two.collect()} == set(best.values())
+    three = stage["near dedup"](workers, two, SF0001)
+    rows = [(i, texts[i]) for i in best.values()]
+    kept = {i for i, _, _, k in brute.components(rows) if k}
+    assert {r.doc_id for r in three.collect()} == kept
+    four = stage["substring dedup"](workers, three, SF0001)
+    assert four.columns == docs.columns
+    expected = {i: (n, gone, h) for i, n, gone, h in brute.repeats([(i, texts[i]) for i in kept])}
+    out = {r.doc_id: r for r in four.collect()}
+    assert set(out) == {i for i, (n, gone, _) in expected.items() if gone < n or not n}
+    for i, r in out.items():
+        n, gone, h = expected[i]
+        assert r.text == texts[i] if not gone else hashlib.sha256(r.text.encode()).hexdigest() == h
+        assert r.n_chars == len(r.text)
+    five = stage["packing"](workers, four, SF0001)
+    assert {r.doc_id for r in five.collect()} == set(out)
