@@ -6,12 +6,14 @@ one second permutation pi, circularly shifted, serves for all coordinates.
 
 Documents with the same shingle set are one class. Classes meet in buckets
 (equal bands of the signature). In each bucket every class is checked against
-the bucket's first class only; links found so join classes to components. A
-pair of one bucket that is still in different components may be linked as
-well: those pairs are checked too (all of them that their sizes and their
-known distances to the bucket's first class allow, by the triangle
-inequality), so no link of a bucket is lost, while copies and dense groups
-never turn into all their pairs. Every link is decided on full shingle sets.
+the bucket's first class; links found so join classes to components. In
+buckets that still hold several components, members are checked against a
+second one, the nearest to the first. A pair of one bucket that is in
+different components after that may be linked as well: such pairs are all
+checked but for those that bounds exclude for certain (sizes, and a bitmap of
+the shingles). So no link
+of a bucket is lost, while copies and dense groups never turn into all their
+pairs. Every link is decided on full shingle sets.
 
 With 24 bands of 3 rows a pair at similarity 0.75 meets in no bucket with
 probability (1 - 0.75**3)**24 = 2e-6, and less above.
@@ -30,6 +32,7 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 24, 3
 U32 = np.uint32
 BLOCK = 1 << 14
+CELLS = 1024
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -102,8 +105,14 @@ def _sets(size: int):
 
         for part in arrow_slices(batches, "text"):
             sets = shingle_sets(part.column("text").to_pylist(), size)
+            bits = np.zeros((len(sets), CELLS), np.uint8)
+            for i, s in enumerate(sets):
+                bits[i, s % U64(CELLS)] = 1
+            words = np.packbits(bits, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("cls"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
+                [part.column("cls"), pa.array([s.tobytes() for s in sets], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * words.shape[1], pa.int32()),
+                                          pa.array(words.ravel()))], names=["cls", "shingles", "bits"])
 
     return run
 
@@ -182,24 +191,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
 
     candidates = members.select("cls").distinct()
     sets = materialize(ids.join(candidates, F.col("doc_id") == F.col("cls"))
-                       .select("cls", "text").dropDuplicates(["cls"]).mapInArrow(_sets(shingle), "cls long, shingles binary"),
+                       .select("cls", "text").dropDuplicates(["cls"]).mapInArrow(_sets(shingle), "cls long, shingles binary, bits array<long>"),
                        "sets")
     star = materialize(verified(members.filter("cls <> m").select(F.col("cls").alias("a"), F.col("m").alias("b"))
                                 .distinct(), sets, percent), "star")
-    groups = components(star.filter("linked"))
-    rest = _across(members, groups, star, percent)
-    more = materialize(verified(rest, sets, percent).filter("linked"), "more")
-    if more.limit(1).count():
-        # Links between components: components of components.
-        label = groups.select(F.col("node"), F.col("component"))
-        ends = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left") \
-            .join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left") \
-            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        above = components(ends).select(F.col("node").alias("component"), F.col("component").alias("top"))
-        known = groups.join(above, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-        alone = above.join(groups, above["component"] == groups["node"], "left_anti").select(
-            F.col("component").alias("node"), F.col("top").alias("component"))
-        groups = materialize(known.union(alone), "groups")
+    links = star.filter("linked")
+    groups = components(links)
+    open_ = materialize(_open(members, groups), "open")
+    if open_.limit(1).count():
+        hubs = materialize(verified(_hub_pairs(open_, star), sets, percent).filter("linked"), "hubs")
+        links = links.union(hubs)
+        groups = components(links)
+        rest = materialize(_rest_pairs(materialize(_open(open_, groups), "open"), sets, percent), "rest")
+        more = materialize(verified(rest, sets, percent).filter("linked"), "more")
+        if more.limit(1).count():
+            groups = components(links.union(more))
 
     labelled = classes.join(groups, classes["cls"] == groups["node"], "left").select(
         "n", "s1", "s2", F.coalesce("component", "cls").alias("component"))
@@ -209,23 +215,57 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
         .alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _across(members: DataFrame, groups: DataFrame, star: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that no bound excludes."""
-    to_first = star.select(F.col("a").alias("cls"), F.col("b").alias("m"), "distance")
-    placed = members.join(groups, members["cls"] == groups["node"], "left").select(
+def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    placed = members.drop("component").join(groups, members["cls"] == groups["node"], "left").select(
         "band", "value", "cls", "n", "m", F.coalesce("component", "cls").alias("component"))
     mixed = placed.groupBy("band", "value").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band", "value")
-    open_ = placed.join(mixed, ["band", "value"]).join(to_first, ["cls", "m"], "left").fillna(0.0, ["distance"])
-    a, b = (open_.select("band", "value", *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "n", "component", "m", "distance")])
+    return placed.join(mixed, ["band", "value"])
+
+
+def _hub_pairs(open_: DataFrame, star: DataFrame) -> DataFrame:
+    """Each member of a bucket with the one that is nearest to its first
+    class: of copies of one text the nearest is the least edited, and so the
+    most likely to be linked with the others."""
+    to_first = star.select(F.col("a").alias("cls"), F.col("b").alias("m"), "distance")
+    near = open_.join(to_first, ["cls", "m"])
+    hub = near.groupBy("band", "value").agg(
+        F.min(F.struct("distance", "cls", "component")).alias("hub"))
+    # The first class itself is not among them: it has been checked with all.
+    return near.join(hub, ["band", "value"]).filter("component <> hub.component").select(
+        F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct()
+
+
+def _rest_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs with one first class and different components that no bound
+    excludes.
+
+    ``bits`` says which of 1024 cells the shingles of a class fall into. Each
+    cell of a that b leaves empty holds a shingle that only a has, so their
+    intersection is at most n_a less the number of such cells, and likewise
+    for b. One side of the join leaves out the largest component around a
+    first class: its members need no check among themselves."""
+    rows = open_.select("cls", "n", "m", "component").distinct().join(sets.select("cls", "bits"), "cls")
+    main = rows.groupBy("m", "component").agg(F.count(F.lit(1)).alias("members")).groupBy("m").agg(
+        F.max(F.struct("members", "component")).alias("main")).select("m", F.col("main.component").alias("main"))
+    rows = rows.join(main, "m")
+    a, b = (rows.select("m", "main", *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "n", "component", "bits")])
             for s in ("a", "b"))
-    far = 1 - percent / 100
-    pairs = a.join(b, ["band", "value"]).filter(
-        (F.col("a_cls") < F.col("b_cls")) & (F.col("a_component") != F.col("b_component"))
-        & (F.col("a_cls") != F.col("a_m"))  # pairs with the first class are known
+
+    def only(x, y):
+        return sum((F.bit_count(F.col(f"{x}_bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{y}_bits")[i])))
+                    for i in range(CELLS // 64)), F.lit(0))
+
+    common = F.least(F.col("a_n") - only("a", "b"), F.col("b_n") - only("b", "a"))
+    b = b.drop("main")
+    pairs = a.filter("a_component <> main").join(b, "m").filter(
+        (F.col("a_component") != F.col("b_component"))
+        & ((F.col("b_component") == F.col("main")) | (F.col("a_cls") < F.col("b_cls")))
+        & (F.col("a_cls") != F.col("m")) & (F.col("b_cls") != F.col("m"))  # pairs with the first class are known
         & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-        & (F.abs(F.col("a_distance") - F.col("b_distance")) <= far + 1e-9))
-    return pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
+        & (100 * common >= percent * (F.col("a_n") + F.col("b_n") - common)))
+    return pairs.select(F.least("a_cls", "b_cls").alias("a"), F.greatest("a_cls", "b_cls").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
