@@ -106,43 +106,62 @@ def lexicon(docs: DataFrame, rare: float = RARE, common: float = COMMON, text: s
     return np.sort(counts.toArrow().column("term").to_numpy().view(U64))
 
 
+N_SUBSETS = 1 + EACH * (len(SIZES) - 1)
+
+
 @lru_cache(2)
-def _subsets(words: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The lexicon, and for each of its terms a bit for each subset it is in."""
+def _subsets(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lexicon; for each subset the hash of each term (0: not in it), and
+    whether it is in it."""
     lex = np.frombuffer(words, U64)
-    bits = np.zeros(len(lex), U64)
-    for i, size in enumerate(s for s in SIZES for _ in range(EACH if s > 1 else 1)):
-        bits |= (mix64(lex ^ U64(0xA0761D6478BD642F * (i + 1) & (1 << 64) - 1)) % U64(size) == 0).astype(U64) << U64(i)
-    return lex, bits
+    salted = [mix64(lex ^ U64(0xA0761D6478BD642F * (i + 1) & (1 << 64) - 1)) for i in range(N_SUBSETS)]
+    inside = np.array([h % U64(size) == 0 for h, size in
+                       zip(salted, [s for s in SIZES for _ in range(EACH if s > 1 else 1)], strict=True)])
+    return lex, np.where(inside, mix64(np.array(salted)), U64(0)), inside
+
+
+def codes(texts: list[bytes], words: bytes) -> np.ndarray:
+    """For each text and subset the hash of its distinct terms there (16 bits
+    of the sum of the terms' hashes, which no order changes); -1: none."""
+    lex, hashes, inside = _subsets(words)
+    out = np.full((len(texts), N_SUBSETS), -1, np.int32)
+    spelled = [words_of(t.lower()) for t in texts]
+    if not len(lex) or not texts:
+        return out
+    found = hash_words([w for s in spelled for w in s])
+    doc = np.repeat(np.arange(len(texts)), [len(s) for s in spelled])
+    at = np.minimum(np.searchsorted(lex, found), len(lex) - 1)
+    hit = lex[at] == found
+    pair = np.unique(doc[hit] * len(lex) + at[hit])  # by document, sorted terms
+    term = pair % len(lex)
+    ends = np.searchsorted(pair, np.arange(len(texts) + 1) * len(lex))
+    for i in range(N_SUBSETS):
+        total = np.r_[U64(0), np.cumsum(hashes[i][term])]
+        count = np.r_[0, np.cumsum(inside[i][term])]
+        some = count[ends[1:]] > count[ends[:-1]]
+        out[some, i] = (mix64(total[ends[1:]] - total[ends[:-1]]) >> U64(48))[some]
+    return out
 
 
-N_SUBSETS = 1 + EACH * (len(SIZES) - 1)
+_HEX = {i: f"{i:0{DIGITS}x}" for i in range(16 ** DIGITS)} | {-1: "."}
+
+
+def written(rows: np.ndarray) -> list[str]:
+    """Codes as text: hex hashes joined by ``-``, ``.`` for a subset of which the text has no term."""
+    return ["-".join(map(_HEX.__getitem__, row)) for row in rows.tolist()]
 
 
 def fingerprint(text: bytes, words: bytes) -> str:
-    """Hex hashes of the sorted terms of each subset, joined by ``-`` (``.``
-    stands for a subset that the text has no term of)."""
-    lex, bits = _subsets(words)
-    found = terms(text)
-    if len(lex):
-        at = np.minimum(np.searchsorted(lex, found), len(lex) - 1)
-        hit = lex[at] == found
-        found, mask = found[hit], bits[at[hit]]
-    else:
-        found, mask = found[:0], bits
-    parts = []
-    for i in range(N_SUBSETS):
-        chosen = found[(mask >> U64(i)) & U64(1) == 1]
-        parts.append(hashlib.blake2b(chosen.tobytes(), digest_size=DIGITS // 2).hexdigest() if len(chosen) else ".")
-    return "-".join(parts)
+    return written(codes([text], words))[0]
 
 
-def likeness(a: str, b: str) -> float:
-    """How alike two fingerprints are, 0 to 1: the share of subsets with equal
-    hashes among those that either text has terms of. Without any, equal
-    fingerprints say nothing and count 0 unless both are empty (then 1)."""
-    pairs = [(x, y) for x, y in zip(a.split("-"), b.split("-"), strict=True) if x != "." or y != "."]
-    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How alike fingerprints are, 0 to 1, row by row: the share of subsets
+    with equal hashes among those that either text has terms of; 1 where
+    neither has any."""
+    some = (a >= 0) | (b >= 0)
+    n = some.sum(axis=1)
+    return np.where(n > 0, ((a == b) & some).sum(axis=1) / np.maximum(n, 1), 1.0)
 
 
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -180,7 +199,7 @@ def fingerprints(docs: DataFrame, words: np.ndarray, doc_id: str = "doc_id", tex
         import pyarrow as pa
 
         for part in arrow_slices(batches, "text"):
-            prints = [fingerprint(t, data) for t in part.column("text").to_pylist()]
+            prints = written(codes(part.column("text").to_pylist(), data))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(prints, pa.string())],
                                              names=["doc_id", "fingerprint"])
 
@@ -204,13 +223,16 @@ def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
         import pyarrow as pa
 
         for part in arrow_slices(batches, "text"):
-            out = {c: [] for c in ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited")}
-            for t, gift in zip(part.column("text").to_pylist(), part.column("gift").to_pylist(), strict=True):
-                changed = (t[:len(t) - len(t) // 3] + gift).encode()
-                a, b = fingerprint(t.encode(), data), fingerprint(changed, data)
-                for c, x in zip(out, (len(t), hashlib.sha256(changed).hexdigest(), a, b, likeness(a, b)), strict=True):
-                    out[c].append(x)
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "next_id": part.column("next_id"), **out})
+            texts = part.column("text").to_pylist()
+            changed = [(t[:len(t) - len(t) // 3] + gift).encode()
+                       for t, gift in zip(texts, part.column("gift").to_pylist(), strict=True)]
+            before, after = codes([t.encode() for t in texts], data), codes(changed, data)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": part.column("doc_id"), "next_id": part.column("next_id"),
+                "n_chars": pa.array(map(len, texts), pa.int64()),
+                "edited_sha256": [hashlib.sha256(c).hexdigest() for c in changed],
+                "fingerprint": written(before), "edited_fingerprint": written(after),
+                "near_edited": likeness(before, after)})
 
     kinds = "doc_id long, next_id long, n_chars long, edited_sha256 string, fingerprint string, " \
             "edited_fingerprint string, near_edited double"
