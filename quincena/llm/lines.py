@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quincena.llm.common import row_key
+
 MIN_SITES, LEAST_CHARS = 5, 10
 LG_K = 10  # 1024 registers: a standard error of 3.3 %
 DOUBT = 0.15
@@ -28,7 +30,7 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, least_chars: int =
     ``least_chars`` characters) on ``min_sites`` different sites or more. A
     null site is no site."""
     hashed = _lines(docs, doc_id, text, site).filter(F.length("line") >= least_chars).filter("site IS NOT NULL").select(
-        F.sha2("line", 256).substr(1, 32).alias("line_hash"), "site")
+        _hash("line").alias("line_hash"), "site")
     several = hashed.groupBy("line_hash").agg(F.min("site").alias("low"), F.max("site").alias("high")) \
         .filter("low <> high").select("line_hash")
     spread = hashed.join(several, "line_hash", "left_semi")
@@ -45,19 +47,24 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, least_chars:
                        doc_id: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """``doc_id, n_lines, n_removed, kept_text`` for every document: its lines
     without the cross-site ones, in order. A null text is one empty line.
-    Rows that repeat an id are taken as one document each if their texts
-    differ. Other columns are left out; an empty table gives an empty one.
-    Lines meet the boilerplate by a join, one document's lines come together
-    again by its key."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit(""))))
-    unique = keyed.dropDuplicates([doc_id, "_key"]).select(
-        F.col(doc_id).alias("doc_id"), F.col("_key").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    lines = unique.select("doc_id", "key", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    lines = lines.withColumn("line_hash", F.when(F.length(F.trim("line")) >= least_chars,
-                                                 F.sha2(F.trim("line"), 256).substr(1, 32)))
-    found = boilerplate(docs, min_sites, least_chars, doc_id, text, site).withColumn("gone", F.lit(True))
-    marked = lines.join(found, "line_hash", "left")
-    return marked.groupBy("doc_id", "key").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count("gone").alias("n_removed"),
-        F.array_sort(F.collect_list(F.when(F.col("gone").isNull(), F.struct("place", "line")))).alias("left")).select(
-        "doc_id", "n_lines", "n_removed", F.array_join(F.transform("left", lambda x: x["line"]), "\n").alias("kept_text"))
+    Other columns are left out, repeated rows are judged alike, an empty table
+    gives an empty one. Only hashes of lines meet the boilerplate; a text moves
+    once, to the places of the lines that go."""
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("key"),
+                        F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("parts"))
+    lines = keyed.select("key", F.posexplode("parts").alias("place", "line")).filter(
+        F.length(F.trim("line")) >= least_chars).select("key", "place", _hash("line").alias("line_hash"))
+    found = boilerplate(docs, min_sites, least_chars, doc_id, text, site)
+    gone = lines.join(found, "line_hash", "left_semi").groupBy("key").agg(F.collect_set("place").alias("gone"))
+    left = F.filter("parts", lambda line, place: ~F.array_contains("gone", place))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("key"),
+                        F.coalesce(F.col(text), F.lit("")).alias("text")).join(gone, "key", "left")
+    return texts.select("doc_id", "gone", F.split("text", "\n", -1).alias("parts")).select(
+        "doc_id", F.size("parts").cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.array_join(F.when(F.col("gone").isNull(), F.col("parts")).otherwise(left), "\n").alias("kept_text"))
+
+
+def _hash(line: str):
+    """128 bits of a line's hash, blanks around it aside."""
+    return F.unhex(F.sha2(F.trim(line), 256).substr(1, 32))
