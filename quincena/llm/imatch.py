@@ -139,7 +139,7 @@ def codes(texts: list[bytes], words: bytes) -> np.ndarray:
         total = np.r_[U64(0), np.cumsum(hashes[i][term])]
         count = np.r_[0, np.cumsum(inside[i][term])]
         some = count[ends[1:]] > count[ends[:-1]]
-        out[some, i] = (mix64(total[ends[1:]] - total[ends[:-1]]) >> U64(48))[some]
+        out[some, i] = (mix64(total[ends[1:]] - total[ends[:-1]]) % U64(0xFFFF))[some]
     return out
 
 
@@ -230,17 +230,30 @@ def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part.column("doc_id"), "next_id": part.column("next_id"),
                 "n_chars": pa.array(map(len, texts), pa.int64()),
-                "edited_sha256": [hashlib.sha256(c).hexdigest() for c in changed],
-                "fingerprint": written(before), "edited_fingerprint": written(after),
+                "edited": pa.array([hashlib.sha256(c).digest() for c in changed], pa.binary()),
+                "print": _packed(before), "edited_print": _packed(after),
                 "near_edited": likeness(before, after)})
 
-    kinds = "doc_id long, next_id long, n_chars long, edited_sha256 string, fingerprint string, " \
-            "edited_fingerprint string, near_edited double"
+    kinds = "doc_id long, next_id long, n_chars long, edited binary, print binary, edited_print binary, near_edited double"
     judged = materialize(own.mapInArrow(run, kinds), "judged")
-    ahead = judged.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint"))
+    ahead = judged.select(F.col("doc_id").alias("next_id"), F.col("print").alias("next_print"))
+    rows = judged.join(ahead, "next_id").select(
+        "doc_id", "n_chars", F.lower(F.hex("edited")).alias("edited_sha256"), _unpacked("print").alias("fingerprint"),
+        _unpacked("edited_print").alias("edited_fingerprint"), "near_edited", _unpacked("next_print").alias("next_fingerprint"))
     a, b = F.split("fingerprint", "-"), F.split("next_fingerprint", "-")
     pairs = F.filter(F.arrays_zip(a.alias("a"), b.alias("b")), lambda p: (p["a"] != ".") | (p["b"] != "."))
     same = F.size(F.filter(pairs, lambda p: p["a"] == p["b"]))
-    return judged.join(ahead, "next_id").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
-        F.when(F.size(pairs) > 0, same / F.size(pairs)).otherwise(1.0).alias("near_next"))
+    return rows.withColumn("near_next", F.when(F.size(pairs) > 0, same / F.size(pairs)).otherwise(1.0)) \
+        .drop("next_fingerprint")
+
+
+def _packed(rows: np.ndarray):
+    """Codes as two bytes each (ffff: none), the form in which they travel."""
+    import pyarrow as pa
+
+    return pa.array([r.tobytes() for r in np.where(rows < 0, 0xFFFF, rows).astype(">u2")], pa.binary())
+
+
+def _unpacked(column: str):
+    """``written`` of packed codes, as an expression."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.hex(column)), "(.{4})(?!$)", "$1-"), "ffff", ".")
