@@ -30,7 +30,7 @@ from quincena.llm.common import (U64, arrow_slices, hash_words, row_key, run_has
 WINDOW = 35
 # A difference cover modulo 21 with as few members as can be.
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
 
 ENTRIES = "bucket int, h binary, h2 binary, key binary, n binary, at binary, many binary"
 MARKS = "home int, key binary, n binary, at binary"
@@ -56,6 +56,16 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.r_[first, len(values)]).astype(np.uint32)
 
 
+def _planes(at: np.ndarray) -> bytes:
+    """32-bit places with their low bytes first, then the next ones: the high
+    planes are all but empty and take no room in a compressed shuffle."""
+    return np.ascontiguousarray(at.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _places_of(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _entries(h: np.ndarray, h2: np.ndarray | None, key: np.ndarray, at: np.ndarray, buckets: int):
     """Rows of ENTRIES for the occurrences of a slice: one entry for each
     hash. A hash with several occurrences in the slice needs no answer for
@@ -84,10 +94,10 @@ def _entries(h: np.ndarray, h2: np.ndarray | None, key: np.ndarray, at: np.ndarr
         keys, n = _runs(key[e])
         out["bucket"].append(int(bucket[lo]))
         out["h"].append((h[e] if h2 is not None else h[e].astype(np.uint32)).tobytes())
-        out["h2"].append(h2[e].tobytes() if h2 is not None else None)
+        out["h2"].append(h2[e].astype(np.uint32).tobytes() if h2 is not None else None)
         out["key"].append(keys.tobytes())
         out["n"].append(n.tobytes())
-        out["at"].append(at[e].astype(np.uint32).tobytes())
+        out["at"].append(_planes(at[e]))
         out["many"].append(np.packbits(many[e]).tobytes())
     inside = np.flatnonzero(many)
     for home, keys, n, places in _by_home(key[inside], at[inside], buckets):
@@ -109,14 +119,14 @@ def _by_home(key: np.ndarray, at: np.ndarray, buckets: int):
     key, at, home = key[order], at[order], home[order]
     for lo, hi in _spans(home):
         keys, n = _runs(key[lo:hi])
-        yield int(home[lo]), keys.tobytes(), n.tobytes(), at[lo:hi].astype(np.uint32).tobytes()
+        yield int(home[lo]), keys.tobytes(), n.tobytes(), _planes(at[lo:hi])
 
 
 def _unpack(table) -> tuple[np.ndarray, np.ndarray]:
     """(keys, places) of rows with run-length keys."""
     keys = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("key").to_pylist()] or [np.empty(0, np.int64)])
     n = np.concatenate([np.frombuffer(b, np.uint32) for b in table.column("n").to_pylist()] or [np.empty(0, np.uint32)])
-    at = np.concatenate([np.frombuffer(b, np.uint32) for b in table.column("at").to_pylist()] or [np.empty(0, np.uint32)])
+    at = np.concatenate([_places_of(b) for b in table.column("at").to_pylist()] or [np.empty(0, np.uint32)])
     return np.repeat(keys, n), at
 
 
@@ -132,7 +142,7 @@ def _answer(buckets: int):
             many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=len(a) // 4).astype(bool) for m, a in
                                    zip(table.column("many").to_pylist(), table.column("at").to_pylist(), strict=True)])
             if wide:
-                h2 = np.concatenate([np.frombuffer(b, U64) for b in table.column("h2").to_pylist()])
+                h2 = np.concatenate([np.frombuffer(b, np.uint32) for b in table.column("h2").to_pylist()])
                 order = np.lexsort((h2, h))
                 same = (h[order][1:] == h[order][:-1]) & (h2[order][1:] == h2[order][:-1])
             else:
@@ -223,7 +233,7 @@ def _windows(window: int, buckets: int):
             at = np.concatenate(found)
             spot = at + np.repeat(start, each)
             key = np.repeat(np.array([keys[rows[lo + i]] for i in range(hi - lo)], np.int64), each)
-            first, second = run_hashes(h, window), run_hashes(h, window, 0x5BD1E995)
+            first, second = run_hashes(h, window), run_hashes(h, window, 0x5BD1E995) >> U64(32)
             out.append(_entries(first[spot], second[spot], key, at, buckets))
         names = [x.split()[0] for x in ENTRIES.split(", ")]
         kinds = [pa.int32()] + [pa.binary()] * 6
@@ -282,7 +292,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BU
     Columns of ``docs`` with the names of the results are replaced by them;
     columns of any other name pass through. An empty table gives an empty one.
 
-    Rows are told apart by a 64-bit hash of id and text, windows by 128 bits."""
+    Rows are told apart by a 64-bit hash of id and text, windows by 96 bits."""
     if window < PERIOD + 4:
         raise ValueError(f"windows of at least {PERIOD + 4} words")
     columns = [c for c in docs.columns if c not in RESULTS]
