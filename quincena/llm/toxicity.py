@@ -81,18 +81,15 @@ def fit(vocabulary: list[bytes], words: np.ndarray, sentence_sizes: np.ndarray,
     y, weight = labels.astype(float), importance
     if not len(y) or y.min() == y.max():
         return Model(w.astype(np.float32), bias)
-    spelled = [features(v) for v in vocabulary]
-    n_features = np.array([len(f) for f in spelled])
-    flat = np.concatenate([np.array(f, np.int64) for f in spelled])
+    n_features = np.array([1 + sum(len(v) >= n for n in STEMS) for v in vocabulary])
+    flat = np.fromiter((f for v in vocabulary for f in features(v)), np.int32, n_features.sum())
     word_at = np.cumsum(n_features) - n_features
     sentence_at = np.cumsum(sentence_sizes) - sentence_sizes
     bag_at = np.cumsum(bag_sizes) - bag_sizes
-    bag_of = np.repeat(np.repeat(np.arange(len(y)), bag_sizes), sentence_sizes)
-    pair = np.unique(bag_of * len(vocabulary) + words)
-    counts = n_features[pair % len(vocabulary)]
-    at = np.repeat(word_at[pair % len(vocabulary)] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-    seen = np.bincount(np.unique(np.repeat(pair // len(vocabulary), counts) * FEATURES + flat[at]) % FEATURES,
-                       minlength=FEATURES)
+    seen = np.zeros(FEATURES, np.int32)
+    ends = np.cumsum(np.add.reduceat(sentence_sizes, bag_at))
+    for lo, hi in zip([0, *ends[:-1]], ends, strict=True):  # a bag at a time, to stay small
+        seen[np.unique(np.concatenate([flat[word_at[w]:word_at[w] + n_features[w]] for w in np.unique(words[lo:hi])]))] += 1
     frozen = seen < least_documents
     weight = weight / weight.sum()
     m, v = np.zeros(FEATURES), np.zeros(FEATURES)
