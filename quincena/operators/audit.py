@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 from quincena.functions.columns import duration_seconds, report_url
 from quincena.schemas import RUN_FAIL, RUN_NO_UPDATE, RUN_OK
 
-# Option lists up to this size are shipped to every task as one array value;
-# longer lists take the distributed path in ``request_plan``.
-MAX_INLINE_OPTIONS = 10_000
-
 
 def up_to_date(audit: DataFrame, version) -> DataFrame:
     """Successful polls at or after the portal's current data version."""
@@ -20,25 +16,18 @@ def up_to_date(audit: DataFrame, version) -> DataFrame:
     return audit.where((F.col("run_status") == RUN_OK) & (F.col("source_update") >= v))
 
 
-def request_plan(institutions: DataFrame, statuses: DataFrame,
-                 max_inline: int = MAX_INLINE_OPTIONS, chunks: int = 64) -> DataFrame:
+def request_plan(institutions: DataFrame, statuses: DataFrame, chunks: int = 64) -> DataFrame:
     """Every (institution, status) pair the portal offers: one report request
     each, so the output *is* the product of the two option lists.
 
-    Short status lists (checked count <= ``max_inline``) become one array
-    value (scalar subquery) that each institution row explodes, with no join.
-    Longer lists are split by hash into ``chunks`` groups; institution rows
-    are replicated once per group and meet their statuses in an equi-join on
-    the group id, so no task holds a whole list.
+    Statuses are split by hash into ``chunks`` groups; institution rows are
+    replicated once per group and meet their statuses in an equi-join on the
+    group, so no task holds a whole list, whatever its length.
     """
-    inst = institutions.select(F.col("institution_name_spanish")).distinct()
-    stat = statuses.select(F.col("status_name_spanish")).distinct()
-    n = stat.limit(max_inline + 1).count()
-    if n <= max_inline:
-        opts = stat.agg(F.collect_list("status_name_spanish")).scalar()
-        return inst.select("institution_name_spanish", F.explode(opts).alias("status_name_spanish"))
-    s = stat.withColumn("_g", F.pmod(F.xxhash64("status_name_spanish"), F.lit(chunks)))
-    i = inst.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    s = statuses.select("status_name_spanish").distinct() \
+        .withColumn("_g", F.pmod(F.xxhash64("status_name_spanish"), F.lit(chunks)))
+    i = institutions.select("institution_name_spanish").distinct() \
+        .withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     return i.join(s, "_g").drop("_g")
 
 

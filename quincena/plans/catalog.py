@@ -282,6 +282,8 @@ def _arrivals(df: DataFrame, time_col: str, order: list[int]) -> list[DataFrame]
             c = c & (F.col(time_col) >= F.lit(cuts[i - 1]).cast("timestamp_ntz"))
         if i < ARRIVALS - 1:
             c = c & (F.col(time_col) < F.lit(cuts[i]).cast("timestamp_ntz"))
+        if i == 0:
+            c = c | F.col(time_col).isNull()
         parts.append(df.where(c))
     return [parts[i] for i in order]
 

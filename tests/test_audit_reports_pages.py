@@ -26,11 +26,11 @@ def test_plan_pending_and_quotes(spark):
     assert audit.updates_gate(runs).collect()[0].asDict() == {"updates": 2, "refresh": True}
 
 
-def test_plan_distributed_path_equals_inline(spark):
+def test_plan_is_the_same_for_any_number_of_groups(spark):
     i = spark.range(30).select(F.concat(F.lit("I"), F.col("id").cast("string")).alias("institution_name_spanish"))
     s = spark.range(12).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("status_name_spanish"))
     small = sorted(tuple(r) for r in audit.request_plan(i, s).collect())
-    big = sorted(tuple(r) for r in audit.request_plan(i, s, max_inline=5, chunks=4).collect())
+    big = sorted(tuple(r) for r in audit.request_plan(i, s, chunks=4).collect())
     assert small == big and len(small) == 360
 
 
