@@ -2,23 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
-# A dimension is broadcast only when its row count is proven to be at most
-# this many rows; otherwise the join shuffles (and AQE may still switch to a
-# broadcast from the measured shuffle size).
-MAX_BROADCAST_ROWS = 500_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking it has at most ``max_rows``
-    rows. The check reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def null_safe_condition(left: DataFrame, right: DataFrame, keys: list[str], right_prefix: str = "") -> "F.Column":
+def null_safe_condition(left: DataFrame, right: DataFrame, keys: list[str], right_prefix: str = "") -> Column:
     """``l.k1 <=> r.k1 AND ...``; Spark still plans it as a hash join."""
     cond = None
     for k in keys:

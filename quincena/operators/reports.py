@@ -4,7 +4,8 @@ Input is a table of sheet rows ``(report_id, sheet_no, row_no, cells)``
 (1-based rows: row 3 of the first sheet carries the banner date in cell 5,
 row 5 is the header, rows 6+ are data) plus one metadata row per report.
 Sheets of one report are aligned by column name, so column order may differ
-between sheets.
+between sheets. A report that cannot be read whole lands nothing: it is
+listed as a failure with its reason.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from quincena.fixed import (ACCENTED_ID_HEADER, BANNER_CELL, BANNER_DATE_PATTERN, BANNER_ROW,
                             FIRST_DATA_ROW, FIRST_SHEET, HEADER_ROW, START_DATE_FORMAT)
 from quincena.functions.columns import file_stem, normalize_header, parse_report_datetime
-from quincena.operators.joins import bounded_broadcast
+from quincena.session import materialize
 
 FIELDS = ["nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado", "fecha_de_inicio"]
 
@@ -25,51 +26,92 @@ def _position(names, name: str):
     return F.nullif(F.array_position(names, F.lit(name)), F.lit(0)).cast("int")
 
 
-def clean_reports(sheet_rows: DataFrame, report_meta: DataFrame, default_stem: str = "report") -> DataFrame:
-    """Typed landing rows: header promotion and name normalisation, money
-    cast to double, start date ``d/m/yyyy`` to DATE, the banner date (PM
-    honoured) on every row, then the data version, file stem and
-    institution from the report metadata.
-
-    Each sheet's header is reduced once to the cell position of every field
-    (``cédula`` stands in for a missing ``cedula``); data rows then pick
-    cells by position, which stays inside generated code. The per-sheet
-    header positions, per-report banner dates and report metadata (one row
-    per sheet or report) are broadcast after a row-count check, so the data
-    rows are never shuffled; above the bound they are shuffle joins (AQE
-    splits a very large report).
-    """
+# Columns that some sheet of a report must have, and how their cells are read.
+READ_AS = {"salario": ("money", lambda c: c.try_cast("double")),
+           "gasto": ("money", lambda c: c.try_cast("double")),
+           "fecha_de_inicio": ("date", lambda c: F.try_to_date(c, START_DATE_FORMAT))}
+
+
+def _cell(field: str):
+    return F.try_element_at("cells", F.col("_p_" + field))
+
+
+def _read(field: str):
+    """Typed cell; a blank one is empty."""
+    text = F.nullif(F.trim(_cell(field)), F.lit(""))
+    return READ_AS[field][1](text)
+
+
+def _tops(sheet_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Header positions per sheet (``cédula`` stands in for a missing
+    ``cedula``) and banner date per report. Their rows, at most two a sheet,
+    are written first, so that joins with them go by measured bytes."""
+    tops = materialize(sheet_rows.where(F.col("row_no").isin(BANNER_ROW, HEADER_ROW)), "report_tops")
     names = F.transform("cells", lambda x: normalize_header(x))
     pos = {f: _position(F.col("names"), f) for f in FIELDS}
     pos["cedula"] = F.coalesce(pos["cedula"], _position(F.col("names"), ACCENTED_ID_HEADER))
-    headers = (sheet_rows.where(F.col("row_no") == HEADER_ROW)
+    headers = (tops.where(F.col("row_no") == HEADER_ROW)
                .select("report_id", "sheet_no", names.alias("names"))
-               .select("report_id", "sheet_no", *[pos[f].alias("_p_" + f) for f in FIELDS]))
-    banner = (sheet_rows.where((F.col("row_no") == BANNER_ROW) & (F.col("sheet_no") == FIRST_SHEET))
+               .select("report_id", "sheet_no", F.lit(True).alias("_header"), *[pos[f].alias("_p_" + f) for f in FIELDS]))
+    banner = (tops.where((F.col("row_no") == BANNER_ROW) & (F.col("sheet_no") == FIRST_SHEET))
               .select("report_id", parse_report_datetime(
                   F.regexp_extract(F.try_element_at("cells", F.lit(BANNER_CELL)), BANNER_DATE_PATTERN, 1))
                   .alias("fecha_actualizacion")))
-    data = sheet_rows.where(F.col("row_no") >= FIRST_DATA_ROW).join(
-        bounded_broadcast(headers), ["report_id", "sheet_no"])
-
-    def cell(f):
-        return F.try_element_at("cells", F.col("_p_" + f))
-
-    typed = data.select(
-        "report_id",
-        cell("nombre").alias("nombre"),
-        cell("apellido").alias("apellido"),
-        cell("cedula").alias("cedula"),
-        cell("cargo").alias("cargo"),
-        cell("salario").try_cast("double").alias("salario"),
-        cell("gasto").try_cast("double").alias("gasto"),
-        cell("estado").alias("estado"),
-        F.try_to_date(cell("fecha_de_inicio"), START_DATE_FORMAT).alias("fecha_de_inicio"),
-    )
+    return headers, banner
+
+
+def _failures(rows: DataFrame, banner: DataFrame, report_meta: DataFrame) -> DataFrame:
+    bad = F.when(F.col("_header").isNull(), F.lit("no header"))
+    for f in READ_AS:
+        unreadable = (F.length(F.trim(_cell(f))) > 0) & _read(f).isNull()
+        bad = bad.when((F.col("row_no") >= FIRST_DATA_ROW) & unreadable, F.lit(f"unreadable {READ_AS[f][0]}"))
+    found = rows.groupBy("report_id").agg(
+        F.min(bad).alias("_bad"), *[F.max(F.col("_p_" + f).isNotNull()).alias("_has_" + f) for f in READ_AS])
+    known = report_meta.select("report_id").distinct().withColumn("_known", F.lit(True))
+    dated = banner.where(F.col("fecha_actualizacion").isNotNull()).select("report_id").distinct() \
+        .withColumn("_dated", F.lit(True))
+    reason = F.when(F.col("_known").isNull(), F.lit("no metadata")) \
+              .when(F.col("_has_salario").isNull(), F.lit("no sheet")).when(F.col("_bad").isNotNull(), F.col("_bad"))
+    for f in READ_AS:
+        reason = reason.when(~F.col("_has_" + f), F.lit(f"no column {f}"))
+    reason = reason.when(F.col("_dated").isNull(), F.lit("no banner date"))
+    return (found.join(known, "report_id", "full").join(dated, "report_id", "left")
+            .select("report_id", reason.alias("reason")).where(F.col("reason").isNotNull()))
+
+
+def read_reports(sheet_rows: DataFrame, report_meta: DataFrame,
+                 default_stem: str = "report") -> tuple[DataFrame, DataFrame]:
+    """Typed landing rows of the sound reports, and ``(report_id, reason)`` of
+    the others.
+
+    Landing rows: header promotion and name normalisation, money cast to
+    double, start date ``d/m/yyyy`` to DATE, the banner date (PM honoured) on
+    every row, then the data version, file stem and institution from the
+    report metadata. A column that only some sheets have is NULL elsewhere.
+
+    A report fails with a sheet without header row, a money or date cell that
+    is neither blank nor readable, no money or start date column in any
+    sheet, no readable banner date, no sheet rows or no metadata; the first
+    reason in that order of checks is given (of several cells, the smallest).
+
+    Failures are one aggregate over the rows (a flag a row, combined on the
+    map side), so data rows meet only one-row-a-sheet and one-row-a-report
+    tables; AQE broadcasts these by measured bytes or splits a hot report.
+    """
+    headers, banner = _tops(sheet_rows)
+    rows = sheet_rows.join(headers, ["report_id", "sheet_no"], "left")
+    failures = _failures(rows, banner, report_meta)
     meta = report_meta.select(
         "report_id", F.col("data_version").cast("timestamp_ntz").alias("fecha_consulta"),
         file_stem(F.col("content_disposition"), default_stem).alias("archivo"), "institucion")
-    return (typed.join(bounded_broadcast(banner), "report_id", "left")
-            .join(bounded_broadcast(meta), "report_id", "left")
-            .select("nombre", "apellido", "cedula", "cargo", "salario", "gasto", "estado",
-                    "fecha_de_inicio", "fecha_actualizacion", "fecha_consulta", "archivo", "institucion"))
+    landed = (rows.where(F.col("row_no") >= FIRST_DATA_ROW)
+              .select("report_id", *[(_read(f) if f in READ_AS else _cell(f)).alias(f) for f in FIELDS])
+              .join(failures, "report_id", "left_anti")
+              .join(banner, "report_id", "left").join(meta, "report_id", "left")
+              .select(*FIELDS, "fecha_actualizacion", "fecha_consulta", "archivo", "institucion"))
+    return landed, failures
+
+
+def clean_reports(sheet_rows: DataFrame, report_meta: DataFrame, default_stem: str = "report") -> DataFrame:
+    """Landing rows of ``read_reports``."""
+    return read_reports(sheet_rows, report_meta, default_stem)[0]

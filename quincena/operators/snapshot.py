@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quincena.operators.joins import bounded_broadcast
-
 SNAPSHOT_COLUMNS = [
     "composite_key", "first_name", "last_name", "id_number", "salary", "allowance",
     "status_sp", "status_en", "institution_sp", "institution_en", "position_sp", "position_en",
@@ -25,7 +23,7 @@ def latest_snapshot(bronze: DataFrame, dim_inst: DataFrame, dim_stat: DataFrame,
     English names.
 
     With ``prune_versions`` the bronze scan also gets, as scalar subqueries
-    over the small (size-checked) dimensions, ``fecha_consulta >=`` the
+    over the dimensions (one row per name), ``fecha_consulta >=`` the
     oldest current version and ``fecha_consulta IN`` the current versions,
     so other versions are skipped at the scan (row-group statistics, or
     whole folders when bronze is partitioned by version). It never changes
@@ -50,11 +48,11 @@ def latest_snapshot(bronze: DataFrame, dim_inst: DataFrame, dim_stat: DataFrame,
                     & (v >= stat.agg(F.min("_stat_version")).scalar())
                     & F.array_contains(inst.agg(F.collect_set("_inst_version")).scalar(), v)
                     & F.array_contains(stat.agg(F.collect_set("_stat_version")).scalar(), v))
-    j = (b.join(bounded_broadcast(inst),
+    j = (b.join(inst,
                 (F.col("institucion") == F.col("_inst")) & (F.col("fecha_consulta") == F.col("_inst_version")))
-          .join(bounded_broadcast(stat),
+          .join(stat,
                 (F.col("estado") == F.col("_stat")) & (F.col("fecha_consulta") == F.col("_stat_version")))
-          .join(bounded_broadcast(pos), F.col("cargo") == F.col("_pos"), "left"))
+          .join(pos, F.col("cargo") == F.col("_pos"), "left"))
     return j.select(
         "composite_key",
         F.col("nombre").alias("first_name"),

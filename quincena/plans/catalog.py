@@ -234,6 +234,24 @@ def q_report_clean(spark, sf_dir):
     return reports.clean_reports(sheets, meta, DEFAULT_STEM)
 
 
+def _damaged(spark, sf_dir):
+    p = Inputs(spark, sf_dir).payroll
+    sheets = materialize(tv.damaged_sheets(tv.report_sheets(p)), "sheet_rows")
+    return reports.read_reports(sheets, materialize(tv.report_meta(p), "report_meta"), DEFAULT_STEM)
+
+
+def q_report_failures(spark, sf_dir):
+    """Reports that land nothing, with the reason."""
+    return _damaged(spark, sf_dir)[1]
+
+
+def q_report_landed(spark, sf_dir):
+    """Rows of the sound reports among damaged ones, landed and read back."""
+    landing, landed = scratch_path(spark, "landing"), _damaged(spark, sf_dir)[0]
+    append_rows(landed, landing, partition_by=["archivo"])
+    return spark.read.schema(landed.schema).parquet(landing)
+
+
 def q_report_names(spark, sf_dir):
     meta = tv.report_meta(Inputs(spark, sf_dir).payroll)
     stem = file_stem(F.col("content_disposition"), DEFAULT_STEM)
@@ -398,6 +416,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mon_daily_avg": q_mon_daily_avg,
     "mon_trend": q_mon_trend,
     "report_clean": q_report_clean,
+    "report_failures": q_report_failures,
+    "report_landed": q_report_landed,
     "report_names": q_report_names,
     "page_options": q_page_options,
     "page_version": q_page_version,

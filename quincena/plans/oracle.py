@@ -133,6 +133,8 @@ SELECT i.institution_name_spanish, s.status_name_spanish,
  (SELECT max(source_update) FROM audit) AS source_update
 FROM (SELECT DISTINCT institution_name_spanish FROM audit) i, (SELECT DISTINCT status_name_spanish FROM audit) s"""
 
+_REPORT_ID = "concat_ws('|', institucion, estado, strftime(fecha_actualizacion, '%Y%m%d%H%M%S'))"
+
 ORACLE: dict[str, str] = {
     "bronze_enriched": with_views("SELECT * FROM bronze"),
     "dim_institution": with_views("SELECT * FROM dim_inst"),
@@ -196,6 +198,15 @@ FROM (
 SELECT nombre, apellido, cedula, cargo, salario, gasto, estado, fecha_de_inicio, fecha_actualizacion,
  fecha_consulta, CASE WHEN estado = 'P' THEN '{DEFAULT_STEM}' ELSE archivo END AS archivo, institucion
 FROM payroll"""),
+    "report_failures": with_views(f"""
+SELECT DISTINCT {_REPORT_ID} AS report_id,
+ CASE day(fecha_actualizacion) % 7 WHEN 0 THEN 'no header' WHEN 1 THEN 'no banner date'
+  WHEN 2 THEN 'unreadable money' WHEN 3 THEN 'unreadable date' ELSE 'no sheet' END AS reason
+FROM payroll WHERE day(fecha_actualizacion) % 7 < 5"""),
+    "report_landed": with_views(f"""
+SELECT nombre, apellido, cedula, cargo, salario, gasto, estado, fecha_de_inicio, fecha_actualizacion,
+ fecha_consulta, CASE WHEN estado = 'P' THEN '{DEFAULT_STEM}' ELSE archivo END AS archivo, institucion
+FROM payroll WHERE day(fecha_actualizacion) % 7 >= 5"""),
     "report_names": with_views(f"""
 SELECT report_id, stem AS archivo,
  concat(stem, '_', estado, '_', CAST(CAST(epoch(data_version) AS BIGINT) AS VARCHAR), '_0.parquet') AS landing_file

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quincena.operators import gold, inactive, snapshot
+from quincena.operators import dims, gold, inactive, snapshot
 from quincena.operators.audit import updates_gate
 from quincena.schemas import SCD2_KEYS, audit_schema, payroll_schema
 from quincena.sources.tables import write_view
@@ -72,9 +72,12 @@ def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
     inc.update_name_dimension(spark, layout.audit, aschema, "status_name_spanish", "status_name_english",
                               translations, layout.dim_status, layout.ckpt("dim_status"))
 
-    snap = snapshot.latest_snapshot(bronze, VersionedTable(spark, layout.dim_institution).read(),
-                                    VersionedTable(spark, layout.dim_status).read(),
-                                    VersionedTable(spark, layout.dim_position).read())
+    no_polls, no_rows = spark.createDataFrame([], aschema), spark.createDataFrame([], bronze.schema)
+    snap = snapshot.latest_snapshot(
+        bronze,
+        VersionedTable(spark, layout.dim_institution).read(schema=dims.dim_institution(no_polls, translations).schema),
+        VersionedTable(spark, layout.dim_status).read(schema=dims.dim_status(no_polls, translations).schema),
+        VersionedTable(spark, layout.dim_position).read(schema=dims.dim_position(no_rows, translations).schema))
     write_view(snap, layout.snapshot, cluster_by=["institution_sp", "status_sp"])
     snap = spark.read.parquet(layout.snapshot)
     history = inc.read_history(spark, layout.scd2_history, bronze.schema, tb)

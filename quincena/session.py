@@ -113,7 +113,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
-        # Static broadcasts only below this (dimensions are also size-checked by row count).
+        # Broadcasts only below this many bytes (dimensions are written, so their bytes are known).
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.session.timeZone": "UTC",

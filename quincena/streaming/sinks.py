@@ -14,9 +14,10 @@ def scd1_sink(store: VersionedTable, keys: list[str], sequence_by: str, tie_brea
     """Latest row per key: reduce (current target ∪ batch) with the batch
     reducer. Order-free, so late and replayed rows are safe."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        old = store.read(before=batch_id)
+        version = store.version_of(batch_id)
+        old = store.read(before=version)
         rows = batch if old is None else old.unionByName(batch.select(*old.columns))
-        store.commit(cdc.scd1_latest(rows, keys, sequence_by, tie_break), batch_id)
+        store.commit(cdc.scd1_latest(rows, keys, sequence_by, tie_break), version)
     return apply
 
 
@@ -36,37 +37,43 @@ def scd2_sink(events: PartitionedVersions, history: PartitionedVersions, keys: l
     rows with NULL keys).
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
+        log_version, version = events.version_of(batch_id), history.version_of(batch_id)
         batch = batch.persist()
-        ev_batch = cdc.dedupe_events(batch, keys, sequence_by, tie_break)
-        events.commit(ev_batch, batch_id)
-        touched_parts = events.touched(batch)
-        affected = batch.select(*[batch[k].alias("_k_" + k) for k in keys]).distinct()
-        logged = events.read_all(ev_batch.schema, upto=batch_id, parts=touched_parts)
-        touched = logged.join(affected, null_safe_condition(logged, affected, keys, "_k_"), "left_semi")
-        hist_aff = cdc.scd2_history(touched, keys, sequence_by, track, tie_break)
-        old_h = history.read(hist_aff.schema, before=batch_id, parts=touched_parts)
-        if old_h is None:
-            new_h = hist_aff
-        else:
-            cond_h = null_safe_condition(old_h, affected, keys, "_k_")
-            new_h = old_h.join(affected, cond_h, "left_anti").unionByName(hist_aff)
-        history.commit(new_h, batch_id)
-        batch.unpersist()
+        try:
+            ev_batch = cdc.dedupe_events(batch, keys, sequence_by, tie_break)
+            events.commit(ev_batch, log_version)
+            folders = events.folders(log_version)
+            affected = batch.select(*[batch[k].alias("_k_" + k) for k in keys]).distinct()
+            logged = events.read_all(ev_batch.schema, upto=log_version, folders=folders)
+            touched = logged.join(affected, null_safe_condition(logged, affected, keys, "_k_"), "left_semi")
+            new = cdc.scd2_history(touched, keys, sequence_by, track, tie_break)
+            old = history.read(new.schema, before=version, folders=folders)
+            if old is not None:
+                carried = old.join(affected, null_safe_condition(old, affected, keys, "_k_"), "left_anti")
+                new = carried.unionByName(new)
+            history.commit(new, version, keep=2)
+        finally:
+            batch.unpersist()
     return apply
 
 
 def dimension_sink(store: VersionedTable, name_col: str, translations: DataFrame, out_col: str):
     """Complete-mode aggregate → translated dimension, replaced per batch."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.commit(dims.translate(batch, name_col, translations, out_col), batch_id)
+        store.commit(dims.translate(batch, name_col, translations, out_col), store.version_of(batch_id))
     return apply
 
 
 def novelty_sink(store: VersionedTable, translations: DataFrame):
     """Append-only position dimension: positions of the batch not yet in the
-    target (first-seen date frozen), translated once, added."""
+    target (first-seen date frozen) are added. Names are translated anew in
+    each batch, so a dictionary entry that comes later shows, too."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        old = store.read(before=batch_id)
-        new = dims.dim_position(batch, translations, existing=old)
-        store.commit(new if old is None else old.unionByName(new), batch_id)
+        version = store.version_of(batch_id)
+        old = store.read(before=version)
+        seen = dims.new_positions(batch)
+        if old is not None:
+            old = old.select(*seen.columns)
+            seen = old.unionByName(seen.join(old, "position_name_spanish", "left_anti"))
+        store.commit(dims.translate(seen, "position_name_spanish", translations, "position_name_english"), version)
     return apply

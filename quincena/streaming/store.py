@@ -1,140 +1,150 @@
 """Versioned Parquet tables for ``foreachBatch`` targets.
 
-No transactional table format is on the classpath, so a target is a folder
-of versions ``{root}/v=<batch id>``. A batch writes its complete new state to
-its own version folder (overwrite, so a replayed batch rewrites the same
-folder) and readers take the newest committed version. A write that dies
-leaves only hidden temporary files, which readers never see.
+No transactional table format is on the classpath, so a target is a folder of
+versions ``{root}/v=<number>``. A version counts only with the ``_SUCCESS``
+mark that Spark writes last, so a half-written folder is never read. Which
+versions exist is taken from folder names (never from rows: an empty version
+is a version), and the paths of the folders needed are handed to the reader.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from quincena.operators.joins import bounded_broadcast
+from pyspark.sql import types as T
 
 VERSION_COL = "v"
+COMMIT_MARK = "_SUCCESS"
+WRITERS = "_writers"
+
 
+class _Versions:
+    """Folders of one target: committed versions and the numbers of new ones."""
 
-class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _all(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.root)
-        except AnalysisException:
-            return None
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """Newest version (below ``before`` when given), or None if none yet.
-        The newest version number is one value read from folder names; the
-        data read is then pruned to that one folder."""
-        df = self._all()
-        if df is None:
-            return None
-        if before is not None:
-            df = df.where(F.col(VERSION_COL) < before)
-        newest = df.agg(F.max(VERSION_COL)).first()[0]
-        if newest is None:
-            return None
-        return df.where(F.col(VERSION_COL) == newest).drop(VERSION_COL)
-
-    def read_all(self, upto: int | None = None) -> DataFrame | None:
-        """Union of all versions up to ``upto`` (for append-only logs whose
-        versions each hold one batch's rows)."""
-        df = self._all()
-        if df is None:
-            return None
-        if upto is not None:
-            df = df.where(F.col(VERSION_COL) <= upto)
-        return df.drop(VERSION_COL)
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
 
-    def commit(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{VERSION_COL}={version}")
+    def _fs(self):
+        return self._path().getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _names(self, *parts: str) -> list[str]:
+        fs, path = self._fs(), self._path(*parts)
+        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+    def _delete(self, *parts: str) -> None:
+        self._fs().delete(self._path(*parts), True)
+
+    def _folder(self, version: int) -> str:
+        return f"{VERSION_COL}={version}"
+
+    def committed(self) -> list[int]:
+        """Numbers of the committed versions, ascending."""
+        fs, mark = self._fs(), VERSION_COL + "="
+        return sorted(int(n[len(mark):]) for n in self._names()
+                      if n.startswith(mark) and fs.exists(self._path(n, COMMIT_MARK)))
+
+    def version_of(self, batch_id: int) -> int:
+        """Version number of a micro-batch of the stream that is running.
+
+        Batch ids restart at 0 with a new checkpoint, so each stream (its id
+        lives in its checkpoint) gets an offset when it first writes here:
+        its batches follow the newest committed version. The offset is kept
+        beside the versions, so a replayed batch gets its own number again.
+        """
+        writer = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        marks = sorted((int(n.split("_")[0]), *n.split("_")[1:]) for n in self._names(WRITERS))
+        if marks and marks[-1][1] == writer:
+            return int(marks[-1][2]) + batch_id
+        newest = max(self.committed(), default=-1)
+        self._fs().create(self._path(WRITERS, f"{len(marks)}_{writer}_{newest + 1 - batch_id}"), True).close()
+        return newest + 1
 
 
-# Partition values a batch touches are shipped to the scan as a literal list
-# (static partition pruning) up to this many; beyond it a semi join selects them.
-MAX_LITERAL_PARTS = 10_000
+class VersionedTable(_Versions):
+    """A table replaced as a whole by each version; the two newest are kept."""
 
+    def read(self, before: int | None = None, schema: T.StructType | None = None) -> DataFrame | None:
+        """Newest committed version (below ``before`` when given). Where there
+        is none: an empty frame of ``schema``, or None without a schema."""
+        found = [v for v in self.committed() if before is None or v < before]
+        if not found:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        return self.spark.read.parquet(f"{self.root}/{self._folder(found[-1])}")
 
-class PartitionedVersions:
+    def commit(self, df: DataFrame, version: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{self._folder(version)}")
+        for old in self.committed()[:-2]:
+            self._delete(self._folder(old))
+
+
+class PartitionedVersions(_Versions):
     """A table whose partitions are versioned independently:
-    ``{root}/v=<batch id>/<part_col>=<value>/``. A batch writes new state only
-    for the partitions it touched; readers take each partition's newest
-    version. Per-batch work is then proportional to the touched partitions,
-    not to the whole table. Reads take the table's schema (partition
-    columns keep their declared types)."""
+    ``{root}/v=<number>/<part_col>=<value>/``. A version holds only the
+    partitions its batch touched; the table is each partition's newest version.
+
+    Folder names only group rows: Spark writes NULL and '' to one folder, so
+    the true value travels in the files (as ``_<part_col>``) and is the one
+    that is read. Reads take the table's schema.
+    """
 
     def __init__(self, spark: SparkSession, root: str, part_col: str):
-        self.spark, self.root, self.part_col = spark, root.rstrip("/"), part_col
-
-    def _all(self, schema, parts) -> DataFrame | None:
-        from pyspark.sql import types as T
-        fields = [f for f in schema.fields if f.name != VERSION_COL]
-        full = T.StructType(fields + [T.StructField(VERSION_COL, T.IntegerType())])
-        try:
-            df = self.spark.read.schema(full).parquet(self.root)
-        except AnalysisException:
-            return None
-        if parts is not None:
-            df = _restrict(df, parts, self.part_col)
-        return df
-
-    def read_all(self, schema, upto: int | None = None, parts=None) -> DataFrame | None:
-        """Every version's rows (for append-only logs), optionally only of
-        the partitions in ``parts`` (a list of values or a DataFrame)."""
-        df = self._all(schema, parts)
-        if df is None:
-            return None
-        if upto is not None:
-            df = df.where(F.col(VERSION_COL) <= upto)
-        return df.drop(VERSION_COL)
-
-    def read(self, schema, before: int | None = None, parts=None) -> DataFrame | None:
-        """Each partition's newest version (below ``before``)."""
-        df = self._all(schema, parts)
-        if df is None:
-            return None
-        if before is not None:
-            df = df.where(F.col(VERSION_COL) < before)
-        p = self.part_col
-        # One row per partition value: broadcast so the table itself is
-        # filtered where it lies instead of being shuffled. Restricted to a
-        # literal list of partitions, the map has at most that many rows (a
-        # proven bound); otherwise its size is checked first.
-        newest = df.groupBy(p).agg(F.max(VERSION_COL).alias("_newest")).withColumnRenamed(p, "_p")
-        newest = F.broadcast(newest) if isinstance(parts, list) else bounded_broadcast(newest)
-        cond = df[p].eqNullSafe(newest["_p"]) & (df[VERSION_COL] == newest["_newest"])
-        return df.join(newest, cond, "left_semi").drop(VERSION_COL)
+        super().__init__(spark, root)
+        self.part_col, self.value_col = part_col, "_" + part_col
 
-    def commit(self, df: DataFrame, version: int) -> None:
+    def folders(self, version: int) -> list[str]:
+        """Partition folders that a version wrote."""
+        return [n for n in self._names(self._folder(version)) if n.startswith(self.part_col + "=")]
+
+    def _load(self, schema: T.StructType, paths: list[str], parts) -> DataFrame:
+        p = self.part_col
+        stored = T.StructType([T.StructField(self.value_col if f.name == p else f.name, f.dataType)
+                               for f in schema.fields])
+        df = self.spark.read.schema(stored).parquet(*paths) if paths else self.spark.createDataFrame([], stored)
+        df = df.withColumnRenamed(self.value_col, p)
+        if parts is None:
+            return df
+        if isinstance(parts, list):
+            parts = self.spark.createDataFrame([(v,) for v in parts], T.StructType([T.StructField(p, schema[p].dataType)]))
+        keys = parts.select(F.col(p).alias("_p")).distinct()
+        return df.join(keys, df[p].eqNullSafe(keys["_p"]), "left_semi")
+
+    def read_all(self, schema: T.StructType, upto: int | None = None, parts=None,
+                 folders: list[str] | None = None) -> DataFrame | None:
+        """Every version's rows (for append-only logs) of the partition
+        ``folders`` named (all by default) and, of these, the rows whose
+        partition value is in ``parts`` (a list or a DataFrame)."""
+        versions = [v for v in self.committed() if upto is None or v <= upto]
+        paths = [f"{self.root}/{self._folder(v)}/{n}" for v in versions for n in self.folders(v)
+                 if folders is None or n in set(folders)]
+        return self._load(schema, paths, parts) if versions else None
+
+    def read(self, schema: T.StructType, before: int | None = None, parts=None,
+             folders: list[str] | None = None) -> DataFrame | None:
+        """Each partition's newest version (below ``before``); other
+        versions are not read."""
+        versions = [v for v in self.committed() if before is None or v < before]
+        newest = {n: v for v in versions for n in self.folders(v) if folders is None or n in set(folders)}
+        paths = [f"{self.root}/{self._folder(v)}/{n}" for n, v in newest.items()]
+        return self._load(schema, paths, parts) if versions else None
+
+    def commit(self, df: DataFrame, version: int, keep: int | None = None) -> None:
         """Write the new state of the partitions present in ``df``. The
         rebalance hint groups rows by partition value before the write (few
         files per partition) and lets AQE split a very large partition over
-        several tasks and merge small ones."""
-        (df.hint("rebalance", self.part_col).write.mode("overwrite").partitionBy(self.part_col)
-         .parquet(f"{self.root}/{VERSION_COL}={version}"))
-
-    def touched(self, df: DataFrame) -> list | DataFrame:
-        """Partition values present in ``df``: a short literal list when there
-        are at most ``MAX_LITERAL_PARTS`` of them, else a DataFrame of them."""
-        vals = [r[0] for r in df.select(self.part_col).distinct().limit(MAX_LITERAL_PARTS + 1).collect()]
-        return vals if len(vals) <= MAX_LITERAL_PARTS else df.select(self.part_col).distinct()
-
-
-def _restrict(df: DataFrame, parts, part_col: str) -> DataFrame:
-    """Rows of the listed partitions: a literal list prunes folders at
-    planning time; a DataFrame of values is applied as a NULL-safe semi join."""
-    if isinstance(parts, list):
-        vals = parts
-        known = [v for v in vals if v is not None]
-        cond = F.col(part_col).isin(known) if known else F.lit(False)
-        if len(known) < len(vals):
-            cond = cond | F.col(part_col).isNull()
-        return df.where(cond)
-    keys = bounded_broadcast(parts.select(F.col(part_col).alias("_p")).distinct())
-    return df.join(keys, df[part_col].eqNullSafe(keys["_p"]), "left_semi")
+        several tasks and merge small ones. With ``keep``, that many newest
+        versions of each written partition are kept."""
+        (df.withColumn(self.value_col, F.col(self.part_col)).hint("rebalance", self.part_col)
+         .write.mode("overwrite").partitionBy(self.part_col).parquet(f"{self.root}/{self._folder(version)}"))
+        if keep is None:
+            return
+        written = set(self.folders(version))
+        held = {v: set(self.folders(v)) for v in self.committed()}
+        for name in written:
+            for old in [v for v in sorted(held) if name in held[v]][:-keep]:
+                self._delete(self._folder(old), name)
+                held[old].discard(name)
+        for v in [v for v in held if v < version and not held[v]]:
+            self._delete(self._folder(v))

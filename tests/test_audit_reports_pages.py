@@ -123,3 +123,26 @@ def test_t17_duplicate_options_give_one_request_per_pair(spark):
     stat = spark.createDataFrame([("E",), ("E",)], "status_name_spanish string")
     got = sorted(tuple(r) for r in audit.request_plan(inst, stat).collect())
     assert got == [("A", "E"), ("B", "E")]
+
+
+def test_reports_that_cannot_be_read_whole_are_failures(spark):
+    banner = [None, None, None, None, "Fecha de actualización: 05/03/2024 02:30:00 PM"]
+    head = ["Nombre", "Apellido", "Cedula", "Cargo", "Salario", "Gasto", "Estado", "Fecha de Inicio"]
+
+    def report(name, top=banner, header=head, money="1.5", date="1/2/2020"):
+        out = [(name, 1, 6, ["A", "B", name, "C", money, " ", "E", date])]
+        return out + [(name, 1, 3, top)] * (top is not None) + [(name, 1, 5, header)] * (header is not None)
+
+    rows = (report("good") + report("header", header=None) + report("banner", top=None) + report("text", top=["x"])
+            + report("money", money="1,200.50") + report("date", date="31/13/2020") + report("orphan")
+            + report("column", header=head[:5] + ["Otro"] + head[6:]))
+    sr = spark.createDataFrame(rows, "report_id string, sheet_no int, row_no int, cells array<string>")
+    meta = spark.createDataFrame([(n, "I", "E", None, V1) for n in
+                                  ("good", "header", "banner", "text", "money", "date", "column", "none")],
+                                 "report_id string, institucion string, estado string, content_disposition string, "
+                                 "data_version timestamp_ntz")
+    landed, failures = reports.read_reports(sr, meta)
+    assert [(r.cedula, r.salario, r.gasto) for r in landed.collect()] == [("good", 1.5, None)]
+    assert dict(map(tuple, failures.collect())) == {
+        "header": "no header", "banner": "no banner date", "text": "no banner date", "money": "unreadable money",
+        "date": "unreadable date", "orphan": "no metadata", "none": "no sheet", "column": "no column gasto"}

@@ -63,3 +63,15 @@ def test_snapshot_scan_prunes_bronze_versions(spark, tmp_dir):
     partition_filters = [line for line in buf.getvalue().splitlines() if line.startswith("PartitionFilters")]
     assert any("array_contains" in line and "fecha_consulta" in line for line in partition_filters)
     assert s.count() == 29
+
+
+def test_refresh_without_a_successful_poll(spark, tmp_dir):
+    """Only FAIL polls: the dimensions are empty and so are the views."""
+    i = C.Inputs(spark, SF0001)
+    layout = Layout(tmp_dir)
+    append_rows(i.payroll.limit(50), layout.landing)
+    append_rows(i.audit.where("run_status = 'FAIL'"), layout.audit)
+    out = refresh(spark, layout, i.translations, landing_schema=i.payroll.schema, audit_table_schema=i.audit.schema,
+                  tie_break=C.SCD2_TIE_BREAK, detected_at=dt.datetime(2024, 1, 1))
+    assert spark.read.parquet(out["snapshot"]).count() == 0
+    assert spark.read.parquet(out["inactive_employees"]).count() > 0

@@ -167,3 +167,80 @@ def test_scd2_sink_rewrites_only_touched_institutions(spark, tmp_dir):
     assert sorted(d for d in os.listdir(f"{h_root}/v=1") if d.startswith("institucion=")) == ["institucion=J"]
     got = inc.read_history(spark, h_root, schema, tb)
     assert sorted((r.institucion, r.salario) for r in got.collect()) == [("I", 1.0), ("J", 5.0), ("J", 6.0)]
+
+
+INSTITUTIONS = ["", None, "A/B", "50%", "blank ", "007", "{x}"]
+
+
+def test_scd2_stream_keeps_odd_institutions(spark, tmp_dir):
+    """'' and NULL share a partition folder; separators and padding are escaped
+    in folder names: every institution comes back as it was."""
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    tb = ["fecha_actualizacion", "row_id"]
+    rows = [(str(t), "N", None, inst, "C", "E", T[t], 1.0 + t, None, dt.date(2020, 1, 1), T[t], 10 * n + t)
+            for t in range(2) for n, inst in enumerate(INSTITUTIONS)]
+    for part in (rows[:len(INSTITUTIONS)], rows[len(INSTITUTIONS):]):
+        append_rows(spark.createDataFrame(part, SCHEMA), landing)
+        inc.update_history(spark, landing, schema, ev_root, h_root, ck, tb)
+    got = inc.read_history(spark, h_root, schema, tb)
+    assert sorted((repr(r.institucion), r.cedula) for r in got.collect()) == \
+        sorted((repr(i), c) for i in INSTITUTIONS for c in ("0", "1"))
+
+
+def test_half_written_version_is_not_read(spark, tmp_dir):
+    import os
+    vt = VersionedTable(spark, f"{tmp_dir}/vt")
+    vt.commit(spark.createDataFrame([(1,)], "a int"), 0)
+    vt.commit(spark.createDataFrame([(2,)], "a int"), 1)
+    os.remove(f"{tmp_dir}/vt/v=1/_SUCCESS")
+    assert [r.a for r in vt.read().collect()] == [1]
+
+
+def test_empty_newest_version_is_the_table(spark, tmp_dir):
+    vt = VersionedTable(spark, f"{tmp_dir}/vt")
+    empty = spark.createDataFrame([], "a int")
+    assert vt.read(schema=empty.schema).collect() == []
+    vt.commit(spark.createDataFrame([(1,)], "a int"), 0)
+    vt.commit(empty, 1)
+    assert vt.read().collect() == [] and vt.read().columns == ["a"]
+
+
+def test_two_versions_are_kept(spark, tmp_dir):
+    from quincena.streaming.store import PartitionedVersions
+    vt, pv = VersionedTable(spark, f"{tmp_dir}/vt"), PartitionedVersions(spark, f"{tmp_dir}/pv", "p")
+    one = spark.createDataFrame([(1, "x")], "a int, p string")
+    pv.commit(spark.createDataFrame([(0, "x"), (0, "y")], "a int, p string"), 0, keep=2)
+    for n in range(1, 5):
+        vt.commit(one, n)
+        pv.commit(one.withColumn("a", one.a + n), n, keep=2)
+    assert vt.committed() == [3, 4]
+    assert {v: pv.folders(v) for v in pv.committed()} == {0: ["p=y"], 3: ["p=x"], 4: ["p=x"]}
+    assert sorted((r.a, r.p) for r in pv.read(one.schema).collect()) == [(0, "y"), (5, "x")]
+    assert all(f"/v={n}/" not in f for f in pv.read(one.schema).inputFiles() for n in (1, 2, 3))
+
+
+def test_new_checkpoint_continues_after_the_newest_version(spark, tmp_dir):
+    schema = ("institution_name_spanish string, status_name_spanish string, run_status string, "
+              "source_update timestamp_ntz, checked_at timestamp_ntz")
+    landing, target = f"{tmp_dir}/land", f"{tmp_dir}/latest"
+    st = spark.createDataFrame([], schema).schema
+    for n, status in enumerate(["OK", "FAIL"]):
+        append_rows(spark.createDataFrame([("I", "E", status, T[n], T[n])], schema), landing)
+        inc.update_latest_poll(spark, landing, st, target, f"{tmp_dir}/ck1")
+    append_rows(spark.createDataFrame([("I", "E", "OK", T[3], T[3])], schema), landing)
+    inc.update_latest_poll(spark, landing, st, target, f"{tmp_dir}/ck2")
+    got = VersionedTable(spark, target).read().collect()
+    assert [(r.run_status, r.checked_at) for r in got] == [("OK", T[3])]
+    assert VersionedTable(spark, target).committed() == [1, 2]
+
+
+def test_late_translation_shows(spark, tmp_dir):
+    landing, target, ck = f"{tmp_dir}/land", f"{tmp_dir}/pos", f"{tmp_dir}/ck"
+    schema = spark.createDataFrame([], SCHEMA).schema
+    names = "spanish string, english string"
+    append_rows(spark.createDataFrame([ev("1", 0, 1.0, 1)], SCHEMA), landing)
+    inc.update_positions(spark, landing, schema, spark.createDataFrame([], names), target, ck)
+    append_rows(spark.createDataFrame([ev("2", 1, 1.0, 2)], SCHEMA), landing)
+    inc.update_positions(spark, landing, schema, spark.createDataFrame([("C", "Pos C")], names), target, ck)
+    assert [tuple(r) for r in VersionedTable(spark, target).read().collect()] == [("C", T[0], "Pos C")]
