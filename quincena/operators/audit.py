@@ -60,6 +60,20 @@ def classify_runs(plan: DataFrame, audit: DataFrame, version, failures: DataFram
     return j.select(*keys, status.alias("run_status"), v.alias("source_update"))
 
 
+def poll_run(plan: DataFrame, audit: DataFrame, version, failures: DataFrame, times: DataFrame,
+             checked_at) -> DataFrame:
+    """Audit rows of one run over ``plan``: the status of each pair (see
+    ``classify_runs``) with the start and end of its request from ``times``.
+    A pair without a request, or without one of its times, starts and ends at
+    ``checked_at``; of several requests of a pair the whole span counts."""
+    keys = ["institution_name_spanish", "status_name_spanish"]
+    ca = checked_at if isinstance(checked_at, Column) else F.lit(checked_at)
+    spans = times.groupBy(*keys).agg(F.min("start_at").alias("start_at"), F.max("end_at").alias("end_at"))
+    runs = classify_runs(plan, audit, version, failures).join(spans, keys, "left").withColumns(
+        {c: F.coalesce(c, ca) for c in ("start_at", "end_at")})
+    return audit_rows(runs, ca)
+
+
 def updates_gate(runs: DataFrame) -> DataFrame:
     """Successful downloads of a run, and whether the refresh should run."""
     return runs.agg(F.count_if(F.col("run_status") == RUN_OK).alias("updates")) \

@@ -190,6 +190,17 @@ def q_updates_gate(spark, sf_dir):
     return audit_ops.updates_gate(_classified(spark, sf_dir))
 
 
+def q_poll_run_audit(spark, sf_dir):
+    """Audit rows of one run: requests that failed at the current version took
+    90 seconds from the time in the log; all are checked a day after it."""
+    a = Inputs(spark, sf_dir).audit
+    v = _current_version(a)
+    failed = a.where((F.col("run_status") == "FAIL") & (F.col("source_update") == v))
+    times = failed.select(*AUDIT_KEYS, F.col("checked_at").alias("start_at"),
+                          (F.col("checked_at") + F.expr("INTERVAL 90 SECONDS")).alias("end_at"))
+    return audit_ops.poll_run(_plan(a), a, v, failed, times, v + F.expr("INTERVAL 1 DAY"))
+
+
 def q_audit_append(spark, sf_dir):
     """Create the audit table (Parquet, shared folder), append typed rows built
     from the poll log, read the table back."""
@@ -268,6 +279,11 @@ def q_page_options(spark, sf_dir):
     return pages.page_options(read_table(spark, sf_dir, "pages"), NAV_BLOCK, NAV_ITEM)
 
 
+def q_page_select_options(spark, sf_dir):
+    """Options of a drop-down whose names hold tags and character references."""
+    return pages.page_options(tv.select_pages(read_table(spark, sf_dir, "pages")), pages.select_block("cmbInst"))
+
+
 def q_page_version(spark, sf_dir):
     return pages.page_version(tv.portal_pages(read_table(spark, sf_dir, "pages")))
 
@@ -409,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "request_urls": q_request_urls,
     "audit_classify": q_audit_classify,
     "updates_gate": q_updates_gate,
+    "poll_run_audit": q_poll_run_audit,
     "audit_append": q_audit_append,
     "mon_last_run": q_mon_last_run,
     "mon_counters": q_mon_counters,
@@ -420,6 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_landed": q_report_landed,
     "report_names": q_report_names,
     "page_options": q_page_options,
+    "page_select_options": q_page_select_options,
     "page_version": q_page_version,
     "clustered_write": q_clustered_write,
     "ingest_stream": q_ingest_stream,

@@ -167,6 +167,14 @@ FROM ({_PENDING_SQL})"""),
     "updates_gate": with_views(f"""
 SELECT count(*) FILTER (WHERE run_status = 'OK') AS updates,
  count(*) FILTER (WHERE run_status = 'OK') > 0 AS refresh FROM ({_CLASSIFY_SQL})"""),
+    "poll_run_audit": with_views(f"""
+SELECT c.institution_name_spanish, c.status_name_spanish, c.run_status, c.source_update,
+ c.source_update + INTERVAL 1 DAY AS checked_at,
+ coalesce(f.checked_at, c.source_update + INTERVAL 1 DAY) AS start_at,
+ coalesce(f.checked_at + INTERVAL 90 SECOND, c.source_update + INTERVAL 1 DAY) AS end_at,
+ CAST(CASE WHEN f.checked_at IS NULL THEN 0 ELSE 90 END AS FLOAT) AS time
+FROM ({_CLASSIFY_SQL}) c LEFT JOIN audit f ON f.institution_name_spanish = c.institution_name_spanish
+ AND f.status_name_spanish = c.status_name_spanish AND f.run_status = 'FAIL' AND f.source_update = c.source_update"""),
     "audit_append": with_views("""
 SELECT institution_name_spanish, status_name_spanish, run_status, source_update, checked_at, start_at, end_at,
  CAST((epoch_us(end_at) - epoch_us(start_at)) / 1e6 AS FLOAT) AS time FROM poll_log"""),
@@ -220,6 +228,10 @@ SELECT page_id, option_no, option FROM (
   FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1),
                                            '(?s)<a[^>]*>(.*?)</a>', 1) AS items FROM pages))
 WHERE length(option) > 0 AND NOT contains(option, 'Seleccione')""",
+    "page_select_options": """
+SELECT page_id, n AS option_no, CASE n WHEN 2 THEN concat('MINISTERIO DE ECONOMÍA & FINANZAS ', page_id)
+ ELSE concat('AÑO € ', page_id, ' &amp; &nada;') END AS option
+FROM pages, (VALUES (2), (3)) t(n)""",
     "page_version": """
 SELECT page_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id * 7) + to_seconds(page_id % 60) AS data_version
 FROM pages""",

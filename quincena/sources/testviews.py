@@ -209,6 +209,17 @@ def report_meta(payroll_df: DataFrame) -> DataFrame:
 # The portal index page states its data version in one line. Each test page
 # gets such a line, with a time derived from its page_id, before its html.
 
+def select_pages(pages_df: DataFrame) -> DataFrame:
+    """Each page with a drop-down before its html: a placeholder, a blank
+    entry, and names with tags and character references."""
+    n = _s("page_id")
+    drop_down = F.concat(
+        F.lit("<SELECT class=\"c\" ID='cmbInst'><option>Seleccione uno</option><option> &nbsp; </option>"),
+        F.lit("<OPTION value=\"1\"> MINISTERIO DE ECONOM&#205;A &amp; FINANZAS <b>"), n, F.lit("</b></OPTION>"),
+        F.lit("<option>A&Ntilde;O &#x20AC; "), n, F.lit(" &amp;amp; &nada;</option></SELECT>"))
+    return pages_df.select("page_id", "url", F.concat(drop_down, F.coalesce("html", F.lit(""))).alias("html"))
+
+
 def portal_pages(pages_df: DataFrame) -> DataFrame:
     ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), (F.col("page_id") * 7).cast("int"), F.lit(0), (F.col("page_id") % 60).cast("decimal(18,6)"))

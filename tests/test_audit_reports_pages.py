@@ -146,3 +146,26 @@ def test_reports_that_cannot_be_read_whole_are_failures(spark):
     assert dict(map(tuple, failures.collect())) == {
         "header": "no header", "banner": "no banner date", "text": "no banner date", "money": "unreadable money",
         "date": "unreadable date", "orphan": "no metadata", "none": "no sheet", "column": "no column gasto"}
+
+
+def test_options_are_the_text_a_reader_sees(spark):
+    html = ("<SELECT name='x' ID=ddl ><Option>&#205;NDICE <b>A</b> &amp; B</Option><option>&#xD800; &#x20ac;</option>"
+            "<option>&nbsp;</option><option><!-- no --></option></SELECT>")
+    df = spark.createDataFrame([(1, "u", html), (2, "u", None)], "page_id long, url string, html string")
+    got = [(r.page_id, r.option) for r in pages.page_options(df, pages.select_block("ddl")).orderBy("option_no").collect()]
+    assert got == [(1, "ÍNDICE A & B"), (1, "&#xD800; €")]
+    other = df.withColumn("html", F.lit("<select data-id='ddl'><option>X</option></select>"))
+    assert pages.page_options(other, pages.select_block("ddl")).count() == 0
+
+
+def test_poll_run_feeds_the_gate(spark):
+    names = "institution_name_spanish string, status_name_spanish string"
+    plan = spark.createDataFrame([("I", "A"), ("I", "B"), ("I", "C")], names)
+    log = spark.createDataFrame([("I", "A", "OK", V1)], names + ", run_status string, source_update timestamp_ntz")
+    times = spark.createDataFrame([("I", "B", V0, V1), ("I", "C", V0, None)],
+                                  names + ", start_at timestamp_ntz, end_at timestamp_ntz")
+    failed = spark.createDataFrame([("I", "C")], names)
+    run = audit.poll_run(plan, log, V1, failed, times, V1)
+    got = {r.status_name_spanish: (r.run_status, r.start_at, r.end_at) for r in run.collect()}
+    assert got == {"A": ("No Update", V1, V1), "B": ("OK", V0, V1), "C": ("FAIL", V0, V1)}
+    assert audit.updates_gate(run).first().updates == 1
