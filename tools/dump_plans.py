@@ -17,21 +17,19 @@ from quincena.plans.catalog import QUERIES  # noqa: E402
 from quincena.session import build_session  # noqa: E402
 
 NOTES = {
-    "snapshot_latest": "One bronze scan, no shuffle of bronze: three broadcast hash joins against "
-                       "size-checked dimensions; the version bound reaches the scan as pushed filters "
+    "snapshot_latest": "One bronze scan; three joins with written dimensions, broadcast when their "
+                       "bytes are below the threshold; the version bound reaches the scan as pushed filters "
                        "(partition filters when bronze is partitioned by version).",
     "scd2_history": "Partial (map-side) aggregate de-duplicates events before the first exchange; one "
                     "more exchange on the six keys serves all windows and the version collapse.",
-    "inactive_employees": "History side is never re-shuffled: the snapshot's distinct keys are broadcast "
-                          "after a row-count check (left anti join).",
+    "inactive_employees": "Anti join with the snapshot's distinct keys; AQE broadcasts them when their "
+                          "measured bytes are below the threshold.",
     "gold_position": "Two-level aggregation (partial before each exchange) for the distinct id count.",
     "gold_employee": "Spark's Expand rewrite of three distinct counts with partial aggregation at both "
                      "levels; the position list is an object-hash aggregate.",
-    "report_clean": "Header positions per sheet, banner dates and metadata per report are broadcast after "
-                    "row-count checks: the data rows are scanned once and never shuffled; cells are picked "
-                    "by position inside generated code.",
-    "pending_reports": "Request plan without a join (status list as one array value after a count "
-                       "check), then one anti join against the up-to-date polls.",
+    "report_clean": "Header and banner rows are written first; data rows join one-row-a-sheet and "
+                    "one-row-a-report tables; a second scan makes the failures, one flag a row.",
+    "pending_reports": "Request plan by an equi-join on hashed groups of statuses, then one anti join against the up-to-date polls.",
     "page_options": "Single scan reading only page_id and html; regex extraction and explode per page.",
 }
 
