@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quincena.llm.chunks import Remembered
-from quincena.llm.common import arrow_slices
+from quincena.llm.common import arrow_slices, bounded, kept
 
 MAX_STATES = 200_000
 
@@ -227,10 +227,9 @@ class Encoder:
         return [b"".join(parts) for parts in self.memory.look_up(texts)]
 
 
-@lru_cache(2)
 def encoder(path: str, pattern: str) -> Encoder:
     """One per worker process, kept across tasks."""
-    return Encoder(read_ranks(path), pattern)
+    return kept(("bpe", path, pattern), lambda: Encoder(read_ranks(path), pattern))
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
@@ -268,7 +267,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
                 + [pa.array(texts, pa.string())] * with_text,
                 names=["doc_id", "ids", "decoded_sha256"] + ["decoded"] * with_text)
 
-    return rows.mapInArrow(run, f"doc_id {kind}, ids binary, decoded_sha256 string{decoded}")
+    return bounded(rows).mapInArrow(run, f"doc_id {kind}, ids binary, decoded_sha256 string{decoded}")
 
 
 def digest(encoded: DataFrame) -> DataFrame:

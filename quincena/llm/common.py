@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
-WORD_MEMO = 400_000
+BATCH_BYTES = 8 << 20
+WORD_MEMO = 200_000
 U64 = np.uint64
 
 
@@ -49,7 +50,7 @@ def slices(sizes: Iterable[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int
         yield lo, n
 
 
-def arrow_slices(batches, column: str, limit: int = SLICE_BYTES):
+def arrow_slices(batches, column: str | int, limit: int = SLICE_BYTES):
     """Slices of Arrow batches holding about ``limit`` bytes of ``column`` each."""
     for batch in batches:
         if not batch.num_rows:
@@ -74,7 +75,27 @@ class WordHash(dict):
         return h
 
 
-_words = WordHash()
+_kept: dict = {}
+
+
+def kept(key, make):
+    """What a worker process keeps from task to task (a tokenizer, a memo).
+    Only that of the operator at work stays: a job of many stages then needs
+    the memory of its largest stage, not of all of them."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose rows will go to Python in batches of about ``BATCH_BYTES``
+    at most: the session's bound on bytes is lowered to that, since its bound
+    on rows says little of texts."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(name).rstrip("bB")) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -83,7 +104,8 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_words.__getitem__, words), U64, len(words))
+    memo = kept("words", WordHash)
+    return np.fromiter(map(memo.__getitem__, words), U64, len(words))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -8,18 +8,20 @@ goes to the tokenizer library in one batch call."""
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quincena.llm.chunks import Remembered
-from quincena.llm.common import arrow_slices
+from quincena.llm.common import arrow_slices, bounded, kept
 
 
-@lru_cache(2)
 def library_tokenizer(path: str):
     """A ``tokenizers`` file, single-threaded: Spark runs one task a core."""
+    return kept(("tokenizer", path), lambda: _tokenizer(path))
+
+
+def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -44,9 +46,8 @@ def cuts_at_blanks(path: str) -> bool:
                     for t in spec.get("added_tokens", [])))
 
 
-@lru_cache(2)
 def counter(path: str):
-    """texts -> counts, one per worker process."""
+    """texts -> counts."""
     if path.endswith(".model"):
         import sentencepiece
 
@@ -80,7 +81,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, doc_id: str = "d
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        count = counter(path)
+        count = kept(("counts", path), lambda: counter(path))
         for part in arrow_slices(batches, "text"):
             texts = part.column("text")
             n = count(texts.to_pylist())
@@ -89,4 +90,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, doc_id: str = "d
                  pa.array([x > limit for x in n], pa.bool_())],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return bounded(rows).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

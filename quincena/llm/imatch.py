@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quincena.llm.common import U64, arrow_slices, hash_words, mix64, utf8, words_of
+from quincena.llm.common import U64, arrow_slices, bounded, hash_words, mix64, utf8, words_of
 from quincena.session import materialize
 
 # The band: a term is in at least this share of documents, and at most in that.
@@ -98,10 +98,10 @@ def lexicon(docs: DataFrame, rare: float = RARE, common: float = COMMON, text: s
     total = texts.count()
     kind = "term long, df long, docs long"
     silent = (total - F.sum("docs")) * (rare / 2)
-    likely = texts.mapInArrow(_document_frequency(rare / 2, None), kind).groupBy("term").agg(
+    likely = bounded(texts).mapInArrow(_document_frequency(rare / 2, None), kind).groupBy("term").agg(
         F.sum("df").alias("df"), silent.alias("silent")).filter(F.col("df") + F.col("silent") >= rare * total)
     likely = np.sort(likely.select("term").toArrow().column("term").to_numpy().view(U64))
-    counts = texts.mapInArrow(_document_frequency(None, likely.tobytes()), kind).groupBy("term").agg(
+    counts = bounded(texts).mapInArrow(_document_frequency(None, likely.tobytes()), kind).groupBy("term").agg(
         F.sum("df").alias("df")).filter(F.col("df").between(rare * total, common * total)).select("term")
     return np.sort(counts.toArrow().column("term").to_numpy().view(U64))
 
@@ -109,7 +109,7 @@ def lexicon(docs: DataFrame, rare: float = RARE, common: float = COMMON, text: s
 N_SUBSETS = 1 + EACH * (len(SIZES) - 1)
 
 
-@lru_cache(2)
+@lru_cache(1)
 def _subsets(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The lexicon; for each subset the hash of each term (0: not in it), and
     whether it is in it."""
@@ -203,7 +203,7 @@ def fingerprints(docs: DataFrame, words: np.ndarray, doc_id: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(prints, pa.string())],
                                              names=["doc_id", "fingerprint"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, fingerprint string")
+    return bounded(rows).mapInArrow(run, f"doc_id {kind}, fingerprint string")
 
 
 def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
@@ -235,7 +235,7 @@ def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
                 "near_edited": likeness(before, after)})
 
     kinds = "doc_id long, next_id long, n_chars long, edited binary, print binary, edited_print binary, near_edited double"
-    judged = materialize(own.mapInArrow(run, kinds), "judged")
+    judged = materialize(bounded(own).mapInArrow(run, kinds), "judged")
     ahead = judged.select(F.col("doc_id").alias("next_id"), F.col("print").alias("next_print"))
     rows = judged.join(ahead, "next_id").select(
         "doc_id", "n_chars", F.lower(F.hex("edited")).alias("edited_sha256"), _unpacked("print").alias("fingerprint"),

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quincena.llm.common import U64, arrow_slices, hash_words, mix64, run_hashes, utf8, words_of
+from quincena.llm.common import U64, arrow_slices, bounded, hash_words, mix64, run_hashes, utf8, words_of
 from quincena.session import materialize
 
 SHINGLE, PERCENT = 5, 75
@@ -136,7 +136,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     rows = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left")), "a") \
         .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("right")), "b")
     union = F.col("total") - F.col("common")
-    return rows.select("a", "b", "left", "right").mapInArrow(_compare, "a long, b long, common long, total long").select(
+    return bounded(rows.select("a", "b", "left", "right")).mapInArrow(_compare, "a long, b long, common long, total long").select(
         "a", "b", (1 - F.col("common") / union).alias("distance"),
         (100 * F.col("common") >= percent * union).alias("linked"))
 
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     Repeated ids are one node. An empty table gives an empty one; other
     columns are left out."""
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(text).alias("text"))
-    signed = materialize(ids.mapInArrow(_sign(bands, rows, shingle),
+    signed = materialize(bounded(ids).mapInArrow(_sign(bands, rows, shingle),
                                         "doc_id long, n long, s1 long, s2 long, bands array<long>"), "signatures")
     some = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = materialize(some.groupBy("n", "s1", "s2").agg(

@@ -12,13 +12,12 @@ from __future__ import annotations
 
 import struct
 import zlib
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quincena.llm.chunks import Remembered
-from quincena.llm.common import arrow_slices, row_key
+from quincena.llm.common import arrow_slices, bounded, kept, row_key
 from quincena.llm.counts import cuts_at_blanks, library_tokenizer
 
 LENGTH = 1024
@@ -76,9 +75,9 @@ class IdEncoder:
         return [b"".join(parts) for parts in self.memory.look_up(texts)]
 
 
-@lru_cache(2)
 def id_encoder(path: str) -> IdEncoder:
-    return IdEncoder(path)
+    """One per worker process, kept across tasks."""
+    return kept(("ids", path), lambda: IdEncoder(path))
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 0, with_ids: bool = False,
@@ -109,7 +108,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 0, wi
                  pa.array([len(whole[i]) // 4 for i in doc], pa.int64())] + [pa.array(cut, pa.binary())] * with_ids,
                 names=["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
 
-    return rows.mapInArrow(run, f"doc_id {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long"
+    return bounded(rows).mapInArrow(run, f"doc_id {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long"
                            + ", ids binary" * with_ids)
 
 

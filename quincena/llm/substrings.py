@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quincena.llm.common import (U64, arrow_slices, hash_words, row_key, run_hashes, slices, text_bytes,
+from quincena.llm.common import (U64, arrow_slices, bounded, hash_words, row_key, run_hashes, slices, text_bytes,
                                  utf8, words_of)
 
 WINDOW = 35
@@ -302,7 +302,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BU
     home = F.shiftrightunsigned(F.shiftrightunsigned(key, 32) * F.lit(buckets), 32).cast("int")
     homes = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in zip(columns, carried, strict=True)],
                         key.alias("_key"), raw.alias("_text"), home.alias("home"))
-    anchors = docs.select(key.alias("key"), raw.alias("text")).mapInArrow(_anchors(window, buckets), ENTRIES) \
+    anchors = bounded(docs).select(key.alias("key"), raw.alias("text")).mapInArrow(_anchors(window, buckets), ENTRIES) \
         .groupBy("bucket").applyInArrow(_answer(buckets), MARKS)
     windows = homes.groupBy("home").cogroup(anchors.groupBy("home")).applyInArrow(_windows(window, buckets), ENTRIES)
     repeats = windows.groupBy("bucket").applyInArrow(_answer(buckets), MARKS)

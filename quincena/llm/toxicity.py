@@ -11,14 +11,13 @@ special treatment.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quincena.llm.common import WORD_MEMO, arrow_slices, slices, utf8
+from quincena.llm.common import WORD_MEMO, arrow_slices, bounded, kept, utf8
 
 FEATURES = 1 << 18
 RIDGE = 2e-4
@@ -142,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_
                                               pa.array(bags, pa.list_(pa.list_(pa.binary())))], names=["_id", "_toxic", "bag"])
 
     kind = sample.schema["_id"].dataType.simpleString()
-    rows = sample.mapInArrow(bag, f"_id {kind}, _toxic int, bag array<array<binary>>").filter("size(bag) > 0").toArrow()
+    rows = bounded(sample).mapInArrow(bag, f"_id {kind}, _toxic int, bag array<array<binary>>").filter("size(bag) > 0").toArrow()
     rows = rows.sort_by("_id").combine_chunks()  # the same sums whatever order rows arrive in
     bags = rows.column("bag").combine_chunks()
     inner = bags.flatten()
@@ -154,9 +153,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_
                np.array([totals.get(int(c), 0) / drawn[int(c)] for c in toxic]))
 
 
-@lru_cache(2)
 def _lookup(data: bytes) -> _Weights:
-    return _Weights(np.frombuffer(data, np.float32))
+    return kept(("toxicity", data), lambda: _Weights(np.frombuffer(data, np.float32)))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5, doc_id: str = "doc_id",
@@ -186,7 +184,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5, doc_id: str = "
                 [part.column("doc_id"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)),
                  pa.array(places, found)], names=["doc_id", "score", "predicted", "offending"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int, "
+    return bounded(rows).mapInArrow(run, f"doc_id {kind}, score double, predicted int, "
                            "offending array<struct<start: int, end: int, score: double>>")
 
 
@@ -227,9 +225,8 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5, doc_id: st
         import pyarrow as pa
 
         weight = _lookup(data)
-        for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(place).to_pylist()]
-            for lo, hi in slices(map(len, texts)):
-                yield batch.slice(lo, hi - lo).filter(pa.array(_judge(texts[lo:hi], weight, bias)[0] < threshold))
+        for part in arrow_slices(batches, place):
+            texts = [(t or "").encode() for t in part.column(place).to_pylist()]
+            yield part.filter(pa.array(_judge(texts, weight, bias)[0] < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
