@@ -211,13 +211,24 @@ def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
     replaced by the beginning of the next document), and how alike they are.
 
     Texts move once: an edited text is made where its document is, from the
-    characters that its neighbour sends."""
+    characters that its neighbour sends together with its own fingerprint."""
     data = words.tobytes()
     near = materialize(neighbours(docs), "neighbours")
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def sign(batches):
+        import pyarrow as pa
+
+        for part in arrow_slices(batches, "text"):
+            prints = _packed(codes(part.column("text").to_pylist(), data))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), prints],
+                                             names=["doc_id", "text", "print"])
+
+    base = bounded(docs.select("doc_id", utf8("text").alias("text"))).mapInArrow(
+        sign, "doc_id long, text binary, print binary").withColumn("text", F.col("text").cast("string"))
     placed = base.join(near, "doc_id")
-    gifts = placed.select(F.col("gift_to").alias("doc_id"), F.expr("substring(text, 1, gift)").alias("gift"))
-    own = placed.select("doc_id", "next_id", "text").join(gifts, "doc_id")
+    gifts = placed.select(F.col("gift_to").alias("doc_id"), F.expr("substring(text, 1, gift)").alias("gift"),
+                          F.col("print").alias("next_print"))
+    own = placed.select("doc_id", "text", "print").join(gifts, "doc_id")
 
     def run(batches):
         import pyarrow as pa
@@ -226,25 +237,16 @@ def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
             texts = part.column("text").to_pylist()
             changed = [(t[:len(t) - len(t) // 3] + gift).encode()
                        for t, gift in zip(texts, part.column("gift").to_pylist(), strict=True)]
-            before, after = codes([t.encode() for t in texts], data), codes(changed, data)
+            before, after, ahead = _codes_of(part.column("print")), codes(changed, data), _codes_of(part.column("next_print"))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": part.column("doc_id"), "next_id": part.column("next_id"),
-                "n_chars": pa.array(map(len, texts), pa.int64()),
-                "edited": pa.array([hashlib.sha256(c).digest() for c in changed], pa.binary()),
-                "print": _packed(before), "edited_print": _packed(after),
-                "near_edited": likeness(before, after)})
-
-    kinds = "doc_id long, next_id long, n_chars long, edited binary, print binary, edited_print binary, near_edited double"
-    judged = materialize(bounded(own).mapInArrow(run, kinds), "judged")
-    ahead = judged.select(F.col("doc_id").alias("next_id"), F.col("print").alias("next_print"))
-    rows = judged.join(ahead, "next_id").select(
-        "doc_id", "n_chars", F.lower(F.hex("edited")).alias("edited_sha256"), _unpacked("print").alias("fingerprint"),
-        _unpacked("edited_print").alias("edited_fingerprint"), "near_edited", _unpacked("next_print").alias("next_fingerprint"))
-    a, b = F.split("fingerprint", "-"), F.split("next_fingerprint", "-")
-    pairs = F.filter(F.arrays_zip(a.alias("a"), b.alias("b")), lambda p: (p["a"] != ".") | (p["b"] != "."))
-    same = F.size(F.filter(pairs, lambda p: p["a"] == p["b"]))
-    return rows.withColumn("near_next", F.when(F.size(pairs) > 0, same / F.size(pairs)).otherwise(1.0)) \
-        .drop("next_fingerprint")
+                "doc_id": part.column("doc_id"), "n_chars": pa.array(map(len, texts), pa.int64()),
+                "edited_sha256": pa.array([hashlib.sha256(c).hexdigest() for c in changed], pa.string()),
+                "fingerprint": pa.array(written(before), pa.string()),
+                "edited_fingerprint": pa.array(written(after), pa.string()),
+                "near_edited": likeness(before, after), "near_next": likeness(before, ahead)})
+
+    return bounded(own).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+                                   "edited_fingerprint string, near_edited double, near_next double")
 
 
 def _packed(rows: np.ndarray):
@@ -254,6 +256,7 @@ def _packed(rows: np.ndarray):
     return pa.array([r.tobytes() for r in np.where(rows < 0, 0xFFFF, rows).astype(">u2")], pa.binary())
 
 
-def _unpacked(column: str):
-    """``written`` of packed codes, as an expression."""
-    return F.regexp_replace(F.regexp_replace(F.lower(F.hex(column)), "(.{4})(?!$)", "$1-"), "ffff", ".")
+def _codes_of(column) -> np.ndarray:
+    """The codes of packed ones."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), ">u2").reshape(-1, N_SUBSETS).astype(np.int32)
+    return np.where(rows == 0xFFFF, -1, rows)
