@@ -256,8 +256,9 @@ def _judge(texts: list[bytes], weight: _Weights, bias: float, lowered: np.ndarra
     for i, t in enumerate(texts):
         for j, s in enumerate(sentences(t)):
             if s:
-                words += s
-                length.append(len(s))
+                own = dict.fromkeys(s)  # each word once, as in train
+                words += own
+                length.append(len(own))
                 doc.append(i)
                 which.append(j)
     if not words:

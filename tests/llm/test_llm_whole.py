@@ -44,3 +44,13 @@ def test_op10_part_of_long_clean_texts_is_learnt(workers):  # noqa: F811
     place = toxicity.features(b"seldom")[0]
     with_it, without = (toxicity.train(frame(workers, r), labels).weights[place] for r in (rows, rows[:-1]))
     assert with_it < without
+
+
+def test_op10_a_repeated_word_counts_once(workers):  # noqa: F811
+    model = trained(workers)
+    once, often = "w1 w2 w3 w4.", "w1 w2 w3 w4 " * 20 + "."
+    bad = [("Vileword9 w1.", "Vileword9 " * 3 + "w1.")]
+    pairs = [(once, often), *bad]
+    rows = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
+    got = {r.doc_id: r.score for r in toxicity.score(frame(workers, rows), model).collect()}
+    assert all(abs(got[2 * i] - got[2 * i + 1]) < 1e-12 for i in range(len(pairs)))
