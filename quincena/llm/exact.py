@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quincena.session import materialize
+
 PREFIX = 256
 
 
@@ -53,10 +55,26 @@ def resolve(docs: DataFrame, normalise=unchanged, doc_id: str = "doc_id", text:
 
 
 def keep_one(docs: DataFrame, normalise=unchanged, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` (all columns) without the rows that ``resolve`` does not keep."""
-    dropped = resolve(docs, normalise, doc_id, text).filter("NOT kept").select(
-        F.col("doc_id").alias("_dropped"), F.col("text_sha256").alias("_dropped_sha256")).distinct()
+    """``docs`` (all columns) with exactly one row of each group of equal texts:
+    one that ``resolve`` keeps. Where several rows of a group carry the kept
+    id, or none of it has an id, any one of them stays."""
+    judged = materialize(resolve(docs, normalise, doc_id, text).filter("group_size > 1").groupBy(
+        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_id_sha256")).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "copies")
     whole = F.sha2(normalise(F.coalesce(F.col(text), F.lit(""))).cast("binary"), 256)
-    return docs.withColumn("_sha256", whole).join(
-        dropped, (F.col("_sha256") == F.col("_dropped_sha256")) & F.col(doc_id).eqNullSafe(F.col("_dropped")),
-        "left_anti").drop("_sha256")
+    rows = docs.withColumn("_sha256", whole)
+    same = (F.col("_sha256") == F.col("_id_sha256")) & F.col(doc_id).eqNullSafe(F.col("_id"))
+    return without_repeats(rows, judged.filter("NOT kept OR n > 1").drop("kept", "n"),
+                           judged.filter("kept AND n > 1").drop("kept", "n"), same, ["_sha256", doc_id]).drop("_sha256")
+
+
+def without_repeats(rows: DataFrame, left_out: DataFrame, repeated: DataFrame, same: Column, keys: list[str]) -> DataFrame:
+    """``rows`` that match (``same``) no row of ``left_out``, and one row for
+    each ``keys`` of those that match ``repeated``, a part of ``left_out``.
+
+    Repeated rows are dealt anew before they are reduced, first where they
+    are, so that one row that stands very often is no task's alone."""
+    out = rows.join(left_out, same, "left_anti")
+    if not repeated.limit(1).count():
+        return out
+    return out.union(rows.join(repeated, same, "left_semi").hint("rebalance").dropDuplicates(keys))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quincena.llm.common import U64, arrow_slices, bounded, hash_words, mix64, run_hashes, utf8, words_of
+from quincena.llm.exact import without_repeats
 from quincena.session import materialize
 
 SHINGLE, PERCENT = 5, 75
@@ -273,3 +274,28 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     dropped = near_duplicates(docs, doc_id=doc_id, text=text, **options).filter("NOT kept").select(
         F.col("doc_id").alias("_dropped"))
     return docs.join(dropped, docs[doc_id] == F.col("_dropped"), "left_anti")
+
+
+def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` (all columns) with exactly one row of each component, whatever
+    the ids: rows without an id are compared like any other, and rows that
+    share an id but not the text are documents of their own. Rows with an id
+    of their own stay before the others, the least id first. Rows of equal id
+    and text are one document, of which any row stays."""
+    # A row's node: its id, or where that is null or repeated 62 bits of a hash of the row, above usual ids.
+    value = F.coalesce(F.col(text), F.lit(""))
+    high, mask = F.lit(1 << 62), F.lit((1 << 62) - 1)
+    ids = docs.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("_id")).agg(
+        F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("_id")
+    ids = materialize(ids, "repeated-ids")
+    hashed = F.xxhash64(F.col(doc_id).cast("long"), value).bitwiseAND(mask).bitwiseOR(high)
+    node = F.when(F.col(doc_id).isNull(), hashed).otherwise(F.col(doc_id).cast("long"))
+    rows = docs.withColumn("_node", node)
+    if ids.limit(1).count():
+        rows = docs.join(ids, F.col(doc_id).cast("long") == F.col("_id"), "left").withColumn(
+            "_node", F.when(F.col("_id").isNull(), node).otherwise(hashed)).drop("_id")
+    near = near_duplicates(rows.select("_node", text), doc_id="_node", text=text, **options)
+    judged = materialize(near.groupBy(F.col("doc_id").alias("_judged")).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("NOT kept OR n > 1"), "judged")
+    return without_repeats(rows, judged.select("_judged"), judged.filter("kept").select("_judged"),
+                           F.col("_node") == F.col("_judged"), ["_node"]).drop("_node")

@@ -54,3 +54,40 @@ def test_op10_a_repeated_word_counts_once(workers):  # noqa: F811
     rows = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
     got = {r.doc_id: r.score for r in toxicity.score(frame(workers, rows), model).collect()}
     assert all(abs(got[2 * i] - got[2 * i + 1]) < 1e-12 for i in range(len(pairs)))
+
+
+def test_op9_keeps_one_row(workers):  # noqa: F811
+    rows = [(1, "a b")] * 3 + [(None, "a b"), (None, "c")] + [(None, "d")] * 4 + [(2, "e"), (7, "a b"), (7, "a b"), (7, "f"), (5, None), (5, "")]
+    docs = frame(workers, rows)
+    kept = exact.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((str(r.doc_id), r.text or "") for r in kept.collect())) == [
+        ("2", "e"), ("5", ""), ("7", "a b"), ("7", "f"), ("None", "c"), ("None", "d")]
+
+
+def test_op6_keeps_one_row(workers):  # noqa: F811
+    rng = random.Random(3)
+    base, other = words(rng, 100), words(rng, 100)
+    near = [" ".join(base[:-i] + [f"x{i}"] * i) for i in range(1, 4)]
+    rows = [(None, near[0]), (None, near[1]), (9, near[2]), (4, " ".join(base)), (4, " ".join(other)), (4, " ".join(other)),
+            (None, " ".join(other[:-1] + ["y"])), (6, None), (None, "alone"), (None, "alone"), (8, "alone")]
+    docs = frame(workers, rows)
+    kept = minhash.keep_one_row(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got.pop((9, near[2])) == 1 and got.pop((6, None)) == 1 and got.pop((8, "alone")) == 1
+    assert len(got) == 1 and sum(got.values()) == 1 and next(iter(got))[1] in {" ".join(other), " ".join(other[:-1] + ["y"])}
+
+
+def test_pipeline_keeps_a_row_of_repeated_rows(workers, tmp_dir):  # noqa: F811
+    """Clean documents that stand several times, with and without an id, come out once."""
+    rng = random.Random(5)
+    texts = [" ".join(words(rng, 80, 100_000)) for _ in range(6)]
+    rows = [(1, texts[0])] * 3 + [(None, texts[1])] * 3 + [(2, texts[2]), (None, texts[2]), (3, texts[3])]
+    rows += [(None, texts[4] + " end"), (None, texts[4] + " stop"), (3, texts[5]), (3, texts[5])]
+    docs = frame(workers, rows)
+    workers.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(workers, docs, tmp_dir).localCheckpoint()
+    left = Counter(r.text.rsplit(" ", 1)[0] if r.text.endswith((" end", " stop")) else r.text for r in docs.collect())
+    assert left == Counter(texts)
