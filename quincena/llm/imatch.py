@@ -165,19 +165,22 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, next_id, gift_to, gift``: the next document in descending
-    order of ids (after the last the first), the document that this one is
-    next to, and how many characters that one takes.
+    """``doc_id, next_id, gift_to, gift, repeats``: the next document in
+    descending order of ids (after the last the first), the document that this
+    one is next to, how many characters that one takes (the most that any of
+    its rows takes), and whether any id of the table stands on several rows.
+    One row for each id; null ids have no place in the order.
 
     Ids are dealt to ranges; within a range the order comes from a window
     over that range, between ranges from one row for each of them."""
     ids = docs.select(F.col(doc_id).alias("doc_id"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("n")) \
-        .filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        .filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("times"))
     dealt = materialize(ids.repartitionByRange(F.desc("doc_id")).withColumn("range", F.spark_partition_id()), "ids")
-    edge = dealt.groupBy("range").agg(F.max(F.struct("doc_id", "n")).alias("top"), F.min(F.struct("doc_id", "n")).alias("end"))
+    edge = dealt.groupBy("range").agg(F.max(F.struct("doc_id", "n")).alias("top"), F.min(F.struct("doc_id", "n")).alias("end"),
+                                     F.max("times").alias("times"))
     # One row for each range: as few as there are partitions.
     edges = sorted(edge.collect(), key=lambda r: -r["top"]["doc_id"])
-    spark = docs.sparkSession
+    spark, repeats = docs.sparkSession, any(r["times"] > 1 for r in edges)
     around = [(r["range"], edges[(i + 1) % len(edges)]["top"]["doc_id"], edges[i - 1]["end"]["doc_id"],
                edges[i - 1]["end"]["n"]) for i, r in enumerate(edges)]
     border = spark.createDataFrame(around, "range int, after long, before long, before_n int")
@@ -186,7 +189,7 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                         F.lag("doc_id").over(down).alias("gift_to"), F.lag("n").over(down).alias("to_n")) \
         .join(F.broadcast(border), "range").select(
             "doc_id", F.coalesce("next_id", "after").alias("next_id"), F.coalesce("gift_to", "before").alias("gift_to"),
-            F.floor(F.coalesce("to_n", "before_n") / 3).cast("int").alias("gift"))
+            F.floor(F.coalesce("to_n", "before_n") / 3).cast("int").alias("gift"), F.lit(repeats).alias("repeats"))
 
 
 def fingerprints(docs: DataFrame, words: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,7 +211,12 @@ def fingerprints(docs: DataFrame, words: np.ndarray, doc_id: str = "doc_id", tex
 
 def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
     """Fingerprints of all documents and of their edited texts (the last third
-    replaced by the beginning of the next document), and how alike they are.
+    replaced by the beginning of the next document), and how alike they are:
+    one row for each row of ``docs``. A row without an id stands in no order
+    and is its own next document, as the only document of a table is. Rows
+    that repeat an id have one next document, that of the id; where the next
+    id stands on several rows, the one whose text begins least (in bytes, by
+    then its fingerprint) is the next document of all.
 
     Texts move once: an edited text is made where its document is, from the
     characters that its neighbour sends together with its own fingerprint."""
@@ -223,19 +231,26 @@ def edited(docs: DataFrame, words: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), prints],
                                              names=["doc_id", "text", "print"])
 
-    base = bounded(docs.select("doc_id", utf8("text").alias("text"))).mapInArrow(
-        sign, "doc_id long, text binary, print binary").withColumn("text", F.col("text").cast("string"))
-    placed = base.join(near, "doc_id")
-    gifts = placed.select(F.col("gift_to").alias("doc_id"), F.expr("substring(text, 1, gift)").alias("gift"),
-                          F.col("print").alias("next_print"))
-    own = placed.select("doc_id", "text", "print").join(gifts, "doc_id")
+    def signed(which: str) -> DataFrame:
+        return bounded(docs.filter(which).select("doc_id", utf8("text").alias("text"))).mapInArrow(
+            sign, "doc_id long, text binary, print binary").withColumn("text", F.col("text").cast("string"))
+
+    base = signed("doc_id IS NOT NULL")
+    gifts = base.join(near, "doc_id").select(F.col("gift_to").alias("doc_id"),
+                                             F.expr("substring(text, 1, gift)").alias("gift"),
+                                             F.col("print").alias("next_print"))
+    if near.filter("repeats").limit(1).count():  # one gift for each id
+        gifts = gifts.groupBy("doc_id").agg(F.min(F.struct("gift", "next_print")).alias("least")).select("doc_id", "least.*")
+    alone = signed("doc_id IS NULL").select("doc_id", "text", "print", F.expr("substring(text, 1, length(text) div 3)").alias("gift"),
+                                            F.col("print").alias("next_print"))
+    own = base.join(gifts, "doc_id").union(alone)
 
     def run(batches):
         import pyarrow as pa
 
         for part in arrow_slices(batches, "text"):
             texts = part.column("text").to_pylist()
-            changed = [(t[:len(t) - len(t) // 3] + gift).encode()
+            changed = [(t[:len(t) - len(t) // 3] + gift[:len(t) // 3]).encode()
                        for t, gift in zip(texts, part.column("gift").to_pylist(), strict=True)]
             before, after, ahead = _codes_of(part.column("print")), codes(changed, data), _codes_of(part.column("next_print"))
             yield pa.RecordBatch.from_pydict({

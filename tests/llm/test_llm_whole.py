@@ -91,3 +91,24 @@ def test_pipeline_keeps_a_row_of_repeated_rows(workers, tmp_dir):  # noqa: F811
         docs = stage(workers, docs, tmp_dir).localCheckpoint()
     left = Counter(r.text.rsplit(" ", 1)[0] if r.text.endswith((" end", " stop")) else r.text for r in docs.collect())
     assert left == Counter(texts)
+
+
+def test_op7_null_and_repeated_ids(workers):  # noqa: F811
+    rng = random.Random(6)
+    t = [" ".join(words(rng, 20 + 9 * i)) for i in range(6)]
+    rows = [(1, t[0]), (2, t[1]), (2, t[1]), (2, t[3]), (3, t[2]), (3, t[4]), (3, t[4]), (None, t[5]), (None, t[5]), (None, None)]
+    docs = frame(workers, rows)
+    lex = imatch.lexicon(docs, 0.01, 0.9)
+    begins = {1: t[0], 2: min(t[1], t[3]), 3: min(t[2], t[4])}
+    expected = []
+    for i, text in rows:
+        text = text or ""
+        ahead = text if i is None else begins[{3: 2, 2: 1, 1: 3}[i]]
+        k = len(text) // 3
+        changed = text[:len(text) - k] + ahead[:k]
+        a, b, c = (imatch.fingerprint(x.encode(), lex.tobytes()) for x in (text, changed, ahead))
+        expected.append((i, len(text), hashlib.sha256(changed.encode()).hexdigest(), a, b, round(alike(a, b), 9), round(alike(a, c), 9)))
+    got = [(r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9))
+           for r in imatch.edited(docs, lex).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    assert len(imatch.edited(frame(workers, [(None, "only")]), lex).collect()) == 1
