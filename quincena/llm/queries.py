@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quincena.llm import bpe, counts, exact, imatch, lines, minhash, packing, substrings, toxicity, urls
+from quincena.llm import (bpe, codes, counts, exact, imatch, lines, minhash, neighbours, packing, substrings, toxicity,
+                          trie, urls)
 from quincena.llm.common import documents
 
 JSON = "byte_bpe_50k.json"
@@ -67,5 +68,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (op1_packing, op2_url_filter, op3_bpe, op4_substring_dedup, op5_line_dedup,
-                                   op6_minhash, op7_imatch, op8_token_counts, op9_exact_dedup, op10_toxicity)}
+                                   op6_minhash, op7_imatch, op8_token_counts, op9_exact_dedup, op10_toxicity,
+                                   op11_collision_search, op12_vector_codes, op13_prefix_trie)}
