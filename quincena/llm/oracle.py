@@ -48,4 +48,52 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE = {"op4_substring_dedup": OP4, "op5_line_dedup": OP5, "op6_minhash": OP6, "op9_exact_dedup": OP9}
+def _op12(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Each round as two tables: the nearest entry of every part, the moved entries.
+    Squared distances are integers that a DOUBLE holds exactly."""
+    def nearest(r: int) -> str:
+        return f"""near{r} AS (SELECT vec_id, label, cut.p AS p, any_value(cut.c) AS c,
+  min(ROW(list_inner_product(cut.c, cut.c) - 2 * list_inner_product(cut.c, b.c) + list_inner_product(b.c, b.c), b.e)) AS best
+ FROM cut JOIN book{r} b ON cut.p = b.p GROUP BY vec_id, label, cut.p)"""
+
+    tables = [f"""kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (SELECT vec_id, label, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS c FROM kept, range({parts}) t(p)),
+book0 AS (SELECT p, e, c FROM (SELECT p, c, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM cut) WHERE e < {entries})"""]
+    for r in range(rounds):
+        tables += [nearest(r), f"""mean{r} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (
+  SELECT p, best[2] AS e, i, floor(sum(c[i]) / count(*)) AS m FROM near{r}, unnest(range(1, len(c) + 1)) u(i) GROUP BY ALL) GROUP BY p, e)""",
+                   f"""book{r + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c
+ FROM book{r} b LEFT JOIN mean{r} m ON b.p = m.p AND b.e = m.e)"""]
+    tables += [nearest(rounds), f"""coded AS (SELECT vec_id, label, sum(best[1])::BIGINT AS error,
+  string_agg(lpad(lower(hex(best[2])), 2, '0'), '' ORDER BY p) AS code FROM near{rounds} GROUP BY vec_id, label)"""]
+    return "WITH " + ",\n".join(tables) + f"""
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+ (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) FROM book{rounds})
+ AS codebooks_sha256 FROM coded"""
+
+
+# crc32 of the id's digits: bit by bit, with the reversed polynomial.
+OP13 = """
+WITH t AS (SELECT conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS said,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY i) AS s FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, s, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+  lambda crc, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)),
+  4294967295), 4294967295) % 6 AS h FROM own),
+made AS (SELECT h.conv_id, list_concat(list_slice(coalesce(b.s, []), 1, h), list_slice(h.s, h + 1, len(h.s))) AS s
+  FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100),
+member AS (SELECT conv_id, unnest(range(len(s) + 1)) AS d, len(s) AS n, s FROM made),
+node AS (SELECT list_slice(s, 1, d) AS path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = n), '')) AS ends_sha256 FROM member GROUP BY ALL),
+child AS (SELECT list_slice(path, 1, d - 1) AS above, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+grown AS (SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child ON child.above = node.path),
+below AS (SELECT list_slice(path, 1, u.k) AS top, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+  sum((n_convs - 1) * coalesce(length(path[d].t), 0))::BIGINT AS saved_tokens FROM grown, unnest(range(d + 1)) u(k) GROUP BY 1)
+SELECT g.conv_id, g.d AS depth, p.conv_id AS parent_conv_id, g.n_convs, g.n_children, n_leaves, saved_tokens, g.ends_sha256
+FROM grown g JOIN below ON below.top = g.path LEFT JOIN node p ON g.d > 0 AND p.path = list_slice(g.path, 1, g.d - 1)
+"""
+
+ORACLE = {"op4_substring_dedup": OP4, "op5_line_dedup": OP5, "op6_minhash": OP6, "op9_exact_dedup": OP9,
+          "op12_vector_codes": _op12(), "op13_prefix_trie": OP13}
