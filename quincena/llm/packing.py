@@ -10,15 +10,13 @@ the loss against packing all at once is a fraction of one sequence a group."""
 
 from __future__ import annotations
 
-import struct
 import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quincena.llm.chunks import Remembered
-from quincena.llm.common import arrow_slices, bounded, kept, row_key
-from quincena.llm.counts import cuts_at_blanks, library_tokenizer
+from quincena.llm.common import arrow_slices, bounded
+from quincena.llm.ids import id_encoder, merge_ranks
 
 LENGTH = 1024
 GROUP_DOCUMENTS = 4096
@@ -57,56 +55,40 @@ def first_fit_decreasing(sizes: list[int], capacity: int = LENGTH) -> list[tuple
     return out
 
 
-class IdEncoder:
-    """Texts to little-endian unsigned 32-bit ids, by the tokenizers library."""
-
-    def __init__(self, path: str):
-        tokenizer = library_tokenizer(path)
-
-        def encode(texts):
-            return [struct.pack(f"<{len(e)}I", *e.ids)
-                    for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-        self.encode, self.memory = encode, Remembered(encode) if cuts_at_blanks(path) else None
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if self.memory is None:
-            return self.encode(texts)
-        return [b"".join(parts) for parts in self.memory.look_up(texts)]
-
-
-def id_encoder(path: str) -> IdEncoder:
-    """One per worker process, kept across tasks."""
-    return kept(("ids", path), lambda: IdEncoder(path))
-
-
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 0, with_ids: bool = False,
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document as pieces of at most ``length`` ids:
     ``doc_id, row, start, length, ids_crc32, doc_tokens`` and with
-    ``with_ids`` the ``ids`` themselves (binary). ``row`` is the hash by which
-    documents are dealt to groups."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("row"),
+    ``with_ids`` the ``ids`` themselves (binary). ``row`` is the number by
+    which documents are dealt to groups; repeated rows have different ones."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"),
+                       F.xxhash64(F.monotonically_increasing_id()).alias("row"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    end = struct.pack("<I", end_id)
+    by_ranks = merge_ranks(path) is not None
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        encode = id_encoder(path)
+        encode, end = id_encoder(path, by_ranks), np.array([end_id], np.uint32)
         for part in arrow_slices(batches, "text"):
-            whole = [b + end for b in encode(part.column("text").to_pylist())]
-            at = [(i, start) for i, b in enumerate(whole) for start in range(0, len(b) // 4, length)]
-            cut = [whole[i][4 * start:4 * (start + length)] for i, start in at]
-            doc = np.array([i for i, _ in at])
+            whole = encode(part.column("text").to_pylist())
+            size = np.array([len(ids) + 1 for ids in whole], np.int64)
+            ids = np.concatenate([x for one in whole for x in (one, end)]).astype("<u4")
+            count = -(-size // length)
+            doc = np.repeat(np.arange(len(whole)), count)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * length
+            held = np.minimum(length, size[doc] - start)
+            at = np.concatenate([[0], np.cumsum(held)])  # pieces follow one another as the ids do
+            raw, cut = memoryview(ids).cast("B"), (4 * at).tolist()
+            crc = [zlib.crc32(raw[lo:hi]) for lo, hi in zip(cut, cut[1:], strict=False)]
+            columns = [part.column("doc_id").take(pa.array(doc)), part.column("row").take(pa.array(doc)), pa.array(start),
+                       pa.array(held), pa.array(crc, pa.int64()), pa.array(size[doc])]
+            if with_ids:
+                columns.append(pa.array([raw[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:], strict=False)], pa.binary()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(doc)), part.column("row").take(pa.array(doc)),
-                 pa.array([start for _, start in at], pa.int64()), pa.array([len(c) // 4 for c in cut], pa.int64()),
-                 pa.array([zlib.crc32(c) for c in cut], pa.int64()),
-                 pa.array([len(whole[i]) // 4 for i in doc], pa.int64())] + [pa.array(cut, pa.binary())] * with_ids,
-                names=["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
+                columns, names=["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
 
     return bounded(rows).mapInArrow(run, f"doc_id {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long"
                            + ", ids binary" * with_ids)
@@ -119,9 +101,8 @@ def pack(cut: DataFrame, n_documents: int, capacity: int = LENGTH,
 
     Groups hold ``group_documents`` documents on average however many there
     are: their number follows from ``n_documents``. Pieces that fill a
-    sequence go through the same tree and get one of their own. Equal rows
-    (same id and text) fall into one group but never share a piece; the
-    order of ties is (row, start). An empty table gives an empty one."""
+    sequence go through the same tree and get one of their own. The order
+    of ties is (row, start). An empty table gives an empty one."""
     groups = max(1, -(-n_documents // group_documents))
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("row", F.lit(17), F.col("start")), F.lit(groups)))
     names = [c for c in cut.columns if c != "row"]

@@ -148,3 +148,45 @@ def test_op1_rows(workers):  # noqa: F811
 def test_op1_repeated_rows_are_documents_of_their_own(workers):  # noqa: F811
     got = packing.pack_documents(frame(workers, [(1, "a b"), (1, "a b"), (None, "c")]), JSON).collect()
     assert len(got) == 3 and len({(r.sequence_id, r.offset) for r in got}) == 3
+
+
+def test_op1_ids_by_ranks_are_the_library_s():
+    import numpy as np
+
+    from quincena.llm import ids
+    from quincena.llm.counts import library_tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert ids.merge_ranks(path) is not None
+    assert ids.merge_ranks(public_tokenizers.path("word_bpe_49k.json")) is None
+    rng = random.Random(4)
+    texts = ["", " ", "a<|endoftext|>b <|endoftext|> <|endof", "\n\n  x\t\ty  ", "don't we'll 'S", "a" * 5000, " " * 3000 + "é😀",
+             "١٢٣ 一二三 \u0301a\u200d", "\x00\x1f\x85\u2028z"]
+    texts += ["".join(rng.choice("abcdeé 一\n.'1😀 ") for _ in range(rng.randrange(200))) for _ in range(500)]
+    want = [e.ids for e in library_tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+    for by_ranks in (True, False):
+        got = ids._encoder(path, by_ranks)(texts)
+        assert [g.tolist() for g in got] == want and all(g.dtype == np.uint32 for g in got)
+
+
+def test_op1_a_file_whose_merges_ranks_do_not_tell(tmp_path):
+    import json
+
+    from quincena.llm import ids
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    made = {c: i for c, i in spec["model"]["vocab"].items() if i < 256}
+    for merges, fit in (([["b", "c"], ["a", "bc"]], True), ([["a", "b"], ["b", "c"], ["a", "bc"]], False)):
+        spec["model"]["merges"] = merges
+        spec["model"]["vocab"] = made | {a + b: 256 + i for i, (a, b) in enumerate(merges)}
+        path = tmp_path / f"{len(merges)}.json"
+        path.write_text(json.dumps(spec), encoding="utf-8")
+        assert (ids.merge_ranks(str(path)) is not None) == fit
+
+
+def test_op1_copies_spread_over_groups(workers):  # noqa: F811
+    docs = frame(workers, [(None, None)] * 3000)
+    got = packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), 3000, group_documents=600)
+    sizes = [r["count"] for r in got.groupBy((got.sequence_id / (1 << 32)).cast("int")).count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 900
