@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import struct
+from array import array
 from functools import lru_cache
 
 import regex
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quincena.llm.chunks import Remembered
 from quincena.llm.common import arrow_slices, bounded, kept
 
-MAX_STATES = 200_000
+MAX_STATES = 600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -153,14 +153,14 @@ class Transducer:
         """The ids of one piece (one match of the split pattern)."""
         if len(self.states) > self.max_states:
             self._reset()
-        state, out = 0, []
+        state, out, following = 0, [], self.next.get
         for byte in piece:
-            known = self.next.get(state << 8 | byte)
+            known = following(state << 8 | byte)
             if known is None:
                 if len(self.states) > 2 * self.max_states:  # within one long piece
                     here = self.states[state]
                     self._reset()
-                    state = self._state(here)
+                    state, following = self._state(here), self.next.get
                 known = self.next[state << 8 | byte] = self._step(state, byte)
             state, sure = known
             if sure:
@@ -216,11 +216,15 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.machine = Transducer(ranks)
         self.find = regex.compile(pattern).findall
-        self.memory = Remembered(lambda chunks: [self._chunk(c) for c in chunks])
-
-    def _chunk(self, chunk: str) -> bytes:
-        ids = [i for piece in self.find(chunk) for i in self.machine.encode(piece.encode())]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.memory = Remembered(self._chunks)
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        find, encode, out = self.find, self.machine.encode, []
+        for chunk in chunks:
+            pieces = find(chunk)
+            ids = encode(pieces[0].encode()) if len(pieces) == 1 else [i for p in pieces for i in encode(p.encode())]
+            out.append(array("I", ids).tobytes())
+        return out
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""

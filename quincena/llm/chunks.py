@@ -26,24 +26,29 @@ def chunks(text: str) -> tuple[str, list[str]]:
 
 
 class Remembered:
-    """Encodings of chunks, kept for up to ``size`` chunks and those of one
-    slice. ``encode_many`` is called once for all unknown chunks of a slice;
-    chunks beyond ``longest`` characters are not kept."""
+    """Encodings of chunks in two generations of up to ``size`` chunks each
+    (and those of one slice): when the younger is full it becomes the older,
+    and what is met again moves back, so frequent chunks stay known.
+    ``encode_many`` is called once for all unknown chunks of a slice; chunks
+    beyond ``longest`` characters are not kept, which bounds the bytes."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list], size: int = 400_000, longest: int = 64):
+    def __init__(self, encode_many: Callable[[list[str]], list], size: int = 250_000, longest: int = 64):
         self.encode_many, self.size, self.longest = encode_many, size, longest
         self.memo: dict = {}
+        self.older: dict = {}
 
     def look_up(self, texts: list[str]) -> list[list]:
         """For each text, the encodings of its chunks."""
-        memo, get = self.memo, self.memo.get
-        if len(memo) > self.size:
-            memo.clear()
+        if len(self.memo) > self.size:
+            self.memo, self.older = {}, self.memo
+        memo, get, older = self.memo, self.memo.get, self.older.get
         cut = [chunks(t) for t in texts]
         firsts = self.encode_many([first for first, _ in cut])
         found = [list(map(get, rest)) for _, rest in cut]
-        unknown = list({c for (_, rest), got in zip(cut, found, strict=True) if None in got
-                        for c, e in zip(rest, got, strict=True) if e is None})
+        missing = {c for (_, rest), got in zip(cut, found, strict=True) if None in got
+                   for c, e in zip(rest, got, strict=True) if e is None}
+        memo.update((c, e) for c in missing if (e := older(c)) is not None)
+        unknown = [c for c in missing if c not in memo]
         memo.update(zip(unknown, self.encode_many([" " + c for c in unknown]), strict=True))
         out = [[first, *(map(memo.__getitem__, rest) if None in got else got)]
                for first, (_, rest), got in zip(firsts, cut, found, strict=True)]
