@@ -219,11 +219,20 @@ class Encoder:
         self.memory = Remembered(self._chunks)
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Encodings of unknown chunks. A piece with its leading space may be
+        a chunk that is known (the word without what follows it here)."""
         find, encode, out = self.find, self.machine.encode, []
+        known, older = self.memory.memo.get, self.memory.older.get
         for chunk in chunks:
             pieces = find(chunk)
-            ids = encode(pieces[0].encode()) if len(pieces) == 1 else [i for p in pieces for i in encode(p.encode())]
-            out.append(array("I", ids).tobytes())
+            if len(pieces) == 1:
+                out.append(array("I", encode(pieces[0].encode())).tobytes())
+                continue
+            parts = []
+            for piece in pieces:
+                part = (known(piece[1:]) or older(piece[1:])) if piece[0] == " " else None
+                parts.append(part or array("I", encode(piece.encode())).tobytes())
+            out.append(b"".join(parts))
         return out
 
     def encode_many(self, texts: list[str]) -> list[bytes]:

@@ -3,6 +3,9 @@ hashes, hashes of runs of words, and the columns an operator works on."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -57,6 +60,17 @@ def arrow_slices(batches, column: str | int, limit: int = SLICE_BYTES):
             continue
         for lo, hi in slices(_lengths(batch.column(column)), limit):
             yield batch.slice(lo, hi - lo)
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that is free but held (Arrow's pool, the C library's) back
+    to the system at a task's end: workers outlive tasks and stages."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no such call outside glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def _lengths(array) -> list[int]:
@@ -88,12 +102,19 @@ def kept(key, make):
     return _kept[key]
 
 
+def byte_string(text: str) -> int:
+    """Bytes of a Spark size (``64m``, ``1gb``, ``1048576``)."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)i?b?\s*", text.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """``df``, whose rows will go to Python in batches of about ``BATCH_BYTES``
     at most: the session's bound on bytes is lowered to that, since its bound
-    on rows says little of texts."""
+    on rows says little of texts. The session keeps the lower bound, since the
+    plan runs later; a lower one that it has already stays."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(conf.get(name).rstrip("bB")) <= BATCH_BYTES:
+    if not 0 < byte_string(conf.get(name)) <= BATCH_BYTES:
         conf.set(name, str(BATCH_BYTES))
     return df
 

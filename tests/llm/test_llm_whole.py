@@ -112,3 +112,9 @@ def test_op7_null_and_repeated_ids(workers):  # noqa: F811
            for r in imatch.edited(docs, lex).collect()]
     assert sorted(got, key=str) == sorted(expected, key=str)
     assert len(imatch.edited(frame(workers, [(None, "only")]), lex).collect()) == 1
+
+
+def test_sizes_as_spark_writes_them():
+    from quincena.llm.common import byte_string
+
+    assert [byte_string(t) for t in ("64m", "1gb", "12", "7b", "2K", "-1", " 3 mib ")] == [64 << 20, 1 << 30, 12, 7, 2048, -1, 3 << 20]
