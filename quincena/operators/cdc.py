@@ -1,11 +1,11 @@
 """Change-data capture: latest row per key (type 1) and change history with
-validity intervals (type 2), as batch functions over an event table.
+validity intervals (type 2), as batch functions over an event table, and the
+step that folds new events into a history that is already there.
 
-Both reduce events with *aggregates* first (``max`` of a struct whose
-leading fields are the ordering columns), which Spark runs partially on the
-map side: a key holding a large share of the events costs one row per map
-task before the shuffle. Only the reduced rows are ordered by window
-functions.
+The type-2 functions are gaps and islands over one ordering: rows are dealt
+and sorted once, by key, sequence and tie-break, and everything else (which
+event of a sequence counts, where a version opens, where it ends) is read off
+neighbouring rows by windows that share that order.
 """
 
 from __future__ import annotations
@@ -43,35 +43,57 @@ def dedupe_events(events: DataFrame, keys: list[str], sequence_by: str, tie_brea
 
 
 def scd2_history(events: DataFrame, keys: list[str], sequence_by: str, track: list[str],
-                 tie_break: list[str]) -> DataFrame:
+                 tie_break: list[str], reduce_first: bool = False) -> DataFrame:
     """Type-2 history.
 
-    1. one event per (keys, sequence), greatest ``tie_break`` wins;
+    1. one event per (keys, sequence), greatest ``tie_break`` wins (of equal
+       ones the greatest other columns);
     2. per key in sequence order an event opens a version when it is the
        first or any tracked column IS DISTINCT FROM the previous event;
-    3. a running sum of those flags numbers the versions;
-    4. per version: ``__START_AT`` = first sequence, all other columns from
+    3. per version: ``__START_AT`` = first sequence, all other columns from
        its last event (untracked changes update in place), ``__END_AT`` =
        next version's start (NULL while open).
 
-    Steps 2-4 share one hash partitioning on the keys (one shuffle); rows
-    per key after step 1 are bounded by the number of distinct sequence
-    values (data versions) of that key.
-    """
-    ev = dedupe_events(events, keys, sequence_by, tie_break)
-    payload = [c for c in ev.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(sequence_by)
-    changed = F.row_number().over(w) == 1
+    One exchange and one sort. Windows spill, so a key with very many events
+    costs time in its task, not memory; where one (key, sequence) repeats
+    very often, ``reduce_first`` reduces events on the map side before that
+    exchange, at the price of one more."""
+    if reduce_first:
+        events = dedupe_events(events, keys, sequence_by, tie_break)
+    return _versions(events.withColumn(START_AT, F.col(sequence_by)),
+                     keys, sequence_by, track, tie_break)
+
+
+def scd2_fold(open_versions: DataFrame, events: DataFrame, keys: list[str], sequence_by: str, track: list[str],
+              tie_break: list[str]) -> DataFrame:
+    """What becomes of ``open_versions`` (open history rows: they carry their
+    key's last event) when ``events`` come after them: the versions that
+    close, with ``__END_AT``, and the open ones. Every event must have a
+    greater sequence than its key's open version; nothing older is read."""
+    since = open_versions.drop(END_AT)
+    added = events.withColumn(START_AT, F.col(sequence_by)).select(*since.columns)
+    return _versions(since.unionByName(added), keys, sequence_by, track, tie_break)
+
+
+def _versions(rows: DataFrame, keys: list[str], sequence_by: str, track: list[str], tie_break: list[str]) -> DataFrame:
+    """Versions from events; ``__START_AT`` is where a row that opens a version
+    opens it (its own sequence, or for an open version its start)."""
+    payload = [c for c in rows.columns if c not in keys and c != START_AT]
+    rest = [c for c in payload if c != sequence_by and c not in tie_break]
+    w = Window.partitionBy(*keys).orderBy(sequence_by, *tie_break, *rest)
+    another = F.lead(F.lit(True)).over(w).isNotNull()
+    last_of_sequence = ~another | ~F.lead(sequence_by).over(w).eqNullSafe(F.col(sequence_by))
+    kept = rows.withColumn("_last", last_of_sequence).where("_last").drop("_last")
+    changed = F.lag(F.lit(True)).over(w).isNull()
     for c in track:
         changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(w))
-    runs = (ev.withColumn("_chg", changed.cast("int"))
-              .withColumn("_run", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    versions = runs.groupBy(*keys, "_run").agg(
-        F.min(sequence_by).alias(START_AT), _latest([sequence_by], payload).alias("_m"))
-    w2 = Window.partitionBy(*keys).orderBy(START_AT)
-    return versions.select(
-        *keys, *[F.col("_m._row")[c].alias(c) for c in payload],
-        F.col(START_AT), F.lead(START_AT).over(w2).alias(END_AT))
+    flagged = kept.withColumn("_opens", changed)
+    opened = F.when(F.col("_opens"), F.struct(F.col(START_AT).alias("at")))
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = flagged.select(
+        *keys, *payload, F.last(opened, ignorenulls=True).over(so_far)["at"].alias(START_AT),
+        F.lead(sequence_by).over(w).alias(END_AT), F.coalesce(F.lead("_opens").over(w), F.lit(True)).alias("_closes"))
+    return ended.where("_closes").drop("_closes")
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

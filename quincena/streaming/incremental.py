@@ -11,7 +11,7 @@ from quincena.schemas import AUDIT_KEYS, RUN_OK, SCD2_KEYS, SCD2_SEQUENCE, SCD2_
 from quincena.streaming import sinks
 from quincena.streaming.runner import run_available
 from quincena.streaming.sources import bronze_stream, landing_stream
-from quincena.streaming.store import PartitionedVersions, VersionedTable
+from quincena.streaming.store import HistoryVersions, PartitionedVersions, VersionedTable
 
 
 BRONZE_PARTITIONS = ["fecha_consulta"]
@@ -47,20 +47,25 @@ def history_schema(spark: SparkSession, events_schema: T.StructType, tie_break:
 
 def read_history(spark: SparkSession, history_root: str, events_schema: T.StructType,
                  tie_break: list[str]) -> DataFrame | None:
-    """Current type-2 history: each institution's newest version."""
-    return PartitionedVersions(spark, history_root, HISTORY_PARTITION).read(
+    """Current type-2 history: each institution's open versions and all closed ones."""
+    return HistoryVersions(spark, history_root, HISTORY_PARTITION).read(
         history_schema(spark, events_schema, tie_break))
 
 
+def history_sink(spark: SparkSession, events_root: str, history_root: str, tie_break: list[str]):
+    return sinks.scd2_sink(PartitionedVersions(spark, events_root, HISTORY_PARTITION),
+                           HistoryVersions(spark, history_root, HISTORY_PARTITION),
+                           PartitionedVersions(spark, f"{events_root}_late", HISTORY_PARTITION),
+                           SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, tie_break)
+
+
 def update_history(spark: SparkSession, bronze_dir: str, schema: T.StructType, events_root: str,
                    history_root: str, checkpoint: str, tie_break: list[str],
                    max_files_per_trigger: int | None = None) -> None:
     """New bronze files → type-2 history (keys, sequence and tracked columns
     of the payroll)."""
     stream = landing_stream(spark, bronze_dir, schema, max_files_per_trigger)
-    sink = sinks.scd2_sink(PartitionedVersions(spark, events_root, HISTORY_PARTITION),
-                           PartitionedVersions(spark, history_root, HISTORY_PARTITION),
-                           SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, tie_break)
+    sink = history_sink(spark, events_root, history_root, tie_break)
     run_available(stream, checkpoint, foreach_batch=sink)
 
 

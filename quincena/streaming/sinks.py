@@ -3,11 +3,13 @@ applied to everything seen so far."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from quincena.operators import cdc, dims
 from quincena.operators.joins import null_safe_condition
-from quincena.streaming.store import PartitionedVersions, VersionedTable
+from quincena.streaming.store import (CLOSED, MENDED_CLOSED, MENDED_OPEN, OPEN, STATE, STATES_CLOSED, STATES_OPEN,
+                                      HistoryVersions, PartitionedVersions, VersionedTable)
 
 
 def scd1_sink(store: VersionedTable, keys: list[str], sequence_by: str, tie_break: list[str] | None = None):
@@ -21,42 +23,70 @@ def scd1_sink(store: VersionedTable, keys: list[str], sequence_by: str, tie_brea
     return apply
 
 
-def scd2_sink(events: PartitionedVersions, history: PartitionedVersions, keys: list[str], sequence_by: str,
-              track: list[str], tie_break: list[str]):
-    """Type-2 history under late data.
-
-    A collapsed history cannot absorb a late event (A at t1 and t3 collapse to
-    one open version; a late B at t2 must split it), so the sink also keeps
-    an append-only event log. Both are partitioned by one key column (the
-    institution: a landed report covers one institution) and versioned per
-    partition. Per batch: its de-duplicated events are appended; the keys it
-    touches are recomputed from all their logged events with the batch
-    function, read only from the touched partitions; those partitions'
-    other keys are carried over; untouched partitions are neither read nor
-    written. Keys compare NULL-safely (a plain anti join would duplicate
-    rows with NULL keys).
+def scd2_sink(events: PartitionedVersions, history: HistoryVersions, late: PartitionedVersions, keys: list[str],
+              sequence_by: str, track: list[str], tie_break: list[str]):
+    """Type-2 history by folding, right under late data.
+
+    A key's open version carries its last event, so events that come after it
+    are folded into it and nothing older is read: a batch in order costs what
+    it brings and the open rows of the partitions (institutions) it touches,
+    however long the log is.
+
+    A late event (at or before its key's last one) may split a version that
+    has long closed. So an append-only event log is kept as well, and the keys
+    with late events, and only these, are made anew from it; the closed rows
+    of their partitions are then written whole. All of a batch's results are
+    one version of ``history``, committed together; the log's and the late
+    keys' versions carry the same number, and a replayed batch overwrites its
+    own. Keys compare NULL-safely.
     """
+    def without(rows: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
+        other = gone.select(*[F.col(k).alias("_k_" + k) for k in keys])
+        return rows.join(other, null_safe_condition(rows, other, keys, "_k_"), how)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        log_version, version = events.version_of(batch_id), history.version_of(batch_id)
-        batch = batch.persist()
-        try:
-            ev_batch = cdc.dedupe_events(batch, keys, sequence_by, tie_break)
-            events.commit(ev_batch, log_version)
-            folders = events.folders(log_version)
-            affected = batch.select(*[batch[k].alias("_k_" + k) for k in keys]).distinct()
-            logged = events.read_all(ev_batch.schema, upto=log_version, folders=folders)
-            touched = logged.join(affected, null_safe_condition(logged, affected, keys, "_k_"), "left_semi")
-            new = cdc.scd2_history(touched, keys, sequence_by, track, tie_break)
-            old = history.read(new.schema, before=version, folders=folders)
-            if old is not None:
-                carried = old.join(affected, null_safe_condition(old, affected, keys, "_k_"), "left_anti")
-                new = carried.unionByName(new)
-            history.commit(new, version, keep=2)
-        finally:
-            batch.unpersist()
+        version = history.version_of(batch_id)
+        reduced = cdc.dedupe_events(batch, keys, sequence_by, tie_break)
+        events.commit(reduced, version)
+        folders = events.folders(version)
+        new = events.read_version(reduced.schema, version)
+        empty = cdc.scd2_history(new.limit(0), keys, sequence_by, track, tie_break)
+        part = history.part_col
+        opened = history.read(empty.schema, before=version, folders=folders, states=STATES_OPEN)
+        mended: list[str] = []
+        if opened is not None:
+            seen = opened.select(*[F.col(k).alias("_k_" + k) for k in keys], F.col(sequence_by).alias("_seen"))
+            behind = new.join(seen, null_safe_condition(new, seen, keys, "_k_")).where(
+                ~F.coalesce(F.col(sequence_by) > F.col("_seen"), F.lit(False))).select(*keys).distinct()
+            late.commit(behind, version, keep=2)
+            mended = late.folders(version)
+        if not mended:
+            base = empty.limit(0) if opened is None else opened
+            history.commit(_with_state(cdc.scd2_fold(base, new, keys, sequence_by, track, tie_break)), version)
+            return
+        behind = late.read_version(empty.select(*keys).schema, version)
+        rows = cdc.scd2_fold(without(opened, behind), without(new, behind), keys, sequence_by, track, tie_break)
+        logged = events.read_all(new.schema, upto=version, folders=mended)
+        rows = rows.unionByName(cdc.scd2_history(without(logged, behind, "left_semi"), keys, sequence_by, track, tie_break))
+        closed = history.read(empty.schema, before=version, folders=mended, states=STATES_CLOSED)
+        # A folder is mended as a whole; '' and NULL share one.
+        folder = F.coalesce(F.col(part).cast("string"), F.lit(""))
+        places = behind.select(folder.alias("_place")).distinct()
+        rows = rows.join(places.withColumn("_mended", F.lit(True)), folder == F.col("_place"), "left").drop("_place")
+        rows = _with_state(rows, F.col("_mended")).drop("_mended").unionByName(
+            without(closed, behind).withColumn(STATE, F.lit(MENDED_CLOSED)))
+        history.commit(rows, version)
     return apply
 
 
+def _with_state(rows: DataFrame, mended: Column | None = None) -> DataFrame:
+    opened = F.col(cdc.END_AT).isNull()
+    state = F.when(opened, F.lit(OPEN)).otherwise(F.lit(CLOSED))
+    if mended is not None:
+        state = F.when(mended, F.when(opened, F.lit(MENDED_OPEN)).otherwise(F.lit(MENDED_CLOSED))).otherwise(state)
+    return rows.withColumn(STATE, state)
+
+
 def dimension_sink(store: VersionedTable, name_col: str, translations: DataFrame, out_col: str):
     """Complete-mode aggregate → translated dimension, replaced per batch."""
     def apply(batch: DataFrame, batch_id: int) -> None:

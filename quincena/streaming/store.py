@@ -121,6 +121,10 @@ class PartitionedVersions(_Versions):
                  if folders is None or n in set(folders)]
         return self._load(schema, paths, parts) if versions else None
 
+    def read_version(self, schema: T.StructType, version: int) -> DataFrame:
+        """The rows that one version wrote."""
+        return self._load(schema, [f"{self.root}/{self._folder(version)}/{n}" for n in self.folders(version)], None)
+
     def read(self, schema: T.StructType, before: int | None = None, parts=None,
              folders: list[str] | None = None) -> DataFrame | None:
         """Each partition's newest version (below ``before``); other
@@ -148,3 +152,57 @@ class PartitionedVersions(_Versions):
                 held[old].discard(name)
         for v in [v for v in held if v < version and not held[v]]:
             self._delete(self._folder(v))
+
+
+# States of a history's rows; in a mended partition the rows are all there is of it.
+OPEN, CLOSED, MENDED_OPEN, MENDED_CLOSED = "open", "closed", "mended-open", "mended-closed"
+STATE = "_state"
+STATES_OPEN, STATES_CLOSED = (OPEN, MENDED_OPEN), (CLOSED, MENDED_CLOSED)
+
+
+class HistoryVersions(PartitionedVersions):
+    """A change history that grows by folding: ``{root}/v=<number>/<part_col>=<value>/_state=<state>/``.
+
+    A version holds, for each partition its batch touched, all open rows and
+    the rows that closed in it or, where late events changed what had closed
+    before (a mended partition), all closed rows. The table is each
+    partition's newest open rows and its closed ones from the last mending on.
+    One write commits all of it.
+    """
+
+    def _states(self, version: int, name: str) -> list[str]:
+        return [n.split("=")[1] for n in self._names(self._folder(version), name) if n.startswith(STATE + "=")]
+
+    def _chosen(self, before: int | None, folders: list[str] | None, states: tuple[str, ...]) -> list[str] | None:
+        versions = [v for v in self.committed() if before is None or v < before]
+        paths: dict[str, list[str]] = {}
+        for v in versions:
+            for name in self.folders(v):
+                if folders is not None and name not in folders:
+                    continue
+                here = self._states(v, name)
+                older = [] if MENDED_OPEN in here else [p for p in paths.get(name, []) if p.rsplit("=", 1)[1] in STATES_CLOSED]
+                paths[name] = older + [f"{self.root}/{self._folder(v)}/{name}/{STATE}={x}" for x in here]
+        chosen = [p for found in paths.values() for p in found if p.rsplit("=", 1)[1] in states]
+        return chosen if versions else None
+
+    def read(self, schema: T.StructType, before: int | None = None, folders: list[str] | None = None,
+             states: tuple[str, ...] = STATES_OPEN + STATES_CLOSED) -> DataFrame | None:
+        paths = self._chosen(before, folders, states)
+        return None if paths is None else self._load(schema, paths, None)
+
+    def commit(self, df: DataFrame, version: int, keep: int = 2) -> None:
+        """Write a version of rows with a ``_state``; of older versions the
+        open rows and what mending has replaced are deleted, but for those
+        that the ``keep`` newest versions of a partition still show."""
+        (df.withColumn(self.value_col, F.col(self.part_col)).hint("rebalance", self.part_col, STATE)
+         .write.mode("overwrite").partitionBy(self.part_col, STATE).parquet(f"{self.root}/{self._folder(version)}"))
+        written = set(self.folders(version))
+        versions = self.committed()
+        for name in written:
+            held = [v for v in versions if name in self.folders(v)]
+            shown = {p for v in held[-keep:] for p in self._chosen(v + 1, [name], STATES_OPEN + STATES_CLOSED)}
+            for v in held:
+                for state in self._states(v, name):
+                    if f"{self.root}/{self._folder(v)}/{name}/{STATE}={state}" not in shown:
+                        self._delete(self._folder(v), name, f"{STATE}={state}")

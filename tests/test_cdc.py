@@ -85,3 +85,21 @@ def test_history_invariants(spark, evs, rnd):
             assert a[2] != b[2]                        # adjacent versions differ
         starts = {T[t] for kk, t, _ in evs if kk == k}
         assert vs[0][0] == min(starts)
+
+
+def test_history_needs_one_exchange_and_one_sort(spark):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        cdc.scd2_history(spark.createDataFrame([], SCHEMA), ["k"], "seq", ["sal", "gasto"], ["upd", "rid"]).explain()
+    plan = buf.getvalue()
+    assert plan.count("Exchange") == 1 and plan.count("+- Sort ") == 1
+
+
+def test_null_sequence_comes_first_and_reduce_first_changes_nothing(spark):
+    rows = [ev("x", None, 1.0, rid=1), ev("x", None, 3.0, rid=2), ev("x", T[0], 3.0), ev("x", T[1], 1.0), ev("x", T[1], 2.0, rid=5)]
+    assert hist(spark, rows) == {("x", 3.0, None, "f", None, T[1]), ("x", 2.0, None, "f", T[1], None)}
+    df = spark.createDataFrame(rows, SCHEMA)
+    one, two = (cdc.scd2_history(df, ["k"], "seq", ["sal", "gasto"], ["upd", "rid"], reduce_first=r) for r in (False, True))
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.select(*one.columns).collect()))

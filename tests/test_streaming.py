@@ -100,7 +100,6 @@ def test_failed_batch_is_replayed_idempotently(spark, tmp_dir):
     """A batch that dies after writing part of its state is replayed with the
     same batch id on the next run and overwrites its own version folders."""
     import pytest
-    from quincena.streaming import sinks
     from quincena.streaming.runner import run_available
     from quincena.streaming.sources import landing_stream
     landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
@@ -109,9 +108,7 @@ def test_failed_batch_is_replayed_idempotently(spark, tmp_dir):
     rows = [ev("1", 0, 1.0, 1), ev("1", 1, 2.0, 2), ev("2", 0, 3.0, 3)]
     append_rows(spark.createDataFrame(rows, SCHEMA), landing)
     from quincena.streaming.store import PartitionedVersions
-    real = sinks.scd2_sink(PartitionedVersions(spark, ev_root, "institucion"),
-                           PartitionedVersions(spark, h_root, "institucion"), keys, "fecha_consulta",
-                           ["salario", "gasto", "fecha_de_inicio"], ["fecha_actualizacion", "row_id"])
+    real = inc.history_sink(spark, ev_root, h_root, ["fecha_actualizacion", "row_id"])
     calls = []
 
     def failing(batch, batch_id):
@@ -244,3 +241,83 @@ def test_late_translation_shows(spark, tmp_dir):
     append_rows(spark.createDataFrame([ev("2", 1, 1.0, 2)], SCHEMA), landing)
     inc.update_positions(spark, landing, schema, spark.createDataFrame([("C", "Pos C")], names), target, ck)
     assert [tuple(r) for r in VersionedTable(spark, target).read().collect()] == [("C", T[0], "Pos C")]
+
+
+TB = ["fecha_actualizacion", "row_id"]
+KEYS = ["cedula", "nombre", "apellido", "institucion", "cargo", "estado"]
+
+
+def norm(df):
+    return sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
+
+
+def batch_history(spark, rows):
+    return norm(cdc.scd2_history(spark.createDataFrame(rows, SCHEMA), KEYS, "fecha_consulta",
+                                 ["salario", "gasto", "fecha_de_inicio"], TB))
+
+
+def at(ced, t, sal, rid, inst):
+    return (ced, "N", None, inst, "C", "E", T[t] if t is not None else None, sal, None, dt.date(2020, 1, 1), T[0], rid)
+
+
+def test_scd2_batch_in_order_opens_no_old_event_file(spark, tmp_dir):
+    """Old files of the event log are made unreadable: a batch in order does
+    not notice, a batch with a late event does."""
+    import pathlib
+
+    import pytest
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    schema, rows = spark.createDataFrame([], SCHEMA).schema, []
+    for t in range(4):
+        part = [at(str(k), t, float(t // 2), 10 * t + k, "IJ"[k % 2]) for k in range(4)] + [at(f"new{t}", t, 1.0, 100 + t, "I")]
+        rows += part
+        append_rows(spark.createDataFrame(part, SCHEMA), landing)
+        inc.update_history(spark, landing, schema, ev_root, h_root, ck, TB)
+        for f in pathlib.Path(ev_root).rglob("*.parquet"):
+            f.write_bytes(b"not a parquet file")
+    assert norm(inc.read_history(spark, h_root, schema, TB)) == batch_history(spark, rows)
+    append_rows(spark.createDataFrame([at("0", 1, 9.0, 999, "I")], SCHEMA), landing)
+    with pytest.raises(Exception):
+        inc.update_history(spark, landing, schema, ev_root, h_root, ck, TB)
+
+
+def test_scd2_open_rows_are_flat_over_arrivals(spark, tmp_dir):
+    """Ten arrivals of the same keys: each writes the open rows and what closes, no more."""
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    written = []
+    for t in range(10):
+        part = [(*at(str(k), 0, float(t), k, "I")[:6], dt.datetime(2024, 1, 1 + t), *at(str(k), 0, float(t), k, "I")[7:])
+                for k in range(5)]
+        append_rows(spark.createDataFrame(part, SCHEMA), landing)
+        inc.update_history(spark, landing, schema, ev_root, h_root, ck, TB)
+        written.append(spark.read.parquet(f"{h_root}/v={t}").count())
+    assert written == [5] + [10] * 9
+    history = inc.read_history(spark, h_root, schema, TB)
+    assert history.count() == 50 and history.where("__END_AT IS NULL").count() == 5
+
+
+def test_scd2_fold_equals_batch_for_any_arrivals(spark, tmp_dir):
+    """Late, repeated, NULL-sequence and equal-sequence events over several
+    institutions ('' and NULL share a folder), dealt to arrivals at random."""
+    import random
+    rng = random.Random(8)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    rows = [at(str(rng.randrange(4)), rng.choice([None, 0, 1, 2, 3, 4, 5]), float(rng.randrange(2)), n,
+               rng.choice(["I", "J", "", None])) for n in range(90)]
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    for lo, hi in ((0, 30), (30, 45), (45, 46), (46, 80), (80, 90)):
+        append_rows(spark.createDataFrame(rows[lo:hi], SCHEMA), landing)
+        inc.update_history(spark, landing, schema, ev_root, h_root, ck, TB)
+        assert norm(inc.read_history(spark, h_root, schema, TB)) == batch_history(spark, rows[:hi])
+
+
+def test_scd2_mending_may_leave_nothing_closed(spark, tmp_dir):
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    rows = [at("1", 0, 1.0, 1, "I"), at("1", 1, 2.0, 2, "I"), at("1", 1, 1.0, 3, "I")]
+    for part in (rows[:2], rows[2:]):
+        append_rows(spark.createDataFrame(part, SCHEMA), landing)
+        inc.update_history(spark, landing, schema, ev_root, h_root, ck, TB)
+    got = inc.read_history(spark, h_root, schema, TB)
+    assert norm(got) == batch_history(spark, rows) and got.count() == 1
