@@ -45,38 +45,43 @@ def request_urls(pending: DataFrame, base_url: str) -> DataFrame:
         "url", report_url(base_url, F.col("institution_name_spanish"), F.col("status_name_spanish")))
 
 
-def classify_runs(plan: DataFrame, audit: DataFrame, version, failures: DataFrame) -> DataFrame:
+KEYS = ["institution_name_spanish", "status_name_spanish"]
+
+
+def classify_runs(plan: DataFrame, audit: DataFrame, version, results: DataFrame) -> DataFrame:
     """Status of each planned pair in a run: ``No Update`` when already
-    current, ``FAIL`` when its download failed (``failures`` lists the failed
-    pairs), otherwise ``OK`` (downloaded)."""
-    keys = ["institution_name_spanish", "status_name_spanish"]
-    current = up_to_date(audit, version).select(*keys).distinct().withColumn("_current", F.lit(True))
-    failed = failures.select(*keys).distinct().withColumn("_failed", F.lit(True))
-    j = plan.join(current, keys, "left").join(failed, keys, "left")
+    current, else what its request came to. ``results`` has a row for each
+    request that was made (pair and ``run_status``); of several requests of a
+    pair one that is ``OK`` counts. A pair that was due but has no result was
+    not polled: it has no row, and stays pending."""
+    current = up_to_date(audit, version).select(*KEYS).distinct().withColumn("_current", F.lit(True))
+    ended = results.where(F.col("run_status").isin(RUN_OK, RUN_FAIL)).groupBy(*KEYS).agg(
+        F.max(F.col("run_status") == RUN_OK).alias("_ok"))
+    j = plan.join(current, KEYS, "left").join(ended, KEYS, "left")
     status = (F.when(F.col("_current"), F.lit(RUN_NO_UPDATE))
-               .when(F.col("_failed"), F.lit(RUN_FAIL))
-               .otherwise(F.lit(RUN_OK)))
+               .when(F.col("_ok"), F.lit(RUN_OK)).when(~F.col("_ok"), F.lit(RUN_FAIL)))
     v = version if isinstance(version, Column) else F.lit(version)
-    return j.select(*keys, status.alias("run_status"), v.alias("source_update"))
+    return j.select(*KEYS, status.alias("run_status"), v.alias("source_update")).where(F.col("run_status").isNotNull())
 
 
-def poll_run(plan: DataFrame, audit: DataFrame, version, failures: DataFrame, times: DataFrame,
+def poll_run(plan: DataFrame, audit: DataFrame, version, results: DataFrame, times: DataFrame,
              checked_at) -> DataFrame:
     """Audit rows of one run over ``plan``: the status of each pair (see
     ``classify_runs``) with the start and end of its request from ``times``.
-    A pair without a request, or without one of its times, starts and ends at
-    ``checked_at``; of several requests of a pair the whole span counts."""
-    keys = ["institution_name_spanish", "status_name_spanish"]
+    A pair that was current, or that lacks one of its times, starts and ends
+    at ``checked_at``; of several requests of a pair the whole span counts."""
     ca = checked_at if isinstance(checked_at, Column) else F.lit(checked_at)
-    spans = times.groupBy(*keys).agg(F.min("start_at").alias("start_at"), F.max("end_at").alias("end_at"))
-    runs = classify_runs(plan, audit, version, failures).join(spans, keys, "left").withColumns(
-        {c: F.coalesce(c, ca) for c in ("start_at", "end_at")})
+    spans = times.groupBy(*KEYS).agg(F.min("start_at").alias("start_at"), F.max("end_at").alias("end_at"))
+    runs = classify_runs(plan, audit, version, results).join(spans, KEYS, "left").withColumns(
+        {c: F.coalesce(F.when(F.col("run_status") != RUN_NO_UPDATE, F.col(c)), ca) for c in ("start_at", "end_at")})
     return audit_rows(runs, ca)
 
 
 def updates_gate(runs: DataFrame) -> DataFrame:
-    """Successful downloads of a run, and whether the refresh should run."""
-    return runs.agg(F.count_if(F.col("run_status") == RUN_OK).alias("updates")) \
+    """Pairs that a run downloaded (each counts once, also when the run's rows
+    are there twice), and whether the refresh should run."""
+    pairs = runs.where(F.col("run_status") == RUN_OK).select(*KEYS).distinct()
+    return pairs.agg(F.count(F.lit(1)).alias("updates")) \
         .withColumn("refresh", F.col("updates") > 0)
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +16,22 @@ from quincena.functions.columns import file_stem, landing_file_name
 from quincena.operators import audit as audit_ops
 from quincena.operators import bronze as bronze_ops
 from quincena.operators import cdc, dims, gold, inactive, monitor, pages, reports, snapshot
-from quincena.plans.refresh import Layout, refresh
+from quincena.plans.poll import poll
+from quincena.plans.refresh import Layout, full_refresh, refresh, served_views
 from quincena.schemas import AUDIT_KEYS, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, payroll_schema
 from quincena.session import materialize, scratch_path
 from quincena.sources import testviews as tv
 from quincena.sources.audit_table import append_audit, create_audit_table
+from quincena.sources.fixtures import load_fixture
+from quincena.sources.landing import land_files
 from quincena.sources.tables import append_rows, read_table, write_view
 from quincena.streaming import incremental as inc
 from quincena.streaming.store import VersionedTable
 
 # Fixed detection time for comparable inactive-employee output.
 DETECTED_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)
+# Fixed check time of the poll run's test, after every version of the test tables.
+POLLED_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)
 # Test tie-break for events with one (keys, version): newest update, then row id.
 SCD2_TIE_BREAK = ["fecha_actualizacion", "row_id"]
 
@@ -175,40 +181,49 @@ def q_request_urls(spark, sf_dir):
     return audit_ops.request_urls(audit_ops.pending_reports(_plan(a), a, _current_version(a)), REPORT_BASE_URL)
 
 
-def _classified(spark, sf_dir):
-    a = Inputs(spark, sf_dir).audit
-    v = _current_version(a)
-    failures = a.where((F.col("run_status") == "FAIL") & (F.col("source_update") == v))
-    return audit_ops.classify_runs(_plan(a), a, v, failures)
+def _polled(spark, sf_dir):
+    """One run at the current version: the audit log, the plan, and the
+    results of its requests as reading the reports gave them (some are
+    damaged; pairs of one institution in five were not requested)."""
+    i = Inputs(spark, sf_dir)
+    v = _current_version(i.audit)
+    requested = F.regexp_replace("institucion", "NATION_", "").cast("int") % 5 != 0
+    p = materialize(i.payroll.where((F.col("fecha_consulta") == v) & requested), "polled")
+    meta = materialize(tv.report_meta(p), "report_meta")
+    sheets = materialize(tv.damaged_sheets(tv.report_sheets(p)), "sheet_rows")
+    failures = reports.read_reports(sheets, meta, DEFAULT_STEM)[1]
+    return i.audit, v, _plan(i.audit), reports.results(meta, failures)
 
 
 def q_audit_classify(spark, sf_dir):
-    return _classified(spark, sf_dir)
+    a, v, plan, results = _polled(spark, sf_dir)
+    return audit_ops.classify_runs(plan, a, v, results)
 
 
 def q_updates_gate(spark, sf_dir):
-    return audit_ops.updates_gate(_classified(spark, sf_dir))
+    return audit_ops.updates_gate(q_audit_classify(spark, sf_dir))
 
 
 def q_poll_run_audit(spark, sf_dir):
-    """Audit rows of one run: requests that failed at the current version took
-    90 seconds from the time in the log; all are checked a day after it."""
-    a = Inputs(spark, sf_dir).audit
-    v = _current_version(a)
-    failed = a.where((F.col("run_status") == "FAIL") & (F.col("source_update") == v))
-    times = failed.select(*AUDIT_KEYS, F.col("checked_at").alias("start_at"),
-                          (F.col("checked_at") + F.expr("INTERVAL 90 SECONDS")).alias("end_at"))
-    return audit_ops.poll_run(_plan(a), a, v, failed, times, v + F.expr("INTERVAL 1 DAY"))
+    """Audit rows of one run: failed requests took 90 seconds from the check
+    time; all are checked a day after the version."""
+    a, v, plan, results = _polled(spark, sf_dir)
+    checked = v + F.expr("INTERVAL 1 DAY")
+    times = results.where(F.col("run_status") == "FAIL").select(
+        *AUDIT_KEYS, checked.alias("start_at"), (checked + F.expr("INTERVAL 90 SECONDS")).alias("end_at"))
+    return audit_ops.poll_run(plan, a, v, results, times, checked)
 
 
 def q_audit_append(spark, sf_dir):
     """Create the audit table (Parquet, shared folder), append typed rows built
-    from the poll log, read the table back."""
+    from the poll log, append them again, read the table back."""
     log = Inputs(spark, sf_dir).poll_log
     location = scratch_path(spark, "audit_table")
     name = "audit_" + location.rsplit("-", 1)[-1]
     create_audit_table(spark, name, location, ntz=True)
-    append_audit(spark, name, audit_ops.audit_rows(log, F.col("checked_at")))
+    rows = audit_ops.audit_rows(log, F.col("checked_at"))
+    append_audit(spark, name, rows)
+    append_audit(spark, name, rows)  # a replay adds nothing
     return spark.table(name)
 
 
@@ -407,6 +422,85 @@ def q_refresh_gold_position(spark, sf_dir):
     return spark.read.parquet(out["gold_position"])
 
 
+def _deploy(spark, i: Inputs, payroll: DataFrame, audit: DataFrame) -> tuple[Layout, dict]:
+    """A fresh deployment folder with what has landed so far, and its options."""
+    layout = Layout(scratch_path(spark, "deployment"))
+    append_rows(payroll, layout.landing)
+    append_rows(audit, layout.audit)
+    return layout, {"landing_schema": i.payroll.schema, "audit_table_schema": i.audit.schema,
+                    "tie_break": SCD2_TIE_BREAK, "detected_at": DETECTED_AT}
+
+
+def _refreshed_twice(spark, sf_dir) -> tuple[Inputs, Layout, dict]:
+    """A deployment that got its rows in two arrivals, each followed by a refresh."""
+    i = Inputs(spark, sf_dir)
+    v = _current_version(i.audit)
+    old, new = F.col("fecha_consulta") < v, F.col("fecha_consulta") >= v
+    layout, options = _deploy(spark, i, i.payroll.where(old), i.audit.where(F.col("source_update") < v))
+    refresh(spark, layout, i.translations, **options)
+    append_rows(i.payroll.where(new), layout.landing)
+    append_rows(i.audit.where(F.col("source_update") >= v), layout.audit)
+    refresh(spark, layout, i.translations, **options)
+    return i, layout, options
+
+
+def q_refresh_views_consistent(spark, sf_dir):
+    """All four views as the manifest serves them after two refreshes: rows
+    and pay of each, which must be those of one state."""
+    _, layout, _ = _refreshed_twice(spark, sf_dir)
+    pay = {"snapshot": "salary", "inactive_employees": "salario", "gold_employee": "total_salary",
+           "gold_position": "total_salary"}
+    return reduce(DataFrame.unionAll, [rows.agg(F.lit(view).alias("view"), F.count(F.lit(1)).alias("n"), F.sum(pay[view]).alias("pay"))
+                                       for view, rows in served_views(spark, layout).items()])
+
+
+def q_full_refresh_history(spark, sf_dir):
+    """After two incremental refreshes everything is rebuilt in a new
+    generation; its history is the batch one."""
+    i, layout, options = _refreshed_twice(spark, sf_dir)
+    out = full_refresh(spark, layout, i.translations, **options)
+    return inc.read_history(spark, out["scd2_history"], bronze_ops.enrich(i.payroll).schema, SCD2_TIE_BREAK)
+
+
+def q_poll_run_gold(spark, sf_dir):
+    """One poll run from the portal's page and the (partly damaged) report
+    sheets of the newest version to the refreshed position summary."""
+    i = Inputs(spark, sf_dir)
+    version = F.col("fecha_consulta") == i.payroll.agg(F.max("fecha_consulta")).scalar()
+    new = materialize(i.payroll.where(version), "polled")
+    layout, options = _deploy(spark, i, i.payroll.where(~version), i.audit.where(
+        F.col("source_update") < i.payroll.agg(F.max("fecha_consulta")).scalar()))
+    sheets = materialize(tv.damaged_sheets(tv.report_sheets(new)), "sheet_rows")
+    out = poll(spark, layout, tv.index_page(i.payroll), sheets, materialize(tv.report_meta(new), "report_meta"),
+               i.translations, POLLED_AT, DEFAULT_STEM, **options)
+    return spark.read.parquet(out["gold_position"])
+
+
+def q_landing_files(spark, sf_dir):
+    """The sound reports landed as files under their own names, twice (a
+    replay replaces them): names and rows of the files."""
+    p = Inputs(spark, sf_dir).payroll
+    sheets = materialize(tv.damaged_sheets(tv.report_sheets(p)), "sheet_rows")
+    rows, _ = reports.read_reports(sheets, materialize(tv.report_meta(p), "report_meta"), DEFAULT_STEM, with_file=True)
+    path = scratch_path(spark, "landing")
+    for _ in range(2):
+        land_files(rows, path)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return spark.read.schema(rows.drop("landing_file").schema).parquet(path).groupBy(name.alias("landing_file")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def q_fixture_load(spark, sf_dir):
+    """nation as a JSON list and as CSV, both loaded as fixtures and joined."""
+    nation, root = read_table(spark, sf_dir, "nation"), scratch_path(spark, "fixtures")
+    whole = nation.coalesce(1).agg(F.to_json(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))))  # 25 rows
+    whole.write.text(f"{root}/nation.json")
+    nation.select("n_nationkey", "n_name").write.option("header", True).csv(f"{root}/nation.csv")
+    listed = load_fixture(spark, f"{root}/nation.json")
+    strings = load_fixture(spark, f"{root}/nation.csv").toDF("csv_key", "csv_name")
+    return listed.join(strings, F.col("n_nationkey").cast("string") == F.col("csv_key"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_enriched": q_bronze_enriched,
     "dim_institution": q_dim_institution,
@@ -447,4 +541,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_institution_stream": q_dim_institution_stream,
     "dim_position_stream": q_dim_position_stream,
     "refresh_gold_position": q_refresh_gold_position,
+    "refresh_views_consistent": q_refresh_views_consistent,
+    "full_refresh_history": q_full_refresh_history,
+    "poll_run_gold": q_poll_run_gold,
+    "landing_files": q_landing_files,
+    "fixture_load": q_fixture_load,
 }

@@ -1,16 +1,23 @@
-"""One triggered refresh of all tables, in dependency order.
+"""Refreshes of all tables, in dependency order.
 
 Streams (``availableNow``) bring bronze, the change history, the latest poll
 and the dimensions up to date with whatever landed since the last run; the
 materialised views (snapshot, inactive employees, both summaries) are then
 recomputed from them and written clustered by their query keys. When the
 run's audit rows show no successful download, nothing is refreshed.
+
+Views are never overwritten: each run writes all of them into a folder of its
+own, and the manifest, written last, names the folders that are served. Who
+reads through it sees the views of one run, also while the next one runs or
+after it failed. A full refresh rebuilds everything from the landing folder in
+a new generation (its own tables and checkpoints) beside the served one and
+switches the manifest; later refreshes go on in that generation.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -27,26 +34,57 @@ from quincena.streaming.store import VersionedTable
 DEFAULT_TIE_BREAK = ["fecha_actualizacion", "archivo"]
 
 
+SHARED = ("landing", "audit", "manifest")
+VIEWS = {"snapshot": ["institution_sp", "status_sp"], "inactive_employees": ["institucion", "estado"],
+         "gold_employee": ["id_number"], "gold_position": ["institution_sp", "status_sp"]}
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one deployment, all under one shared root."""
+    """Folders of one deployment, all under one shared root: ``landing``,
+    ``audit`` and ``manifest`` directly, all others in a generation's folder."""
 
     root: str
+    generation: int = 0
 
-    def __getattr__(self, name: str) -> str:  # landing, audit, bronze, ... → {root}/{name}
+    def __getattr__(self, name: str) -> str:  # landing, audit, bronze, ... → folder
         if name.startswith("__"):
             raise AttributeError(name)
-        return f"{self.root.rstrip('/')}/{name}"
+        root = self.root.rstrip("/")
+        return f"{root}/{name}" if name in SHARED else f"{root}/g={self.generation}/{name}"
 
     def ckpt(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/_checkpoints/{name}"
+        return f"{self._checkpoints}/{name}"
+
+
+class Manifest(VersionedTable):
+    """Which folders are served: one row a view, replaced as a whole."""
+
+    def __init__(self, spark: SparkSession, layout: Layout):
+        super().__init__(spark, layout.manifest)
+
+    def served(self) -> tuple[int, dict[str, str]]:
+        """The generation and the folder of each view (none yet: 0 and none)."""
+        rows = self.read()
+        found = [] if rows is None else rows.collect()  # one row a view
+        return max((r.generation for r in found), default=0), {r.view: r.path for r in found}
+
+    def switch(self, generation: int, paths: dict[str, str]) -> None:
+        rows = self.spark.createDataFrame([(v, p, generation) for v, p in paths.items()],
+                                          "view string, path string, generation int")
+        self.commit(rows.coalesce(1), max(self.committed(), default=-1) + 1)
+
+
+def served_views(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The views that are served, all of one run."""
+    return {view: spark.read.parquet(path) for view, path in Manifest(spark, layout).served()[1].items()}
 
 
 def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
             run_audit: DataFrame | None = None, landing_schema: T.StructType | None = None,
             audit_table_schema: T.StructType | None = None, tie_break: list[str] | None = None,
             detected_at: _dt.datetime | None = None) -> dict:
-    """Run the refresh; returns the gate row and the output folders.
+    """Run the refresh in the served generation; returns the gate row and the output folders.
 
     ``run_audit`` are the audit rows of the poll run that preceded this
     refresh (the gate counts its ``OK`` rows); without it the refresh runs.
@@ -55,6 +93,25 @@ def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
         gate = updates_gate(run_audit).first()
         if not gate["refresh"]:
             return {"updates": gate["updates"], "refreshed": False}
+    manifest = Manifest(spark, layout)
+    layout = replace(layout, generation=manifest.served()[0])
+    return _build(spark, layout, manifest, translations, landing_schema, audit_table_schema, tie_break, detected_at)
+
+
+def full_refresh(spark: SparkSession, layout: Layout, translations: DataFrame, landing_schema: T.StructType | None = None,
+                 audit_table_schema: T.StructType | None = None, tie_break: list[str] | None = None,
+                 detected_at: _dt.datetime | None = None) -> dict:
+    """Rebuild everything from the landing and audit folders in a new
+    generation and switch to it at the end. What is served stays as it is
+    until then, and for good if the rebuild fails; a generation that failed is
+    not used again."""
+    manifest = Manifest(spark, layout)
+    layout = replace(layout, generation=manifest.next_number(layout.root, "g="))
+    return _build(spark, layout, manifest, translations, landing_schema, audit_table_schema, tie_break, detected_at)
+
+
+def _build(spark: SparkSession, layout: Layout, manifest: Manifest, translations: DataFrame, landing_schema,
+           audit_table_schema, tie_break, detected_at) -> dict:
     lschema = landing_schema or payroll_schema()
     aschema = audit_table_schema or audit_schema()
     tb = tie_break or DEFAULT_TIE_BREAK
@@ -78,15 +135,17 @@ def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
         VersionedTable(spark, layout.dim_institution).read(schema=dims.dim_institution(no_polls, translations).schema),
         VersionedTable(spark, layout.dim_status).read(schema=dims.dim_status(no_polls, translations).schema),
         VersionedTable(spark, layout.dim_position).read(schema=dims.dim_position(no_rows, translations).schema))
-    write_view(snap, layout.snapshot, cluster_by=["institution_sp", "status_sp"])
-    snap = spark.read.parquet(layout.snapshot)
+    run = f"{layout.views}/run={manifest.next_number(layout.views, 'run=')}"
+    paths = {view: f"{run}/{view}" for view in VIEWS}
+    write_view(snap, paths["snapshot"], cluster_by=VIEWS["snapshot"])
+    snap = spark.read.parquet(paths["snapshot"])
     history = inc.read_history(spark, layout.scd2_history, bronze.schema, tb)
-    write_view(inactive.inactive_employees(history, snap, detected_at), layout.inactive_employees)
-    write_view(gold.employee_summary(snap), layout.gold_employee, cluster_by=["id_number"])
-    write_view(gold.position_summary(snap), layout.gold_position, cluster_by=["institution_sp", "status_sp"])
-    return {"refreshed": True, "snapshot": layout.snapshot, "inactive_employees": layout.inactive_employees,
-            "gold_employee": layout.gold_employee, "gold_position": layout.gold_position,
-            "scd2_history": layout.scd2_history, "keys": SCD2_KEYS}
+    made = {"inactive_employees": inactive.inactive_employees(history, snap, detected_at),
+            "gold_employee": gold.employee_summary(snap), "gold_position": gold.position_summary(snap)}
+    for view, rows in made.items():
+        write_view(rows, paths[view], cluster_by=VIEWS[view])
+    manifest.switch(layout.generation, paths)
+    return {"refreshed": True, **paths, "scd2_history": layout.scd2_history, "keys": SCD2_KEYS}
 
 
-__all__ = ["Layout", "refresh", "DEFAULT_TIE_BREAK"]
+__all__ = ["Layout", "Manifest", "refresh", "full_refresh", "served_views", "DEFAULT_TIE_BREAK"]

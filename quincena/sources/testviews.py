@@ -226,3 +226,17 @@ def portal_pages(pages_df: DataFrame) -> DataFrame:
     line = F.concat(F.lit('<div id="lblFecha">Fecha de actualización de los datos:  '),
                     F.date_format(ts, "d/M/yyyy h:mm:ss a"), F.lit("</div>"))
     return pages_df.select("page_id", "url", F.concat(line, F.col("html")).alias("html"))
+
+
+def index_page(payroll_df: DataFrame) -> DataFrame:
+    """The portal's index page for a payroll: its newest data version, and
+    drop-downs of its institutions and statuses (few names, one page)."""
+    def drop_down(select_id: str, name: str) -> Column:
+        names = F.array_join(F.transform(F.array_sort(F.collect_set(name)), lambda n: F.concat(
+            F.lit("<option>"), n, F.lit("</option>"))), "")
+        return F.concat(F.lit(f'<select id="{select_id}"><option>Seleccione uno</option>'), names, F.lit("</select>"))
+
+    line = F.concat(F.lit("<p>Fecha de actualización de los datos:  "),
+                    F.date_format(F.max("fecha_consulta"), "d/M/yyyy h:mm:ss a"), F.lit("</p>"))
+    return payroll_df.agg(F.concat(line, drop_down("cmbInst", "institucion"), drop_down("cmbEstado", "estado")).alias("html")) \
+        .select(F.lit(0).cast("long").alias("page_id"), F.lit("index").alias("url"), "html")

@@ -40,6 +40,13 @@ class _Versions:
     def _folder(self, version: int) -> str:
         return f"{VERSION_COL}={version}"
 
+    def next_number(self, folder: str, mark: str) -> int:
+        """The number after the highest of the folders named ``mark<number>`` in ``folder``."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return max((int(n[len(mark):]) for n in names if n.startswith(mark)), default=-1) + 1
+
     def committed(self) -> list[int]:
         """Numbers of the committed versions, ascending."""
         fs, mark = self._fs(), VERSION_COL + "="

@@ -19,11 +19,16 @@ def test_plan_pending_and_quotes(spark):
     assert plan.count() == 4
     pend = sorted(tuple(r) for r in audit.pending_reports(plan, a, V1).collect())
     assert pend == [("ALFA", "E1"), ("ALFA", "E2"), ("D'ARIEN", "E2")]
-    runs = audit.classify_runs(plan, a, V1, a.where(F.col("run_status") == "FAIL"))
+    results = spark.createDataFrame([("ALFA", "E1", "FAIL"), ("D'ARIEN", "E2", "FAIL"), ("D'ARIEN", "E2", "OK"),
+                                     ("D'ARIEN", "E1", "OK"), ("ELSE", "E9", "OK")],
+                                    "institution_name_spanish string, status_name_spanish string, run_status string")
+    runs = audit.classify_runs(plan, a, V1, results)
     got = {(r[0], r[1]): r.run_status for r in runs.collect()}
-    assert got == {("D'ARIEN", "E1"): "No Update", ("D'ARIEN", "E2"): "OK", ("ALFA", "E1"): "FAIL",
-                   ("ALFA", "E2"): "OK"}
-    assert audit.updates_gate(runs).collect()[0].asDict() == {"updates": 2, "refresh": True}
+    # ALFA E2 was never requested: no row; one OK among several requests counts
+    assert got == {("D'ARIEN", "E1"): "No Update", ("D'ARIEN", "E2"): "OK", ("ALFA", "E1"): "FAIL"}
+    assert audit.updates_gate(runs).collect()[0].asDict() == {"updates": 1, "refresh": True}
+    assert audit.updates_gate(runs.union(runs)).collect()[0].asDict() == {"updates": 1, "refresh": True}
+    assert audit.updates_gate(runs.limit(0)).collect()[0].asDict() == {"updates": 0, "refresh": False}
 
 
 def test_plan_is_the_same_for_any_number_of_groups(spark):
@@ -164,8 +169,90 @@ def test_poll_run_feeds_the_gate(spark):
     log = spark.createDataFrame([("I", "A", "OK", V1)], names + ", run_status string, source_update timestamp_ntz")
     times = spark.createDataFrame([("I", "B", V0, V1), ("I", "C", V0, None)],
                                   names + ", start_at timestamp_ntz, end_at timestamp_ntz")
-    failed = spark.createDataFrame([("I", "C")], names)
-    run = audit.poll_run(plan, log, V1, failed, times, V1)
+    ended = spark.createDataFrame([("I", "B", "OK"), ("I", "C", "FAIL")], names + ", run_status string")
+    run = audit.poll_run(plan, log, V1, ended, times, V1)
     got = {r.status_name_spanish: (r.run_status, r.start_at, r.end_at) for r in run.collect()}
     assert got == {"A": ("No Update", V1, V1), "B": ("OK", V0, V1), "C": ("FAIL", V0, V1)}
     assert audit.updates_gate(run).first().updates == 1
+
+
+SHEETS = "report_id string, sheet_no int, row_no int, cells array<string>"
+META = "report_id string, institucion string, estado string, content_disposition string, data_version timestamp_ntz"
+HEADER = ["Nombre", "Apellido", "Cedula", "Cargo", "Salario", "Gasto", "Estado", "Fecha de Inicio"]
+
+
+def sheet(rid, n=2, banner="05/03/2024 02:30:00 PM"):
+    return [(rid, 1, 3, [None] * 4 + [f"Fecha de actualización: {banner}"]), (rid, 1, 5, HEADER)] + [
+        (rid, 1, 6 + k, [f"N{k}", "B", f"8-{k}", "C", "10", None, "E", "1/2/2020"]) for k in range(n)]
+
+
+def meta_row(rid, inst="I", version=V1):
+    return (rid, inst, "E", 'attachment; filename="rep.xlsx"', version)
+
+
+def test_reports_delivered_twice_count_once(spark):
+    rows = sheet("a") * 2 + sheet("b") + sheet("b")[1:2]
+    metas = [meta_row("a"), meta_row("a"), meta_row("b")]
+    landed, failed = reports.read_reports(spark.createDataFrame(rows, SHEETS), spark.createDataFrame(metas, META))
+    assert failed.collect() == [] and landed.count() == 4
+
+
+def test_contradictions_and_missing_ids_land_nothing(spark):
+    rows = (sheet("two metas") + sheet("two banners") + sheet("two banners", banner="06/03/2024 02:30:00 PM")[:1]
+            + sheet("two headers") + [("two headers", 1, 5, HEADER[::-1])]
+            + sheet("torn") + [("torn", 1, 6, ["other"] + [None] * 7)] + sheet(None) + sheet("fine") + sheet("no meta"))
+    metas = [meta_row("two metas", "I"), meta_row("two metas", "J"), *(meta_row(r) for r in ("two banners", "two headers", "torn",
+                                                                                            "fine", "no rows", None))]
+    landed, failed = reports.read_reports(spark.createDataFrame(rows, SHEETS), spark.createDataFrame(metas, META))
+    assert {r.report_id: r.reason for r in failed.collect()} == {
+        "two metas": "contradictory metadata", "two banners": "contradictory rows", "two headers": "contradictory rows",
+        "torn": "contradictory rows", None: "no report id", "no meta": "no metadata", "no rows": "no sheet"}
+    assert landed.count() == 2 and {r.nombre for r in landed.collect()} == {"N0", "N1"}
+
+
+def test_results_come_from_reports(spark):
+    metas = [meta_row("a"), meta_row("b"), meta_row("c", "J"), meta_row(None, "K")]
+    failed = spark.createDataFrame([("b", "no header"), ("c", "no sheet"), (None, "no report id")], "report_id string, reason string")
+    got = {r.institution_name_spanish: r.run_status
+           for r in reports.results(spark.createDataFrame(metas, META), failed).collect()}
+    assert got == {"I": "OK", "J": "FAIL"}
+
+
+def test_landing_files_have_their_names_and_failed_tasks_leave_none(spark, tmp_dir):
+    import os
+
+    from quincena.session import ship_package
+    from quincena.sources.landing import land_files
+    ship_package(spark)
+    rows = spark.range(5000).select(F.col("id"), F.concat(F.lit("f"), (F.col("id") % 3).cast("string"), F.lit(".parquet"))
+                                    .alias("landing_file"))
+    path = f"{tmp_dir}/landing"
+    for _ in range(2):  # a replay replaces the files
+        land_files(rows, path)
+    assert sorted(f for f in os.listdir(path) if f[0] != "_") == ["f0.parquet", "f1.parquet", "f2.parquet"]
+    back = spark.read.parquet(path)
+    assert back.count() == 5000 and back.columns == ["id"]
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    assert {(r.id % 3, r.f) for r in back.select("id", name.alias("f")).collect()} == {(n, f"f{n}.parquet") for n in range(3)}
+
+    broken = rows.withColumn("id", F.when(F.col("id") < 4000, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long"))) \
+        .withColumn("landing_file", F.concat(F.lit("new_"), "landing_file"))
+    with pytest.raises(Exception):
+        land_files(broken, path)
+    assert sorted(f for f in os.listdir(path) if f[0] != "_") == ["f0.parquet", "f1.parquet", "f2.parquet"]
+    assert not os.path.exists(f"{path}/_staging") or os.listdir(f"{path}/_staging") == []
+
+
+def test_audit_rows_are_appended_exactly_once(spark, tmp_dir):
+    from quincena.sources.audit_table import append_audit, create_audit_table
+    name = "audit_once_" + tmp_dir.rsplit("-", 1)[-1].replace("_", "")
+    create_audit_table(spark, name, f"{tmp_dir}/audit", ntz=True)
+    kind = ("institution_name_spanish string, status_name_spanish string, run_status string, source_update timestamp_ntz, "
+            "checked_at timestamp_ntz, start_at timestamp_ntz, end_at timestamp_ntz, time float")
+    run = [("I", s, "OK", V1, V1, V1, V1, 0.0) for s in "ABC"]
+    later = [("I", "A", "FAIL", V1, dt.datetime(2024, 3, 1), V1, V1, 0.0), ("I", "Z", "OK", V1, None, V1, V1, 0.0)]
+    assert append_audit(spark, name, spark.createDataFrame(run[:2] * 2, kind)) == 2
+    assert append_audit(spark, name, spark.createDataFrame(run, kind)) == 1      # the run again, and the row it had lost
+    assert append_audit(spark, name, spark.createDataFrame(later, kind)) == 2
+    assert append_audit(spark, name, spark.createDataFrame(run, kind)) == 0
+    assert spark.table(name).count() == 5

@@ -3,7 +3,7 @@ import datetime as dt
 from conftest import SF0001
 from quincena.operators import gold
 from quincena.plans import catalog as C
-from quincena.plans.refresh import Layout, refresh
+from quincena.plans.refresh import Layout, Manifest, full_refresh, refresh, served_views
 from quincena.sources.tables import append_rows
 
 
@@ -75,3 +75,89 @@ def test_refresh_without_a_successful_poll(spark, tmp_dir):
                   tie_break=C.SCD2_TIE_BREAK, detected_at=dt.datetime(2024, 1, 1))
     assert spark.read.parquet(out["snapshot"]).count() == 0
     assert spark.read.parquet(out["inactive_employees"]).count() > 0
+
+
+def norm(df):
+    return sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
+
+
+def _deployment(spark, tmp_dir):
+    i = C.Inputs(spark, SF0001)
+    layout = Layout(tmp_dir)
+    options = {"landing_schema": i.payroll.schema, "audit_table_schema": i.audit.schema, "tie_break": C.SCD2_TIE_BREAK,
+               "detected_at": dt.datetime(2024, 1, 1)}
+    append_rows(i.payroll.where("row_id % 2 = 0"), layout.landing)
+    append_rows(i.audit, layout.audit)
+    refresh(spark, layout, i.translations, **options)
+    return i, layout, options
+
+
+def test_a_refresh_that_fails_midway_leaves_the_old_views(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from quincena.plans import refresh as module
+    i, layout, options = _deployment(spark, tmp_dir)
+    before = {v: norm(df) for v, df in served_views(spark, layout).items()}
+    assert set(before) == set(module.VIEWS)
+    append_rows(i.payroll.where("row_id % 2 = 1"), layout.landing)
+    real = module.write_view
+
+    def failing(df, path, **k):
+        if path.endswith("gold_employee"):
+            raise RuntimeError("lost")
+        real(df, path, **k)
+
+    monkeypatch.setattr(module, "write_view", failing)
+    with pytest.raises(RuntimeError):
+        refresh(spark, layout, i.translations, **options)
+    assert {v: norm(df) for v, df in served_views(spark, layout).items()} == before
+    monkeypatch.setattr(module, "write_view", real)
+    refresh(spark, layout, i.translations, **options)
+    after = served_views(spark, layout)
+    assert norm(after["snapshot"]) == norm(i.snapshot()) and norm(after["snapshot"]) != before["snapshot"]
+
+
+def test_full_refresh_equals_the_incremental_state_and_goes_on(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from quincena.plans import refresh as module
+    i, layout, options = _deployment(spark, tmp_dir)
+    before = {v: norm(df) for v, df in served_views(spark, layout).items()}
+    real = module.gold.position_summary
+    monkeypatch.setattr(module.gold, "position_summary", lambda s: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        full_refresh(spark, layout, i.translations, **options)
+    monkeypatch.setattr(module.gold, "position_summary", real)
+    assert Manifest(spark, layout).served()[0] == 0
+    full_refresh(spark, layout, i.translations, **options)
+    generation, paths = Manifest(spark, layout).served()
+    assert generation == 2 and all("/g=2/" in p for p in paths.values())  # 1 is the one that failed
+    assert {v: norm(df) for v, df in served_views(spark, layout).items()} == before
+    append_rows(i.payroll.where("row_id % 2 = 1"), layout.landing)
+    refresh(spark, layout, i.translations, **options)
+    assert Manifest(spark, layout).served()[0] == 2
+    assert norm(served_views(spark, layout)["snapshot"]) == norm(i.snapshot())
+
+
+def test_a_poll_run_again_lands_and_logs_nothing_twice(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from quincena.plans.poll import poll
+    from quincena.session import ship_package
+    from quincena.sources import testviews as tv
+    ship_package(spark)
+    i = C.Inputs(spark, SF0001)
+    layout = Layout(tmp_dir)
+    v = i.payroll.agg(F.max("fecha_consulta")).first()[0]
+    new = i.payroll.where(F.col("fecha_consulta") == v)
+    append_rows(i.payroll.where(F.col("fecha_consulta") < v), layout.landing)
+    append_rows(i.audit.where(F.col("source_update") < v), layout.audit)
+    options = {"landing_schema": i.payroll.schema, "audit_table_schema": i.audit.schema, "tie_break": C.SCD2_TIE_BREAK}
+    seen = []
+    for _ in range(2):
+        out = poll(spark, layout, tv.index_page(i.payroll), tv.damaged_sheets(tv.report_sheets(new)), tv.report_meta(new),
+                   i.translations, dt.datetime(2024, 1, 1), **options)
+        seen.append((spark.read.schema(i.payroll.schema).parquet(layout.landing).count(),
+                     spark.read.parquet(layout.audit).count(), norm(spark.read.parquet(out["gold_position"]))))
+    assert seen[0] == seen[1]
+    assert seen[0][0] == i.payroll.where((F.col("fecha_consulta") < v) | (F.dayofmonth("fecha_actualizacion") % 7 >= 5)).count()
