@@ -58,14 +58,28 @@ def keep_one(docs: DataFrame, normalise=unchanged, doc_id: str = "doc_id", text:
     """``docs`` (all columns) with exactly one row of each group of equal texts:
     one that ``resolve`` keeps. Where several rows of a group carry the kept
     id, or none of it has an id, any one of them stays."""
+    id_, its_hash, hash_ = free_names(docs.columns, "_id", "_id_sha256", "_sha256")
     judged = materialize(resolve(docs, normalise, doc_id, text).filter("group_size > 1").groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_id_sha256")).agg(
+        F.col("doc_id").alias(id_), F.col("text_sha256").alias(its_hash)).agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "copies")
     whole = F.sha2(normalise(F.coalesce(F.col(text), F.lit(""))).cast("binary"), 256)
-    rows = docs.withColumn("_sha256", whole)
-    same = (F.col("_sha256") == F.col("_id_sha256")) & F.col(doc_id).eqNullSafe(F.col("_id"))
-    return without_repeats(rows, judged.filter("NOT kept OR n > 1").drop("kept", "n"),
-                           judged.filter("kept AND n > 1").drop("kept", "n"), same, ["_sha256", doc_id]).drop("_sha256")
+    rows = docs.withColumn(hash_, whole)
+    same = (F.col(hash_) == F.col(its_hash)) & F.col(doc_id).eqNullSafe(F.col(id_))
+    return without_repeats(rows, judged.filter("NOT kept OR n > 1").select(id_, its_hash),
+                           judged.filter("kept AND n > 1").select(id_, its_hash), same, [hash_, doc_id]).drop(hash_)
+
+
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """``names``, made longer where a column has the name already (names
+    match whatever their case)."""
+    taken = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
 
 
 def without_repeats(rows: DataFrame, left_out: DataFrame, repeated: DataFrame, same: Column, keys: list[str]) -> DataFrame:

@@ -122,16 +122,26 @@ def _subsets(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def codes(texts: list[bytes], words: bytes) -> np.ndarray:
     """For each text and subset the hash of its distinct terms there (16 bits
-    of the sum of the terms' hashes, which no order changes); -1: none."""
+    of the sum of the terms' hashes, which no order changes); -1: none.
+
+    A text without any term of the band has nothing that subsets could say;
+    its codes are hashes of all its distinct words, another for each subset,
+    so that two such texts are alike if their words are the same and not else."""
     lex, hashes, inside = _subsets(words)
     out = np.full((len(texts), N_SUBSETS), -1, np.int32)
     spelled = [words_of(t.lower()) for t in texts]
-    if not len(lex) or not texts:
+    if not texts:
         return out
     found = hash_words([w for s in spelled for w in s])
     doc = np.repeat(np.arange(len(texts)), [len(s) for s in spelled])
-    at = np.minimum(np.searchsorted(lex, found), len(lex) - 1)
-    hit = lex[at] == found
+    at = np.minimum(np.searchsorted(lex, found), max(0, len(lex) - 1))
+    hit = lex[at] == found if len(lex) else np.zeros(len(found), bool)
+    begin = np.cumsum([0, *(len(s) for s in spelled)])
+    for i in np.flatnonzero(np.bincount(doc[hit], minlength=len(texts)) == 0):
+        whole = U64(mix64(np.unique(found[begin[i]:begin[i + 1]])).sum())
+        out[i] = mix64(whole + np.arange(1, N_SUBSETS + 1, dtype=U64)) % U64(0xFFFF)
+    if not hit.any():
+        return out
     pair = np.unique(doc[hit] * len(lex) + at[hit])  # by document, sorted terms
     term = pair % len(lex)
     ends = np.searchsorted(pair, np.arange(len(texts) + 1) * len(lex))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quincena.llm.common import row_key
 
-MIN_SITES, LEAST_CHARS = 5, 10
+MIN_SITES, LEAST_CHARS = 5, 1  # every line that is not blank is judged
 LG_K = 10  # 1024 registers: a standard error of 3.3 %
 DOUBT = 0.15
 
@@ -47,8 +47,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, least_chars:
                        doc_id: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """``doc_id, n_lines, n_removed, kept_text`` for every document: its lines
     without the cross-site ones, in order. A null text is one empty line.
-    Other columns are left out, repeated rows are judged alike, an empty table
-    gives an empty one. Only hashes of lines meet the boilerplate; a text moves
+    Other columns are left out, repeated rows and null or repeated ids are rows
+    of their own and judged by their text, an empty table gives an empty one. Only hashes of lines meet the boilerplate; a text moves
     once, to the places of the lines that go."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("key"),
                         F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("parts"))
@@ -56,7 +56,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, least_chars:
         F.length(F.trim("line")) >= least_chars).select("key", "place", _hash("line").alias("line_hash"))
     found = boilerplate(docs, min_sites, least_chars, doc_id, text, site)
     gone = lines.join(found, "line_hash", "left_semi").groupBy("key").agg(F.collect_set("place").alias("gone"))
-    left = F.filter("parts", lambda line, place: ~F.array_contains("gone", place))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone")  # hashed, so linear in the lines
+    left = F.transform(stay, lambda place: F.get("parts", place))
     texts = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("key"),
                         F.coalesce(F.col(text), F.lit("")).alias("text")).join(gone, "key", "left")
     return texts.select("doc_id", "gone", F.split("text", "\n", -1).alias("parts")).select(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quincena.llm.common import U64, arrow_slices, bounded, hash_words, mix64, run_hashes, utf8, words_of
-from quincena.llm.exact import without_repeats
+from quincena.llm.exact import free_names, without_repeats
 from quincena.session import materialize
 
 SHINGLE, PERCENT = 5, 75
@@ -34,6 +34,7 @@ BANDS, ROWS = 24, 3
 U32 = np.uint32
 BLOCK = 1 << 14
 CELLS = 1024
+NAMELESS = 1 << 62
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -83,8 +84,7 @@ def _sign(bands: int, rows: int, size: int):
         for part in arrow_slices(batches, "text"):
             sets = shingle_sets(part.column("text").to_pylist(), size)
             n = np.array([len(s) for s in sets], np.int64)
-            sums = [[int(mix64(s ^ U64(salt)).sum()) - (1 << 63) if len(s) else 0 for s in sets]
-                    for salt in (0x243F6A8885A308D3, 0x13198A2E03707344)]
+            sums = _sums(sets)
             signed = signatures(sets, bands * rows).astype(U64)
             band = np.zeros((len(sets), bands), U64)
             value = np.zeros((len(signed), bands), U64)
@@ -93,26 +93,38 @@ def _sign(bands: int, rows: int, size: int):
             band[n > 0] = value
             flat = pa.array(band.view(np.int64).ravel(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n), pa.array(sums[0], pa.int64()), pa.array(sums[1], pa.int64()),
+                [part.column("node"), pa.array(n), pa.array(sums[0], pa.int64()), pa.array(sums[1], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), flat)],
-                names=["doc_id", "n", "s1", "s2", "bands"])
+                names=["node", "n", "s1", "s2", "bands"])
 
     return run
 
 
+def _sums(sets: list[np.ndarray]) -> list[list[int]]:
+    """Two sums that tell sets of one size apart."""
+    return [[int(mix64(s ^ U64(salt)).sum()) - (1 << 63) if len(s) else 0 for s in sets]
+            for salt in (0x243F6A8885A308D3, 0x13198A2E03707344)]
+
+
 def _sets(size: int):
+    """Shingle sets of classes, from rows that may be theirs: a row whose set
+    is another one's (its id stands on several texts) is passed over."""
     def run(batches):
         import pyarrow as pa
 
         for part in arrow_slices(batches, "text"):
             sets = shingle_sets(part.column("text").to_pylist(), size)
-            bits = np.zeros((len(sets), CELLS), np.uint8)
-            for i, s in enumerate(sets):
-                bits[i, s % U64(CELLS)] = 1
+            is_its = np.array([len(s) for s in sets]) == part.column("n").to_numpy()
+            for name, sums in zip(("s1", "s2"), _sums(sets), strict=True):
+                is_its &= np.array(sums) == part.column(name).to_numpy()
+            rows = np.flatnonzero(is_its)
+            bits = np.zeros((len(rows), CELLS), np.uint8)
+            for i, row in enumerate(rows):
+                bits[i, sets[row] % U64(CELLS)] = 1
             words = np.packbits(bits, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("cls"), pa.array([s.tobytes() for s in sets], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * words.shape[1], pa.int32()),
+                [part.column("cls").take(pa.array(rows)), pa.array([sets[row].tobytes() for row in rows], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * (CELLS // 64), pa.int32()),
                                           pa.array(words.ravel()))], names=["cls", "shingles", "bits"])
 
     return run
@@ -172,17 +184,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     Documents are linked when their shingle sets' Jaccard similarity is at
     least ``percent`` hundredths; ``component_id`` is the least doc_id that
     links reach (itself included); ``kept``: it is that one. Texts that are
-    null or without words are linked with nothing. ids are integers; a row
-    without an id is not compared (its component is null, and it is kept).
-    Repeated ids are one node. An empty table gives an empty one; other
-    columns are left out."""
-    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(text).alias("text"))
+    null or without words are linked with nothing. ids are integers. Rows that
+    share an id are one node, whatever their texts: links of each of them lead
+    to all. A row without an id is compared like others; its component is the
+    least id reached, and it is kept only where there is none. An empty table
+    gives an empty one; other columns are left out."""
+    # Rows without an id are known by their text: 62 bits of its hash, above usual ids.
+    nameless = F.xxhash64(utf8(text)).bitwiseAND(F.lit(NAMELESS - 1)).bitwiseOR(F.lit(NAMELESS))
+    nodes = docs.select(F.coalesce(F.col(doc_id).cast("long"), nameless).alias("node"), F.col(text).alias("text"))
+    found = _components_of_nodes(nodes, percent, shingle, bands, rows)
+    own = F.when(F.col("node") < NAMELESS, F.col("node"))
+    return found.select(own.alias("doc_id"), "n_shingles", F.when(F.col("component") < NAMELESS, F.col("component")).alias("component_id")) \
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _components_of_nodes(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS,
+                         rows: int = ROWS) -> DataFrame:
+    """``node, n_shingles, component, kept`` for each row of ``node, text``:
+    the least node that links reach (nodes that stand for no id are greater than ids)."""
+    ids = docs.select("node", utf8("text").alias("text"))
     signed = materialize(bounded(ids).mapInArrow(_sign(bands, rows, shingle),
-                                        "doc_id long, n long, s1 long, s2 long, bands array<long>"), "signatures")
-    some = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = materialize(some.groupBy("n", "s1", "s2").agg(
-        F.min(F.struct("doc_id", "bands")).alias("first")).select("n", "s1", "s2", "first.*")
-        .withColumnRenamed("doc_id", "cls"), "classes")
+                                        "node long, n long, s1 long, s2 long, bands array<long>"), "signatures")
+    classes = materialize(signed.filter("n > 0").groupBy("n", "s1", "s2").agg(
+        F.min(F.struct("node", "bands")).alias("first")).select("n", "s1", "s2", "first.*")
+        .withColumn("cls", F.monotonically_increasing_id()), "classes")
 
     # Buckets with two classes or more; m: the bucket's first class.
     spread = classes.select("cls", "n", F.posexplode("bands").alias("band", "value"))
@@ -190,30 +215,40 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
         .filter("members > 1").drop("members")
     members = materialize(spread.join(first, ["band", "value"]), "members")
 
-    candidates = members.select("cls").distinct()
-    sets = materialize(ids.join(candidates, F.col("doc_id") == F.col("cls"))
-                       .select("cls", "text").dropDuplicates(["cls"]).mapInArrow(_sets(shingle), "cls long, shingles binary, bits array<long>"),
-                       "sets")
+    candidates = classes.drop("bands").join(members.select("cls").distinct(), "cls")
+    sets = materialize(bounded(ids.join(candidates, "node").select("cls", "n", "s1", "s2", "text")).mapInArrow(
+        _sets(shingle), "cls long, shingles binary, bits array<long>").dropDuplicates(["cls"]), "sets")
     star = materialize(verified(members.filter("cls <> m").select(F.col("cls").alias("a"), F.col("m").alias("b"))
                                 .distinct(), sets, percent), "star")
-    links = star.filter("linked")
+    links = star.filter("linked").select("a", "b").union(_one_node(signed, classes))
     groups = components(links)
     open_ = materialize(_open(members, groups), "open")
     if open_.limit(1).count():
-        hubs = materialize(verified(_hub_pairs(open_, star), sets, percent).filter("linked"), "hubs")
+        hubs = materialize(verified(_hub_pairs(open_, star), sets, percent).filter("linked").select("a", "b"), "hubs")
         links = links.union(hubs)
         groups = components(links)
         rest = materialize(_rest_pairs(materialize(_open(open_, groups), "open"), sets, percent), "rest")
-        more = materialize(verified(rest, sets, percent).filter("linked"), "more")
+        more = materialize(verified(rest, sets, percent).filter("linked").select("a", "b"), "more")
         if more.limit(1).count():
             groups = components(links.union(more))
 
-    labelled = classes.join(groups, classes["cls"] == groups["node"], "left").select(
-        "n", "s1", "s2", F.coalesce("component", "cls").alias("component"))
+    placed = classes.join(groups, classes["cls"] == groups["node"], "left").select(
+        "n", "s1", "s2", classes["node"].alias("node"), F.coalesce("component", "cls").alias("component"))
+    least = placed.groupBy("component").agg(F.min("node").alias("least"))
+    labelled = placed.drop("node").join(least, "component").drop("component")
     return signed.join(labelled, ["n", "s1", "s2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
-        .alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        "node", F.col("n").alias("n_shingles"), F.coalesce("least", "node").alias("component")).withColumn(
+        "kept", F.col("node") == F.col("component"))
+
+
+def _one_node(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the classes of one id: the first with each other."""
+    several = signed.filter("n > 0").select("node", "n", "s1", "s2").groupBy("node").agg(
+        F.min(F.struct("n", "s1", "s2")).alias("low"), F.max(F.struct("n", "s1", "s2")).alias("high")).filter("low <> high")
+    rows = signed.filter("n > 0").select("node", "n", "s1", "s2").join(several.select("node"), "node", "left_semi") \
+        .distinct().join(classes.select("n", "s1", "s2", "cls"), ["n", "s1", "s2"])
+    first = rows.groupBy("node").agg(F.min("cls").alias("a"))
+    return rows.join(first, "node").filter("cls <> a").select("a", F.col("cls").alias("b")).distinct()
 
 
 def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -269,13 +304,6 @@ def _rest_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a_cls", "b_cls").alias("a"), F.greatest("a_cls", "b_cls").alias("b")).distinct()
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` (all columns) with one document of each component."""
-    dropped = near_duplicates(docs, doc_id=doc_id, text=text, **options).filter("NOT kept").select(
-        F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped, docs[doc_id] == F.col("_dropped"), "left_anti")
-
-
 def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` (all columns) with exactly one row of each component, whatever
     the ids: rows without an id are compared like any other, and rows that
@@ -283,19 +311,19 @@ def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     of their own stay before the others, the least id first. Rows of equal id
     and text are one document, of which any row stays."""
     # A row's node: its id, or where that is null or repeated 62 bits of a hash of the row, above usual ids.
-    value = F.coalesce(F.col(text), F.lit(""))
-    high, mask = F.lit(1 << 62), F.lit((1 << 62) - 1)
-    ids = docs.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("_id")).agg(
-        F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("_id")
+    node_, id_, judged_ = free_names(docs.columns, "_node", "_id", "_judged")
+    value, own = F.coalesce(F.col(text), F.lit("")), F.col(doc_id).cast("long")
+    ids = docs.filter(F.col(doc_id).isNotNull()).groupBy(own.alias(id_)).agg(
+        F.count(F.lit(1)).alias(judged_)).filter(F.col(judged_) > 1).select(id_)
     ids = materialize(ids, "repeated-ids")
-    hashed = F.xxhash64(F.col(doc_id).cast("long"), value).bitwiseAND(mask).bitwiseOR(high)
-    node = F.when(F.col(doc_id).isNull(), hashed).otherwise(F.col(doc_id).cast("long"))
-    rows = docs.withColumn("_node", node)
+    hashed = F.xxhash64(own, value).bitwiseAND(F.lit(NAMELESS - 1)).bitwiseOR(F.lit(NAMELESS))
+    node = F.when(F.col(doc_id).isNull(), hashed).otherwise(own)
+    rows = docs.withColumn(node_, node)
     if ids.limit(1).count():
-        rows = docs.join(ids, F.col(doc_id).cast("long") == F.col("_id"), "left").withColumn(
-            "_node", F.when(F.col("_id").isNull(), node).otherwise(hashed)).drop("_id")
-    near = near_duplicates(rows.select("_node", text), doc_id="_node", text=text, **options)
-    judged = materialize(near.groupBy(F.col("doc_id").alias("_judged")).agg(
+        rows = docs.join(ids, own == F.col(id_), "left").withColumn(
+            node_, F.when(F.col(id_).isNull(), node).otherwise(hashed)).drop(id_)
+    near = _components_of_nodes(rows.select(F.col(node_).alias("node"), F.col(text).alias("text")), **options)
+    judged = materialize(near.groupBy(F.col("node").alias(judged_)).agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("NOT kept OR n > 1"), "judged")
-    return without_repeats(rows, judged.select("_judged"), judged.filter("kept").select("_judged"),
-                           F.col("_node") == F.col("_judged"), ["_node"]).drop("_node")
+    return without_repeats(rows, judged.select(judged_), judged.filter("kept").select(judged_),
+                           F.col(node_) == F.col(judged_), [node_]).drop(node_)

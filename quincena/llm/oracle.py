@@ -21,7 +21,7 @@ FROM w LEFT JOIN marks USING (doc_id) LEFT JOIN kept USING (doc_id)
 OP5 = """
 WITH l AS (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
-bad AS (SELECT trim(line, ' ') AS t FROM l WHERE length(trim(line, ' ')) >= 10 GROUP BY 1 HAVING count(DISTINCT source) >= 5),
+bad AS (SELECT trim(line, ' ') AS t FROM l WHERE length(trim(line, ' ')) >= 1 GROUP BY 1 HAVING count(DISTINCT source) >= 5),
 m AS (SELECT l.doc_id, l.i, l.line, bad.t IS NOT NULL AS gone FROM l LEFT JOIN bad ON trim(l.line, ' ') = bad.t)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256

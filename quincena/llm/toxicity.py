@@ -169,8 +169,9 @@ def calibrated(vocabulary: list[bytes], words: np.ndarray, sentence_sizes: np.nd
 
 
 def held_out(doc_id: str = "doc_id"):
-    """Rows kept from learning: crc32 of the id as text, modulo 5, is 0."""
-    return F.crc32(F.col(doc_id).cast("string")) % HELD_OUT == 0
+    """Rows kept from learning: crc32 of the id as text, modulo 5, is 0. A row
+    without an id has no label and is none of them."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % HELD_OUT == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_bytes: int = TRAIN_BYTES,
@@ -181,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_
     texts of at most ``train_bytes`` bytes. Of a longer clean text every k-th
     sentence is taken, about ``train_bytes`` in all: a part of a clean text is
     clean. A part of a longer toxic text need not be toxic, so that is left
-    out. Rows are weighted so that classes count as they stand in all labels. With one class only, or no
+    out. An id that stands on several rows gives one of them (the least text),
+    so the sample is bounded in rows. Rows are weighted so that classes count as they stand in all labels. With one class only, or no
     labels, every document is judged clean."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(
         F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_toxic")).filter(~held_out("_id"))
@@ -190,7 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_
     chosen = [known.filter(F.col("_toxic") == c).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for c in (0, 1)]
     picked = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * per_class rows
     sample = docs.select(F.col(doc_id).alias("_id"), utf8(text).alias("_text")).join(picked, "_id").filter(
-        (F.octet_length("_text") <= train_bytes) | (F.col("_toxic") == 0)).select("_id", "_toxic", "_text")
+        (F.octet_length("_text") <= train_bytes) | (F.col("_toxic") == 0)).groupBy("_id").agg(
+        F.min("_toxic").alias("_toxic"), F.min("_text").alias("_text"))
 
     def bag(batches):
         import pyarrow as pa

@@ -10,12 +10,15 @@ graph has a row for each pair of linked hosts, whatever the number of pages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quincena.session import materialize
 
-DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.0
+DAMPING, THRESHOLD = 0.85, 0.0
+LEFT_OVER = 1e-6  # of the seeds' mass, that propagation may leave unspread
 
 
 def host_of(url: Column) -> Column:
@@ -67,24 +70,33 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, left_over: float = LEFT_OVER) -> DataFrame:
     """Personalised PageRank: ``host, score``. ``edges``: ``src, dst, links``;
     ``seeds``: ``host, mass``. Rank that a host without links holds goes back
-    to the seeds by not being passed on (scores are relative). Each round is
-    one join and one aggregate over host edges, written to the shared folder."""
+    to the seeds by not being passed on (scores are relative).
+
+    The seeds' mass walks on in waves, each a join and an aggregate over host
+    edges written to the shared folder, until less than ``left_over`` of it is
+    still under way: a wave is at most ``damping`` of the one before, so this
+    ends, and no host is too far away for it. Scores are the sum of all waves
+    and lie within that share of the limit."""
     out = edges.groupBy("src").agg(F.sum("links").alias("all"))
     weighted = materialize(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("all")).alias("share")), "edges")
     total = seeds.agg(F.sum("mass")).first()[0]
-    start = seeds.select("host", (F.col("mass") / F.lit(float(total or 1))).alias("mass"))
-    rank = start.select("host", F.col("mass").alias("score"))
+    wave = seeds.select("host", (F.col("mass") / F.lit(float(total or 1)) * (1 - damping)).alias("score"))
+    waves = [wave]
     if not weighted.limit(1).count():
-        return rank.select("host", (F.col("score") * (1 - damping)).alias("score"))
-    for _ in range(rounds):
-        passed = weighted.join(rank, weighted["src"] == rank["host"]).groupBy(F.col("dst").alias("host")).agg(
-            (F.sum(F.col("share") * F.col("score")) * damping).alias("score"))
-        rank = materialize(passed.union(start.select("host", F.col("mass") * (1 - damping))).groupBy("host").agg(
-            F.sum("score").alias("score")), "rank")
-    return rank
+        return wave
+    while True:
+        wave = materialize(weighted.join(wave, weighted["src"] == wave["host"]).groupBy(F.col("dst").alias("host")).agg(
+            (F.sum(F.col("share") * F.col("score")) * damping).alias("score")), "wave")
+        under_way = wave.agg(F.sum("score")).first()[0]
+        if under_way is None:
+            break
+        waves.append(wave)
+        if under_way < left_over * (1 - damping):
+            break
+    return reduce(DataFrame.unionAll, waves).groupBy("host").agg(F.sum("score").alias("score"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = THRESHOLD, page_id: str = "page_id",
@@ -96,7 +108,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = THR
     (block) are the seeds, by their number of such pages; a host can be both.
     Hosts that nothing is known of have 0 and 0. Null urls, and urls without
     ``://``, have an empty host and path and are judged like an unknown host.
-    Repeated rows are judged alike; other columns are left out."""
+    Repeated pages are judged alike, row by row; other columns are left out."""
     rows = parsed(pages, rules, page_id, url)
     seeds = materialize(rows.filter("ruled IS NOT NULL").groupBy("host", "ruled").agg(
         F.count(F.lit(1)).cast("double").alias("mass")), "seeds")

@@ -38,15 +38,30 @@ def test_op2_trust_and_distrust_flow(workers):  # noqa: F811
     assert [got[i].verdict for i in range(1, 8)] == ["allow", "allow", "block", "block", "allow", "allow", "block"]
     assert got[2].trust > got[5].trust > 0 and got[3].distrust > got[7].distrust > 0
     edges = {(r.src, r.dst): r.links for r in urls.host_edges(pages).collect()}
-    # Brute force of the same iteration.
-    seed, rank = {"good.org": 1.0}, {"good.org": 1.0}
-    for _ in range(urls.ROUNDS):
-        new = {h: m * (1 - urls.DAMPING) for h, m in seed.items()}
-        for (s, d), n in edges.items():
-            out = sum(k for (a, _), k in edges.items() if a == s)
-            new[d] = new.get(d, 0) + urls.DAMPING * rank.get(s, 0) * n / out
-        rank = new
-    assert abs(got[5].trust - rank["second.net"]) < 1e-12
+    # The limit itself: (I - d P^T) rank = (1 - d) seeds, solved directly.
+    hosts = sorted({h for e in edges for h in e} | {"good.org"})
+    place = {h: i for i, h in enumerate(hosts)}
+    step = np.zeros((len(hosts), len(hosts)))
+    for (s, d), n in edges.items():
+        step[place[d], place[s]] = n / sum(k for (a, _), k in edges.items() if a == s)
+    seed = np.array([float(h == "good.org") for h in hosts])
+    rank = np.linalg.solve(np.eye(len(hosts)) - urls.DAMPING * step, (1 - urls.DAMPING) * seed)
+    assert abs(got[5].trust - rank[place["second.net"]]) < 1e-6
+
+
+def test_op2_rank_reaches_far_hosts_and_cycles(workers):  # noqa: F811
+    n = 30  # a chain of hosts that ends in a cycle of three
+    edges = [(f"h{i}", f"h{i + 1}", 1) for i in range(n)] + [(f"h{n}", "c1", 2), ("c1", "c2", 1), ("c2", f"h{n}", 1)]
+    frame_ = workers.createDataFrame(edges, "src string, dst string, links long")
+    got = {r.host: r.score for r in urls.propagate(frame_, workers.createDataFrame([("h0", 3.0)], "host string, mass double")).collect()}
+    hosts = sorted({h for e in edges for h in e[:2]})
+    place = {h: i for i, h in enumerate(hosts)}
+    step = np.zeros((len(hosts), len(hosts)))
+    for s, d, _ in edges:
+        step[place[d], place[s]] = 1.0
+    want = np.linalg.solve(np.eye(len(hosts)) - 0.85 * step, 0.15 * np.array([float(h == "h0") for h in hosts]))
+    assert set(got) == set(hosts) and all(abs(got[h] - want[place[h]]) < 1e-6 for h in hosts)
+    assert got["h25"] > 0
 
 
 def test_op7_lexicon_is_the_band(workers):  # noqa: F811
@@ -176,3 +191,53 @@ def test_pipeline_stages(workers):  # noqa: F811
         assert r.n_chars == len(r.text)
     five = stage["packing"](workers, four, SF0001)
     assert {r.doc_id for r in five.collect()} == set(out)
+
+
+def test_op7_texts_without_band_terms_differ(workers):  # noqa: F811
+    rows = [(i, f"common{i % 3} word{i % 5} term{i % 7} own{i}") for i in range(60)]
+    lex = imatch.lexicon(frame(workers, rows), 0.05, 0.9)
+    words_ = lex.tobytes()
+    texts = [b"alpha", b"entirely other words here", b"alpha alpha", b"Here words other entirely", b"", b" \n", b"alpha beta"]
+    prints = [imatch.fingerprint(t, words_) for t in texts]
+    assert prints[0] == prints[2] and prints[1] == prints[3] and prints[4] == prints[5]
+    assert len(set(prints)) == 4
+    codes = imatch.codes(texts, words_)
+    near = imatch.likeness(codes[[0, 1, 0, 0, 4]], codes[[2, 3, 1, 6, 0]])
+    assert near[:2].tolist() == [1.0, 1.0] and max(near[2:]) < 0.2
+    nothing = np.empty(0, np.uint64).tobytes()  # no band at all
+    assert imatch.fingerprint(b"a b", nothing) == imatch.fingerprint(b"b a", nothing) != imatch.fingerprint(b"c", nothing)
+
+
+def test_op10_noisy_or_by_hand(workers):  # noqa: F811
+    """Scores against the definition, sentence by sentence, from the fitted weights."""
+    import math
+    rows, marks = toxic_corpus()
+    docs = frame(workers, rows + [(90_001, ""), (90_002, None), (90_003, "Vileword1 w1. w2 w2 w3! \n w4? vileword2")])
+    model = toxicity.train(docs, workers.createDataFrame(marks, "doc_id long, toxic int"))
+    for r in toxicity.score(docs, model).collect():
+        text = dict((i, t) for i, t in rows).get(r.doc_id, "Vileword1 w1. w2 w2 w3! \n w4? vileword2" if r.doc_id == 90_003 else "")
+        said = [set(s) for s in toxicity.sentences((text or "").encode()) if s]
+        fall = float(np.interp(math.log2(max(1, len(said))), range(len(model.lowered)), model.lowered))
+        clean = 1.0
+        for s in said:
+            z = sum(float(np.float32(model.weights[toxicity.features(w)].sum())) for w in s) + model.bias - fall
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        assert abs(r.score - (1 - clean)) < 1e-6 and r.predicted == (r.score >= 0.5)
+
+
+def test_op10_one_id_on_very_many_rows_is_one_document_of_the_sample(workers):  # noqa: F811
+    rows, marks = toxic_corpus()
+    many = [(rows[0][0], f"{rows[0][1]} {k}.") for k in range(3000)]
+    seen = []
+    real = toxicity.calibrated
+    try:
+        toxicity.calibrated = lambda *a: seen.append(len(a[3])) or real(*a)
+        toxicity.train(frame(workers, many + rows[1:]), workers.createDataFrame(marks, "doc_id long, toxic int"))
+    finally:
+        toxicity.calibrated = real
+    assert seen[0] <= len({i for i, _ in marks})
+
+
+def test_op10_null_id_is_not_held_out(workers):  # noqa: F811
+    df = workers.createDataFrame([(None,), (1,)], "doc_id long").select(toxicity.held_out().alias("h"))
+    assert None not in [r.h for r in df.collect()]

@@ -9,6 +9,7 @@ from test_llm_models import alike, toxic_corpus
 
 import corpus_pipeline
 from quincena.llm import exact, imatch, minhash, toxicity
+from quincena.session import materialize
 
 
 def trained(spark):
@@ -88,7 +89,7 @@ def test_pipeline_keeps_a_row_of_repeated_rows(workers, tmp_dir):  # noqa: F811
     docs = frame(workers, rows)
     workers.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
     for _, stage in corpus_pipeline.STAGES[:4]:
-        docs = stage(workers, docs, tmp_dir).localCheckpoint()
+        docs = materialize(stage(workers, docs, tmp_dir), "stage")
     left = Counter(r.text.rsplit(" ", 1)[0] if r.text.endswith((" end", " stop")) else r.text for r in docs.collect())
     assert left == Counter(texts)
 
@@ -118,3 +119,16 @@ def test_sizes_as_spark_writes_them():
     from quincena.llm.common import byte_string
 
     assert [byte_string(t) for t in ("64m", "1gb", "12", "7b", "2K", "-1", " 3 mib ")] == [64 << 20, 1 << 30, 12, 7, 2048, -1, 3 << 20]
+
+
+def test_callers_columns_pass_through_whatever_their_names(workers):  # noqa: F811
+    text = " ".join(words(random.Random(2), 60, 9000))
+    rows = [(1, text), (2, text), (3, text + " more"), (4, "else " * 3)]
+    extra = ["_id", "_sha256", "_id_sha256", "_node", "_judged", "n_words", "n_removed", "kept_text", "cls", "node", "n"]
+    docs = workers.createDataFrame([(*r, *(f"{c}{r[0]}" for c in extra)) for r in rows],
+                                   "doc_id long, text string, " + ", ".join(f"{c} string" for c in extra))
+    for kept in (exact.keep_one(docs), minhash.keep_one_row(docs), corpus_pipeline.drop_passages(workers, docs, "")):
+        assert kept.columns == docs.columns
+        assert all(getattr(r, c) == f"{c}{r.doc_id}" for r in kept.collect() for c in extra)
+    assert sorted(r.doc_id for r in exact.keep_one(docs).collect()) == [2, 3, 4]
+    assert sorted(r.doc_id for r in minhash.keep_one_row(docs).collect()) == [1, 4]
