@@ -34,11 +34,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat; documents of which nothing is left go."""
-    left = substrings.remove_repeats(docs).filter("n_removed = 0 OR n_removed < n_words")
+    # Only id and text go by their names, so that no column of the caller's meets one of the results.
+    plain = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
+    left = substrings.remove_repeats(docs.toDF(*plain.values())).filter("n_removed = 0 OR n_removed < n_words")
     text = F.col("kept_text")
     return left.select(*[text.alias(c) if c == "text" else
-                         F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col(c)).alias(c)
-                         if c == "n_chars" else F.col(c) for c in docs.columns])
+                         F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col(p)).alias(c)
+                         if c == "n_chars" else F.col(p).alias(c) for c, p in plain.items()])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
