@@ -216,8 +216,10 @@ def _components_of_nodes(docs: DataFrame, percent: int = PERCENT, shingle: int =
     members = materialize(spread.join(first, ["band", "value"]), "members")
 
     candidates = classes.drop("bands").join(members.select("cls").distinct(), "cls")
-    sets = materialize(bounded(ids.join(candidates, "node").select("cls", "n", "s1", "s2", "text")).mapInArrow(
-        _sets(shingle), "cls long, shingles binary, bits array<long>").dropDuplicates(["cls"]), "sets")
+    # Of rows that repeat id and text one is read. Another text of the same id and set (blanks, capitals) only repeats a row of ``sets``.
+    its = ids.join(candidates, "node").withColumn("h", F.xxhash64("text")).dropDuplicates(["node", "cls", "h"])
+    sets = materialize(bounded(its.select("cls", "n", "s1", "s2", "text")).mapInArrow(
+        _sets(shingle), "cls long, shingles binary, bits array<long>"), "sets")
     star = materialize(verified(members.filter("cls <> m").select(F.col("cls").alias("a"), F.col("m").alias("b"))
                                 .distinct(), sets, percent), "star")
     links = star.filter("linked").select("a", "b").union(_one_node(signed, classes))
