@@ -18,7 +18,7 @@ VERSION_PATTERN = (r"Fecha de actualización de los datos:\s+"
 PLACEHOLDER = "Seleccione"
 
 # Report request: query-string layout around the two encoded names.
-REPORT_QUERY_LAYOUT = ("?&Ne=", "&N=&A=&C=&E=")
+REPORT_QUERY_LAYOUT = "?&Ne={institution}&N=&A=&C=&E={status}"
 
 # Response header: file name of the workbook.
 FILE_NAME_PATTERN = r'filename="(.*?).xlsx"'
@@ -39,10 +39,3 @@ ACCENTED_ID_HEADER = "cédula"
 DATE_12H = "d/M/yyyy h:mm:ss a"
 DATE_24H = "d/M/yyyy H:mm:ss a"
 START_DATE_FORMAT = "d/M/yyyy"
-
-# Composite key: parts joined by a dash; dashes removed from the id part.
-KEY_SEPARATOR = "-"
-
-# An employee has several names when distinct first plus distinct last
-# names exceed this.
-MULTIPLE_NAMES_ABOVE = 2

@@ -3,11 +3,12 @@ whole-stage code generation."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quincena.fixed import (DATE_12H, DATE_24H, FILE_NAME_PATTERN, KEY_SEPARATOR, MULTIPLE_NAMES_ABOVE,
-                            REPORT_QUERY_LAYOUT)
+from quincena.fixed import DATE_12H, DATE_24H, FILE_NAME_PATTERN, REPORT_QUERY_LAYOUT
 
 
 def _c(x) -> Column:
@@ -18,8 +19,8 @@ def composite_key(nombre="nombre", apellido="apellido", institucion="institucion
                   cedula="cedula") -> Column:
     """``nombre-apellido-institucion-cargo-cedula`` with dashes removed from the
     id. ``concat_ws`` skips NULLs, so keys of different people may collide."""
-    return F.concat_ws(KEY_SEPARATOR, _c(nombre), _c(apellido), _c(institucion), _c(cargo),
-                       F.regexp_replace(_c(cedula), KEY_SEPARATOR, ""))
+    return F.concat_ws("-", _c(nombre), _c(apellido), _c(institucion), _c(cargo),
+                       F.replace(_c(cedula), F.lit("-"), F.lit("")))
 
 
 def years_between(end="fecha_actualizacion", start="fecha_de_inicio") -> Column:
@@ -28,11 +29,6 @@ def years_between(end="fecha_actualizacion", start="fecha_de_inicio") -> Column:
     return F.months_between(_c(end), _c(start)) / 12
 
 
-def multiple_names(name_count="name_count", last_name_count="last_name_count") -> Column:
-    """1 when distinct first names + distinct last names exceed 2, else 0."""
-    return F.when((_c(name_count) + _c(last_name_count)) > MULTIPLE_NAMES_ABOVE, F.lit(1)).otherwise(F.lit(0))
-
-
 def parse_report_datetime(text) -> Column:
     """Parse ``d/m/yyyy h:mm:ss AM|PM``; PM is honoured (``2:30:00 PM`` is
     14:30). A 24-hour value with a marker (``14:30:00 PM``) is read as is.
@@ -58,8 +54,8 @@ def url_quote(col) -> Column:
 
 def report_url(base_url: str, institution, status) -> Column:
     """``{base}?&Ne={institution}&N=&A=&C=&E={status}`` with both names encoded."""
-    return F.concat(F.lit(base_url), F.lit(REPORT_QUERY_LAYOUT[0]), url_quote(institution),
-                    F.lit(REPORT_QUERY_LAYOUT[1]), url_quote(status))
+    before, between, after = re.split(r"\{\w+\}", REPORT_QUERY_LAYOUT)
+    return F.concat(F.lit(base_url + before), url_quote(institution), F.lit(between), url_quote(status), F.lit(after))
 
 
 def file_stem(content_disposition, default: str = "report") -> Column:

@@ -6,12 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SNAPSHOT_COLUMNS = [
-    "composite_key", "first_name", "last_name", "id_number", "salary", "allowance",
-    "status_sp", "status_en", "institution_sp", "institution_en", "position_sp", "position_en",
-    "start_date", "query_date", "snapshot_date", "years_of_service", "file",
-]
-
+from quincena.schemas import SNAPSHOT, SNAPSHOT_ENGLISH
 
 def latest_snapshot(bronze: DataFrame, dim_inst: DataFrame, dim_stat: DataFrame,
                     dim_pos: DataFrame, prune_versions: bool = True) -> DataFrame:
@@ -22,13 +17,12 @@ def latest_snapshot(bronze: DataFrame, dim_inst: DataFrame, dim_stat: DataFrame,
     name *and* version). Positions join left: unknown positions keep NULL
     English names.
 
-    With ``prune_versions`` the bronze scan also gets, as scalar subqueries
-    over the dimensions (one row per name), ``fecha_consulta >=`` the
-    oldest current version and ``fecha_consulta IN`` the current versions,
-    so other versions are skipped at the scan (row-group statistics, or
-    whole folders when bronze is partitioned by version). It never changes
-    the result: every surviving row equals a current version of both its
-    institution and its status.
+    With ``prune_versions`` the bronze scan also gets the versions that are
+    current in both dimensions, as scalar subqueries over them (one row per
+    name): their minimum, which reaches the Parquet reader, and the set itself
+    (at most one version a name), which prunes version folders of a
+    version-partitioned bronze. It never changes the result: every surviving
+    row equals a current version of both its institution and its status.
     """
     inst = dim_inst.select(
         F.col("institution_name_spanish").alias("_inst"),
@@ -41,34 +35,12 @@ def latest_snapshot(bronze: DataFrame, dim_inst: DataFrame, dim_stat: DataFrame,
     b = bronze
     if prune_versions:
         v = F.col("fecha_consulta")
-        # Lower bounds reach the Parquet reader (row-group statistics); the
-        # exact sets of current versions (at most one per dimension row)
-        # prune version folders of a version-partitioned bronze.
-        b = b.where((v >= inst.agg(F.min("_inst_version")).scalar())
-                    & (v >= stat.agg(F.min("_stat_version")).scalar())
-                    & F.array_contains(inst.agg(F.collect_set("_inst_version")).scalar(), v)
-                    & F.array_contains(stat.agg(F.collect_set("_stat_version")).scalar(), v))
+        both = inst.select(F.col("_inst_version").alias("_v")).distinct().join(
+            stat.select(F.col("_stat_version").alias("_v")).distinct(), "_v")
+        b = b.where((v >= both.agg(F.min("_v")).scalar()) & F.array_contains(both.agg(F.collect_set("_v")).scalar(), v))
     j = (b.join(inst,
                 (F.col("institucion") == F.col("_inst")) & (F.col("fecha_consulta") == F.col("_inst_version")))
           .join(stat,
                 (F.col("estado") == F.col("_stat")) & (F.col("fecha_consulta") == F.col("_stat_version")))
           .join(pos, F.col("cargo") == F.col("_pos"), "left"))
-    return j.select(
-        "composite_key",
-        F.col("nombre").alias("first_name"),
-        F.col("apellido").alias("last_name"),
-        F.col("cedula").alias("id_number"),
-        F.col("salario").alias("salary"),
-        F.col("gasto").alias("allowance"),
-        F.col("estado").alias("status_sp"),
-        F.col("status_name_english").alias("status_en"),
-        F.col("institucion").alias("institution_sp"),
-        F.col("institution_name_english").alias("institution_en"),
-        F.col("cargo").alias("position_sp"),
-        F.col("position_name_english").alias("position_en"),
-        F.col("fecha_de_inicio").alias("start_date"),
-        F.col("fecha_actualizacion").alias("query_date"),
-        F.col("fecha_consulta").alias("snapshot_date"),
-        F.col("antiguedad").alias("years_of_service"),
-        F.col("archivo").alias("file"),
-    )
+    return j.select(*[F.col(c).alias(name) for name, c in {**SNAPSHOT, **SNAPSHOT_ENGLISH}.items()])

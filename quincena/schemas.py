@@ -33,6 +33,14 @@ SCD2_KEYS = ["cedula", "nombre", "apellido", "institucion", "cargo", "estado"]
 SCD2_SEQUENCE = "fecha_consulta"
 SCD2_TRACKED = ["salario", "gasto", "fecha_de_inicio"]
 
+# Snapshot columns: name there -> bronze column. Names in English come from the dimensions.
+SNAPSHOT = {"composite_key": "composite_key", "first_name": "nombre", "last_name": "apellido", "id_number": "cedula",
+            "salary": "salario", "allowance": "gasto", "status_sp": "estado", "institution_sp": "institucion",
+            "position_sp": "cargo", "start_date": "fecha_de_inicio", "query_date": "fecha_actualizacion",
+            "snapshot_date": "fecha_consulta", "years_of_service": "antiguedad", "file": "archivo"}
+SNAPSHOT_ENGLISH = {"status_en": "status_name_english", "institution_en": "institution_name_english",
+                    "position_en": "position_name_english"}
+
 # Keys of the latest-poll table (one row per report).
 AUDIT_KEYS = ["institution_name_spanish", "status_name_spanish"]
 
