@@ -24,7 +24,7 @@ from quincena.sources import testviews as tv
 from quincena.sources.audit_table import append_audit, create_audit_table
 from quincena.sources.fixtures import load_fixture
 from quincena.sources.landing import land_files
-from quincena.sources.tables import append_rows, read_table, write_view
+from quincena.sources.tables import append_rows, read_table, write_clustered, write_view
 from quincena.streaming import incremental as inc
 from quincena.streaming.store import VersionedTable
 
@@ -248,7 +248,11 @@ def q_mon_daily_avg(spark, sf_dir):
 
 
 def q_mon_trend(spark, sf_dir):
-    return monitor.trend(monitor.daily_avg(Inputs(spark, sf_dir).poll_log), TREND_DAYS)
+    return monitor.trend(materialize(monitor.daily_avg(Inputs(spark, sf_dir).poll_log), "daily"), TREND_DAYS)
+
+
+def q_mon_forecast(spark, sf_dir):
+    return monitor.seasonal_forecast(materialize(monitor.daily_avg(Inputs(spark, sf_dir).poll_log), "daily"), TREND_DAYS)
 
 
 def q_report_clean(spark, sf_dir):
@@ -311,6 +315,13 @@ def q_clustered_write(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_clustered_bronze(spark, sf_dir):
+    """Bronze laid out along a curve over institution and data version, read back."""
+    path = scratch_path(spark, "clustered_bronze")
+    write_clustered(materialize(Inputs(spark, sf_dir).bronze, "bronze"), path, ["institucion", "fecha_consulta"])
+    return spark.read.parquet(path)
+
+
 # --------------------------------------------------------------------------- triggered streams
 # The streaming queries land their input in three arrivals (time ranges of
 # the data, every row exactly once) and run the stream after each arrival,
@@ -526,6 +537,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mon_run_table": q_mon_run_table,
     "mon_daily_avg": q_mon_daily_avg,
     "mon_trend": q_mon_trend,
+    "mon_forecast": q_mon_forecast,
     "report_clean": q_report_clean,
     "report_failures": q_report_failures,
     "report_landed": q_report_landed,
@@ -534,6 +546,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_select_options": q_page_select_options,
     "page_version": q_page_version,
     "clustered_write": q_clustered_write,
+    "clustered_bronze": q_clustered_bronze,
     "ingest_stream": q_ingest_stream,
     "scd2_stream": q_scd2_stream,
     "scd1_stream": q_scd1_stream,

@@ -217,6 +217,25 @@ FROM (
                                       INTERVAL 1 DAY)) AS d FROM daily)
 ) s, (SELECT regr_slope(avg_time, x) AS m, regr_intercept(avg_time, x) AS b FROM (
         SELECT avg_time, CAST(datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS DOUBLE) AS x FROM daily)) f"""),
+    "mon_forecast": "WITH RECURSIVE" + with_views(f"""
+, span AS (SELECT min(CAST(day AS DATE)) AS a, max(CAST(day AS DATE)) AS z FROM daily),
+days AS (SELECT CAST(a + CAST(k AS INT) AS DATE) AS d, k, greatest(k - (z - a), 0) AS ahead, (epoch(CAST(a + CAST(k AS INT) AS TIMESTAMP)) // 86400) % 7 AS part
+ FROM (SELECT a, z, unnest(range(0, (z - a) + {TREND_DAYS} + 1)) AS k FROM span)),
+pts AS (SELECT days.*, daily.avg_time AS y FROM days LEFT JOIN daily ON CAST(daily.day AS DATE) = days.d),
+fold AS (
+ SELECT CAST(-1 AS BIGINT) AS k, (SELECT arg_min(y, k) FROM pts WHERE y IS NOT NULL) AS lev, CAST(0 AS DOUBLE) AS slo,
+  CAST([0, 0, 0, 0, 0, 0, 0] AS DOUBLE[]) AS parts, CAST(NULL AS DOUBLE) AS fit
+ UNION ALL
+ SELECT k, l2, CASE WHEN y IS NULL THEN slo ELSE 0.05 * (l2 - lev) + (1 - 0.05) * slo END,
+  list_transform(parts, lambda v, i: CASE WHEN i = part + 1 AND y IS NOT NULL THEN 0.2 * (y - l2) + (1 - 0.2) * v ELSE v END), fit2
+ FROM (SELECT p.k, f.lev, f.slo, f.parts, p.part, p.y, f.lev + f.slo + f.parts[CAST(p.part + 1 AS BIGINT)] AS fit2,
+        CASE WHEN p.y IS NULL THEN f.lev + f.slo
+             ELSE 0.3 * (p.y - f.parts[CAST(p.part + 1 AS BIGINT)]) + (1 - 0.3) * (f.lev + f.slo) END AS l2
+       FROM fold f JOIN pts p ON p.k = f.k + 1)),
+dev AS (SELECT sqrt(avg((y - fit) * (y - fit))) AS sd FROM pts JOIN fold USING (k) WHERE y IS NOT NULL)
+SELECT CAST(d AS TIMESTAMP) AS day, y AS avg_time, round(fit, 6) AS fitted,
+ round(fit - 1.96 * sd * sqrt(greatest(ahead, 1)), 6) AS low, round(fit + 1.96 * sd * sqrt(greatest(ahead, 1)), 6) AS high,
+ ahead > 0 AS is_forecast FROM pts JOIN fold USING (k), dev""").removeprefix("WITH"),
     "report_clean": with_views(f"""
 SELECT nombre, apellido, cedula, cargo, salario, gasto, estado, fecha_de_inicio, fecha_actualizacion,
  fecha_consulta, CASE WHEN estado = 'P' THEN '{DEFAULT_STEM}' ELSE archivo END AS archivo, institucion
@@ -251,6 +270,7 @@ FROM pages, (VALUES (2), (3)) t(n)""",
 SELECT page_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id * 7) + to_seconds(page_id % 60) AS data_version
 FROM pages""",
     "clustered_write": with_views("SELECT * FROM snapshot"),
+    "clustered_bronze": with_views("SELECT * FROM bronze"),
     "ingest_stream": with_views("SELECT * EXCLUDE (row_id) FROM bronze"),
     "scd2_stream": with_views("SELECT * FROM scd2"),
     "scd1_stream": with_views("SELECT * FROM last_run"),

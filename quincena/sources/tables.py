@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quincena.functions.curve import curve_key
+
 
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
     """Batch read of one table stored as ``{root}/{name}.parquet`` (file or folder)."""
@@ -39,3 +41,20 @@ def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_clustered(df: DataFrame, path: str, columns: list[str], files: int | None = None,
+                    rows_in_group: int | None = None) -> None:
+    """Overwrite ``path`` with ``df`` laid out along a space-filling curve over
+    ``columns``: a filter on any one of them finds few files and row groups.
+
+    Rows are range-partitioned on the curve key and a row hash (so a hot place
+    on the curve spreads over tasks) into ``files`` files (the session's
+    shuffle partitions by default) and sorted in each. ``df`` should be a
+    written table: the key's ranges are taken in a pass of their own."""
+    key, spread = curve_key(df, columns), F.xxhash64(*[F.col(c) for c in df.columns])
+    out = df.repartitionByRange(files, key, spread) if files else df.repartitionByRange(key, spread)
+    w = out.sortWithinPartitions(key, *columns).write.mode("overwrite")
+    if rows_in_group:
+        w = w.option("parquet.block.row.count.limit", rows_in_group)
+    w.parquet(path)

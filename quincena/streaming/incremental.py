@@ -36,6 +36,7 @@ def read_bronze(spark: SparkSession, bronze_dir: str, bronze_schema: T.StructTyp
 
 # Event log and history are partitioned (and versioned) by institution.
 HISTORY_PARTITION = "institucion"
+HISTORY_CLUSTER = ("estado", "cargo")
 
 
 def history_schema(spark: SparkSession, events_schema: T.StructType, tie_break: list[str]) -> T.StructType:
@@ -54,7 +55,7 @@ def read_history(spark: SparkSession, history_root: str, events_schema: T.Struct
 
 def history_sink(spark: SparkSession, events_root: str, history_root: str, tie_break: list[str]):
     return sinks.scd2_sink(PartitionedVersions(spark, events_root, HISTORY_PARTITION),
-                           HistoryVersions(spark, history_root, HISTORY_PARTITION),
+                           HistoryVersions(spark, history_root, HISTORY_PARTITION, HISTORY_CLUSTER),
                            PartitionedVersions(spark, f"{events_root}_late", HISTORY_PARTITION),
                            SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, tie_break)
 

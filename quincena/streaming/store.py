@@ -177,6 +177,10 @@ class HistoryVersions(PartitionedVersions):
     One write commits all of it.
     """
 
+    def __init__(self, spark: SparkSession, root: str, part_col: str, cluster_by: tuple[str, ...] = ()):
+        super().__init__(spark, root, part_col)
+        self.cluster_by = cluster_by
+
     def _states(self, version: int, name: str) -> list[str]:
         return [n.split("=")[1] for n in self._names(self._folder(version), name) if n.startswith(STATE + "=")]
 
@@ -203,6 +207,7 @@ class HistoryVersions(PartitionedVersions):
         open rows and what mending has replaced are deleted, but for those
         that the ``keep`` newest versions of a partition still show."""
         (df.withColumn(self.value_col, F.col(self.part_col)).hint("rebalance", self.part_col, STATE)
+         .sortWithinPartitions(self.part_col, STATE, *self.cluster_by)
          .write.mode("overwrite").partitionBy(self.part_col, STATE).parquet(f"{self.root}/{self._folder(version)}"))
         written = set(self.folders(version))
         versions = self.committed()

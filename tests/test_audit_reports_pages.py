@@ -256,3 +256,31 @@ def test_audit_rows_are_appended_exactly_once(spark, tmp_dir):
     assert append_audit(spark, name, spark.createDataFrame(later, kind)) == 2
     assert append_audit(spark, name, spark.createDataFrame(run, kind)) == 0
     assert spark.table(name).count() == 5
+
+
+def test_seasonal_forecast_equals_a_plain_fold(spark):
+    import math
+    rng = __import__("random").Random(6)
+    first = dt.date(2024, 1, 3)
+    seen = {k: 10 + 0.1 * k + (5 if k % 7 == 2 else 0) + rng.random() for k in range(60) if k not in (4, 5, 31)}
+    rows = [(dt.datetime.combine(first + dt.timedelta(days=k), dt.time()), y) for k, y in seen.items()]
+    daily = spark.createDataFrame([*rows, (None, 3.0)], "day timestamp_ntz, avg_time double")
+    got = {r.day.date(): r for r in monitor.seasonal_forecast(daily, 10).collect()}
+    level, slope, parts, squares, fits = seen[0], 0.0, [0.0] * 7, 0.0, {}
+    for k in range(70):
+        at = ((first - dt.date(1970, 1, 1)).days + k) % 7
+        fits[k] = level + slope + parts[at]
+        if k in seen:
+            squares += (seen[k] - fits[k]) ** 2
+            new = 0.3 * (seen[k] - parts[at]) + 0.7 * (level + slope)
+            slope, level = 0.05 * (new - level) + 0.95 * slope, new
+            parts[at] = 0.2 * (seen[k] - level) + 0.8 * parts[at]
+        else:
+            level += slope
+    sd = math.sqrt(squares / len(seen))
+    assert len(got) == 70
+    for k in range(70):
+        r, width = got[first + dt.timedelta(days=k)], 1.96 * sd * math.sqrt(max(1, k - 59))
+        assert abs(r.fitted - fits[k]) < 2e-6 and abs(r.low - fits[k] + width) < 2e-6 and abs(r.high - fits[k] - width) < 2e-6
+        assert r.is_forecast == (k > 59) and (r.avg_time is None) == (k not in seen)
+    assert monitor.seasonal_forecast(daily.limit(0)).collect() == []

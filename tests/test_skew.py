@@ -56,3 +56,44 @@ def test_clustered_write_spreads_a_hot_key(spark, tmp_dir):
     files_with_hot = back.where("k = 'hot'").select(F.input_file_name()).distinct().count()
     assert files_with_hot >= 4
     assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) >= 4
+
+
+def test_curve_narrows_both_columns(spark, tmp_dir):
+    """Row groups that a filter on either column must read, from the files'
+    statistics: written as it comes, sorted by one column, along the curve."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from quincena.sources.tables import write_clustered, write_view
+    n = 40_000
+    df = spark.range(n).select(F.format_string("i%03d", (F.xxhash64("id") % 90 + 90) % 90).alias("a"),
+                               F.when(F.col("id") % 50 == 0, None).otherwise((F.xxhash64("id", F.lit(1)) % 500).cast("int")).alias("b"),
+                               "id").repartition(16)
+
+    def groups(path, column, value):
+        hit = total = 0
+        for f in glob.glob(f"{path}/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            for g in range(meta.num_row_groups):
+                stats = next(meta.row_group(g).column(c).statistics for c in range(meta.num_columns)
+                             if meta.row_group(g).column(c).path_in_schema == column)
+                total += 1
+                hit += stats.min <= value <= stats.max
+        return hit / total
+
+    plain, curve = f"{tmp_dir}/plain", f"{tmp_dir}/curve"
+    write_view(df, plain)
+    write_clustered(spark.read.parquet(plain), curve, ["a", "b"], files=64)
+    back = spark.read.parquet(curve)
+    assert back.count() == n and back.agg(F.sum("id")).first()[0] == n * (n - 1) // 2
+    for column, value in (("a", "i045"), ("b", 100)):
+        assert groups(plain, column, value) == 1.0 and groups(curve, column, value) < 0.35
+
+
+def test_curve_of_odd_columns(spark, tmp_dir):
+    from quincena.sources.tables import write_clustered
+    for rows in ([], [(None, None)] * 5, [("x", 1)] * 50 + [(None, 2)]):
+        df = spark.createDataFrame(rows, "a string, b int")
+        write_clustered(df, f"{tmp_dir}/{len(rows)}", ["a", "b"])
+        assert spark.read.schema(df.schema).parquet(f"{tmp_dir}/{len(rows)}").count() == len(rows)
