@@ -26,6 +26,7 @@ from quincena.sources.fixtures import load_fixture
 from quincena.sources.landing import land_files
 from quincena.sources.tables import append_rows, read_table, write_clustered, write_view
 from quincena.streaming import incremental as inc
+from quincena.streaming.quarantine import quarantine, rejected
 from quincena.streaming.store import VersionedTable
 
 # Fixed detection time for comparable inactive-employee output.
@@ -368,6 +369,22 @@ def q_ingest_stream(spark, sf_dir):
     return inc.read_bronze(spark, out, bschema[-1])
 
 
+def q_ingest_rejected(spark, sf_dir):
+    """The payroll landed together with a file whose salaries are text and one
+    that is no Parquet file: both are set aside, with their reasons, and the
+    sound files go through the ingest."""
+    i = Inputs(spark, sf_dir)
+    landing, away, ckpt, out, done = (scratch_path(spark, n) for n in ("landing", "rejected", "check_ckpt", "bronze", "bronze_ckpt"))
+    append_rows(i.payroll, landing)
+    append_rows(i.payroll.withColumn("salario", F.col("salario").cast("string")).coalesce(1), landing)
+    i.payroll.select("nombre").coalesce(1).write.mode("append").text(landing)
+    schema = payroll_schema(T.TimestampNTZType())
+    quarantine(spark, landing, schema, away, ckpt)
+    bronze = inc.read_bronze(spark, out, inc.ingest_bronze(spark, landing, schema, out, done))
+    return rejected(spark, away).groupBy(F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n")).unionAll(
+        bronze.agg(F.lit("rows ingested").alias("what"), F.count(F.lit(1)).alias("n")))
+
+
 def q_scd2_stream(spark, sf_dir):
     """Bronze arrivals out of time order → incremental type-2 history."""
     b = Inputs(spark, sf_dir).bronze
@@ -548,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_write": q_clustered_write,
     "clustered_bronze": q_clustered_bronze,
     "ingest_stream": q_ingest_stream,
+    "ingest_rejected": q_ingest_rejected,
     "scd2_stream": q_scd2_stream,
     "scd1_stream": q_scd1_stream,
     "dim_status_stream": q_dim_status_stream,

@@ -272,6 +272,9 @@ FROM pages""",
     "clustered_write": with_views("SELECT * FROM snapshot"),
     "clustered_bronze": with_views("SELECT * FROM bronze"),
     "ingest_stream": with_views("SELECT * EXCLUDE (row_id) FROM bronze"),
+    "ingest_rejected": with_views("""
+SELECT 'column salario is string, not double' AS what, 1 AS n UNION ALL SELECT 'not a Parquet file', 1
+UNION ALL SELECT 'rows ingested', count(*) FROM payroll"""),
     "scd2_stream": with_views("SELECT * FROM scd2"),
     "scd1_stream": with_views("SELECT * FROM last_run"),
     "dim_status_stream": with_views("SELECT * FROM dim_stat"),

@@ -1,6 +1,7 @@
 """Refreshes of all tables, in dependency order.
 
-Streams (``availableNow``) bring bronze, the change history, the latest poll
+Landed files that cannot be read are set aside (``rejected``). Streams
+(``availableNow``) bring bronze, the change history, the latest poll
 and the dimensions up to date with whatever landed since the last run; the
 materialised views (snapshot, inactive employees, both summaries) are then
 recomputed from them and written clustered by their query keys. When the
@@ -27,6 +28,7 @@ from quincena.operators.audit import updates_gate
 from quincena.schemas import SCD2_KEYS, audit_schema, payroll_schema
 from quincena.sources.tables import write_view
 from quincena.streaming import incremental as inc
+from quincena.streaming.quarantine import quarantine
 from quincena.streaming.store import VersionedTable
 
 # Default tie-break among events of one (keys, version) in production data:
@@ -116,6 +118,7 @@ def _build(spark: SparkSession, layout: Layout, manifest: Manifest, translations
     aschema = audit_table_schema or audit_schema()
     tb = tie_break or DEFAULT_TIE_BREAK
 
+    quarantine(spark, layout.landing, lschema, layout.rejected, layout.ckpt("quarantine"))
     bschema = inc.ingest_bronze(spark, layout.landing, lschema, layout.bronze, layout.ckpt("bronze"))
     bronze = inc.read_bronze(spark, layout.bronze, bschema)
     inc.update_history(spark, layout.bronze, bronze.schema, layout.scd2_events, layout.scd2_history,

@@ -321,3 +321,32 @@ def test_scd2_mending_may_leave_nothing_closed(spark, tmp_dir):
         inc.update_history(spark, landing, schema, ev_root, h_root, ck, TB)
     got = inc.read_history(spark, h_root, schema, TB)
     assert norm(got) == batch_history(spark, rows) and got.count() == 1
+
+
+def test_bad_files_are_set_aside_once_and_stop_no_other(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import types as TT
+
+    from quincena.schemas import payroll_schema
+    from quincena.session import ship_package
+    from quincena.streaming.quarantine import quarantine, rejected
+    ship_package(spark)
+    landing, away, ck, out, done = (f"{tmp_dir}/{n}" for n in ("land", "away", "ck", "bronze", "done"))
+    schema = payroll_schema(TT.TimestampNTZType())
+    good = spark.createDataFrame([ev("1", 0, 1.0, 1)], SCHEMA)
+    seen = []
+    for n in range(2):
+        append_rows(good.coalesce(1), landing)
+        append_rows(good.withColumn("Salario", good.salario.cast("string")).coalesce(1), landing)
+        append_rows(good.withColumn("salario", good.salario.cast("float")).coalesce(1), landing)  # the reader widens it
+        append_rows(good.drop("gasto").coalesce(1), landing)
+        open(f"{landing}/broken{n}.parquet", "wb").write(b"PAR1 no more")
+        open(f"{landing}/empty{n}.parquet", "wb").close()  # of no length: no reader opens it
+        for _ in range(2):
+            quarantine(spark, landing, schema, away, ck)
+        b = inc.read_bronze(spark, out, inc.ingest_bronze(spark, landing, schema, out, done))
+        seen.append((b.count(), rejected(spark, away).count(), len(os.listdir(f"{away}/files"))))
+    assert [(a, b) for a, b, _ in seen] == [(3, 2), (6, 4)]
+    assert {r.reason for r in rejected(spark, away).collect()} == {"not a Parquet file", "column salario is string, not double"}
+    assert {f"broken{n}.parquet" for n in range(2)} <= set(os.listdir(f"{away}/files"))
