@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quincena.llm.common import (U64, arrow_slices, bounded, hash_words, row_key, run_hashes, slices, text_bytes,
+from quincena.llm.common import (U64, arrow_slices, bounded, give_back, hash_words, row_key, run_hashes, slices, text_bytes,
                                  utf8, words_of)
 
 WINDOW = 35
@@ -218,6 +218,7 @@ def _windows(window: int, buckets: int):
     def run(docs, marks):
         import pyarrow as pa
 
+        give_back()  # what the group before this one held
         places = _places(marks)
         keys = docs.column("_key").to_pylist()
         rows = [i for i, k in enumerate(keys) if k in places]
@@ -247,6 +248,7 @@ def _rewrite(window: int, columns: list[str]):
     def run(docs, marks):
         import pyarrow as pa
 
+        give_back()  # what the group before this one held
         places = _places(marks)
         texts, sizes, removed, digests = [], [], [], []
         for key, text in zip(docs.column("_key").to_pylist(), docs.column("_text").to_pylist(), strict=True):
