@@ -206,8 +206,9 @@ class HistoryVersions(PartitionedVersions):
         """Write a version of rows with a ``_state``; of older versions the
         open rows and what mending has replaced are deleted, but for those
         that the ``keep`` newest versions of a partition still show."""
-        (df.withColumn(self.value_col, F.col(self.part_col)).hint("rebalance", self.part_col, STATE)
-         .sortWithinPartitions(self.part_col, STATE, *self.cluster_by)
+        folder = F.when(F.col(self.part_col).cast("string") != "", F.col(self.part_col))  # '' shares NULL's folder
+        (df.withColumn(self.value_col, F.col(self.part_col)).withColumn(self.part_col, folder)
+         .hint("rebalance", self.part_col, STATE).sortWithinPartitions(self.part_col, STATE, *self.cluster_by)
          .write.mode("overwrite").partitionBy(self.part_col, STATE).parquet(f"{self.root}/{self._folder(version)}"))
         written = set(self.folders(version))
         versions = self.committed()
