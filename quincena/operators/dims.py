@@ -4,16 +4,21 @@ a translation dictionary."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quincena.schemas import RUN_OK
 
+# (rows, name column, dictionary, column to add) → rows with English names.
+Translate = Callable[[DataFrame, str, DataFrame, str], DataFrame]
+
 
 def translate(df: DataFrame, name_col: str, translations: DataFrame, out_col: str) -> DataFrame:
     """Left join a ``(spanish, english)`` dictionary; unknown names get NULL.
     The dictionary is reduced to one entry per name first so the join can
-    never fan out."""
+    never fan out. ``names.translate_phrases`` goes on to names made of phrases."""
     d = (translations.where(F.col("spanish").isNotNull())
          .groupBy(F.col("spanish").alias(name_col)).agg(F.min("english").alias(out_col)))
     return df.join(d, on=name_col, how="left")
@@ -29,14 +34,14 @@ def latest_ok_version(audit: DataFrame, name_col: str) -> DataFrame:
                  F.max("checked_at").alias("last_checked_at")))
 
 
-def dim_institution(audit: DataFrame, translations: DataFrame) -> DataFrame:
+def dim_institution(audit: DataFrame, translations: DataFrame, by: Translate = translate) -> DataFrame:
     g = latest_ok_version(audit, "institution_name_spanish")
-    return translate(g, "institution_name_spanish", translations, "institution_name_english")
+    return by(g, "institution_name_spanish", translations, "institution_name_english")
 
 
-def dim_status(audit: DataFrame, translations: DataFrame) -> DataFrame:
+def dim_status(audit: DataFrame, translations: DataFrame, by: Translate = translate) -> DataFrame:
     g = latest_ok_version(audit, "status_name_spanish")
-    return translate(g, "status_name_spanish", translations, "status_name_english")
+    return by(g, "status_name_spanish", translations, "status_name_english")
 
 
 def new_positions(bronze: DataFrame) -> DataFrame:
@@ -46,10 +51,11 @@ def new_positions(bronze: DataFrame) -> DataFrame:
             .agg(F.min("fecha_actualizacion").alias("last_seen_at")))
 
 
-def dim_position(bronze: DataFrame, translations: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def dim_position(bronze: DataFrame, translations: DataFrame, existing: DataFrame | None = None,
+                 by: Translate = translate) -> DataFrame:
     """Position dimension. With ``existing`` (the current dimension) only
     positions not yet in it are returned (append-only novelty)."""
     pos = new_positions(bronze)
     if existing is not None:
         pos = pos.join(existing.select("position_name_spanish"), "position_name_spanish", "left_anti")
-    return translate(pos, "position_name_spanish", translations, "position_name_english")
+    return by(pos, "position_name_spanish", translations, "position_name_english")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from quincena.functions.columns import file_stem, landing_file_name
 from quincena.operators import audit as audit_ops
 from quincena.operators import bronze as bronze_ops
-from quincena.operators import cdc, dims, gold, inactive, monitor, pages, reports, snapshot
+from quincena.operators import cdc, dims, gold, inactive, monitor, names, pages, reports, snapshot
 from quincena.plans.poll import poll
 from quincena.plans.refresh import Layout, full_refresh, refresh, served_views
 from quincena.schemas import AUDIT_KEYS, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, payroll_schema
@@ -434,8 +434,14 @@ def q_dim_position_stream(spark, sf_dir):
     b, d = i.bronze, i.translations
     target, ckpt = scratch_path(spark, "dim_position"), scratch_path(spark, "dim_position_ckpt")
     _land_and_run(spark, b, "fecha_consulta", [0, 1, 2],
-                  lambda landing: inc.update_positions(spark, landing, b.schema, d, target, ckpt))
-    return VersionedTable(spark, target).read()
+                  lambda landing: inc.update_positions(spark, landing, b.schema, target, ckpt))
+    return inc.read_positions(spark, target, b.schema, d)
+
+
+def q_names_by_phrase(spark, sf_dir):
+    """English names of names without an entry, cut into phrases of the dictionary."""
+    found, entries = tv.part_names(spark, sf_dir)
+    return names.translate_phrases(found, "name", entries, "english")
 
 
 def q_refresh_gold_position(spark, sf_dir):
@@ -534,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_institution": q_dim_institution,
     "dim_status": q_dim_status,
     "dim_position": q_dim_position,
+    "names_by_phrase": q_names_by_phrase,
     "snapshot_latest": q_snapshot_latest,
     "gold_position": q_gold_position,
     "gold_employee": q_gold_employee,

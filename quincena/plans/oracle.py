@@ -157,6 +157,30 @@ ORACLE: dict[str, str] = {
     "dim_institution": with_views("SELECT * FROM dim_inst"),
     "dim_status": with_views("SELECT * FROM dim_stat"),
     "dim_position": with_views("SELECT * FROM dim_pos"),
+    "names_by_phrase": """
+WITH RECURSIVE p AS (
+ SELECT *, split_part(p_name, ' ', 1) AS adj, split_part(p_name, ' ', 2) AS noun,
+  concat_ws(' ', p_name, p_type, p_brand) AS name FROM part),
+entries AS (
+ SELECT spanish, min(english) AS english FROM (
+  SELECT adj AS spanish, upper(adj) AS english FROM p WHERE length(adj) <> 4
+  UNION ALL SELECT noun, 'the ' || noun FROM p
+  UNION ALL SELECT p_name, 'one ' || p_name FROM p WHERE length(p_name) % 3 = 0
+  UNION ALL SELECT p_type, lower(p_type) FROM p WHERE length(p_type) % 2 = 0
+  UNION ALL SELECT noun || ' ' || p_type, 'kind ' || noun FROM p WHERE length(noun) % 2 = 1
+  UNION ALL SELECT p_type || ' ' || p_brand, lower(p_brand) FROM p WHERE length(p_brand) = 7
+  UNION ALL SELECT p_brand, replace(p_brand, '#', ' ') FROM p WHERE p_brand NOT LIKE '%7'
+  UNION ALL SELECT name, 'entry ' || CAST(p_partkey AS VARCHAR) FROM p WHERE p_partkey % 50 = 0) GROUP BY spanish),
+words AS (SELECT DISTINCT name, string_split(name, ' ') AS w FROM p),
+cuts(name, w, pos, sizes, english) AS (
+ SELECT name, w, 0, CAST([] AS BIGINT[]), CAST([] AS VARCHAR[]) FROM words
+ UNION ALL
+ SELECT c.name, c.w, c.pos + s.n, list_append(c.sizes, s.n), list_append(c.english, e.english)
+ FROM cuts c CROSS JOIN (SELECT unnest(range(1, 5)) AS n) s
+ JOIN entries e ON e.spanish = array_to_string(c.w[c.pos + 1:c.pos + s.n], ' ') WHERE c.pos + s.n <= len(c.w))
+SELECT name, coalesce(whole.english, array_to_string(best.english, ' ')) AS english FROM words
+LEFT JOIN entries whole ON whole.spanish = name
+LEFT JOIN (SELECT name, arg_max(english, sizes) AS english FROM cuts WHERE pos = len(w) GROUP BY name) best USING (name)""",
     "snapshot_latest": with_views("SELECT * FROM snapshot"),
     "gold_position": with_views(_GOLD_POSITION_SQL),
     "gold_employee": with_views(_GOLD_EMPLOYEE_SQL),

@@ -85,11 +85,13 @@ def served_views(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
             run_audit: DataFrame | None = None, landing_schema: T.StructType | None = None,
             audit_table_schema: T.StructType | None = None, tie_break: list[str] | None = None,
-            detected_at: _dt.datetime | None = None) -> dict:
+            detected_at: _dt.datetime | None = None, translate: dims.Translate = dims.translate) -> dict:
     """Run the refresh in the served generation; returns the gate row and the output folders.
 
     ``run_audit`` are the audit rows of the poll run that preceded this
     refresh (the gate counts its ``OK`` rows); without it the refresh runs.
+    ``translate`` gives the dimensions their English names: by whole entries
+    of the dictionary, or also by its phrases (``names.translate_phrases``).
     """
     if run_audit is not None:
         gate = updates_gate(run_audit).first()
@@ -97,23 +99,25 @@ def refresh(spark: SparkSession, layout: Layout, translations: DataFrame,
             return {"updates": gate["updates"], "refreshed": False}
     manifest = Manifest(spark, layout)
     layout = replace(layout, generation=manifest.served()[0])
-    return _build(spark, layout, manifest, translations, landing_schema, audit_table_schema, tie_break, detected_at)
+    return _build(spark, layout, manifest, translations, landing_schema, audit_table_schema, tie_break, detected_at,
+                  translate)
 
 
 def full_refresh(spark: SparkSession, layout: Layout, translations: DataFrame, landing_schema: T.StructType | None = None,
                  audit_table_schema: T.StructType | None = None, tie_break: list[str] | None = None,
-                 detected_at: _dt.datetime | None = None) -> dict:
+                 detected_at: _dt.datetime | None = None, translate: dims.Translate = dims.translate) -> dict:
     """Rebuild everything from the landing and audit folders in a new
     generation and switch to it at the end. What is served stays as it is
     until then, and for good if the rebuild fails; a generation that failed is
     not used again."""
     manifest = Manifest(spark, layout)
     layout = replace(layout, generation=manifest.next_number(layout.root, "g="))
-    return _build(spark, layout, manifest, translations, landing_schema, audit_table_schema, tie_break, detected_at)
+    return _build(spark, layout, manifest, translations, landing_schema, audit_table_schema, tie_break, detected_at,
+                  translate)
 
 
 def _build(spark: SparkSession, layout: Layout, manifest: Manifest, translations: DataFrame, landing_schema,
-           audit_table_schema, tie_break, detected_at) -> dict:
+           audit_table_schema, tie_break, detected_at, translate: dims.Translate) -> dict:
     lschema = landing_schema or payroll_schema()
     aschema = audit_table_schema or audit_schema()
     tb = tie_break or DEFAULT_TIE_BREAK
@@ -123,21 +127,20 @@ def _build(spark: SparkSession, layout: Layout, manifest: Manifest, translations
     bronze = inc.read_bronze(spark, layout.bronze, bschema)
     inc.update_history(spark, layout.bronze, bronze.schema, layout.scd2_events, layout.scd2_history,
                        layout.ckpt("scd2"), tb)
-    inc.update_positions(spark, layout.bronze, bronze.schema, translations, layout.dim_position,
-                         layout.ckpt("dim_position"))
+    inc.update_positions(spark, layout.bronze, bronze.schema, layout.positions, layout.ckpt("positions"))
     inc.update_latest_poll(spark, layout.audit, aschema, layout.latest_poll, layout.ckpt("latest_poll"))
     inc.update_name_dimension(spark, layout.audit, aschema, "institution_name_spanish",
                               "institution_name_english", translations, layout.dim_institution,
-                              layout.ckpt("dim_institution"))
+                              layout.ckpt("dim_institution"), translate=translate)
     inc.update_name_dimension(spark, layout.audit, aschema, "status_name_spanish", "status_name_english",
-                              translations, layout.dim_status, layout.ckpt("dim_status"))
+                              translations, layout.dim_status, layout.ckpt("dim_status"), translate=translate)
 
-    no_polls, no_rows = spark.createDataFrame([], aschema), spark.createDataFrame([], bronze.schema)
+    no_polls = spark.createDataFrame([], aschema)
     snap = snapshot.latest_snapshot(
         bronze,
         VersionedTable(spark, layout.dim_institution).read(schema=dims.dim_institution(no_polls, translations).schema),
         VersionedTable(spark, layout.dim_status).read(schema=dims.dim_status(no_polls, translations).schema),
-        VersionedTable(spark, layout.dim_position).read(schema=dims.dim_position(no_rows, translations).schema))
+        inc.read_positions(spark, layout.positions, bronze.schema, translations, translate))
     run = f"{layout.views}/run={manifest.next_number(layout.views, 'run=')}"
     paths = {view: f"{run}/{view}" for view in VIEWS}
     write_view(snap, paths["snapshot"], cluster_by=VIEWS["snapshot"])

@@ -76,6 +76,28 @@ def translations(spark: SparkSession, sf_dir: str, payroll_df: DataFrame | None
     return n.unionByName(st).unionByName(pos)
 
 
+def part_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Names of four words (adjective, noun, type, brand) and a dictionary of
+    words, of phrases across them and of a few whole names, with gaps."""
+    p = read_table(spark, sf_dir, "part")
+    adj, noun = F.split("p_name", " ")[0], F.split("p_name", " ")[1]
+    name = F.concat_ws(" ", "p_name", "p_type", "p_brand")
+    entries = F.array(
+        _entry(adj, F.upper(adj), F.length(adj) != 4),
+        _entry(noun, F.concat(F.lit("the "), noun), F.lit(True)),
+        _entry(F.col("p_name"), F.concat(F.lit("one "), "p_name"), F.length("p_name") % 3 == 0),
+        _entry(F.col("p_type"), F.lower("p_type"), F.length("p_type") % 2 == 0),
+        _entry(F.concat_ws(" ", noun, "p_type"), F.concat(F.lit("kind "), noun), F.length(noun) % 2 == 1),
+        _entry(F.concat_ws(" ", "p_type", "p_brand"), F.lower("p_brand"), F.length("p_brand") == 7),
+        _entry(F.col("p_brand"), F.regexp_replace("p_brand", "#", " "), ~F.col("p_brand").like("%7")),
+        _entry(name, F.concat(F.lit("entry "), _s("p_partkey")), F.col("p_partkey") % 50 == 0))
+    return p.select(name.alias("name")).distinct(), p.select(F.inline(F.filter(entries, lambda e: e["spanish"].isNotNull()))).distinct()
+
+
+def _entry(spanish, english, known):
+    return F.struct(F.when(known, spanish).alias("spanish"), english.alias("english"))
+
+
 def poll_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monitoring / latest-poll input with unique ``checked_at``."""
     e = read_table(spark, sf_dir, "events")

@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quincena.operators import cdc
+from quincena.operators import cdc, dims
 from quincena.schemas import AUDIT_KEYS, RUN_OK, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED
 from quincena.streaming import sinks
 from quincena.streaming.runner import run_available
 from quincena.streaming.sources import bronze_stream, landing_stream
-from quincena.streaming.store import HistoryVersions, PartitionedVersions, VersionedTable
+from quincena.streaming.store import AppendedTable, HistoryVersions, PartitionedVersions, VersionedTable
 
 
 BRONZE_PARTITIONS = ["fecha_consulta"]
+# State stores of an aggregate whose state is one row per institution or status.
+NAME_STATE_PARTITIONS = 4
 
 
 def ingest_bronze(spark: SparkSession, landing_dir: str, schema: T.StructType, bronze_dir: str,
@@ -81,25 +83,36 @@ def update_latest_poll(spark: SparkSession, audit_dir: str, schema: T.StructType
 
 def update_name_dimension(spark: SparkSession, audit_dir: str, schema: T.StructType, name_col: str,
                           out_col: str, translations: DataFrame, target_root: str, checkpoint: str,
-                          max_files_per_trigger: int | None = None) -> None:
+                          max_files_per_trigger: int | None = None, translate: dims.Translate = dims.translate,
+                          state_partitions: int = NAME_STATE_PARTITIONS) -> None:
     """New audit rows → newest OK version per name (complete-mode streaming
-    aggregate; its state is one row per name) → translated dimension."""
+    aggregate; its state is one row per name, in few state stores) →
+    dimension translated by ``translate``."""
     agg = (landing_stream(spark, audit_dir, schema, max_files_per_trigger)
            .where(F.col("run_status") == RUN_OK)
            .groupBy(name_col)
            .agg(F.max("source_update").alias("last_source_update"),
                 F.max("checked_at").alias("last_checked_at")))
-    sink = sinks.dimension_sink(VersionedTable(spark, target_root), name_col, translations, out_col)
-    run_available(agg, checkpoint, foreach_batch=sink, output_mode="complete")
+    sink = sinks.dimension_sink(VersionedTable(spark, target_root), name_col, translations, out_col, translate)
+    run_available(agg, checkpoint, foreach_batch=sink, output_mode="complete", state_partitions=state_partitions)
 
 
-def update_positions(spark: SparkSession, bronze_dir: str, schema: T.StructType, translations: DataFrame,
-                     target_root: str, checkpoint: str) -> None:
+def update_positions(spark: SparkSession, bronze_dir: str, schema: T.StructType, target_root: str,
+                     checkpoint: str, max_files_per_trigger: int | None = None) -> None:
     """New bronze files → positions not seen before, appended."""
-    stream = landing_stream(spark, bronze_dir, schema)
-    run_available(stream, checkpoint, foreach_batch=sinks.novelty_sink(VersionedTable(spark, target_root),
-                                                                       translations))
+    stream = landing_stream(spark, bronze_dir, schema, max_files_per_trigger)
+    run_available(stream, checkpoint, foreach_batch=sinks.novelty_sink(AppendedTable(spark, target_root)))
+
+
+def read_positions(spark: SparkSession, target_root: str, schema: T.StructType, translations: DataFrame,
+                   translate: dims.Translate = dims.translate) -> DataFrame:
+    """Position dimension from the appended positions of bronze rows of
+    ``schema``. Names are translated as they are read, so a dictionary entry
+    that comes later shows, too."""
+    columns = dims.new_positions(spark.createDataFrame([], schema)).schema
+    seen = AppendedTable(spark, target_root).read(schema=columns)
+    return translate(seen, "position_name_spanish", translations, "position_name_english")
 
 
 __all__ = ["ingest_bronze", "update_history", "update_latest_poll", "update_name_dimension",
-           "update_positions", "read_bronze", "read_history"]
+           "update_positions", "read_positions", "read_bronze", "read_history"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quincena.operators import cdc, dims
 from quincena.operators.joins import null_safe_condition
 from quincena.streaming.store import (CLOSED, MENDED_CLOSED, MENDED_OPEN, OPEN, STATE, STATES_CLOSED, STATES_OPEN,
-                                      HistoryVersions, PartitionedVersions, VersionedTable)
+                                      AppendedTable, HistoryVersions, PartitionedVersions, VersionedTable)
 
 
 def scd1_sink(store: VersionedTable, keys: list[str], sequence_by: str, tie_break: list[str] | None = None):
@@ -87,23 +87,27 @@ def _with_state(rows: DataFrame, mended: Column | None = None) -> DataFrame:
     return rows.withColumn(STATE, state)
 
 
-def dimension_sink(store: VersionedTable, name_col: str, translations: DataFrame, out_col: str):
+def dimension_sink(store: VersionedTable, name_col: str, translations: DataFrame, out_col: str,
+                   translate: dims.Translate = dims.translate):
     """Complete-mode aggregate → translated dimension, replaced per batch."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.commit(dims.translate(batch, name_col, translations, out_col), store.version_of(batch_id))
+        store.commit(translate(batch, name_col, translations, out_col), store.version_of(batch_id))
     return apply
 
 
-def novelty_sink(store: VersionedTable, translations: DataFrame):
-    """Append-only position dimension: positions of the batch not yet in the
-    target (first-seen date frozen) are added. Names are translated anew in
-    each batch, so a dictionary entry that comes later shows, too."""
+def novelty_sink(store: AppendedTable):
+    """Append-only positions: those of the batch that the target does not hold
+    yet are added, with the earliest time of that batch (frozen from then on).
+
+    The batch is reduced to one row a position before it meets the target's
+    names, and only new names are written. A streaming ``dropDuplicates`` would
+    keep any row's time of a batch, and its state would hold what the target
+    holds already. A replayed batch meets the versions before its own and
+    overwrites its own."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = store.version_of(batch_id)
-        old = store.read(before=version)
         seen = dims.new_positions(batch)
-        if old is not None:
-            old = old.select(*seen.columns)
-            seen = old.unionByName(seen.join(old, "position_name_spanish", "left_anti"))
-        store.commit(dims.translate(seen, "position_name_spanish", translations, "position_name_english"), version)
+        old = store.read(before=version, schema=seen.schema)
+        store.commit(seen.join(old.select("position_name_spanish"), "position_name_spanish", "left_anti")
+                     .hint("rebalance"), version)
     return apply

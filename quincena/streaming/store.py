@@ -87,6 +87,24 @@ class VersionedTable(_Versions):
             self._delete(self._folder(old))
 
 
+class AppendedTable(_Versions):
+    """A table that only grows: each version holds the rows its batch added,
+    and the table is all of them together. What a batch writes follows what it
+    adds, however large the table is."""
+
+    def read(self, before: int | None = None, schema: T.StructType | None = None) -> DataFrame | None:
+        """All committed versions (below ``before`` when given). Where there
+        is none: an empty frame of ``schema``, or None without a schema."""
+        found = [v for v in self.committed() if before is None or v < before]
+        if not found:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*[f"{self.root}/{self._folder(v)}" for v in found])
+
+    def commit(self, df: DataFrame, version: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{self._folder(version)}")
+
+
 class PartitionedVersions(_Versions):
     """A table whose partitions are versioned independently:
     ``{root}/v=<number>/<part_col>=<value>/``. A version holds only the

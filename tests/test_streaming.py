@@ -1,8 +1,10 @@
 import datetime as dt
+import os
 
 from quincena.operators import cdc, dims
 from quincena.streaming import incremental as inc
-from quincena.streaming.store import VersionedTable
+from quincena.streaming import sinks
+from quincena.streaming.store import AppendedTable, VersionedTable
 from quincena.sources.tables import append_rows
 
 SCHEMA = ("cedula string, nombre string, apellido string, institucion string, cargo string, estado string, "
@@ -40,11 +42,11 @@ def test_t13_novelty_keeps_first_batch_date(spark, tmp_dir):
     d = spark.createDataFrame([("C", "Pos C")], "spanish string, english string")
     schema = spark.createDataFrame([], SCHEMA).schema
     append_rows(spark.createDataFrame([ev("1", 3, 1.0, 1)], SCHEMA), landing)
-    inc.update_positions(spark, landing, schema, d, target, ck)
+    inc.update_positions(spark, landing, schema, target, ck)
     append_rows(spark.createDataFrame([ev("2", 1, 1.0, 2), ev("3", 1, 1.0, 3, cargo="D")], SCHEMA), landing)
-    inc.update_positions(spark, landing, schema, d, target, ck)
-    inc.update_positions(spark, landing, schema, d, target, ck)      # nothing new: no batch
-    got = sorted(tuple(r) for r in VersionedTable(spark, target).read().collect())
+    inc.update_positions(spark, landing, schema, target, ck)
+    inc.update_positions(spark, landing, schema, target, ck)      # nothing new: no batch
+    got = sorted(tuple(r) for r in inc.read_positions(spark, target, schema, d).collect())
     assert got == [("C", T[3], "Pos C"), ("D", T[1], None)]
 
 
@@ -237,10 +239,44 @@ def test_late_translation_shows(spark, tmp_dir):
     schema = spark.createDataFrame([], SCHEMA).schema
     names = "spanish string, english string"
     append_rows(spark.createDataFrame([ev("1", 0, 1.0, 1)], SCHEMA), landing)
-    inc.update_positions(spark, landing, schema, spark.createDataFrame([], names), target, ck)
+    inc.update_positions(spark, landing, schema, target, ck)
+    assert [tuple(r) for r in inc.read_positions(spark, target, schema, spark.createDataFrame([], names)).collect()] == [
+        ("C", T[0], None)]
     append_rows(spark.createDataFrame([ev("2", 1, 1.0, 2)], SCHEMA), landing)
-    inc.update_positions(spark, landing, schema, spark.createDataFrame([("C", "Pos C")], names), target, ck)
-    assert [tuple(r) for r in VersionedTable(spark, target).read().collect()] == [("C", T[0], "Pos C")]
+    inc.update_positions(spark, landing, schema, target, ck)
+    d = spark.createDataFrame([("C", "Pos C")], names)
+    assert [tuple(r) for r in inc.read_positions(spark, target, schema, d).collect()] == [("C", T[0], "Pos C")]
+
+
+def test_novelty_writes_only_what_is_new(spark, tmp_dir):
+    landing, target, ck = f"{tmp_dir}/land", f"{tmp_dir}/pos", f"{tmp_dir}/ck"
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for n in range(4):  # each arrival brings one new position and all the old ones
+        append_rows(spark.createDataFrame([ev(str(k), n, 1.0, k, cargo=f"P{k}") for k in range(n + 1)], SCHEMA), landing)
+        inc.update_positions(spark, landing, schema, target, ck)
+    store = AppendedTable(spark, target)
+    assert [[r.position_name_spanish for r in spark.read.parquet(f"{target}/v={v}").collect()]
+            for v in store.committed()] == [["P0"], ["P1"], ["P2"], ["P3"]]
+    # A batch that runs again meets the versions before it and overwrites its own.
+    sinks.novelty_sink(store)(spark.createDataFrame([ev("9", 0, 1.0, 9, cargo="P0"), ev("9", 0, 1.0, 9, cargo="P9")], SCHEMA), 4)
+    sinks.novelty_sink(store)(spark.createDataFrame([ev("9", 2, 1.0, 9, cargo="P9")], SCHEMA), 4)
+    rows = {tuple(r) for r in store.read().collect()}
+    assert rows == {("P0", T[0]), ("P1", T[1]), ("P2", T[2]), ("P3", T[3]), ("P9", T[2])}
+
+
+def test_name_state_in_few_stores(spark, tmp_dir):
+    landing, target, ck = f"{tmp_dir}/land", f"{tmp_dir}/dim", f"{tmp_dir}/ck"
+    schema = "status_name_spanish string, run_status string, source_update timestamp_ntz, checked_at timestamp_ntz"
+    d = spark.createDataFrame([("B", "Be")], "spanish string, english string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for n, name in enumerate(["A B", "B"]):
+        append_rows(spark.createDataFrame([(name, "OK", T[n], T[n])], schema), landing)
+        inc.update_name_dimension(spark, landing, spark.createDataFrame([], schema).schema, "status_name_spanish",
+                                  "status_name_english", d, target, ck, state_partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert sorted(n for n in os.listdir(f"{ck}/state/0") if n.isdigit()) == ["0", "1"]
+    got = {(r.status_name_spanish, r.status_name_english) for r in VersionedTable(spark, target).read().collect()}
+    assert got == {("A B", None), ("B", "Be")}
 
 
 TB = ["fecha_actualizacion", "row_id"]
