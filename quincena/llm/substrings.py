@@ -13,7 +13,11 @@ entry for each different hash of the slice (a passage in a third of all
 documents is one entry a slice), and deals entries by hash to buckets. A
 bucket answers which entries have a like elsewhere. Answers go back to the
 buckets of documents, and documents meet them there. Bucket counts grow with
-the bytes of the input.
+the bytes of the input; the documents' buckets ("homes") are smaller and more,
+so that those which fall to one task by chance are a small part of it.
+
+Rows that repeat another one (id and text) need no comparison: every window of
+theirs stands elsewhere. One of each takes part for the sake of the others.
 """
 
 from __future__ import annotations
@@ -26,11 +30,13 @@ from pyspark.sql import functions as F
 
 from quincena.llm.common import (U64, arrow_slices, bounded, give_back, hash_words, row_key, run_hashes, slices, text_bytes,
                                  utf8, words_of)
+from quincena.session import materialize
 
 WINDOW = 35
 # A difference cover modulo 21 with as few members as can be.
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
 BUCKET_BYTES = 16 << 20
+HOMES_PER_BUCKET = 4
 
 ENTRIES = "bucket int, h binary, h2 binary, key binary, n binary, at binary, many binary"
 MARKS = "home int, key binary, n binary, at binary"
@@ -66,7 +72,7 @@ def _places_of(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _entries(h: np.ndarray, h2: np.ndarray | None, key: np.ndarray, at: np.ndarray, buckets: int):
+def _entries(h: np.ndarray, h2: np.ndarray | None, key: np.ndarray, at: np.ndarray, buckets: int, homes: int):
     """Rows of ENTRIES for the occurrences of a slice: one entry for each
     hash. A hash with several occurrences in the slice needs no answer for
     them: they go out as marks (rows of negative bucket, by home) at once, and
@@ -100,7 +106,7 @@ def _entries(h: np.ndarray, h2: np.ndarray | None, key: np.ndarray, at: np.ndarr
         out["at"].append(_planes(at[e]))
         out["many"].append(np.packbits(many[e]).tobytes())
     inside = np.flatnonzero(many)
-    for home, keys, n, places in _by_home(key[inside], at[inside], buckets):
+    for home, keys, n, places in _by_home(key[inside], at[inside], homes):
         out["bucket"].append(-1 - home)
         out["key"].append(keys)
         out["n"].append(n)
@@ -112,9 +118,9 @@ def _entries(h: np.ndarray, h2: np.ndarray | None, key: np.ndarray, at: np.ndarr
                                       names=list(out))
 
 
-def _by_home(key: np.ndarray, at: np.ndarray, buckets: int):
+def _by_home(key: np.ndarray, at: np.ndarray, homes: int):
     """(home, keys, run lengths, places) of each bucket of documents."""
-    home = _bucket(key.view(U64), buckets)
+    home = _bucket(key.view(U64), homes)
     order = np.lexsort((at, key, home))
     key, at, home = key[order], at[order], home[order]
     for lo, hi in _spans(home):
@@ -130,7 +136,7 @@ def _unpack(table) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(keys, n), at
 
 
-def _answer(buckets: int):
+def _answer(homes: int):
     """For one bucket: the places whose hash stands elsewhere too."""
     def run(table):
         import pyarrow as pa
@@ -155,7 +161,7 @@ def _answer(buckets: int):
             hit[order] = repeated
             hit &= ~many  # those marked their places before
             key, at = key[hit], at[hit]
-        rows = list(_by_home(key, at, buckets))
+        rows = list(_by_home(key, at, homes))
         return pa.table({"home": pa.array([r[0] for r in rows], pa.int32()),
                          **{c: pa.array([r[i] for r in rows], pa.binary()) for i, c in ((1, "key"), (2, "n"), (3, "at"))}})
 
@@ -173,7 +179,7 @@ def _concatenated(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return hash_words(words), n, np.cumsum(n) - n
 
 
-def _anchors(window: int, buckets: int):
+def _anchors(window: int, buckets: int, homes: int):
     length = window - PERIOD + 1
     covered = np.zeros(PERIOD, bool)
     covered[list(COVER)] = True
@@ -192,7 +198,7 @@ def _anchors(window: int, buckets: int):
             use = covered[at % PERIOD]
             doc, at = doc[use], at[use]
             key = part.column("key").to_numpy()[doc]
-            yield _entries(runs[start[doc] + at], None, key, at, buckets)
+            yield _entries(runs[start[doc] + at], None, key, at, buckets, homes)
 
     return run
 
@@ -213,7 +219,7 @@ def _places(marks) -> dict[int, np.ndarray]:
     return {int(key[lo]): at[lo:hi] for lo, hi in _spans(key)}
 
 
-def _windows(window: int, buckets: int):
+def _windows(window: int, buckets: int, homes: int):
     """Cogrouped documents and repeated anchors of one home: entries for whole windows."""
     def run(docs, marks):
         import pyarrow as pa
@@ -235,7 +241,7 @@ def _windows(window: int, buckets: int):
             spot = at + np.repeat(start, each)
             key = np.repeat(np.array([keys[rows[lo + i]] for i in range(hi - lo)], np.int64), each)
             first, second = run_hashes(h, window), run_hashes(h, window, 0x5BD1E995) >> U64(32)
-            out.append(_entries(first[spot], second[spot], key, at, buckets))
+            out.append(_entries(first[spot], second[spot], key, at, buckets, homes))
         names = [x.split()[0] for x in ENTRIES.split(", ")]
         kinds = [pa.int32()] + [pa.binary()] * 6
         return pa.Table.from_batches(out, pa.schema(list(zip(names, kinds, strict=True))))
@@ -246,10 +252,11 @@ def _windows(window: int, buckets: int):
 def _rewrite(window: int, columns: list[str]):
     """Cogrouped documents and repeated windows of one home: what is left of each text."""
     def run(docs, marks):
-        import pyarrow as pa
+        import pyarrow.compute as pc
 
         give_back()  # what the group before this one held
         places = _places(marks)
+        docs = docs.filter(pc.invert(docs.column("_stand_in")))
         texts, sizes, removed, digests = [], [], [], []
         for key, text in zip(docs.column("_key").to_pylist(), docs.column("_text").to_pylist(), strict=True):
             words = words_of(text)
@@ -268,11 +275,34 @@ def _rewrite(window: int, columns: list[str]):
             sizes.append(len(words))
             removed.append(gone)
             digests.append(hashlib.sha256(joined).hexdigest())
-        table = docs.select(columns)
-        for name, values, kind in (("kept_text", texts, pa.binary()), ("n_words", sizes, pa.int64()),
-                                   ("n_removed", removed, pa.int64()), ("kept_sha256", digests, pa.string())):
-            table = table.append_column(name, pa.array(values, kind))
-        return table
+        return _with_results(docs.select(columns), texts, sizes, removed, digests)
+
+    return run
+
+
+def _with_results(table, texts: list, sizes: list, removed: list, digests: list):
+    """An Arrow table of rows with the results beside their columns."""
+    import pyarrow as pa
+
+    for name, values, kind in (("kept_text", texts, pa.binary()), ("n_words", sizes, pa.int64()),
+                               ("n_removed", removed, pa.int64()), ("kept_sha256", digests, pa.string())):
+        table = table.append_column(name, pa.array(values, kind))
+    return table
+
+
+def _repeated(window: int, columns: list[str]):
+    """Rows that stand more than once: all words go where a window fits, else none."""
+    def run(batches):
+        import pyarrow as pa
+
+        for part in arrow_slices(batches, "_text"):
+            texts = part.column("_text").to_pylist()
+            words = [words_of(t) for t in texts]
+            gone = [len(w) if len(w) >= window else 0 for w in words]
+            left = [b"" if g else b" ".join(w) for w, g in zip(words, gone, strict=True)]
+            kept = [b"" if g else t for t, g in zip(texts, gone, strict=True)]
+            yield from _with_results(pa.Table.from_batches([part]).select(columns), kept, [len(w) for w in words], gone,
+                                     [hashlib.sha256(x).hexdigest() for x in left]).to_batches()
 
     return run
 
@@ -300,16 +330,30 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BU
     columns = [c for c in docs.columns if c not in RESULTS]
     carried = [f"c{i}" for i in range(len(columns))]
     buckets = max(16, -(-text_bytes(docs, text) // bucket_bytes))
-    key, raw = row_key(doc_id, text), utf8(text)
-    home = F.shiftrightunsigned(F.shiftrightunsigned(key, 32) * F.lit(buckets), 32).cast("int")
-    homes = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in zip(columns, carried, strict=True)],
-                        key.alias("_key"), raw.alias("_text"), home.alias("home"))
-    anchors = bounded(docs).select(key.alias("key"), raw.alias("text")).mapInArrow(_anchors(window, buckets), ENTRIES) \
-        .groupBy("bucket").applyInArrow(_answer(buckets), MARKS)
-    windows = homes.groupBy("home").cogroup(anchors.groupBy("home")).applyInArrow(_windows(window, buckets), ENTRIES)
-    repeats = windows.groupBy("bucket").applyInArrow(_answer(buckets), MARKS)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in homes.select(*carried).schema)
-    out = homes.groupBy("home").cogroup(repeats.groupBy("home")).applyInArrow(
-        _rewrite(window, carried), f"{kinds}, kept_text binary, n_words long, n_removed long, kept_sha256 string")
+    homes = buckets * HOMES_PER_BUCKET
+    rows = bounded(docs).select(*[docs[f"`{c}`"].alias(n) for c, n in zip(columns, carried, strict=True)],
+                                row_key(doc_id, text).alias("_key"), utf8(text).alias("_text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*carried).schema)
+    kinds += ", kept_text binary, n_words long, n_removed long, kept_sha256 string"
+
+    repeated = materialize(rows.groupBy("_key").count().filter("count > 1").select("_key"), "repeated-rows")
+    some = bool(repeated.limit(1).count())
+    placed = rows.withColumn("_stand_in", F.lit(False))
+    if some:
+        copies = rows.join(repeated, "_key", "left_semi")
+        # Dealt anew before they are reduced, so that one row that stands very often is no task's alone.
+        one = materialize(copies.select("_key", "_text").hint("rebalance").dropDuplicates(["_key"]), "stand-ins")
+        placed = rows.join(repeated, "_key", "left_anti").withColumn("_stand_in", F.lit(False)).unionByName(
+            one.withColumn("_stand_in", F.lit(True)), allowMissingColumns=True)
+    home = F.shiftrightunsigned(F.shiftrightunsigned("_key", 32) * F.lit(homes), 32).cast("int")
+    at_home = placed.withColumn("home", home).groupBy("home")
+
+    anchors = placed.select(F.col("_key").alias("key"), F.col("_text").alias("text")) \
+        .mapInArrow(_anchors(window, buckets, homes), ENTRIES).groupBy("bucket").applyInArrow(_answer(homes), MARKS)
+    windows = at_home.cogroup(anchors.groupBy("home")).applyInArrow(_windows(window, buckets, homes), ENTRIES)
+    repeats = windows.groupBy("bucket").applyInArrow(_answer(homes), MARKS)
+    out = at_home.cogroup(repeats.groupBy("home")).applyInArrow(_rewrite(window, carried), kinds)
+    if some:
+        out = out.unionByName(copies.select(*carried, "_text").mapInArrow(_repeated(window, carried), kinds))
     return out.select(*[F.col(n).alias(c) for c, n in zip(columns, carried, strict=True)],
                       F.col("kept_text").cast("string").alias("kept_text"), "n_words", "n_removed", "kept_sha256")

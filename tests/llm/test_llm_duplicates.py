@@ -47,6 +47,19 @@ def test_op4_every_shift_and_odd_lengths(workers):  # noqa: F811
     assert removed(substrings.remove_repeats(frame(workers, rows))) == repeats(rows)
 
 
+def test_op4_repeated_rows(workers):  # noqa: F811
+    """A row that stands very often is compared once, and others still find their passages in it."""
+    rng = random.Random(5)
+    often, other = words(rng, 90, 10_000), words(rng, 40, 10_000)
+    rows = [(7, " ".join(often))] * 400 + [(None, " ".join(other))] * 3 + [(9, "too short")] * 50 + [(10, None), (10, "")]
+    rows += [(11, " ".join(often[20:60] + words(rng, 30, 10_000))), (12, " ".join(other[:36])), (13, "\t".join(often[:34])),
+             (14, " ".join(words(rng, 80, 10_000)))]
+    assert removed(substrings.remove_repeats(frame(workers, rows, parts=5))) == repeats(rows)
+    out = substrings.remove_repeats(frame(workers, rows[-6:] + rows[:2] + rows[403:405])).collect()
+    assert sorted((str(r.doc_id), r.kept_text, r.home) for r in out if r.doc_id in (7, 9)) == [
+        ("7", "", "h"), ("7", "", "h"), ("9", "too short", "h"), ("9", "too short", "h")]
+
+
 def test_op4_interface(workers):  # noqa: F811
     docs = frame(workers, [(1, "a  b"), (2, None)])
     out = substrings.remove_repeats(docs)
