@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from quincena.operators import cdc, dims
 from quincena.schemas import AUDIT_KEYS, RUN_OK, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED
 from quincena.streaming import sinks
-from quincena.streaming.runner import run_available
+from quincena.streaming.runner import FOLDER_ZONE, run_available
 from quincena.streaming.sources import bronze_stream, landing_stream
 from quincena.streaming.store import AppendedTable, HistoryVersions, PartitionedVersions, VersionedTable
 
@@ -23,7 +23,8 @@ def ingest_bronze(spark: SparkSession, landing_dir: str, schema: T.StructType, b
                   checkpoint: str, max_files_per_trigger: int | None = None,
                   partition_by: list[str] | None = BRONZE_PARTITIONS) -> T.StructType:
     """New landing files → bronze folder (exactly-once Parquet file sink),
-    partitioned by data version so that version filters prune whole folders.
+    partitioned by data version so that version filters prune whole folders
+    (named in UTC, whatever zone the sessions that write and read are in).
     Returns the bronze schema; read bronze with it (``read_bronze``) so the
     partition column keeps its declared type."""
     stream = bronze_stream(spark, landing_dir, schema, max_files_per_trigger)
@@ -33,7 +34,7 @@ def ingest_bronze(spark: SparkSession, landing_dir: str, schema: T.StructType, b
 
 def read_bronze(spark: SparkSession, bronze_dir: str, bronze_schema: T.StructType) -> DataFrame:
     """Committed bronze files (the sink's log), declared schema."""
-    return spark.read.schema(bronze_schema).parquet(bronze_dir)
+    return spark.read.schema(bronze_schema).options(**FOLDER_ZONE).parquet(bronze_dir)
 
 
 # Event log and history are partitioned (and versioned) by institution.

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# Names of partition folders made from zoned times do not depend on the session's zone.
+FOLDER_ZONE = {"timeZone": "UTC"}
 
 
 def run_available(stream: DataFrame, checkpoint: str, foreach_batch: Callable | None = None,
@@ -24,7 +26,7 @@ def run_available(stream: DataFrame, checkpoint: str, foreach_batch: Callable |
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
-        w = w.format("parquet").option("path", sink_path)
+        w = w.format("parquet").options(path=sink_path, **FOLDER_ZONE)
         if partition_by:
             w = w.partitionBy(*partition_by)
     q = _start(w.trigger(availableNow=True), stream.sparkSession, state_partitions)

@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 
+from pyspark.sql import functions as F
+
 from quincena.operators import cdc, dims
 from quincena.streaming import incremental as inc
 from quincena.streaming import sinks
@@ -37,6 +39,27 @@ def test_scd2_stream_equals_batch_under_late_data(spark, tmp_dir):
     assert len(norm(got)) == 4
 
 
+def test_bronze_versions_do_not_depend_on_the_session_zone(spark, tmp_dir):
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    landing, bronze, ck = (f"{tmp_dir}/{n}" for n in ("land", "bronze", "ck"))
+    schema = spark.createDataFrame([], SCHEMA.replace("fecha_consulta timestamp_ntz", "fecha_consulta timestamp")).schema
+    try:
+        for i, writer in enumerate(("America/Panama", "Asia/Kolkata")):
+            spark.conf.set(zone, writer)
+            rows = spark.range(1).selectExpr("CAST(id AS STRING) AS cedula", f"timestamp_seconds(1704067200 + {i}) AS at")
+            columns = [F.col("at" if f.name == "fecha_consulta" else "cedula" if f.name == "cedula" else "missing")
+                       .cast(f.dataType).alias(f.name) for f in schema]
+            append_rows(rows.withColumn("missing", F.lit(None).cast("string")).select(*columns), landing)
+            made = inc.ingest_bronze(spark, landing, schema, bronze, ck)
+        for reader in ("UTC", "America/Panama"):
+            spark.conf.set(zone, reader)
+            got = inc.read_bronze(spark, bronze, made).select(F.unix_timestamp("fecha_consulta").alias("s"))
+            assert sorted(r.s for r in got.collect()) == [1704067200, 1704067201]
+    finally:
+        spark.conf.set(zone, before)
+
+
 def test_t13_novelty_keeps_first_batch_date(spark, tmp_dir):
     landing, target, ck = f"{tmp_dir}/land", f"{tmp_dir}/dim", f"{tmp_dir}/ck"
     d = spark.createDataFrame([("C", "Pos C")], "spanish string, english string")
