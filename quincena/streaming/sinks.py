@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quincena.operators import cdc, dims
-from quincena.operators.joins import null_safe_condition
 from quincena.streaming.store import (CLOSED, MENDED_CLOSED, MENDED_OPEN, OPEN, STATE, STATES_CLOSED, STATES_OPEN,
                                       AppendedTable, HistoryVersions, PartitionedVersions, VersionedTable)
 
@@ -37,45 +36,40 @@ def scd2_sink(events: PartitionedVersions, history: HistoryVersions, late: Parti
     with late events, and only these, are made anew from it; the closed rows
     of their partitions are then written whole. All of a batch's results are
     one version of ``history``, committed together; the log's and the late
-    keys' versions carry the same number, and a replayed batch overwrites its
+    partitions' versions carry the same number, and a replayed batch overwrites its
     own. Keys compare NULL-safely.
-    """
-    def without(rows: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
-        other = gone.select(*[F.col(k).alias("_k_" + k) for k in keys])
-        return rows.join(other, null_safe_condition(rows, other, keys, "_k_"), how)
 
+    Whole rows move once, to make versions: they are dealt by partition and a
+    share of its keys, so that they are written where they are. The log takes
+    events as they come, from the tasks that read them; which event of a
+    sequence counts is told as versions are made.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = history.version_of(batch_id)
-        reduced = cdc.dedupe_events(batch, keys, sequence_by, tie_break)
-        events.commit(reduced, version)
+        part = history.part_col
+        events.commit(batch, version, dealt=True)
         folders = events.folders(version)
-        new = events.read_version(reduced.schema, version)
+        new = events.read_version(batch.schema, version)
         empty = cdc.scd2_history(new.limit(0), keys, sequence_by, track, tie_break)
-        part = history.part_col
         opened = history.read(empty.schema, before=version, folders=folders, states=STATES_OPEN)
         mended: list[str] = []
         if opened is not None:
-            seen = opened.select(*[F.col(k).alias("_k_" + k) for k in keys], F.col(sequence_by).alias("_seen"))
-            behind = new.join(seen, null_safe_condition(new, seen, keys, "_k_")).where(
-                ~F.coalesce(F.col(sequence_by) > F.col("_seen"), F.lit(False))).select(*keys).distinct()
-            late.commit(behind, version, keep=2)
+            places = cdc.late_places(opened, new, keys, sequence_by, part)
+            late.commit(places, version, keep=2)
             mended = late.folders(version)
         if not mended:
             base = empty.limit(0) if opened is None else opened
-            history.commit(_with_state(cdc.scd2_fold(base, new, keys, sequence_by, track, tie_break)), version)
+            rows = cdc.scd2_fold(base, new, keys, sequence_by, track, tie_break, part)
+            history.commit(_with_state(rows), version, dealt=True)
             return
-        behind = late.read_version(empty.select(*keys).schema, version)
-        rows = cdc.scd2_fold(without(opened, behind), without(new, behind), keys, sequence_by, track, tie_break)
-        logged = events.read_all(new.schema, upto=version, folders=mended)
-        rows = rows.unionByName(cdc.scd2_history(without(logged, behind, "left_semi"), keys, sequence_by, track, tie_break))
+        logged = events.read_all(new.schema, upto=version - 1, folders=mended)
         closed = history.read(empty.schema, before=version, folders=mended, states=STATES_CLOSED)
+        rows = cdc.scd2_mend(opened, closed, logged, new, keys, sequence_by, track, tie_break, part)
         # A folder is mended as a whole; '' and NULL share one.
-        folder = F.coalesce(F.col(part).cast("string"), F.lit(""))
-        places = behind.select(folder.alias("_place")).distinct()
-        rows = rows.join(places.withColumn("_mended", F.lit(True)), folder == F.col("_place"), "left").drop("_place")
-        rows = _with_state(rows, F.col("_mended")).drop("_mended").unionByName(
-            without(closed, behind).withColumn(STATE, F.lit(MENDED_CLOSED)))
-        history.commit(rows, version)
+        place = F.coalesce(F.col(part).cast("string"), F.lit(""))
+        found = late.read_version(places.schema, version).select(place.alias("_place")).distinct()
+        rows = rows.join(F.broadcast(found.withColumn("_mended", F.lit(True))), place == F.col("_place"), "left").drop("_place")
+        history.commit(_with_state(rows, F.col("_mended")).drop("_mended"), version, dealt=True)
     return apply
 
 

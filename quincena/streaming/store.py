@@ -159,13 +159,15 @@ class PartitionedVersions(_Versions):
         paths = [f"{self.root}/{self._folder(v)}/{n}" for n, v in newest.items()]
         return self._load(schema, paths, parts) if versions else None
 
-    def commit(self, df: DataFrame, version: int, keep: int | None = None) -> None:
+    def commit(self, df: DataFrame, version: int, keep: int | None = None, dealt: bool = False) -> None:
         """Write the new state of the partitions present in ``df``. The
         rebalance hint groups rows by partition value before the write (few
         files per partition) and lets AQE split a very large partition over
-        several tasks and merge small ones. With ``keep``, that many newest
+        several tasks and merge small ones; ``dealt`` rows stay where they
+        are. With ``keep``, that many newest
         versions of each written partition are kept."""
-        (df.withColumn(self.value_col, F.col(self.part_col)).hint("rebalance", self.part_col)
+        rows = df.withColumn(self.value_col, F.col(self.part_col))
+        ((rows if dealt else rows.hint("rebalance", self.part_col))
          .write.mode("overwrite").partitionBy(self.part_col).parquet(f"{self.root}/{self._folder(version)}"))
         if keep is None:
             return
@@ -220,13 +222,14 @@ class HistoryVersions(PartitionedVersions):
         paths = self._chosen(before, folders, states)
         return None if paths is None else self._load(schema, paths, None)
 
-    def commit(self, df: DataFrame, version: int, keep: int = 2) -> None:
+    def commit(self, df: DataFrame, version: int, keep: int = 2, dealt: bool = False) -> None:
         """Write a version of rows with a ``_state``; of older versions the
         open rows and what mending has replaced are deleted, but for those
-        that the ``keep`` newest versions of a partition still show."""
+        that the ``keep`` newest versions of a partition still show. ``dealt``
+        rows are grouped by partition already and stay where they are."""
         folder = F.when(F.col(self.part_col).cast("string") != "", F.col(self.part_col))  # '' shares NULL's folder
-        (df.withColumn(self.value_col, F.col(self.part_col)).withColumn(self.part_col, folder)
-         .hint("rebalance", self.part_col, STATE).sortWithinPartitions(self.part_col, STATE, *self.cluster_by)
+        rows = df.withColumn(self.value_col, F.col(self.part_col)).withColumn(self.part_col, folder)
+        ((rows if dealt else rows.hint("rebalance", self.part_col, STATE)).sortWithinPartitions(self.part_col, STATE, *self.cluster_by)
          .write.mode("overwrite").partitionBy(self.part_col, STATE).parquet(f"{self.root}/{self._folder(version)}"))
         written = set(self.folders(version))
         versions = self.committed()

@@ -409,3 +409,43 @@ def test_bad_files_are_set_aside_once_and_stop_no_other(spark, tmp_dir):
     assert [(a, b) for a, b, _ in seen] == [(3, 2), (6, 4)]
     assert {r.reason for r in rejected(spark, away).collect()} == {"not a Parquet file", "column salario is string, not double"}
     assert {f"broken{n}.parquet" for n in range(2)} <= set(os.listdir(f"{away}/files"))
+
+
+def test_scd2_rows_are_dealt_once(spark, tmp_dir, monkeypatch):
+    """The log takes a batch without an exchange, and versions are made and
+    written by one of whole rows, also where late events mend a partition
+    (another is of its name); the history stays the batch one."""
+    import random
+
+    from quincena.streaming.store import HistoryVersions, PartitionedVersions
+    seen = []
+
+    def spied(cls):
+        real = cls.commit
+
+        def commit(self, df, version, **kw):
+            if not self.root.endswith("_late"):
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                seen.append((cls.__name__, plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + (not kw.get("dealt", False))))
+            return real(self, df, version, **kw)
+        monkeypatch.setattr(cls, "commit", commit)
+
+    spied(PartitionedVersions)
+    spied(HistoryVersions)
+    rng, rows = random.Random(5), []
+    for i in range(160):
+        at = None if i % 31 == 0 else T[rng.randrange(6)]
+        rows.append((str(rng.randrange(9)), "N", None, rng.choice(["I", "J", "", None]), "C", "E", at,
+                     float(rng.randrange(3)), None, dt.date(2020, 1, 1), at or T[0], i))
+    landing, ev_root, h_root, ck = (f"{tmp_dir}/{n}" for n in ("land", "ev", "hist", "ck"))
+    schema, tie = spark.createDataFrame([], SCHEMA).schema, ["fecha_actualizacion", "row_id"]
+    for part in (rows[:50], rows[50:51], rows[51:120], rows[120:]):
+        append_rows(spark.createDataFrame(part, SCHEMA), landing)
+        inc.update_history(spark, landing, schema, ev_root, h_root, ck, tie)
+    keys = ["cedula", "nombre", "apellido", "institucion", "cargo", "estado"]
+    want = cdc.scd2_history(spark.createDataFrame(rows, SCHEMA), keys, "fecha_consulta",
+                            ["salario", "gasto", "fecha_de_inicio"], tie)
+    norm = lambda df: sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
+    assert norm(inc.read_history(spark, h_root, schema, tie)) == norm(want)
+    assert {n for name, n in seen if name == "PartitionedVersions"} == {0}
+    assert max(n for name, n in seen if name == "HistoryVersions") <= 2 and len(seen) == 8
