@@ -35,6 +35,7 @@ U32 = np.uint32
 BLOCK = 1 << 14
 CELLS = 1024
 NAMELESS = 1 << 62
+SHARE_ROWS = 256
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -284,28 +285,44 @@ def _rest_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     intersection is at most n_a less the number of such cells, and likewise
     for b. One side of the join leaves out the largest component around a
     first class: its members need no check among themselves."""
-    rows = open_.select("cls", "n", "m", "component").distinct().join(sets.select("cls", "bits"), "cls")
-    main = rows.groupBy("m", "component").agg(F.count(F.lit(1)).alias("members")).groupBy("m").agg(
-        F.max(F.struct("members", "component")).alias("main")).select("m", F.col("main.component").alias("main"))
-    rows = rows.join(main, "m")
-    a, b = (rows.select("m", "main", *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "n", "component", "bits")])
-            for s in ("a", "b"))
-
-    def only(x, y):
-        return sum((F.bit_count(F.col(f"{x}_bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{y}_bits")[i])))
-                    for i in range(CELLS // 64)), F.lit(0))
-
-    common = F.least(F.col("a_n") - only("a", "b"), F.col("b_n") - only("b", "a"))
-    b = b.drop("main")
-    pairs = a.filter("a_component <> main").join(b, "m").filter(
+    a, b = _blocks(open_.select("cls", "n", "m", "component").distinct().join(sets.select("cls", "bits"), "cls"))
+
+    shared = sum((F.bit_count(F.col(f"a_w{i}").bitwiseAND(F.col(f"b_w{i}"))) for i in range(CELLS // 64)), F.lit(0))
+    # At most this many common shingles; it stands once, as Spark would work it out at each place.
+    common = shared + F.least(F.col("a_n") - F.col("a_cells"), F.col("b_n") - F.col("b_cells"))
+    pairs = a.join(b, ["m", "share"]).filter(
         (F.col("a_component") != F.col("b_component"))
         & ((F.col("b_component") == F.col("main")) | (F.col("a_cls") < F.col("b_cls")))
         & (F.col("a_cls") != F.col("m")) & (F.col("b_cls") != F.col("m"))  # pairs with the first class are known
         & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-        & (100 * common >= percent * (F.col("a_n") + F.col("b_n") - common)))
+        & ((100 + percent) * common >= percent * (F.col("a_n") + F.col("b_n"))))
     return pairs.select(F.least("a_cls", "b_cls").alias("a"), F.greatest("a_cls", "b_cls").alias("b")).distinct()
 
 
+def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the pairs of ``cls, n, m, component, bits`` around one
+    first class ``m`` (columns ``a_...`` and ``b_...``): those outside its
+    largest component (``main``), and all. The former are cut into shares of
+    at most about ``SHARE_ROWS``, each of which meets all of the latter, so
+    that the pairs of one large bucket are many tasks' work. Their number is
+    fixed: few rows make many pairs here, and rows are what AQE would merge
+    tasks by."""
+    counted = rows.groupBy("m", "component").agg(F.count(F.lit(1)).alias("members")).groupBy("m").agg(
+        F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all"))
+    main = counted.select("m", F.col("most.component").alias("main"),
+                          F.ceil((F.col("all") - F.col("most.members")) / SHARE_ROWS).cast("int").alias("shares"))
+    rows = materialize(rows.join(main.filter("shares > 0"), "m"), "unlinked")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    sides = (rows.filter("component <> main").withColumn("share", F.pmod(F.xxhash64("cls"), F.col("shares")).cast("int")),
+             rows.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))))
+    words = {f"w{i}": F.col("bits")[i] for i in range(CELLS // 64)}
+    own = {"cls": F.col("cls"), "n": F.col("n"), "component": F.col("component"),
+           "cells": sum((F.bit_count(w) for w in words.values()), F.lit(0)), **words}
+    a, b = (side.select("m", "share", "main", *[c.alias(f"{s}_{name}") for name, c in own.items()])
+            .repartition(tasks, "m", "share") for s, side in zip("ab", sides, strict=True))
+    return a, b.drop("main")
+
+
 def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` (all columns) with exactly one row of each component, whatever
     the ids: rows without an id are compared like any other, and rows that

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from llm_helpers import corpus, frame, words, workers  # noqa: F401
 
+from pyspark.sql import functions as F
 from quincena.llm import exact, lines, minhash, substrings
 
 
@@ -180,3 +181,13 @@ def test_op5_rows(workers):  # noqa: F811
     got = lines.remove_boilerplate(frame(workers, rows)).collect()
     assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
     assert lines.remove_boilerplate(frame(workers, [])).collect() == []
+
+
+def test_pairs_of_one_large_bucket_are_many_tasks_work(spark, monkeypatch):
+    """Members around one first class are compared in shares, each pair once."""
+    monkeypatch.setattr(minhash, "SHARE_ROWS", 8)
+    rows = [(i, 10, 0, 0 if i < 30 else i // 2, [i] * 16) for i in range(100)] + [(1000, 10, 7, 1, [1] * 16), (1001, 10, 7, 1, [1] * 16)]
+    a, b = minhash._blocks(spark.createDataFrame(rows, "cls long, n long, m long, component long, bits array<long>"))
+    assert len({r.p for r in a.select(F.spark_partition_id().alias("p")).collect()}) > 1
+    met = sorted(tuple(r) for r in a.join(b, ["m", "share"]).select("m", "a_cls", "b_cls").collect())
+    assert met == sorted((0, x, y) for x in range(30, 100) for y in range(100))
