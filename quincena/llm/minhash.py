@@ -290,7 +290,8 @@ def _rest_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shared = sum((F.bit_count(F.col(f"a_w{i}").bitwiseAND(F.col(f"b_w{i}"))) for i in range(CELLS // 64)), F.lit(0))
     # At most this many common shingles; it stands once, as Spark would work it out at each place.
     common = shared + F.least(F.col("a_n") - F.col("a_cells"), F.col("b_n") - F.col("b_cells"))
-    pairs = a.join(b, ["m", "share"]).filter(
+    # A merge join holds one share of ``a`` at a time; ``b`` is many times the size its files tell, and must not be broadcast.
+    pairs = b.join(a.hint("merge"), ["m", "share"]).filter(
         (F.col("a_component") != F.col("b_component"))
         & ((F.col("b_component") == F.col("main")) | (F.col("a_cls") < F.col("b_cls")))
         & (F.col("a_cls") != F.col("m")) & (F.col("b_cls") != F.col("m"))  # pairs with the first class are known

@@ -191,3 +191,8 @@ def test_pairs_of_one_large_bucket_are_many_tasks_work(spark, monkeypatch):
     assert len({r.p for r in a.select(F.spark_partition_id().alias("p")).collect()}) > 1
     met = sorted(tuple(r) for r in a.join(b, ["m", "share"]).select("m", "a_cls", "b_cls").collect())
     assert met == sorted((0, x, y) for x in range(30, 100) for y in range(100))
+    # The side that shares repeat is larger than its files tell: no driver is to hold it.
+    open_ = spark.createDataFrame([r[:4] for r in rows], "cls long, n long, m long, component long")
+    sets = spark.createDataFrame([(r[0], r[4]) for r in rows], "cls long, bits array<long>")
+    plan = minhash._rest_pairs(open_, sets, 75)._jdf.queryExecution().executedPlan().toString()
+    assert "share" in plan.split("SortMergeJoin")[1].split("\n")[0]
