@@ -312,14 +312,17 @@ def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all"))
     main = counted.select("m", F.col("most.component").alias("main"),
                           F.ceil((F.col("all") - F.col("most.members")) / SHARE_ROWS).cast("int").alias("shares"))
-    rows = materialize(rows.join(main.filter("shares > 0"), "m"), "unlinked")
+    # The words of ``bits`` are columns of the written table: as aliases over ``bits`` below the join of the sides,
+    # the optimizer would infer what equals ``cells`` once for each choice among them, 2 ** 16 times, in the driver.
+    words = {f"w{i}": F.col("bits")[i] for i in range(CELLS // 64)}
+    cells = sum((F.bit_count(w) for w in words.values()), F.lit(0))
+    rows = materialize(rows.join(main.filter("shares > 0"), "m").select(
+        "m", "main", "shares", "cls", "n", "component", cells.alias("cells"), *[w.alias(c) for c, w in words.items()]), "unlinked")
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
     sides = (rows.filter("component <> main").withColumn("share", F.pmod(F.xxhash64("cls"), F.col("shares")).cast("int")),
              rows.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))))
-    words = {f"w{i}": F.col("bits")[i] for i in range(CELLS // 64)}
-    own = {"cls": F.col("cls"), "n": F.col("n"), "component": F.col("component"),
-           "cells": sum((F.bit_count(w) for w in words.values()), F.lit(0)), **words}
-    a, b = (side.select("m", "share", "main", *[c.alias(f"{s}_{name}") for name, c in own.items()])
+    own = ("cls", "n", "component", "cells", *words)
+    a, b = (side.select("m", "share", "main", *[F.col(c).alias(f"{s}_{c}") for c in own])
             .repartition(tasks, "m", "share") for s, side in zip("ab", sides, strict=True))
     return a, b.drop("main")
 

@@ -196,3 +196,11 @@ def test_pairs_of_one_large_bucket_are_many_tasks_work(spark, monkeypatch):
     sets = spark.createDataFrame([(r[0], r[4]) for r in rows], "cls long, bits array<long>")
     plan = minhash._rest_pairs(open_, sets, 75)._jdf.queryExecution().executedPlan().toString()
     assert "share" in plan.split("SortMergeJoin")[1].split("\n")[0]
+
+
+def test_blocks_leave_the_optimizer_nothing_to_infer_from_an_array(spark):
+    """Aliases of an array's elements beside a sum over them gave 2 ** 16 constraints, more than a driver's heap."""
+    rows = [(cls, 10, 0, cls % 3, list(range(16))) for cls in range(6)]
+    for side in minhash._blocks(spark.createDataFrame(rows, "cls long, n long, m long, component long, bits array<long>")):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert "bits" not in plan and "bit_count" not in plan
