@@ -62,6 +62,9 @@ def keep_one(docs: DataFrame, normalise=unchanged, doc_id: str = "doc_id", text:
     judged = materialize(resolve(docs, normalise, doc_id, text).filter("group_size > 1").groupBy(
         F.col("doc_id").alias(id_), F.col("text_sha256").alias(its_hash)).agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "copies")
+    ids = _ids_that_go(docs, judged, doc_id, id_)
+    if ids is not None:
+        return docs.join(ids, F.col(doc_id) == F.col(id_), "left_anti")
     whole = F.sha2(normalise(F.coalesce(F.col(text), F.lit(""))).cast("binary"), 256)
     rows = docs.withColumn(hash_, whole)
     same = (F.col(hash_) == F.col(its_hash)) & F.col(doc_id).eqNullSafe(F.col(id_))
@@ -69,6 +72,22 @@ def keep_one(docs: DataFrame, normalise=unchanged, doc_id: str = "doc_id", text:
                            judged.filter("kept AND n > 1").select(id_, its_hash), same, [hash_, doc_id]).drop(hash_)
 
 
+def _ids_that_go(docs: DataFrame, judged: DataFrame, doc_id: str, id_: str) -> DataFrame | None:
+    """Ids that tell which rows go, all of them and no other; None where ids
+    do not tell that: one is null, stands on a row that stays as well, or on
+    several rows of which one stays.
+
+    A table of its own: of a few bytes a row, it is broadcast up to a much
+    larger input than ids with hashes are, and until then no text moves."""
+    gone = judged.filter("NOT kept")
+    odd, n = judged.agg(F.max((F.col("kept") & (F.col("n") > 1)) | (~F.col("kept") & F.col(id_).isNull())),
+                        F.sum(F.when(~F.col("kept"), F.col("n")))).first()
+    if odd:
+        return None
+    ids = materialize(gone.select(id_).distinct(), "copies-ids")
+    return ids if docs.select(doc_id).join(ids, F.col(doc_id) == F.col(id_), "left_semi").count() == (n or 0) else None
+
+
 def free_names(taken: list[str], *names: str) -> list[str]:
     """``names``, made longer where a column has the name already (names
     match whatever their case)."""

@@ -66,6 +66,20 @@ def test_op9_keeps_one_row(workers):  # noqa: F811
         ("2", "e"), ("5", ""), ("7", "a b"), ("7", "f"), ("None", "c"), ("None", "d")]
 
 
+def test_op9_texts_stay_where_ids_tell_what_goes(workers):  # noqa: F811
+    rows = [(i, f"text {i % 5000}") for i in range(15_000)]
+    name, limit = "spark.sql.autoBroadcastJoinThreshold", workers.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    workers.conf.set(name, "256k")  # too little for 10,000 ids with hashes
+    try:
+        for more, moved in (([], False), ([(3, "another text of an id that goes")], True), ([(None, "text 3")], True)):
+            kept = exact.keep_one(materialize(frame(workers, rows + more), "docs"))
+            assert ("SortMergeJoin" in kept._jdf.queryExecution().executedPlan().toString()) == moved
+            assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(
+                [*range(10_000, 15_000), *[i for i, t in more if i == 3]])
+    finally:
+        workers.conf.set(name, limit)
+
+
 def test_op6_keeps_one_row(workers):  # noqa: F811
     rng = random.Random(3)
     base, other = words(rng, 100), words(rng, 100)
