@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quincena.operators import cdc, dims
+from quincena.operators.bronze import derived
 from quincena.schemas import AUDIT_KEYS, RUN_OK, SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED
 from quincena.streaming import sinks
 from quincena.streaming.runner import FOLDER_ZONE, run_available
@@ -60,7 +61,7 @@ def history_sink(spark: SparkSession, events_root: str, history_root: str, tie_b
     return sinks.scd2_sink(PartitionedVersions(spark, events_root, HISTORY_PARTITION),
                            HistoryVersions(spark, history_root, HISTORY_PARTITION, HISTORY_CLUSTER),
                            PartitionedVersions(spark, f"{events_root}_late", HISTORY_PARTITION),
-                           SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, tie_break)
+                           SCD2_KEYS, SCD2_SEQUENCE, SCD2_TRACKED, tie_break, derived())
 
 
 def update_history(spark: SparkSession, bronze_dir: str, schema: T.StructType, events_root: str,

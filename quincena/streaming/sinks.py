@@ -23,7 +23,7 @@ def scd1_sink(store: VersionedTable, keys: list[str], sequence_by: str, tie_brea
 
 
 def scd2_sink(events: PartitionedVersions, history: HistoryVersions, late: PartitionedVersions, keys: list[str],
-              sequence_by: str, track: list[str], tie_break: list[str]):
+              sequence_by: str, track: list[str], tie_break: list[str], derived: dict[str, Column] | None = None):
     """Type-2 history by folding, right under late data.
 
     A key's open version carries its last event, so events that come after it
@@ -42,11 +42,15 @@ def scd2_sink(events: PartitionedVersions, history: HistoryVersions, late: Parti
     Whole rows move once, to make versions: they are dealt by partition and a
     share of its keys, so that they are written where they are. The log takes
     events as they come, from the tasks that read them; which event of a
-    sequence counts is told as versions are made.
+    sequence counts is told as versions are made. Of the batch's columns those
+    that are ``derived`` from others of their row stay out of the log and are
+    not moved or sorted: they are made again as versions are written.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = history.version_of(batch_id)
         part = history.part_col
+        again = {c: made for c, made in (derived or {}).items() if c in batch.columns}
+        batch = batch.drop(*again)
         events.commit(batch, version, dealt=True)
         folders = events.folders(version)
         new = events.read_version(batch.schema, version)
@@ -60,7 +64,7 @@ def scd2_sink(events: PartitionedVersions, history: HistoryVersions, late: Parti
         if not mended:
             base = empty.limit(0) if opened is None else opened
             rows = cdc.scd2_fold(base, new, keys, sequence_by, track, tie_break, part)
-            history.commit(_with_state(rows), version, dealt=True)
+            history.commit(_with_state(rows.withColumns(again)), version, dealt=True)
             return
         logged = events.read_all(new.schema, upto=version - 1, folders=mended)
         closed = history.read(empty.schema, before=version, folders=mended, states=STATES_CLOSED)
@@ -69,7 +73,7 @@ def scd2_sink(events: PartitionedVersions, history: HistoryVersions, late: Parti
         place = F.coalesce(F.col(part).cast("string"), F.lit(""))
         found = late.read_version(places.schema, version).select(place.alias("_place")).distinct()
         rows = rows.join(F.broadcast(found.withColumn("_mended", F.lit(True))), place == F.col("_place"), "left").drop("_place")
-        history.commit(_with_state(rows, F.col("_mended")).drop("_mended"), version, dealt=True)
+        history.commit(_with_state(rows.withColumns(again), F.col("_mended")).drop("_mended"), version, dealt=True)
     return apply
 
 
